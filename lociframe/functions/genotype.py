@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MISSING_CALL = 1
-
 
 def complete_probability(gp: Column) -> Column:
     """True where a probability vector has no NULL and no NaN."""
@@ -31,7 +29,8 @@ def dosage(het: Column, hom_alt: Column) -> Column:
 
 def quantise(p: Column) -> Column:
     """One byte per probability: 0 is missing, 1..255 cover 0..1."""
-    return F.coalesce((F.lit(1) + F.rint(p * F.lit(254.0))).cast("short"), F.lit(0).cast("short"))
+    code = F.when(~F.isnan(p), (F.lit(1) + F.rint(p * F.lit(254.0))).cast("short"))
+    return F.coalesce(code, F.lit(0).cast("short"))
 
 
 def dequantise(code: Column) -> Column:

@@ -11,6 +11,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LARGE_DOF = 10_000.0
 
@@ -116,14 +117,14 @@ def hwe_exact(het: int, hom1: int, hom2: int) -> float:
     return float(min(1.0, prob[prob <= seen * (1 + 1e-9)].sum()))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_p_value(t: pd.Series, dof: pd.Series) -> pd.Series:
     """Two-sided Student t p-value as a column; NULL where undefined."""
     p = t_two_sided(t.to_numpy(dtype=float), dof.to_numpy(dtype=float))
     return pd.Series(p).where(~np.isnan(p), None)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def hwe_p_value(het: pd.Series, hom_ref: pd.Series, hom_alt: pd.Series) -> pd.Series:
     """Hardy-Weinberg exact p-value as a column; NULL where there are no calls."""
     p = [
