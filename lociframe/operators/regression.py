@@ -20,6 +20,7 @@ matrices, which costs one shuffle of the dosages and no row per (call, batch).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -33,6 +34,7 @@ from lociframe.functions.pvalues import t_p_value
 from lociframe.functions.text import is_finite
 from lociframe.operators.reshape import array_items
 from lociframe.operators.traits import MIN_SAMPLES, complete_cases, gate_batches
+from lociframe.session import stage
 
 N_COMPONENTS = 20
 RANK_TOLERANCE = 1e-10
@@ -85,13 +87,10 @@ def standardise(samples: DataFrame, n: int, name: str = "covariate") -> DataFram
     """
     items = array_items(F.col(name), n)
     stats = samples.agg(
-        F.struct(
-            F.array(*[F.avg(x) for x in items]).alias("mean"),
-            F.array(*[F.stddev_pop(x) for x in items]).alias("std"),
-        ).alias("s")
+        F.array(*[F.struct(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std")) for x in items])
     ).scalar()
-    scaled = [F.try_divide(x - stats["mean"][i], stats["std"][i]) for i, x in enumerate(items)]
-    return samples.withColumn(name, F.array(*scaled))
+    scaled = [F.try_divide(x - F.col("_stats")[i]["mean"], F.col("_stats")[i]["std"]) for i, x in enumerate(items)]
+    return samples.withColumn("_stats", stats).withColumn(name, F.array(*scaled)).drop("_stats")
 
 
 # Sample side
@@ -168,15 +167,15 @@ def solve(block_moments: DataFrame, k: int) -> DataFrame:
     return total.select("batch_key", factorise(F.col("m.v")).alias("s")).select("batch_key", "s.*")
 
 
-def residuals(rows: DataFrame, block_moments: DataFrame, solved: DataFrame, shape: Shape) -> DataFrame:
+def residuals(rows: DataFrame, solved: DataFrame, shape: Shape) -> DataFrame:
     """Per (batch, sample): its place and one column per number, first Q, then the trait residuals.
 
     A batch smaller than ``batch_size`` leaves the last columns zero.
     """
     k, names = shape.k, _names("z", shape)
-    by_block = block_moments.select("batch_key", "sample_block").join(
-        solved.select("batch_key", "factor", "coef"), "batch_key"
-    )
+    blocks = rows.select("batch_key", "sample_block").distinct()
+    by_block = blocks.join(solved.select("batch_key", "factor", "coef"), "batch_key")
+    by_block = by_block.toDF("batch_key", "sample_block", "factor", "coef")
 
     def block(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
@@ -365,20 +364,19 @@ def associate(
     min_samples: int = MIN_SAMPLES,
     n_variants: int | None = None,
     n_batches: int | None = None,
-    write_between=None,
+    keep: Callable[[DataFrame, str], DataFrame] = stage,
 ) -> DataFrame:
     """All variants against all trait batches in one job.
 
     ``calls`` are rows (contig, variant_index, sample_index, dosage) or packed blocks of them; the
     form decides how they are contracted. For packed blocks ``n_variants`` and ``n_batches`` set
-    the tiling and are counted if not given. ``write_between`` (such as ``session.stage``) writes
-    the sample side to a table, so that a lost executor does not repeat it.
+    the tiling and are counted if not given. ``keep`` writes the sample side, each step of which is
+    used more than once, to a table: a lost executor does not repeat it, and joins with the calls
+    are planned on its real size.
     """
-    keep = write_between or (lambda df, label: df)
     rows = keep(design(trait_values, batches, samples, shape, min_samples), "design")
-    block_moments = moments(rows)
-    solved = keep(solve(block_moments, shape.k), "solved")
-    adjusted = keep(residuals(rows, block_moments, solved, shape), "residuals")
+    solved = keep(solve(moments(rows), shape.k), "solved")
+    adjusted = keep(residuals(rows, solved, shape), "residuals")
     if "sample_block" in calls.columns:
         if n_variants is None:
             n_variants = calls.select(*CALL_KEYS).distinct().count()

@@ -94,7 +94,7 @@ def _batched(spark: SparkSession, d: str, min_samples: int) -> DataFrame:
 @query(
     f"""WITH {_BATCH_SQL}
 SELECT trait_id, variant_index, trait_group_id, CAST(trait_index AS INT) AS trait_index, CAST(batch_index AS INT) AS batch_index,
-  CAST(batch_size AS INT) AS batch_size, {_FIT} FROM fit JOIN batches USING (trait_id) WHERE n >= 130"""
+  CAST(batch_size AS INT) AS batch_size, {_FIT.replace("n AS", "fit.n AS")} FROM fit JOIN batches USING (trait_id) WHERE fit.n >= 130"""
 )
 def gwas_batched(spark: SparkSession, d: str) -> DataFrame:
     """All trait groups and batches with enough complete cases, in one job."""
