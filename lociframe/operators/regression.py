@@ -6,7 +6,8 @@ samples: g.g, g.q and g.y. The steps are:
 
 1. ``design``    samples x batches: covariates and trait values of the complete cases
 2. ``moments``   per (batch, sample block): X'X and X'Y, added up by Spark
-3. ``solve``     per batch: the k x k factor and the trait coefficients
+3. ``solve``     per batch: the k x k factor and the trait coefficients; batches with too few
+                 complete cases end here
 4. ``residuals`` per (batch, sample block): Q and the trait residuals
 5. ``contract``  the sums per (variant, batch), see below
 6. ``finish``    beta, t and p as column arithmetic
@@ -33,7 +34,7 @@ from pyspark.sql import types as T
 from lociframe.functions.pvalues import t_p_value
 from lociframe.functions.text import is_finite
 from lociframe.operators.reshape import array_items
-from lociframe.operators.traits import MIN_SAMPLES, complete_cases, gate_batches
+from lociframe.operators.traits import MIN_SAMPLES, complete_cases
 from lociframe.session import stage
 
 N_COMPONENTS = 20
@@ -96,26 +97,21 @@ def standardise(samples: DataFrame, n: int, name: str = "covariate") -> DataFram
 # Sample side
 
 
-def design(
-    trait_values: DataFrame, batches: DataFrame, samples: DataFrame, shape: Shape, min_samples: int = MIN_SAMPLES
-) -> DataFrame:
-    """Complete cases of large enough batches with their covariates, placed in sample blocks.
+def _place(shape: Shape) -> tuple[Column, Column]:
+    """Block and position of a sample index."""
+    index = F.col("sample_index")
+    block = F.floor(index / shape.sample_width).cast("long").alias("sample_block")
+    return block, (index % shape.sample_width).cast("int").alias("pos")
+
+
+def design(trait_values: DataFrame, batches: DataFrame, samples: DataFrame, shape: Shape) -> DataFrame:
+    """Complete cases of all batches with their covariates, placed in sample blocks.
 
-    ``samples`` has sample_id, sample_index and covariate. Values are shifted by their trait's
-    mean, which changes no effect but keeps the sums of squares small.
+    ``samples`` has sample_id, sample_index and covariate.
     """
-    measured = trait_values.join(samples.select("sample_id"), "sample_id", "left_semi")
-    shift = measured.filter(is_finite(F.col("value"))).groupBy("trait_id").agg(F.avg("value").alias("_mean"))
-    centred = measured.join(shift, "trait_id").select("sample_id", "trait_id", (F.col("value") - F.col("_mean")).alias("value"))
-    cases = complete_cases(centred, batches)
-    gated = gate_batches(cases, min_samples).select("batch_key")
-    placed = samples.select(
-        "sample_id",
-        F.floor(F.col("sample_index") / shape.sample_width).cast("long").alias("sample_block"),
-        (F.col("sample_index") % shape.sample_width).cast("int").alias("pos"),
-        F.col("covariate").alias("x"),
-    )
-    return cases.join(gated, "batch_key").join(placed, "sample_id").select("batch_key", "sample_block", "pos", "x", "y")
+    placed = samples.select("sample_id", *_place(shape), F.col("covariate").alias("x"))
+    cases = complete_cases(trait_values, batches).join(placed, "sample_id")
+    return cases.select("batch_key", "sample_block", "pos", "x", "y")
 
 
 def _matrices(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -202,13 +198,6 @@ def residuals(rows: DataFrame, solved: DataFrame, shape: Shape) -> DataFrame:
 CALL_KEYS = ["contig", "variant_index"]
 
 
-def _place(shape: Shape) -> tuple[Column, Column]:
-    """Block and position of a sample index."""
-    index = F.col("sample_index")
-    block = F.floor(index / shape.sample_width).cast("long").alias("sample_block")
-    return block, (index % shape.sample_width).cast("int").alias("pos")
-
-
 def contract_rows(calls: DataFrame, adjusted: DataFrame, shape: Shape) -> DataFrame:
     """Sums per (variant, batch) from calls in rows; a call that is not there has dosage zero.
 
@@ -374,8 +363,8 @@ def associate(
     used more than once, to a table: a lost executor does not repeat it, and joins with the calls
     are planned on its real size.
     """
-    rows = keep(design(trait_values, batches, samples, shape, min_samples), "design")
-    solved = keep(solve(moments(rows), shape.k), "solved")
+    rows = keep(design(trait_values, batches, samples, shape), "design")
+    solved = keep(solve(moments(rows), shape.k).filter(F.col("n") >= min_samples), "solved")
     adjusted = keep(residuals(rows, solved, shape), "residuals")
     if "sample_block" in calls.columns:
         if n_variants is None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lociframe import schema
 from lociframe.functions import text as X
+from lociframe.session import stage
 
 
 def with_prefix(df: DataFrame, prefix: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -92,26 +93,29 @@ def contig_columns(df: DataFrame, contig_names: list[str], contig_index: int) ->
     )
 
 
-def ordinal_index(
-    df: DataFrame, key: str, name: str, partition_by: tuple[str, ...] = (), width: int = 65_536
-) -> DataFrame:
-    """0-based position by an integer key, without sorting the table in one task.
+def number_rows(df: DataFrame, name: str, order_by: list[str], within: list[str] | None = None) -> DataFrame:
+    """0-based position of each row in its group, for groups of any size.
 
-    Rows are numbered inside key ranges of fixed width, and each range is shifted by the sizes of
-    the ranges before it. Only the list of ranges is ordered as a whole.
+    The table is range-partitioned, so a large group is spread over many tasks, and written once
+    with the position of every row in its partition. A group's position is that of its first row
+    in the partition taken away, plus the sizes of its earlier partitions; only this short list
+    (groups x partitions they touch) is ordered by group.
     """
-    ranged = df.withColumn("_range", F.floor(F.col(key) / width).cast("long"))
-    groups = [*partition_by, "_range"]
-    before = Window.partitionBy(*partition_by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = ranged.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(*groups, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy(*groups).orderBy(key))
-    return (
-        ranged.withColumn("_rank", inside)
-        .join(offsets, groups)
-        .withColumn(name, (F.col("_offset") + F.col("_rank") - 1).cast("long"))
-        .drop("_range", "_rank", "_offset")
-    )
+    within = within or []
+    ranged = df.repartitionByRange(*within, *order_by).sortWithinPartitions(*within, *order_by)
+    seen = F.monotonically_increasing_id()
+    slots = F.lit(1 << 33)  # the id is the partition number times 2^33 plus the row's place in the partition
+    placed = stage(ranged.withColumns({"_part": F.floor(seen / slots).cast("long"), "_at": seen % slots}), "numbered")
+    pieces = placed.groupBy(*within, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift")
+    keys = [f"_k{i}" for i in range(len(within))]
+    shifts = pieces.select(*[F.col(c).alias(k) for c, k in zip(within, keys)], F.col("_part").alias("_piece"), shift)
+    same = F.col("_part") == F.col("_piece")
+    for c, k in zip(within, keys):
+        same &= F.col(c).eqNullSafe(F.col(k))
+    position = (F.col("_at") + F.col("_shift")).cast("long").alias(name)
+    return placed.join(shifts, same).select(*df.columns, position)
 
 
 def array_items(c: Column, n: int) -> list[Column]:

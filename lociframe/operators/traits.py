@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociframe.functions.text import batch_key
 from lociframe.operators import checks
+from lociframe.operators.reshape import number_rows
 
 BATCH_SIZE = 100
 MIN_SAMPLES = 100
@@ -23,30 +24,28 @@ def batch_traits(traits: DataFrame, batch_size: int = BATCH_SIZE, order_by: str
 
     A group of n traits has k = ceil(n / batch_size) batches; the first n mod k of them are larger
     by one. ``trait_index`` is the position in the batch, ``group_name`` the first name of the group.
-    The table is one row per trait, so the per-group order is small.
     """
-    group = Window.partitionBy("trait_group_id")
-    ordered = group.orderBy(order_by)
-    n, k, r = F.col("_n"), F.col("_k"), F.col("_r")
-    base, extra = F.expr("_n div _k"), F.expr("_n % _k")
+    named = "trait_name" in traits.columns
+    first = [F.min_by("trait_name", order_by).alias("group_name")] if named else []
+    numbered = number_rows(traits, "_r", [order_by], ["trait_group_id"])
+    sizes = numbered.groupBy("trait_group_id").agg(F.count(F.lit(1)).alias("_n"), *first)
+    split = sizes.withColumn("n_batches", F.ceil(F.col("_n") / batch_size).cast("int")).withColumns(
+        {"_base": F.expr("_n div n_batches"), "_extra": F.expr("_n % n_batches")}
+    )
+    base, extra, r = F.col("_base"), F.col("_extra"), F.col("_r")
     large = extra * (base + 1)
-    names = [F.first("trait_name").over(ordered).alias("group_name")] if "trait_name" in traits.columns else []
-    numbered = traits.select(
-        "*", *names, (F.row_number().over(ordered) - 1).cast("long").alias("_r"), F.count(F.lit(1)).over(group).alias("_n")
-    ).withColumn("_k", F.ceil(n / F.lit(batch_size)))
-    index = F.when(r < large, F.expr("_r div (_n div _k + 1)")).otherwise(
-        F.expr("_n % _k") + F.expr("(_r - (_n % _k) * (_n div _k + 1)) div (_n div _k)")
+    index = F.when(r < large, F.expr("_r div (_base + 1)")).otherwise(
+        extra + F.expr("(_r - _extra * (_base + 1)) div _base")
     )
-    batched = numbered.withColumn("batch_index", index.cast("int"))
-    first = F.col("batch_index") * base + F.least(F.col("batch_index").cast("long"), extra)
-    size = base + F.when(F.col("batch_index") < extra, 1).otherwise(0)
+    batched = numbered.join(split, "trait_group_id").withColumn("batch_index", index.cast("int"))
+    start = F.col("batch_index") * base + F.least(F.col("batch_index"), extra)
     return batched.select(
         *traits.columns,
-        *(["group_name"] if names else []),
+        *(["group_name"] if named else []),
         "batch_index",
-        (r - first).cast("int").alias("trait_index"),
-        size.cast("int").alias("batch_size"),
-        k.cast("int").alias("n_batches"),
+        (r - start).cast("int").alias("trait_index"),
+        (base + F.when(F.col("batch_index") < extra, 1).otherwise(0)).cast("int").alias("batch_size"),
+        "n_batches",
         batch_key(F.col("batch_index"), F.col("trait_group_id")).alias("batch_key"),
     )
 

@@ -9,41 +9,40 @@ from lociframe.operators import filters, regression, reshape
 from lociframe.operators.traits import batch_traits
 from lociframe.plans import domain as D
 from lociframe.plans.registry import query, rounded, table
-from lociframe.session import shared_path
+from lociframe.session import shared_path, stage
 from lociframe.sources import sinks
 
 _FIT = "n AS sample_size, round(beta, 6) + 0.0 AS beta, round(beta / se, 6) + 0.0 AS t"
 
 
-def _one_trait(spark: SparkSession, d: str, value: str) -> tuple[DataFrame, DataFrame]:
-    """One trait of all participants, with its batch."""
-    values = table(spark, d, "customer").selectExpr("c_custkey AS sample_id", "'50_raw' AS trait_id", f"{value} AS value")
-    return values, batch_traits(reshape.describe_traits(values.select("trait_id").distinct()))
+def _single_batches(values: DataFrame) -> DataFrame:
+    """One batch per trait, so that each trait has its own complete cases."""
+    return batch_traits(reshape.describe_traits(values.select("trait_id").distinct()), 1)
 
 
-_BALANCE_ROWS = f"""rows1 AS (SELECT variant_index, c_acctbal AS y, g, CAST(c_nationkey % 2 AS DOUBLE) AS x1
+_BALANCE_ROWS = f"""rows1 AS (SELECT concat('50_', c_mktsegment) AS trait_id, variant_index, c_acctbal AS y, g, CAST(c_nationkey % 2 AS DOUBLE) AS x1
   FROM dosages JOIN customer ON c_custkey = sample_index)"""
 
 
 @query(
-    f"""WITH {D.dense_dosage_sql(0)}, {_BALANCE_ROWS}, {D.adjusted_sql("rows1", "variant_index", ["x1"])}
-SELECT variant_index, {_FIT} FROM fit"""
+    f"""WITH {D.dense_dosage_sql(0)}, {_BALANCE_ROWS}, {D.adjusted_sql("rows1", "trait_id, variant_index", ["x1"])}
+SELECT trait_id, variant_index, {_FIT} FROM fit WHERE n >= 10"""
 )
 def gwas_linear_1cov(spark: SparkSession, d: str) -> DataFrame:
-    """Account balance on every vector element as a dosage, adjusted for sex."""
-    values, batches = _one_trait(spark, d, "c_acctbal")
+    """Account balance, per market segment, on every vector element as a dosage, adjusted for sex."""
+    values = table(spark, d, "customer").selectExpr("c_custkey AS sample_id", "concat('50_', c_mktsegment) AS trait_id", "c_acctbal AS value")
     samples = D.cohort(spark, d).select(
         "sample_id", "sample_index", F.array(F.col("genetic_sex").cast("double")).alias("covariate")
     )
     shape = regression.Shape(n_covariates=1, batch_size=1)
-    result = regression.associate(D.dense_dosages(spark, d, 0), samples, values, batches, shape)
-    return result.select("variant_index", "sample_size", rounded("beta").alias("beta"), rounded("t").alias("t"))
+    result = regression.associate(D.dense_dosages(spark, d, 0), samples, values, _single_batches(values), shape, min_samples=10)
+    return result.select("trait_id", "variant_index", "sample_size", rounded("beta").alias("beta"), rounded("t").alias("t"))
 
 
 _COV25, _X25 = D.covariates_sql(D.N_PC)
-_MULTI_ROWS = f"""rows1 AS (SELECT variant_index, CAST(p.n_orders AS DOUBLE) AS y, g, {', '.join(_X25)}
-  FROM dosages JOIN covariates c USING (sample_index) JOIN (
-    SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey) p ON p.o_custkey = c.sample_id)"""
+_COUNTS_SQL = """order_counts AS (SELECT o_custkey, concat('50_', o_orderstatus) AS trait_id, CAST(count(*) AS DOUBLE) AS y FROM orders GROUP BY ALL)"""
+_MULTI_ROWS = f"""{_COUNTS_SQL}, rows1 AS (SELECT trait_id, variant_index, y, g, {', '.join(_X25)}
+  FROM dosages JOIN covariates c USING (sample_index) JOIN order_counts p ON p.o_custkey = c.sample_id)"""
 
 
 def _covariates(spark: SparkSession, d: str, npc: int) -> DataFrame:
@@ -51,26 +50,25 @@ def _covariates(spark: SparkSession, d: str, npc: int) -> DataFrame:
     return scaled.select("sample_id", "sample_index", "covariate")
 
 
-def _order_counts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    counts = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("sample_id")).agg(F.count(F.lit(1)).cast("double").alias("value"))
-    values = counts.withColumn("trait_id", F.lit("50_orders"))
-    ids = table(spark, d, "orders").select(F.lit("50_orders").alias("trait_id")).limit(1)
-    return values, batch_traits(reshape.describe_traits(ids))
+def _order_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Orders per participant, one trait per order status."""
+    orders = table(spark, d, "orders").selectExpr("o_custkey AS sample_id", "concat('50_', o_orderstatus) AS trait_id")
+    return orders.groupBy("sample_id", "trait_id").agg(F.count(F.lit(1)).cast("double").alias("value"))
 
 
 @query(
-    f"""WITH {D.COHORT_SQL}, {_COV25}, {D.dense_dosage_sql()}, {_MULTI_ROWS}, {D.adjusted_sql("rows1", "variant_index", _X25)}
-SELECT variant_index, {_FIT} FROM fit"""
+    f"""WITH {D.COHORT_SQL}, {_COV25}, {D.dense_dosage_sql()}, {_MULTI_ROWS}, {D.adjusted_sql("rows1", "trait_id, variant_index", _X25)}
+SELECT trait_id, variant_index, {_FIT} FROM fit WHERE n >= 100"""
 )
 def gwas_linear_multi(spark: SparkSession, d: str) -> DataFrame:
-    """Number of orders on 44 dense dosages, adjusted for 25 standardised covariates."""
-    values, batches = _order_counts(spark, d)
+    """Number of orders by status on 44 dense dosages, adjusted for 25 standardised covariates."""
+    values = _order_counts(spark, d)
     shape = regression.Shape(n_covariates=25, batch_size=1)
     calls = regression.pack_blocks(D.dense_dosages(spark, d), shape)
     result = regression.associate(
-        calls, _covariates(spark, d, D.N_PC), values, batches, shape, n_variants=D.N_DENSE, n_batches=1
+        calls, _covariates(spark, d, D.N_PC), values, _single_batches(values), shape, n_variants=D.N_DENSE, n_batches=3
     )
-    return result.select("variant_index", "sample_size", rounded("beta").alias("beta"), rounded("t").alias("t"))
+    return result.select("trait_id", "variant_index", "sample_size", rounded("beta").alias("beta"), rounded("t").alias("t"))
 
 
 _COV5, _X5 = D.covariates_sql(5)
@@ -108,7 +106,7 @@ def gwas_batched(spark: SparkSession, d: str) -> DataFrame:
 @query(
     f"""WITH {_BATCH_SQL}, scored AS (SELECT trait_id, variant_index, dof, beta / se AS t FROM fit),
 {D.p_value_sql("scored", "trait_id, variant_index")}
-SELECT trait_id, variant_index, CAST(dof AS DOUBLE) AS dof, round(p, 8) + 0.0 AS p_value FROM tested"""
+SELECT trait_id, variant_index, CASE WHEN p IS NOT NULL THEN CAST(dof AS DOUBLE) END AS dof, round(p, 8) + 0.0 AS p_value FROM tested"""
 )
 def gwas_pvalue(spark: SparkSession, d: str) -> DataFrame:
     """p-values of all batches, small ones included."""
@@ -117,70 +115,78 @@ def gwas_pvalue(spark: SparkSession, d: str) -> DataFrame:
 
 
 _SPARSE_GWAS = f"""{D.SPARSE_SQL},
-y0 AS (SELECT o_custkey AS sample_index, sum(o_totalprice) AS y FROM orders GROUP BY o_custkey),
-s0 AS (SELECT sample_index, y, CAST(c_nationkey % 2 AS DOUBLE) AS x1, CAST(floor((c_acctbal + 1000) / 200) AS DOUBLE) AS x2
+y0 AS (SELECT concat('50_', o_orderstatus) AS trait_id, o_custkey AS sample_index, sum(o_totalprice) AS y FROM orders GROUP BY ALL),
+s0 AS (SELECT trait_id, sample_index, y, CAST(c_nationkey % 2 AS DOUBLE) AS x1, CAST(floor((c_acctbal + 1000) / 200) AS DOUBLE) AS x2
   FROM y0 JOIN customer ON c_custkey = sample_index),
-s1 AS (SELECT sample_index, y - avg(y) OVER () AS y, x1 - avg(x1) OVER () AS x1, x2 - avg(x2) OVER () AS x2 FROM s0),
-s2 AS (SELECT sample_index, x1, y - x1 * (sum(x1 * y) OVER () / sum(x1 * x1) OVER ()) AS y,
-  x2 - x1 * (sum(x1 * x2) OVER () / sum(x1 * x1) OVER ()) AS x2 FROM s1),
-s3 AS (SELECT sample_index, x1, x2, y - x2 * (sum(x2 * y) OVER () / sum(x2 * x2) OVER ()) AS y FROM s2),
-totals AS (SELECT count(*) AS n, sum(y * y) AS yy, sum(x1 * x1) AS x11, sum(x2 * x2) AS x22 FROM s3),
-v AS (SELECT variant_index, sum(g) AS g1, sum(g * g) AS g2, sum(g * x1) AS gx1, sum(g * x2) AS gx2, sum(g * y) AS gy
-  FROM sparse JOIN s3 USING (sample_index) GROUP BY variant_index),
-fit AS (SELECT variant_index, n, yy, gy, n - 4 AS dof, g2 - g1 * g1 / n - gx1 * gx1 / x11 - gx2 * gx2 / x22 AS gg FROM v, totals)"""
+s1 AS (SELECT trait_id, sample_index, y - avg(y) OVER w AS y, x1 - avg(x1) OVER w AS x1, x2 - avg(x2) OVER w AS x2 FROM s0
+  WINDOW w AS (PARTITION BY trait_id)),
+s2 AS (SELECT trait_id, sample_index, x1, y - x1 * (sum(x1 * y) OVER w / sum(x1 * x1) OVER w) AS y,
+  x2 - x1 * (sum(x1 * x2) OVER w / sum(x1 * x1) OVER w) AS x2 FROM s1 WINDOW w AS (PARTITION BY trait_id)),
+s3 AS (SELECT trait_id, sample_index, x1, x2, y - x2 * (sum(x2 * y) OVER w / sum(x2 * x2) OVER w) AS y FROM s2
+  WINDOW w AS (PARTITION BY trait_id)),
+totals AS (SELECT trait_id, count(*) AS n, sum(y * y) AS yy, sum(x1 * x1) AS x11, sum(x2 * x2) AS x22 FROM s3 GROUP BY trait_id),
+v AS (SELECT trait_id, variant_index, sum(g) AS g1, sum(g * g) AS g2, sum(g * x1) AS gx1, sum(g * x2) AS gx2, sum(g * y) AS gy
+  FROM sparse JOIN s3 USING (sample_index) GROUP BY ALL),
+fit AS (SELECT trait_id, variant_index, n, yy, gy, n - 4 AS dof, g2 - g1 * g1 / n - gx1 * gx1 / x11 - gx2 * gx2 / x22 AS gg
+  FROM v JOIN totals USING (trait_id))"""
 
 
 @query(
     f"""WITH {_SPARSE_GWAS}
-SELECT variant_index, n AS sample_size, round(gy / gg, 3) + 0.0 AS beta, round(gy / gg / sqrt((yy - gy * gy / gg) / dof / gg), 6) + 0.0 AS t FROM fit"""
+SELECT trait_id, variant_index, n AS sample_size, round(gy / gg, 3) + 0.0 AS beta, round(gy / gg / sqrt((yy - gy * gy / gg) / dof / gg), 6) + 0.0 AS t FROM fit WHERE n >= 100"""
 )
 def gwas_sparse(spark: SparkSession, d: str) -> DataFrame:
-    """Order volume on the number of line items of every part, adjusted for sex and age."""
+    """Order volume by status on the number of line items of every part, adjusted for sex and age."""
     people = table(spark, d, "customer").selectExpr(
         "c_custkey AS sample_id",
         "c_custkey AS sample_index",
         "array(CAST(c_nationkey % 2 AS DOUBLE), CAST(floor((c_acctbal + 1000) / 200) AS DOUBLE)) AS covariate",
     )
-    orders = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("sample_id")).agg(F.sum("o_totalprice").alias("value"))
-    values = orders.withColumn("trait_id", F.lit("50_volume"))
-    batches = batch_traits(reshape.describe_traits(values.select("trait_id").distinct()))
+    orders = table(spark, d, "orders").selectExpr("o_custkey AS sample_id", "concat('50_', o_orderstatus) AS trait_id", "o_totalprice")
+    values = orders.groupBy("sample_id", "trait_id").agg(F.sum("o_totalprice").alias("value"))
     shape = regression.Shape(n_covariates=2, batch_size=1)
     calls = D.sparse_dosages(spark, d)
-    result = regression.associate(calls, regression.standardise(people, 2), values, batches, shape)
-    return result.select("variant_index", "sample_size", rounded("beta", 3).alias("beta"), rounded("t").alias("t"))
+    result = regression.associate(calls, regression.standardise(people, 2), values, _single_batches(values), shape)
+    return result.select("trait_id", "variant_index", "sample_size", rounded("beta", 3).alias("beta"), rounded("t").alias("t"))
 
 
-_KEPT_COHORT = f"qc_cohort AS (SELECT cohort.* FROM cohort SEMI JOIN kept_samples USING (sample_id))"
-_COV_QC, _XQC = D.covariates_sql(5, "qc_cohort")
-_QC_ROWS = f"""rows1 AS (SELECT variant_index, CAST(p.n_orders AS DOUBLE) AS y, p1 + 2 * p2 AS g, {', '.join(_XQC)}
-  FROM gp JOIN kept_variants USING (variant_index) JOIN covariates c USING (sample_index) JOIN (
-    SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey) p ON p.o_custkey = c.sample_id)"""
+_PEOPLE = """SELECT c_custkey AS sample_id, c_custkey AS sample_index, CAST(c_nationkey % 2 AS INT) AS genetic_sex,
+  CAST(floor((c_acctbal + 1000) / 200) AS INT) AS age_at_recruitment FROM {}"""
+_KEPT_PEOPLE = f"kept_people AS (SELECT * FROM ({_PEOPLE.format('customer')}) SEMI JOIN kept_samples USING (sample_id))"
+_COV_QC, _XQC = D.covariates_sql(0, "kept_people")
+_QC_ROWS = f"""{_COUNTS_SQL}, rows1 AS (SELECT trait_id, v.variant_index, y, coalesce(s.g, 0) AS g, {', '.join(_XQC)}
+  FROM kept_variants v CROSS JOIN covariates c JOIN order_counts p ON p.o_custkey = c.sample_id LEFT JOIN sparse s ON s.variant_index = v.variant_index AND s.sample_index = c.sample_index)"""
 
 
 @query(
-    f"""WITH {D.SAMPLE_QC_SQL}, {D.COHORT_SQL}, {_KEPT_COHORT}, {_COV_QC}, {D.VARIANTS_SQL}, {D.DENSE_GP_SQL}, {D.HWE_SQL},
-kept_variants AS (SELECT variant_index FROM variants JOIN hwe USING (variant_index) WHERE info > 0.3 AND maf > 0.001 AND p > 1e-10),
-{_QC_ROWS}, {D.adjusted_sql("rows1", "variant_index", _XQC)}
-SELECT variant_index, {_FIT} FROM fit"""
+    f"""WITH {D.SAMPLE_QC_SQL}, {_KEPT_PEOPLE}, {_COV_QC}, {D.VARIANTS_SQL}, {D.SPARSE_SQL}, {D.SPARSE_COUNTS_SQL}, {D.HWE_SQL},
+kept_variants AS (SELECT variant_index FROM variants JOIN hwe USING (variant_index) WHERE info > 0.8 AND maf > 0.001 AND p > 1e-10),
+{_QC_ROWS}, {D.adjusted_sql("rows1", "trait_id, variant_index", _XQC)}
+SELECT trait_id, variant_index, {_FIT} FROM fit SEMI JOIN (
+  SELECT trait_id, variant_index FROM sparse JOIN covariates USING (sample_index) JOIN order_counts ON o_custkey = sample_id) USING (trait_id, variant_index)
+WHERE n >= 100"""
 )
 def gwas_pipeline(spark: SparkSession, d: str) -> DataFrame:
-    """The whole run: variant QC on probabilities, sample QC, covariates on kept samples, association, results by partition."""
-    gp = D.dense_probabilities(spark, d)
-    informative = filters.info_threshold(D.variants(spark, d), 0.3)
-    kept_variants = filters.variant_qc_2(informative, filters.genotype_counts(gp)).select("contig", "variant_index")
+    """The whole run: variant QC, sample QC, covariates of kept samples, association, results by partition.
+
+    A variant that no kept sample carries has no row.
+    """
+    calls = stage(D.sparse_dosages(spark, d), "sparse-calls")
+    informative = filters.variant_qc_1(D.variants(spark, d))
+    n_samples = table(spark, d, "customer").agg(F.count(F.lit(1))).scalar()
+    kept_variants = filters.variant_qc_2(informative, filters.sparse_genotype_counts(calls, n_samples))
     passed = filters.sample_qc(D.sample_qc(spark, d)).select("sample_id")
-    samples = D.cohort(spark, d).join(passed, "sample_id", "left_semi")
-    covariates = regression.standardise(regression.covariate_vector(samples, 5), 10).select("sample_id", "sample_index", "covariate")
-    calls = gp.join(kept_variants, "variant_index").select(
-        "contig", "variant_index", "sample_index", (F.col("gp")[1] + 2 * F.col("gp")[2]).alias("dosage")
-    )
-    values, batches = _order_counts(spark, d)
-    shape = regression.Shape(n_covariates=10, batch_size=1)
-    result = regression.associate(calls, covariates, values, batches, shape, min_samples=10)
+    people = spark.sql(_PEOPLE.format("{c}"), c=table(spark, d, "customer")).join(passed, "sample_id", "left_semi")
+    no_components = people.withColumn("principal_component", F.array().cast("array<double>"))
+    covariates = regression.standardise(regression.covariate_vector(no_components, 0), 5)
+    kept_calls = calls.join(kept_variants.select("variant_index"), "variant_index", "left_semi")
+    values = _order_counts(spark, d)
+    shape = regression.Shape(n_covariates=5, batch_size=1)
+    result = regression.associate(kept_calls, covariates, values, _single_batches(values), shape)
     path = shared_path(spark, "association")
     sinks.write_results(result, path)
-    stored = spark.read.parquet(path)
-    return stored.select("variant_index", "sample_size", rounded("beta").alias("beta"), rounded("t").alias("t"))
+    stored = spark.read.schema(result.schema).parquet(path)
+    return stored.select("trait_id", "variant_index", "sample_size", rounded("beta").alias("beta"), rounded("t").alias("t"))
 
 
 @query(

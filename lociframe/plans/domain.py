@@ -169,6 +169,10 @@ SPARSE_SQL = """sparse AS (
   SELECT l_partkey AS variant_index, o_custkey AS sample_index, CAST(least(count(*), 2) AS DOUBLE) AS g
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)"""
 
+SPARSE_COUNTS_SQL = """counts AS (SELECT variant_index, count(*) FILTER (g = 1) AS n_het,
+  (SELECT count(*) FROM customer) - count(*) FILTER (g = 1) - count(*) FILTER (g = 2) AS n_hom_ref,
+  count(*) FILTER (g = 2) AS n_hom_alt FROM sparse GROUP BY variant_index)"""
+
 # Traits -----------------------------------------------------------------------------------------
 
 # Trait groups that event types stand for.

@@ -224,7 +224,7 @@ SELECT contig, variant_id, row_number() OVER (PARTITION BY contig ORDER BY posit
 )
 def ordinal_position(spark: SparkSession, d: str) -> DataFrame:
     """0-based variant position within its contig."""
-    placed = reshape.ordinal_index(D.variants(spark, d), "position", "contig_position", ("contig",), width=20_000)
+    placed = reshape.number_rows(D.variants(spark, d), "contig_position", ["position"], ["contig"])
     return placed.select("contig", "variant_id", "contig_position")
 
 

@@ -95,7 +95,7 @@ def sample_order_join(spark: SparkSession, d: str) -> DataFrame:
     """Trait rows in genotype sample order; samples without traits would fail the query."""
     orders = table(spark, d, "orders").selectExpr("o_custkey AS sample_id", "concat('50_', o_orderstatus) AS trait_id")
     values = orders.groupBy("sample_id", "trait_id").agg(F.count(F.lit(1)).cast("double").alias("value"))
-    genotype = reshape.ordinal_index(orders.select("sample_id").distinct(), "sample_id", "sample_index", width=4096)
+    genotype = reshape.number_rows(orders.select("sample_id").distinct(), "sample_index", ["sample_id"])
     return traits.order_as_genotypes(values, genotype).select("sample_id", "sample_index", "trait_id", "value")
 
 

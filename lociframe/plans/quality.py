@@ -30,17 +30,12 @@ def hwe_exact(spark: SparkSession, d: str) -> DataFrame:
     return tested.select("variant_index", "n_het", "n_hom_ref", "n_hom_alt", *_p_columns())
 
 
-_SPARSE_COUNTS = """counts AS (SELECT variant_index, count(*) FILTER (g = 1) AS n_het,
-  (SELECT count(*) FROM customer) - count(*) FILTER (g = 1) - count(*) FILTER (g = 2) AS n_hom_ref,
-  count(*) FILTER (g = 2) AS n_hom_alt FROM sparse GROUP BY variant_index)"""
-
-
 def _sparse_counts(spark: SparkSession, d: str) -> DataFrame:
     n_samples = table(spark, d, "customer").agg(F.count(F.lit(1))).scalar()
     return filters.sparse_genotype_counts(D.sparse_dosages(spark, d), n_samples)
 
 
-@query(f"WITH {D.SPARSE_SQL}, {_SPARSE_COUNTS}, {D.HWE_SQL} SELECT variant_index, n_het, n_hom_ref, n_hom_alt, {_P} FROM hwe")
+@query(f"WITH {D.SPARSE_SQL}, {D.SPARSE_COUNTS_SQL}, {D.HWE_SQL} SELECT variant_index, n_het, n_hom_ref, n_hom_alt, {_P} FROM hwe")
 def hwe_sparse(spark: SparkSession, d: str) -> DataFrame:
     tested = filters.with_hwe(_sparse_counts(spark, d))
     return tested.select("variant_index", "n_het", "n_hom_ref", "n_hom_alt", *_p_columns())
@@ -61,7 +56,7 @@ def variant_qc_2(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {D.VARIANTS_SQL}, {D.SPARSE_SQL}, {_SPARSE_COUNTS}, {D.HWE_SQL}
+    f"""WITH {D.VARIANTS_SQL}, {D.SPARSE_SQL}, {D.SPARSE_COUNTS_SQL}, {D.HWE_SQL}
 SELECT variant_index, variant_id, maf, {_P} FROM variants JOIN hwe USING (variant_index) WHERE maf > 0.001 AND p > 1e-10"""
 )
 def variant_qc_2_sparse(spark: SparkSession, d: str) -> DataFrame:
