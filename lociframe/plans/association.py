@@ -66,7 +66,7 @@ def gwas_linear_multi(spark: SparkSession, d: str) -> DataFrame:
     shape = regression.Shape(n_covariates=25, batch_size=1)
     calls = regression.pack_blocks(D.dense_dosages(spark, d), shape)
     result = regression.associate(
-        calls, _covariates(spark, d, D.N_PC), values, _single_batches(values), shape, n_variants=D.N_DENSE, n_batches=3
+        calls, _covariates(spark, d, D.N_PC), values, _single_batches(values), shape
     )
     return result.select("trait_id", "variant_index", "sample_size", rounded("beta").alias("beta"), rounded("t").alias("t"))
 
@@ -85,7 +85,7 @@ def _batched(spark: SparkSession, d: str, min_samples: int) -> DataFrame:
     calls = regression.pack_blocks(D.dense_dosages(spark, d), shape)
     values = D.trait_values(spark, d)
     return regression.associate(
-        calls, _covariates(spark, d, 5), values, batches, shape, min_samples, n_variants=D.N_DENSE, n_batches=15
+        calls, _covariates(spark, d, 5), values, batches, shape, min_samples
     )
 
 
