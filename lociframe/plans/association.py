@@ -166,7 +166,7 @@ SELECT trait_id, variant_index, {_FIT} FROM fit SEMI JOIN (
   SELECT trait_id, variant_index FROM sparse JOIN covariates USING (sample_index) JOIN order_counts ON o_custkey = sample_id) USING (trait_id, variant_index)
 WHERE n >= 100"""
 )
-def gwas_pipeline(spark: SparkSession, d: str) -> DataFrame:
+def gwas_full_run(spark: SparkSession, d: str) -> DataFrame:
     """The whole run: variant QC, sample QC, covariates of kept samples, association, results by partition.
 
     A variant that no kept sample carries has no row.
