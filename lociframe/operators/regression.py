@@ -39,6 +39,7 @@ from lociframe.operators.traits import MIN_SAMPLES, complete_cases
 from lociframe.session import stage
 
 N_COMPONENTS = 20
+SAMPLE_WIDTH = 4096
 RANK_TOLERANCE = 1e-10
 MONOMORPHIC_TOLERANCE = 1e-12
 FILL_FOR_PRODUCT = 0.05
@@ -54,7 +55,7 @@ class Shape:
 
     n_covariates: int
     batch_size: int
-    sample_width: int = 4096
+    sample_width: int = SAMPLE_WIDTH
     variant_width: int = 2048
     batches_per_pass: int = 32
 
@@ -99,11 +100,10 @@ def standardise(samples: DataFrame, n: int, name: str = "covariate") -> DataFram
 # Sample side
 
 
-def _place(shape: Shape) -> tuple[Column, Column]:
+def _place(width: int) -> tuple[Column, Column]:
     """Block and position of a sample index."""
     index = F.col("sample_index")
-    block = F.floor(index / shape.sample_width).cast("long").alias("sample_block")
-    return block, (index % shape.sample_width).cast("int").alias("pos")
+    return F.floor(index / width).cast("long").alias("sample_block"), (index % width).cast("int").alias("pos")
 
 
 def design(trait_values: DataFrame, batches: DataFrame, samples: DataFrame, shape: Shape) -> DataFrame:
@@ -111,7 +111,7 @@ def design(trait_values: DataFrame, batches: DataFrame, samples: DataFrame, shap
 
     ``samples`` has sample_id, sample_index and covariate.
     """
-    placed = samples.select("sample_id", *_place(shape), F.col("covariate").alias("x"))
+    placed = samples.select("sample_id", *_place(shape.sample_width), F.col("covariate").alias("x"))
     cases = complete_cases(trait_values, batches).join(placed, "sample_id")
     return cases.select("batch_key", "sample_block", "pos", "x", "y")
 
@@ -210,13 +210,13 @@ def residuals(rows: DataFrame, solved: DataFrame, shape: Shape) -> DataFrame:
 CALL_KEYS = ["contig", "variant_index"]
 
 
-def pack_blocks(calls: DataFrame, shape: Shape) -> DataFrame:
+def pack_blocks(calls: DataFrame, width: int = SAMPLE_WIDTH) -> DataFrame:
     """Calls in rows to one row per (variant, sample block): the stored form of dense dosages.
 
-    ``dosage`` is a binary of ``sample_width`` 4-byte floats in sample order, NaN where there is no
-    call. Binaries go to Python as they are, which is over twice as fast as arrays of numbers.
+    ``dosage`` is a binary of ``width`` 4-byte floats in sample order, NaN where there is no call;
+    ``width`` must be the ``sample_width`` of the run. Binaries go to Python as they are, which is
+    over twice as fast as arrays of numbers.
     """
-    width = shape.sample_width
 
     @F.arrow_udf(T.BinaryType())
     def pack(block: pa.Array) -> pa.Array:
@@ -226,7 +226,7 @@ def pack_blocks(calls: DataFrame, shape: Shape) -> DataFrame:
         dense[np.repeat(np.arange(len(lengths)), lengths), flat.field("pos").to_numpy()] = _numbers(flat.field("dosage"))
         return pa.array([row.tobytes() for row in dense], pa.binary())
 
-    placed = calls.select(*CALL_KEYS, *_place(shape), F.col("dosage").cast("float").alias("dosage"))
+    placed = calls.select(*CALL_KEYS, *_place(width), F.col("dosage").cast("float").alias("dosage"))
     blocks = placed.groupBy(*CALL_KEYS, "sample_block").agg(F.collect_list(F.struct("pos", "dosage")).alias("block"))
     return blocks.select(*CALL_KEYS, "sample_block", pack("block").alias("dosage"))
 
@@ -331,7 +331,7 @@ def contract(calls: DataFrame, adjusted: DataFrame, shape: Shape, n_variants: in
     def hashed(n: int, *columns: str) -> Column:
         return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int") if n > 1 else F.lit(0)
 
-    place = ["sample_block"] if packed else _place(shape)
+    place = ["sample_block"] if packed else _place(width)
     left = calls.select(
         *CALL_KEYS, *place, "dosage", hashed(n_blocks, *CALL_KEYS).alias("variant_block"), every(n_passes).alias("pass")
     )

@@ -64,7 +64,7 @@ def gwas_linear_multi(spark: SparkSession, d: str) -> DataFrame:
     """Number of orders by status on 44 dense dosages, adjusted for 25 standardised covariates."""
     values = _order_counts(spark, d)
     shape = regression.Shape(n_covariates=25, batch_size=1)
-    calls = regression.pack_blocks(D.dense_dosages(spark, d), shape)
+    calls = regression.pack_blocks(D.dense_dosages(spark, d))
     result = regression.associate(
         calls, _covariates(spark, d, D.N_PC), values, _single_batches(values), shape
     )
@@ -82,7 +82,7 @@ _BATCH_SQL = f"""{D.TRAITS_SQL}, {D.COHORT_SQL}, {_COV5}, {D.dense_dosage_sql()}
 def _batched(spark: SparkSession, d: str, min_samples: int) -> DataFrame:
     batches = D.trait_batches(spark, d)
     shape = regression.Shape(n_covariates=10, batch_size=2)
-    calls = regression.pack_blocks(D.dense_dosages(spark, d), shape)
+    calls = regression.pack_blocks(D.dense_dosages(spark, d))
     values = D.trait_values(spark, d)
     return regression.associate(
         calls, _covariates(spark, d, 5), values, batches, shape, min_samples

@@ -104,7 +104,10 @@ def run_qc_1(spark: SparkSession, input_path: str, output_path: str) -> None:
 
 
 def run_qc_2(spark: SparkSession, input_path: str, sample_qc_path: str, output_path: str) -> None:
-    """Variant QC on all samples, then sample QC; only dosages of what is left are stored."""
+    """Variant QC on all samples, then sample QC; dosages of what is left are stored, packed by sample block.
+
+    Packing shuffles the calls once here, not in every association run.
+    """
     variants, samples, calls = _read_genotypes(spark, input_path, unpack=True)
     keys = ("contig", "variant_index")
     counts = filters.genotype_counts(calls, keys)
@@ -117,7 +120,7 @@ def run_qc_2(spark: SparkSession, input_path: str, sample_qc_path: str, output_p
         .join(kept.select(*keys), list(keys), "left_semi")
         .join(left.select("sample_index"), "sample_index", "left_semi")
     )
-    _write_genotypes(output_path, kept, left, dosages)
+    _write_genotypes(output_path, kept, left, regression.pack_blocks(dosages))
 
 
 # Phenotypes -------------------------------------------------------------------------------------
@@ -217,10 +220,8 @@ def run_association(
         pending = batches.join(todo.select("batch_index", "trait_group_id").distinct(), ["batch_index", "trait_group_id"], "left_semi")
         todo_calls = calls.join(todo.select("contig").distinct(), "contig", "left_semi")
         shape = regression.Shape(5 + npc, batch_size)
-        blocks = regression.pack_blocks(todo_calls, shape)
-        fitted = regression.associate(
-            blocks, covariates.select("sample_id", "sample_index", "covariate"), values, pending, shape, min_samples, variants.count()
-        )
+        people = covariates.select("sample_id", "sample_index", "covariate")
+        fitted = regression.associate(todo_calls, people, values, pending, shape, min_samples, variants.count())
         # A genotype folder has several contigs only if stored so; each may have its own finished batches.
         fitted = fitted.join(todo, ["contig", "batch_index", "trait_group_id"], "left_semi")
         renamed = fitted.withColumnsRenamed({"p_value": "variant_p_value", "beta": "variant_beta"})

@@ -98,7 +98,8 @@ def read_published(spark: SparkSession, path: str, traits: DataFrame | None = No
         raise ValueError(f"columns missing from {path}: {missing}")
     file_schema = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
     reader = spark.read.option("recursiveFileLookup", "true")
-    df = reader.csv(path, sep="\t", header=True, schema=file_schema)
+    # Every file's header is checked against the first one's.
+    df = reader.csv(path, sep="\t", header=True, schema=file_schema, enforceSchema=False)
     trait_file = F.regexp_extract(F.col("_metadata.file_path"), _TRAIT_FILE, 1)
     df = df.select(*[F.col(f"`{c}`") for c in known], trait_file.alias("file"))
     df = df.filter(F.col("file").endswith(".tsv.gz") & ~X.before_first_dot(F.col("file")).endswith("_irnt"))

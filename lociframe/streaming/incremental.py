@@ -12,21 +12,29 @@ from pyspark.sql import types as T
 from lociframe.operators.traits import pending_work
 from lociframe.session import stage
 from lociframe.sources.sinks import RESULT_PARTITIONS, write_results
+from lociframe.sources.sumstats import list_files
 
 WORK_SCHEMA = "contig string, batch_index int, trait_group_id long"
 
 
 def finished_work(spark: SparkSession, results_path: str) -> DataFrame:
-    """(contig, batch, trait group) with a result, read from the partition folders only."""
+    """(contig, batch, trait group) with a result, from the names of the partition folders; no result is read."""
     try:
-        found = spark.read.parquet(results_path)
+        found = list_files(spark, results_path)
     except AnalysisException as missing:
-        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], WORK_SCHEMA)
-    return found.select(
-        F.col("contig").cast("string"), F.col("batch_index").cast("int"), F.col("trait_group_id").cast("long")
-    ).distinct()
+    folder = {c: F.regexp_extract("file", f"/{c}=([^/]+)/", 1) for c in RESULT_PARTITIONS}
+    return (
+        found.filter(F.col("file").endswith(".parquet"))
+        .select(
+            folder["contig"].alias("contig"),
+            folder["batch_index"].cast("int").alias("batch_index"),
+            folder["trait_group_id"].cast("long").alias("trait_group_id"),
+        )
+        .distinct()
+    )
 
 
 def run_pending(
@@ -66,5 +74,3 @@ def ingest_new_files(
         .start()
     )
 
-
-__all__ = ["RESULT_PARTITIONS", "finished_work", "ingest_new_files", "run_pending"]

@@ -49,7 +49,7 @@ def direct(g, x, y):
 @pytest.mark.parametrize("form", ["rows", "tiles"])
 def test_matches_least_squares(data, form):
     g, x, y, trait_values, batches, samples, calls = data
-    given = calls.filter("dosage <> 0") if form == "rows" else R.pack_blocks(calls, shape())
+    given = calls.filter("dosage <> 0") if form == "rows" else R.pack_blocks(calls, 64)
     got = R.associate(given, samples, trait_values, batches, shape(), min_samples=40).toPandas()
     members = batches.toPandas().groupby("batch_key").trait_id.apply(list)
     seen = 0
@@ -78,7 +78,7 @@ def test_matches_least_squares(data, form):
 def test_missing_dosage_gives_null_for_its_variant_only(data):
     _, _, _, trait_values, batches, samples, calls = data
     holed = calls.withColumn("dosage", F.when(~((F.col("variant_index") == 5) & (F.col("sample_index") == 7)), F.col("dosage")))
-    for given in (holed, R.pack_blocks(holed, shape())):
+    for given in (holed, R.pack_blocks(holed, 64)):
         got = R.associate(given, samples, trait_values, batches, shape(), min_samples=40).toPandas()
         got = got[got.variant_index.isin([5, 6]) & (got.trait_id == "50_0")].set_index("variant_index")
         assert pd.isna(got.beta[5]) and not pd.isna(got.beta[6])
