@@ -50,14 +50,17 @@ class Shape:
     """Sizes fixed before the run: covariates, largest batch, and tile widths.
 
     ``n_covariates`` leaves the intercept out. A tile holds ``variant_width`` x ``sample_width``
-    dosages; ``batches_per_pass`` bounds the sample-side columns that meet a tile.
+    dosages and meets about ``columns_per_pass`` sample-side columns at a time. Per pass the
+    calls are shuffled once, and both the sample side and the partial sums come to
+    2 x columns / width of their volume in 4-byte floats: with these widths as much again each for
+    a full pass, and little for a few traits.
     """
 
     n_covariates: int
     batch_size: int
     sample_width: int = SAMPLE_WIDTH
-    variant_width: int = 2048
-    batches_per_pass: int = 32
+    variant_width: int = 4096
+    columns_per_pass: int = 2048
 
     @property
     def k(self) -> int:
@@ -238,12 +241,19 @@ def _numbers(values: pa.Array) -> np.ndarray:
 
 def _dense_sums(calls: pa.Table, columns: np.ndarray, member: np.ndarray) -> tuple:
     """Variants of a tile of packed blocks; their sums over samples of g x columns, g^2 and missing g."""
-    blocks = calls["dosage"].to_pylist()
-    g = np.frombuffer(b"".join(blocks), dtype="<f4").reshape(len(blocks), -1).astype(float)
-    bad = ~np.isfinite(g)
-    n_bad = bad @ member if bad.any() else np.zeros((len(g), member.shape[1]))
-    g[bad] = 0.0
-    return calls.select(CALL_KEYS), g @ columns, (g * g) @ member, n_bad
+    width = len(columns)
+    n, blocks = calls.num_rows, calls["dosage"].combine_chunks()
+    sums, gg, n_bad = np.zeros((n, columns.shape[1])), np.zeros((n, member.shape[1])), np.zeros((n, member.shape[1]))
+    for at in range(0, n, 512):  # doubles of some rows at a time
+        part = slice(at, min(at + 512, n))
+        g = np.stack([np.frombuffer(b.as_buffer(), dtype="<f4", count=width) for b in blocks[part]]).astype(float)
+        bad = ~np.isfinite(g)
+        if bad.any():
+            n_bad[part] = bad @ member
+            g[bad] = 0.0
+        sums[part] = g @ columns
+        gg[part] = np.square(g, out=g) @ member
+    return calls.select(CALL_KEYS), sums, gg, n_bad
 
 
 def _sparse_sums(calls: pa.Table, columns: np.ndarray, member: np.ndarray) -> tuple:
@@ -280,14 +290,12 @@ def contract(calls: DataFrame, adjusted: DataFrame, shape: Shape, n_variants: in
     """Sums per (variant, batch) from calls in rows or in packed blocks.
 
     Variants are spread over ceil(n_variants / variant_width) blocks by hash, so no block is hot.
-    The sample side goes to every variant block; it is smaller than dense calls by about
-    variant_width / n_sums. With more batches than ``batches_per_pass`` the calls go once to each
-    pass. In rows a call that is not there has dosage zero, and a variant without calls among a
+    The sample side goes to every variant block, the calls to every pass (see ``Shape``). In rows a call that is not there has dosage zero, and a variant without calls among a
     batch's complete cases has no sums.
     """
     packed = "sample_block" in calls.columns
     n_blocks = max(1, -(-n_variants // shape.variant_width))
-    n_passes = max(1, -(-n_batches // shape.batches_per_pass))
+    n_passes = max(1, -(-n_batches * shape.n_sums // shape.columns_per_pass))
     m, width = shape.n_sums, shape.sample_width
     z_names, s_names = _names("z", shape), _names("s", shape)
     schema = T.StructType(
@@ -399,23 +407,22 @@ def associate(
     shape: Shape,
     min_samples: int = MIN_SAMPLES,
     n_variants: int | None = None,
-    n_batches: int | None = None,
     keep: Callable[[DataFrame, str], DataFrame] = stage,
 ) -> DataFrame:
     """All variants against all trait batches in one job.
 
     ``calls`` are rows (contig, variant_index, sample_index, dosage), for sparse calls, or packed
-    blocks of them, for dense ones; (variant, sample) must be unique. ``n_variants`` and
-    ``n_batches`` set the tiling and are counted if not given. ``keep`` writes the sample side, each step of which is
-    used more than once, to a table: a lost executor does not repeat it.
+    blocks of them, for dense ones; (variant, sample) must be unique. ``n_variants`` sets
+    the tiling and is counted if not given. ``keep`` writes the sample side, each step of which is
+    used more than once, to a table: a lost executor does not repeat it, and Spark knows the size
+    of the trait table that the results are joined with.
     """
     rows = keep(design(trait_values, batches, samples, shape), "design")
     solved = keep(solve(moments(rows), shape.k).filter(F.col("n") >= min_samples), "solved")
     adjusted = keep(residuals(rows, solved, shape), "residuals")
     if n_variants is None:
         n_variants = calls.select(*CALL_KEYS).distinct().count()
-    if n_batches is None:
-        n_batches = solved.count()
-    sums = contract(calls, adjusted, shape, n_variants, n_batches)
-    return finish(sums, trait_totals(adjusted, solved, batches, shape), shape)
+    totals = keep(trait_totals(adjusted, solved, batches, shape), "totals")
+    sums = contract(calls, adjusted, shape, n_variants, solved.count())
+    return finish(sums, totals, shape)
 

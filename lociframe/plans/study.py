@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -219,9 +220,21 @@ def run_association(
     def compute(todo: DataFrame) -> DataFrame:
         pending = batches.join(todo.select("batch_index", "trait_group_id").distinct(), ["batch_index", "trait_group_id"], "left_semi")
         todo_calls = calls.join(todo.select("contig").distinct(), "contig", "left_semi")
-        shape = regression.Shape(5 + npc, batch_size)
         people = covariates.select("sample_id", "sample_index", "covariate")
-        fitted = regression.associate(todo_calls, people, values, pending, shape, min_samples, variants.count())
+        n_variants = variants.count()
+        # Most groups have one trait; batches of like size run together, so that none carries empty columns.
+        sizes = sorted({1, min(10, batch_size), batch_size})
+        size = F.when(F.col("batch_size") <= sizes[0], sizes[0])
+        for larger in sizes[1:]:
+            size = size.when(F.col("batch_size") <= larger, larger)
+        pending = pending.withColumn("_size", size)
+        parts = [
+            regression.associate(
+                todo_calls, people, values, pending.filter(F.col("_size") == n), regression.Shape(5 + npc, n), min_samples, n_variants
+            )
+            for n in (r[0] for r in pending.select("_size").distinct().collect())  # three at most
+        ]
+        fitted = reduce(DataFrame.unionByName, parts)
         # A genotype folder has several contigs only if stored so; each may have its own finished batches.
         fitted = fitted.join(todo, ["contig", "batch_index", "trait_group_id"], "left_semi")
         renamed = fitted.withColumnsRenamed({"p_value": "variant_p_value", "beta": "variant_beta"})

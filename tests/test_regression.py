@@ -35,7 +35,7 @@ def data(spark):
 
 
 def shape(**kw):
-    return R.Shape(**{"n_covariates": K, "batch_size": 2, "sample_width": 64, "variant_width": 4, "batches_per_pass": 2, **kw})
+    return R.Shape(**{"n_covariates": K, "batch_size": 2, "sample_width": 64, "variant_width": 4, "columns_per_pass": 12, **kw})
 
 
 def direct(g, x, y):
