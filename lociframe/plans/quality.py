@@ -17,11 +17,11 @@ def genotype_counts(spark: SparkSession, d: str) -> DataFrame:
     return filters.genotype_counts(D.dense_probabilities(spark, d))
 
 
-_P = "round(p, 10) + 0.0 AS hwe_p_value, round(-log10(p), 6) + 0.0 AS neg_log10_p"
+_P = "round(p, 8) + 0.0 AS hwe_p_value, round(-log10(p), 6) + 0.0 AS neg_log10_p"
 
 
 def _p_columns() -> list:
-    return [rounded("hwe_p_value", 10).alias("hwe_p_value"), rounded(X.neg_log10(F.col("hwe_p_value"))).alias("neg_log10_p")]
+    return [rounded("hwe_p_value", 8).alias("hwe_p_value"), rounded(X.neg_log10(F.col("hwe_p_value"))).alias("neg_log10_p")]
 
 
 @query(f"WITH {D.DENSE_GP_SQL}, {D.HWE_SQL} SELECT variant_index, n_het, n_hom_ref, n_hom_alt, {_P} FROM hwe")
