@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lociframe.functions.text import batch_key
 from lociframe.operators import checks
 from lociframe.operators.reshape import number_rows
+from lociframe.session import stage
 
 BATCH_SIZE = 100
 MIN_SAMPLES = 100
@@ -24,6 +25,7 @@ def batch_traits(traits: DataFrame, batch_size: int = BATCH_SIZE, order_by: str
 
     A group of n traits has k = ceil(n / batch_size) batches; the first n mod k of them are larger
     by one. ``trait_index`` is the position in the batch, ``group_name`` the first name of the group.
+    The result is written once, as most steps of a run use it.
     """
     named = "trait_name" in traits.columns
     first = [F.min_by("trait_name", order_by).alias("group_name")] if named else []
@@ -39,7 +41,7 @@ def batch_traits(traits: DataFrame, batch_size: int = BATCH_SIZE, order_by: str
     )
     batched = numbered.join(split, "trait_group_id").withColumn("batch_index", index.cast("int"))
     start = F.col("batch_index") * base + F.least(F.col("batch_index"), extra)
-    return batched.select(
+    batches = batched.select(
         *traits.columns,
         *(["group_name"] if named else []),
         "batch_index",
@@ -48,6 +50,7 @@ def batch_traits(traits: DataFrame, batch_size: int = BATCH_SIZE, order_by: str
         "n_batches",
         batch_key(F.col("batch_index"), F.col("trait_group_id")).alias("batch_key"),
     )
+    return stage(batches, "batches")
 
 
 def first_trait_name(traits: DataFrame, order_by: str = "trait_id") -> DataFrame:

@@ -35,7 +35,7 @@ def gwas_linear_1cov(spark: SparkSession, d: str) -> DataFrame:
         "sample_id", "sample_index", F.array(F.col("genetic_sex").cast("double")).alias("covariate")
     )
     shape = regression.Shape(n_covariates=1, batch_size=1)
-    result = regression.associate(D.dense_dosages(spark, d, 0), samples, values, _single_batches(values), shape, min_samples=10)
+    result = regression.associate(D.dense_dosages(spark, d, 0), samples, values, _single_batches(values), shape, 10, n_variants=64)
     return result.select("trait_id", "variant_index", "sample_size", rounded("beta").alias("beta"), rounded("t").alias("t"))
 
 
@@ -66,7 +66,7 @@ def gwas_linear_multi(spark: SparkSession, d: str) -> DataFrame:
     shape = regression.Shape(n_covariates=25, batch_size=1)
     calls = regression.pack_blocks(D.dense_dosages(spark, d))
     result = regression.associate(
-        calls, _covariates(spark, d, D.N_PC), values, _single_batches(values), shape
+        calls, _covariates(spark, d, D.N_PC), values, _single_batches(values), shape, n_variants=D.N_DENSE
     )
     return result.select("trait_id", "variant_index", "sample_size", rounded("beta").alias("beta"), rounded("t").alias("t"))
 
@@ -85,7 +85,7 @@ def _batched(spark: SparkSession, d: str, min_samples: int) -> DataFrame:
     calls = regression.pack_blocks(D.dense_dosages(spark, d))
     values = D.trait_values(spark, d)
     return regression.associate(
-        calls, _covariates(spark, d, 5), values, batches, shape, min_samples
+        calls, _covariates(spark, d, 5), values, batches, shape, min_samples, n_variants=D.N_DENSE
     )
 
 
@@ -146,7 +146,9 @@ def gwas_sparse(spark: SparkSession, d: str) -> DataFrame:
     values = orders.groupBy("sample_id", "trait_id").agg(F.sum("o_totalprice").alias("value"))
     shape = regression.Shape(n_covariates=2, batch_size=1)
     calls = D.sparse_dosages(spark, d)
-    result = regression.associate(calls, regression.standardise(people, 2), values, _single_batches(values), shape)
+    n_variants = table(spark, d, "part").count()
+    covariates = regression.standardise(people, 2)
+    result = regression.associate(calls, covariates, values, _single_batches(values), shape, n_variants=n_variants)
     return result.select("trait_id", "variant_index", "sample_size", rounded("beta", 3).alias("beta"), rounded("t").alias("t"))
 
 
@@ -182,7 +184,8 @@ def gwas_full_run(spark: SparkSession, d: str) -> DataFrame:
     kept_calls = calls.join(kept_variants.select("variant_index"), "variant_index", "left_semi")
     values = _order_counts(spark, d)
     shape = regression.Shape(n_covariates=5, batch_size=1)
-    result = regression.associate(kept_calls, covariates, values, _single_batches(values), shape)
+    n_variants = table(spark, d, "part").count()
+    result = regression.associate(kept_calls, covariates, values, _single_batches(values), shape, n_variants=n_variants)
     path = shared_path(spark, "association")
     sinks.write_results(result, path)
     stored = spark.read.schema(result.schema).parquet(path)
