@@ -121,15 +121,6 @@ def keep_calls(calls: DataFrame, variants_kept: DataFrame, samples_kept: DataFra
     return in_variants.join(samples_kept.select("sample_id"), "sample_id", "left_semi")
 
 
-def as_members(spark: SparkSession, values, name: str) -> DataFrame:
-    """A one-column table of ids as text from a comma text, a sequence or a table."""
-    if isinstance(values, DataFrame):
-        return values.select(F.col(name).cast("string")).distinct()
-    if isinstance(values, str):
-        values = values.split(",")
-    return spark.createDataFrame([(str(v),) for v in values], f"{name} string").distinct()
-
-
 def member_filter(df: DataFrame, column: str, values) -> DataFrame:
     """Rows whose value, as text, is one of ``values`` (comma text, sequence or one-column table); None keeps all."""
     if values is None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.functions import text as X
-from lociframe.operators import sumstats
+from lociframe.operators import reshape, sumstats
 from lociframe.plans.registry import query, rounded, table
 from lociframe.session import shared_path
 from lociframe.sources import sinks
@@ -73,6 +73,19 @@ def sumstat_full_outer(spark: SparkSession, d: str) -> DataFrame:
     return _round_merged(spark.read.parquet(path))
 
 
+@query(
+    f"""WITH own AS ({_OWN.format('lineitem')})
+SELECT sample_trait_id AS trait_id, variant_id, sample_trait_name AS gwas_trait_name, sample_trait_group_id AS gwas_trait_group_id,
+  sample_trait_code_id AS gwas_trait_code_id, variant_contig_name AS gwas_variant_contig_name, variant_position AS gwas_variant_position,
+  variant_p_value AS gwas_variant_p_value, round(variant_beta, 6) + 0.0 AS gwas_variant_beta, sample_size AS gwas_size,
+  batch_index AS gwas_batch_index, batch_size AS gwas_batch_size FROM own"""
+)
+def result_rename(spark: SparkSession, d: str) -> DataFrame:
+    """Results without their dimension in the names, and with the name of their source."""
+    own = own_results(spark, d).withColumn("variant_beta", rounded("variant_beta"))
+    return reshape.with_prefix(reshape.without_text(own, "sample_"), "gwas_", keep=("trait_id", "variant_id"))
+
+
 @query(
     f"""WITH own AS ({_OWN.format('lineitem')})
 SELECT sample_trait_id AS trait_id, variant_id, CASE WHEN variant_p_value = 0 THEN 9999.0 ELSE round(-log10(variant_p_value), 6) + 0.0 END AS log_p FROM own"""

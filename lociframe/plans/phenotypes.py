@@ -23,6 +23,23 @@ def trait_unpivot(spark: SparkSession, d: str) -> DataFrame:
     return long.select("sample_id", "trait_id", rounded("value", 4).alias("value"))
 
 
+@query(
+    f"""WITH {D.TRAITS_SQL}
+SELECT sample_id, CAST({len(D.TRAIT_IDS)} AS INT) AS n_traits, count(value) AS n_values, round(sum(value), 4) + 0.0 AS total,
+  round(sum(value) FILTER (trait_id = '{D.TRAIT_IDS[0]}'), 4) + 0.0 AS first_trait FROM trait_values GROUP BY sample_id"""
+)
+def trait_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """Trait columns as one vector per sample."""
+    vector, known = F.col("trait"), lambda v: v.isNotNull()
+    return reshape.trait_matrix(D.trait_wide(spark, d)).select(
+        "sample_id",
+        F.size(vector).alias("n_traits"),
+        F.size(F.filter(vector, known)).cast("long").alias("n_values"),
+        rounded(F.aggregate(F.filter(vector, known), F.lit(0.0), lambda a, v: a + v), 4).alias("total"),
+        rounded(vector[0], 4).alias("first_trait"),
+    )
+
+
 # Traits of the part table: many groups of uneven size.
 _PART_TRAITS = "SELECT concat(replace(p_brand, 'Brand#', ''), '_', p_partkey) AS trait_id, p_name AS trait_name FROM {}"
 _PART_SQL = f"""part_traits AS (SELECT trait_id, trait_name, CAST(split_part(trait_id, '_', 1) AS BIGINT) AS trait_group_id
