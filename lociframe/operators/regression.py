@@ -43,6 +43,7 @@ SAMPLE_WIDTH = 4096
 RANK_TOLERANCE = 1e-10
 MONOMORPHIC_TOLERANCE = 1e-12
 FILL_FOR_PRODUCT = 0.05
+MAX_TILE_TASKS = 50_000
 
 
 @dataclass(frozen=True)
@@ -286,16 +287,19 @@ def _sparse_sums(calls: pa.Table, columns: np.ndarray, member: np.ndarray) -> tu
     return variants, add(g, columns), add(g * g, member), add(bad.astype(float), member)
 
 
-def contract(calls: DataFrame, adjusted: DataFrame, shape: Shape, n_variants: int, n_batches: int) -> DataFrame:
+def contract(calls: DataFrame, adjusted: DataFrame, shape: Shape, n_variants: int) -> DataFrame:
     """Sums per (variant, batch) from calls in rows or in packed blocks.
 
     Variants are spread over ceil(n_variants / variant_width) blocks by hash, so no block is hot.
-    The sample side goes to every variant block, the calls to every pass (see ``Shape``). In rows a call that is not there has dosage zero, and a variant without calls among a
+    The sample side goes to every variant block, the calls to every pass (see ``Shape``). There is
+    about one task per tile, so that their number follows the data and not a session default. In rows a call that is not there has dosage zero, and a variant without calls among a
     batch's complete cases has no sums.
     """
     packed = "sample_block" in calls.columns
+    extent = adjusted.agg(F.countDistinct("batch_key").alias("batches"), F.countDistinct("sample_block").alias("blocks")).first()
     n_blocks = max(1, -(-n_variants // shape.variant_width))
-    n_passes = max(1, -(-n_batches * shape.n_sums // shape.columns_per_pass))
+    n_passes = max(1, -(-extent.batches * shape.n_sums // shape.columns_per_pass))
+    n_tasks = min(MAX_TILE_TASKS, max(2, n_blocks * n_passes * extent.blocks))
     m, width = shape.n_sums, shape.sample_width
     z_names, s_names = _names("z", shape), _names("s", shape)
     schema = T.StructType(
@@ -333,18 +337,20 @@ def contract(calls: DataFrame, adjusted: DataFrame, shape: Shape, n_variants: in
         }
         return pa.table(out)
 
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))) if n > 1 else F.lit(0)
-
     def hashed(n: int, *columns: str) -> Column:
-        return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int") if n > 1 else F.lit(0)
+        return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
+
+    def every(n: int, *columns: str) -> Column:
+        # With n = 1 also a computed zero: Spark loses a partitioning by literals.
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))) if n > 1 else hashed(1, *columns)
 
     place = ["sample_block"] if packed else _place(width)
     left = calls.select(
-        *CALL_KEYS, *place, "dosage", hashed(n_blocks, *CALL_KEYS).alias("variant_block"), every(n_passes).alias("pass")
+        *CALL_KEYS, *place, "dosage", hashed(n_blocks, *CALL_KEYS).alias("variant_block"), every(n_passes, *CALL_KEYS).alias("pass")
     )
-    right = adjusted.select("*", hashed(n_passes, "batch_key").alias("pass"), every(n_blocks).alias("variant_block"))
+    right = adjusted.select("*", hashed(n_passes, "batch_key").alias("pass"), every(n_blocks, "batch_key").alias("variant_block"))
     keys = ["variant_block", "sample_block", "pass"]
+    left, right = (side.repartition(n_tasks, *keys) for side in (left, right))
     partial = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(tile, schema)
     sums = partial.groupBy(*CALL_KEYS, "batch_key").agg(*[F.sum(n).alias(n) for n in ("gg", "n_bad", *s_names)])
     return sums if packed else sums.filter((F.col("gg") > 0) | (F.col("n_bad") > 0))
@@ -423,6 +429,6 @@ def associate(
     if n_variants is None:
         n_variants = calls.select(*CALL_KEYS).distinct().count()
     totals = keep(trait_totals(adjusted, solved, batches, shape), "totals")
-    sums = contract(calls, adjusted, shape, n_variants, solved.count())
+    sums = contract(calls, adjusted, shape, n_variants)
     return finish(sums, totals, shape)
 

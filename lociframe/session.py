@@ -8,6 +8,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Shuffles start with many partitions, which adaptive execution merges to the advised size; the
+# submit command may say otherwise.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
+
 
 def build_session(app: str = "lociframe", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is written for.
@@ -32,7 +40,12 @@ def build_session(app: str = "lociframe", master: str | None = None, **conf: str
         )
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not master:
+        for key, value in CLUSTER_DEFAULTS.items():
+            if spark.conf.get(key, None) is None:
+                spark.conf.set(key, value)
+    return spark
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -39,3 +39,10 @@ def test_only_the_contig_dimension_is_hinted(spark):
     root = pathlib.Path(entries.__file__).parent / "lociframe"
     hits = [p.name for p in root.rglob("*.py") if "broadcast(" in p.read_text()]
     assert hits == ["ingest.py"]
+
+
+def test_calls_are_shuffled_once_into_tiles(spark):
+    df = entries.queries()["gwas_sparse"](spark, FOLDER)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    tiles = [line for line in text.splitlines() if "Exchange hashpartitioning(variant_block" in line]
+    assert len(tiles) == 2 and all("REPARTITION_BY_NUM" in line for line in tiles)
