@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entries
 import check
+from lociframe.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,14 +15,15 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entries.queries()) == set(entries.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert set(registry.QUERIES) <= set(entries.queries())
 
 
 def test_entry(spark):
     assert entries.entry(spark).count() == 5 * 64
 
 
-@pytest.mark.parametrize("name", sorted(entries.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, con, name):
     text, _, _ = check.compare(spark, con, name, FOLDER)
     assert text.startswith("ok"), text
