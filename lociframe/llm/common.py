@@ -62,6 +62,21 @@ def grams(ids: np.ndarray, size: int) -> np.ndarray:
     return total
 
 
+_BASE = 0xD1342543DE82EF95
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def rolled(ids: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words at a cost that does not depend on ``size``."""
+    n = len(ids)
+    if n < size:
+        return np.empty(0, np.uint64)
+    power, inverse = np.full(n, _BASE, np.uint64), np.full(n, _INVERSE, np.uint64)
+    power[0] = inverse[0] = 1
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(ids * np.cumprod(power, dtype=np.uint64), dtype=np.uint64)])
+    return mixed((sums[size:] - sums[: n - size + 1]) * np.cumprod(inverse, dtype=np.uint64)[: n - size + 1])
+
+
 def shingles(ids: np.ndarray, size: int = 5) -> np.ndarray:
     """The set of runs of ``size`` words, sorted; a shorter text is one run; no word, no run."""
     return np.unique(grams(ids, min(size, len(ids)))) if len(ids) else np.empty(0, np.uint64)

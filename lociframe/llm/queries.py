@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.llm import embedding_dedup, exact_dedup, jaccard_join, mixing, quality_fm, sentencepiece_codec
+from lociframe.llm import chat_format, embedding_dedup, exact_dedup, jaccard_join, license_scan, lm_scoring, mixing, quality_fm, sentencepiece_codec, suffix_dedup
 from lociframe.llm.common import LOWER, UPPER
-from lociframe.plans.registry import Query
+from lociframe.plans.registry import Query, rounded
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +37,22 @@ def op1_entropy_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+@query(rf"""
+WITH words AS (
+  SELECT doc_id, {WORDS_SQL.format(text="coalesce(text, '')")} AS w FROM documents
+), windows AS (
+  SELECT doc_id, s, md5(array_to_string(w[s + 1:s + 50], ' ')) AS h FROM words, unnest(range(0, greatest(len(w) - 49, 0))) AS r(s)
+), repeats AS (
+  SELECT DISTINCT doc_id, s FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)
+), opened AS (
+  SELECT doc_id, s, CASE WHEN s - lag(s) OVER d > 50 THEN 1 ELSE 0 END AS o FROM repeats WINDOW d AS (PARTITION BY doc_id ORDER BY s)
+), runs AS (SELECT doc_id, s, sum(o) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM opened)
+SELECT doc_id, min(s)::BIGINT AS start_word, (max(s) - min(s) + 50)::BIGINT AS n_words FROM runs GROUP BY doc_id, run
+""")
+def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query(f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, {WORDS_SQL.format(text=LOWER_SQL)} AS w FROM documents
@@ -63,6 +79,30 @@ def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similar_groups(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@query(f"""
+WITH words AS (
+  SELECT doc_id, {WORDS_SQL.format(text=LOWER_SQL)} AS w FROM documents
+), grams AS MATERIALIZED (
+  SELECT doc_id, i, w[i] AS g1, CASE WHEN i > 1 THEN w[i - 1] END AS p1, CASE WHEN i > 2 THEN w[i - 2] END AS p2
+  FROM words, unnest(range(1, len(w) + 1)) AS r(i)
+), n1 AS (SELECT g1, count(*) AS c FROM grams GROUP BY 1),
+n2 AS (SELECT p1, g1, count(*) AS c FROM grams WHERE p1 IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1),
+n3 AS (SELECT p2, p1, g1, count(*) AS c FROM grams WHERE p2 IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) > 1),
+scored AS (
+  SELECT doc_id, CASE
+    WHEN t.c IS NOT NULL THEN ln(t.c::DOUBLE) - ln(u.c::DOUBLE)
+    WHEN b.c IS NOT NULL THEN ln(b.c::DOUBLE) - ln(x.c::DOUBLE) + CASE WHEN g.i > 2 THEN ln(0.4::DOUBLE) ELSE 0 END
+    ELSE ln(a.c::DOUBLE) - ln((SELECT count(*) FROM grams)::DOUBLE) + least(g.i - 1, 2) * ln(0.4::DOUBLE) END AS s
+  FROM grams g JOIN n1 a USING (g1) LEFT JOIN n1 x ON x.g1 = g.p1 LEFT JOIN n2 b ON b.p1 = g.p1 AND b.g1 = g.g1
+  LEFT JOIN n2 u ON u.p1 = g.p2 AND u.g1 = g.p1 LEFT JOIN n3 t ON t.p2 = g.p2 AND t.p1 = g.p1 AND t.g1 = g.g1
+), sums AS (SELECT doc_id, sum(s) AS s FROM scored GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, round(coalesce(s, 0.0), 5) + 0.0 AS log_score FROM words LEFT JOIN sums USING (doc_id)
+""")
+def op4_stupid_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    scored = lm_scoring.stupid_backoff(table(spark, folder, "documents"))
+    return scored.select(F.col("id").alias("doc_id"), "n_words", rounded("log_score", 5).alias("log_score"))
+
+
 @query("""
 WITH hashed AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
@@ -78,6 +118,17 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", keep.alias("keep_id"), size.alias("group_size"), F.col("doc_id").eqNullSafe(keep).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@query()
+def op6_chat_role_repair(spark: SparkSession, folder: str) -> DataFrame:
+    repaired = chat_format.repair(table(spark, folder, "conversations"))
+    return chat_format.render(repaired).withColumnRenamed("conv", "conv_id")
+
+
+@query()
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query()
 def op8_sentencepiece_dropout(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_codec.encode(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
