@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A word is a run of bytes other than space and the five ASCII control spaces, which is what
@@ -30,7 +31,7 @@ def binary(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
 class WordHashes(dict):
     """64-bit hash of each word; forgets its words when there are too many, the hashes stay the same."""
 
-    def __init__(self, most: int = 1_000_000):
+    def __init__(self, most: int = 250_000):
         super().__init__()
         self.most = most
 
@@ -86,6 +87,18 @@ def batches(columns: dict[str, Iterable], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
+@contextmanager
+def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Smaller Arrow batches for the jobs that run inside, whose rows are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def bitmap(members: DataFrame, key: Column, bits: int = BITMAP_BITS) -> DataFrame:
     """One bit per hash value of the members, in pages of 4 KB: at most ``bits / 8`` bytes, however many members."""
     slot = F.pmod(F.xxhash64(key), F.lit(bits)) + 1

@@ -22,14 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociframe.llm.common import WordHashes, batches, binary, shingles, with_ids, without_ids
+from lociframe.llm.common import WordHashes, batches, binary, rows_per_batch, shingles, with_ids, without_ids
 from lociframe.llm.components import components
 from lociframe.session import stage
 
 SIZE, PERCENT = 5, 80
 HOT = 64  # n-grams in more documents than this are skipped at the price of a longer prefix
 KNOWN = 1 << 18  # most frequent n-grams whose counts all tasks get: 4 MB at most; others count as rare
-CHUNK = 4_000_000  # n-grams counted at a time
+CHUNK = 2_000_000  # n-grams counted at a time
 MOST_MATCHES = 8
 
 
@@ -156,10 +156,11 @@ def _verified(percent: int):
 def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """Links among ``pairs`` (a, b; staged), from whole texts of the documents in a pair; staged."""
     wanted = stage(pairs.select("a").union(pairs.select("b")).distinct(), "join-wanted")
-    sets = stage(with_ids(docs, "id", wanted).mapInArrow(_sets(size), "id long, tokens binary"), "join-sets")
-    left, right = sets.toDF("a", "s"), sets.toDF("b", "t")
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t")
-    return stage(both.mapInArrow(_verified(percent), "a long, b long").distinct(), "join-links")
+    with rows_per_batch(docs.sparkSession, 1000):
+        sets = stage(with_ids(docs, "id", wanted).mapInArrow(_sets(size), "id long, tokens binary"), "join-sets")
+        left, right = sets.toDF("a", "s"), sets.toDF("b", "t")
+        both = pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t")
+        return stage(both.mapInArrow(_verified(percent), "a long, b long").distinct(), "join-links")
 
 
 def _alike(percent: int):
@@ -181,7 +182,8 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     An empty table gives no rows.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    sketch = stage(texts.mapInArrow(_sketch(size, percent), "kind byte, id long, n long, print binary, tokens binary, counts binary"), "join-sketch")
+    with rows_per_batch(docs.sparkSession, 2000):
+        sketch = stage(texts.mapInArrow(_sketch(size, percent), "kind byte, id long, n long, print binary, tokens binary, counts binary"), "join-sketch")
     rows = sketch.where("kind = 0").select("id", "n", "print", "tokens")
 
     # equal sets: the smallest id stands for all
@@ -189,7 +191,7 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     classes = stage(nodes.groupBy("n", "print").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1"), "join-classes")
     key = F.xxhash64("id", "print").alias("key")
     copies = stage(nodes.join(classes.select("n", "print", "first"), ["n", "print"]).where("id <> first").select(key), "join-copies")
-    heads = stage(without_ids(rows.where("n > 0 AND id IS NOT NULL").select("id", "n", "tokens", key), "key", copies).drop("key"), "join-heads")
+    heads = without_ids(rows.where("n > 0 AND id IS NOT NULL").select("id", "n", "tokens", key), "key", copies).drop("key")
 
     counts = sketch.where("kind = 1").select("tokens", "counts").mapInArrow(_unpack, "token long, n long")
     top = counts.groupBy("token").agg(F.sum("n").alias("n")).where("n >= 4").orderBy(F.desc("n"), "token").limit(KNOWN).toArrow()
@@ -201,7 +203,7 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     one = Window.partitionBy("token")
     first = F.min(F.struct("id", "n", "matches")).over(one)
     rare = listed.withColumns({"rows": F.count(F.lit(1)).over(one), "first": first}).where("rows > 1")
-    rare = stage(rare.select(F.lit(0).alias("kind"), "token", "id", "n", "matches", "first"), "join-rare")
+    rare = rare.select(F.lit(0).alias("kind"), "token", "id", "n", "matches", "first")
     often_listed = stage(heads.mapInArrow(_postings(known, often, percent, True), _LIST), "join-often")
     firsts = stage(often_listed.groupBy("token").agg(F.min(F.struct("id", "n", "matches")).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1"), "join-firsts")
     frequent = often_listed.join(firsts.select("token", "first"), "token")

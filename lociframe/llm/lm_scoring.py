@@ -3,7 +3,7 @@
 Documents are taken in blocks. Each block sends every distinct n-gram once, with its count in the block,
 to the part of the count table its hash belongs to; the parts add up and answer each block with the
 counts of its n-grams; blocks sum the scores of their documents. A frequent n-gram is one entry per
-block, so no part is hot, and sorted hashes travel packed, in 5 bytes each.
+block, so no part is hot, and sorted hashes travel packed, in less than 5 bytes each.
 """
 
 from __future__ import annotations
@@ -18,11 +18,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociframe.llm.common import WordHashes, batches, binary, mixed
+from lociframe.llm.common import WordHashes, batches, binary, mixed, rows_per_batch
 from lociframe.session import stage
 
 ORDER, LEAST, ALPHA = 3, 2, 0.4  # longest n-gram; least count of n-grams of two words and more; factor per backoff
-BLOCK = 1_500_000  # words of a block, about
+BLOCK = 2_500_000  # words of a block, about
 PART = 8 << 20  # bytes of text per part of the count table, about
 BITS = 56  # of an n-gram's hash
 
@@ -38,21 +38,16 @@ def _unplanes(data: bytes, n: int, width: int) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
-def _pack(keys: np.ndarray) -> tuple[bytes, int]:
-    """Sorted keys as steps of 5 bytes, or 8 if one needs it."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    low, first = steps.copy(), int(keys[0])
-    low[0] = 0
-    width = 5 if int(low.max()) < 1 << 40 else 8
-    return first.to_bytes(8, "little") + low.view(np.uint8).reshape(-1, 8)[:, :width].tobytes(), width
+def _pack(keys: np.ndarray) -> bytes:
+    """Sorted keys as the steps between them."""
+    steps = np.diff(keys, prepend=keys[:1])
+    width = (int(steps.max()).bit_length() + 7) // 8 or 1
+    return bytes([width]) + int(keys[0]).to_bytes(8, "little") + len(keys).to_bytes(8, "little") + _planes(steps, width)
 
 
-def _unpack(data: bytes, width: int) -> np.ndarray:
-    n = (len(data) - 8) // width
-    out = np.zeros((n, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8, offset=8).reshape(n, width)
-    steps = out.reshape(-1).view("<u8").astype(np.uint64)
-    return np.cumsum(steps, dtype=np.uint64) + np.uint64(int.from_bytes(data[:8], "little"))
+def _unpack(data: bytes) -> np.ndarray:
+    first, n = int.from_bytes(data[1:9], "little"), int.from_bytes(data[9:17], "little")
+    return np.cumsum(_unplanes(data[17:], n, data[0]), dtype=np.uint64) + np.uint64(first)
 
 
 def _ngrams(words: np.ndarray, places: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -68,52 +63,64 @@ def _ngrams(words: np.ndarray, places: np.ndarray, order: int) -> Iterator[tuple
         yield n, at, keys, index
 
 
-def _blocks(parts: int, order: int):
-    schema = pa.schema([("kind", pa.int8()), ("block", pa.string()), ("n", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("width", pa.int32()), ("counts", pa.binary()), ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("words", pa.int64())])
+_BLOCK = pa.schema([("block", pa.string()), ("data", pa.binary()), ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("words", pa.int64())])
+
+
+def _blocks(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents by about BLOCK words: their distinct words' hashes, frequent ones first, and the words as numbers of these."""
+    hashes, ids, texts, held, number = WordHashes(), [], [], 0, 0
+
+    def block() -> pa.RecordBatch:
+        words = np.concatenate(texts)
+        kinds, spelled, counts = np.unique(words, return_inverse=True, return_counts=True)
+        order = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(kinds), np.int64)
+        rank[order] = np.arange(len(kinds))
+        data = len(kinds).to_bytes(8, "little") + kinds[order].tobytes() + _planes(rank[spelled], 4)
+        return batches({"block": [f"{TaskContext.get().partitionId()}-{number}"], "data": [data], "ids": [ids], "lengths": [[len(t) for t in texts]], "words": [len(words)]}, _BLOCK)
+
+    for batch in stream:
+        for doc, text in zip(batch.column(0).to_pylist(), binary(batch, "text")):
+            words = hashes.of((text or b"").lower().split())
+            ids.append(doc)
+            texts.append(words)
+            held += len(words)
+            if held >= BLOCK:
+                yield block()
+                ids, texts, held, number = [], [], 0, number + 1
+    if ids:
+        yield block()
+
+
+def _words(data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of a block, and its place in its document."""
+    kinds, n = int.from_bytes(data[:8], "little"), int(lengths.sum())
+    words = np.frombuffer(data, np.uint64, kinds, 8)[_unplanes(data[8 + 8 * kinds :], n, 4).astype(np.int64)]
+    return words, np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+def _sent(parts: int, order: int):
+    """Distinct n-grams of each block by the part of the count table they belong to, with their counts."""
+    schema = pa.schema([("block", pa.string()), ("n", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
     shift = np.uint64(BITS - (parts.bit_length() - 1))
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, ids, texts, held, number = WordHashes(), [], [], 0, 0
-
-        def block() -> Iterator[pa.RecordBatch]:
-            name = f"{TaskContext.get().partitionId()}-{number}"
-            lengths = np.array([len(t) for t in texts], np.int64)
-            words = np.concatenate(texts)
-            kinds, spelled = np.unique(words, return_inverse=True)
-            data = len(kinds).to_bytes(8, "little") + kinds.tobytes() + _planes(spelled, 4)
-            empty = {f.name: [None] for f in schema}
-            yield batches(empty | {"kind": [0], "block": [name], "keys": [data], "ids": [ids], "lengths": [lengths], "words": [len(words)]}, schema)
-            places = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            for n, _, keys, index in _ngrams(words, places, order):
-                if not len(keys):
-                    continue
-                counts = np.bincount(index, minlength=len(keys))
-                part, start = np.unique((keys >> shift).astype(np.int64), return_index=True)
-                for p, i, j in zip(part, start, [*start[1:], len(keys)]):
-                    packed, width = _pack(keys[i:j])
-                    yield batches(empty | {"kind": [1], "block": [name], "n": [n], "part": [p], "keys": [packed], "width": [width], "counts": [_planes(counts[i:j].astype(np.uint64), 4)]}, schema)
-
         for batch in stream:
-            for doc, text in zip(batch.column(0).to_pylist(), binary(batch, "text")):
-                words = hashes.of((text or b"").lower().split())
-                ids.append(doc)
-                texts.append(words)
-                held += len(words)
-                if held >= BLOCK:
-                    yield from block()
-                    ids, texts, held, number = [], [], 0, number + 1
-        if ids:
-            yield from block()
+            for name, data, lengths in zip(batch.column(0).to_pylist(), binary(batch, "data"), batch.column(2)):
+                for n, _, keys, index in _ngrams(*_words(data, lengths.values.to_numpy().astype(np.int64)), order):
+                    if not len(keys):
+                        continue
+                    counts = np.bincount(index, minlength=len(keys)).astype(np.uint64)
+                    part, start = np.unique((keys >> shift).astype(np.int64), return_index=True)
+                    for p, i, j in zip(part, start, [*start[1:], len(keys)]):
+                        yield batches({"block": [name], "n": [n], "part": [p], "keys": [_pack(keys[i:j])], "counts": [_planes(counts[i:j], 4)]}, schema)
 
     return run
 
 
-_BLOCKS = "kind byte, block string, n int, part int, keys binary, width int, counts binary, ids array<long>, lengths array<int>, words long"
-
-
 def _added(least: int):
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        keys = [_unpack(k, w) for k, w in zip(frame["keys"], frame["width"])]
+        keys = [_unpack(k) for k in frame["keys"]]
         counts = [_unplanes(c, len(k), 4) for c, k in zip(frame["counts"], keys)]
         kinds, index = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(index, np.concatenate(counts).astype(float), len(kinds)).astype(np.int64)
@@ -127,11 +134,8 @@ def _added(least: int):
 def _scored(total: int, order: int, alpha: float):
     def score(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = blocks.iloc[0]
-        data, lengths = row["keys"], np.array(row["lengths"], np.int64)
-        kinds = int.from_bytes(data[:8], "little")
-        spelled = _unplanes(data[8 + 8 * kinds :], int(row["words"]), 4).astype(np.int64)
-        words = np.frombuffer(data, np.uint64, kinds, 8)[spelled]
-        places = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        lengths = np.array(row["lengths"], np.int64)
+        words, places = _words(row["data"], lengths)
         answers = answers.sort_values(["n", "part"])
         logs, shorter = np.zeros(len(words)), None
         for n, at, keys, index in _ngrams(words, places, order):
@@ -171,9 +175,9 @@ def stupid_backoff(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = 1 << max(3, (size // PART).bit_length())
-    rows = stage(texts.mapInArrow(_blocks(parts, order), _BLOCKS), "lm-blocks")
-    blocks = rows.where("kind = 0").select("block", "keys", "ids", "lengths", "words")
+    with rows_per_batch(docs.sparkSession, 2000):
+        blocks = stage(texts.mapInArrow(_blocks, "block string, data binary, ids array<long>, lengths array<int>, words long"), "lm-blocks")
     total = blocks.agg(F.sum("words")).first()[0] or 0
-    sent = rows.where("kind = 1").select("block", "n", "part", "keys", "width", "counts")
+    sent = blocks.select("block", "data", "lengths").mapInArrow(_sent(parts, order), "block string, n int, part int, keys binary, counts binary")
     answers = sent.groupBy("n", "part").applyInPandas(_added(least), "block string, n int, part int, size int, counts binary")
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_scored(total, order, alpha), "id long, n_words long, log_score double")
