@@ -5,8 +5,9 @@ n-grams within their L-prefixes, the first ``n - need + L`` of each. A document'
 estimated cost of its prefix: every frequent n-gram it meets lengthens the prefix by one and raises by
 one the number of matches asked for, so that the frequent ones need not be looked up at all, and the
 more rows its other n-grams are likely to meet, the more of those must match before a pair is verified.
-Documents that run out of infrequent n-grams (groups of many near copies) are joined among
-themselves on frequent ones. No pair is lost by any of this.
+The first look keeps the head of each set; documents that need longer prefixes are read again.
+Documents made of frequent n-grams (groups of many near copies) are joined among themselves on
+these. No pair is lost by any of this.
 
 Only components are wanted, so pairs within one component need no look: each n-gram's rows are first
 compared with one of them, and then only rows of different components are paired.
@@ -27,7 +28,7 @@ from lociframe.llm.components import components
 from lociframe.session import stage
 
 SIZE, PERCENT = 5, 80
-HOT = 64  # n-grams in more documents than this are skipped at the price of a longer prefix
+HOT = 16  # n-grams in more documents than this are skipped at the price of a longer prefix
 KNOWN = 1 << 18  # most frequent n-grams whose counts all tasks get: 4 MB at most; others count as rare
 CHUNK = 2_000_000  # n-grams counted at a time
 MOST_MATCHES = 8
@@ -39,7 +40,7 @@ def need(n, percent: int = PERCENT):
 
 
 def longest(n, percent: int = PERCENT):
-    """Largest L that documents of size ``n`` keep n-grams for."""
+    """Largest L that the first look keeps n-grams for; documents that need a larger one are read again."""
     return np.minimum(16 + n // 20, need(n, percent))
 
 
@@ -87,41 +88,88 @@ def _unpack(stream):
 _POSTING = pa.schema([("token", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("matches", pa.int64())])
 
 
-def _prefix(head: np.ndarray, n: int, known: np.ndarray, counts: np.ndarray, percent: int, saturated: bool):
-    """Tokens to look up and matches to ask for; ``saturated``: those of the join on frequent n-grams, or None."""
-    base = n - need(n, percent) + 1
-    df = np.ones(len(head), np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, head), len(known) - 1)
-        df = np.where(known[at] == head, counts[at], 1)
-    hot = df > HOT
-    allowed = int(longest(need(n, percent), percent))  # what the smallest partner has kept
-    cost = int((df[~hot] - 1).sum())
-    matches = min(2 + int(np.log2(1 + cost)), MOST_MATCHES, max(1, n // 5), allowed)
-    places = np.flatnonzero(~hot)
-    wanted = base - 1 + matches
-    fits = len(places) >= wanted and places[wanted - 1] + 1 - base + 1 <= allowed
-    if saturated:
-        return None if fits else (head[: base - 1 + allowed], allowed)
-    return (head[places[:wanted]], matches) if fits else (head[places], 1 << 30)
-
-
-def _postings(known: np.ndarray, counts: np.ndarray, percent: int, saturated: bool):
+class Prefixes:
+    """Which n-grams of a document are looked up, and how many of them have to match."""
+
+    def __init__(self, known: np.ndarray, counts: np.ndarray, percent: int):
+        self.known, self.counts, self.percent = known, counts, percent
+
+    def of(self, tokens: np.ndarray, n: int) -> tuple[np.ndarray, int] | None:
+        """From the first ``tokens`` of the ``n``; None if they hold too few infrequent ones."""
+        base = n - need(n, self.percent) + 1
+        df = self._frequency(tokens)
+        rare = np.flatnonzero(df <= HOT)
+        cost = int(df[rare].sum()) - len(rare)
+        matches = min(2 + int(np.log2(1 + cost)), MOST_MATCHES, max(1, n // 5))
+        wanted = base - 1 + matches
+        return (tokens[rare[:wanted]], matches) if len(rare) >= wanted else None
+
+    def rare(self, tokens: np.ndarray) -> np.ndarray:
+        return tokens[self._frequency(tokens) <= HOT]
+
+    def _frequency(self, tokens: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.ones(len(tokens), np.int64)
+        at = np.minimum(np.searchsorted(self.known, tokens), len(self.known) - 1)
+        return np.where(self.known[at] == tokens, self.counts[at], 1)
+
+
+def _rows(listed: list[tuple[int, int, np.ndarray, int]]) -> pa.RecordBatch:
+    tokens = [t for _, _, t, _ in listed] or [np.empty(0, np.uint64)]
+    repeat = lambda i: np.repeat(np.array([x[i] for x in listed], np.int64), [len(t) for t in tokens] if listed else [])
+    return batches({"token": np.concatenate(tokens).view(np.int64), "id": repeat(0), "n": repeat(1), "matches": repeat(3)}, _POSTING)
+
+
+def _listed(prefixes: Prefixes):
+    """Look-ups of the documents whose heads do (id, n, tokens)."""
+
     def run(stream):
         for batch in stream:
-            tokens, ids, sizes, matches = [], [], [], []
-            for doc, n, head in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), binary(batch, "tokens")):
-                kept = _prefix(np.frombuffer(head, np.uint64), n, known, counts, percent, saturated)
-                if kept is not None:
-                    tokens.append(kept[0])
-                    for column, value in ((ids, doc), (sizes, n), (matches, kept[1])):
-                        column.append(np.full(len(kept[0]), value, np.int64))
-            if tokens:
-                yield batches({"token": np.concatenate(tokens).view(np.int64), **{k: np.concatenate(v) for k, v in (("id", ids), ("n", sizes), ("matches", matches))}}, _POSTING)
+            found = ((doc, n, prefixes.of(np.frombuffer(t, np.uint64), n)) for doc, n, t in zip(*_columns(batch)))
+            yield _rows([(doc, n, *kept) for doc, n, kept in found if kept])
 
     return run
 
 
+def _unlisted(prefixes: Prefixes):
+    """Ids of the others."""
+    schema = pa.schema([("id", pa.int64())])
+
+    def run(stream):
+        for batch in stream:
+            yield batches({"id": [doc for doc, n, t in zip(*_columns(batch)) if not prefixes.of(np.frombuffer(t, np.uint64), n)]}, schema)
+
+    return run
+
+
+def _listed_whole(prefixes: Prefixes, often: bool):
+    """Look-ups of documents known whole (id, tokens): on infrequent n-grams or, ``often``, on any.
+
+    Documents with too few infrequent n-grams are looked up on all they have, so that others find them,
+    and on the plain prefix of all n-grams, so that they find each other.
+    """
+
+    def run(stream):
+        for batch in stream:
+            out = []
+            for doc, t in zip(batch.column(0).to_pylist(), binary(batch, "tokens")):
+                tokens = np.frombuffer(t, np.uint64)
+                n = len(tokens)
+                kept = prefixes.of(tokens, n)
+                if often and not kept:
+                    most = int(longest(n, prefixes.percent))
+                    out.append((doc, n, tokens[: n - need(n, prefixes.percent) + most], most))
+                elif not often:
+                    out.append((doc, n, *(kept or (prefixes.rare(tokens), 1 << 30))))
+            yield _rows(out)
+
+    return run
+
+
+def _columns(batch: pa.RecordBatch) -> tuple[list, list, list]:
+    return batch.column(0).to_pylist(), batch.column(1).to_pylist(), binary(batch, "tokens")
+
+
 _LIST = "token long, id long, n long, matches long"
 
 
@@ -199,12 +247,18 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     order = np.argsort(known)
     known, often = known[order], often[order]
 
-    listed = heads.mapInArrow(_postings(known, often, percent, False), _LIST)
+    prefixes = Prefixes(known, often, percent)
+
+    short = stage(heads.mapInArrow(_unlisted(prefixes), "id long").distinct(), "join-short")
+    with rows_per_batch(docs.sparkSession, 1000):
+        whole = with_ids(texts, "id", short).mapInArrow(_sets(size), "id long, tokens binary").where("octet_length(tokens) > 0")
+        whole = stage(whole.dropDuplicates(["id", "tokens"]), "join-whole")
+    listed = heads.mapInArrow(_listed(prefixes), _LIST).union(whole.mapInArrow(_listed_whole(prefixes, False), _LIST))
     one = Window.partitionBy("token")
     first = F.min(F.struct("id", "n", "matches")).over(one)
     rare = listed.withColumns({"rows": F.count(F.lit(1)).over(one), "first": first}).where("rows > 1")
     rare = rare.select(F.lit(0).alias("kind"), "token", "id", "n", "matches", "first")
-    often_listed = stage(heads.mapInArrow(_postings(known, often, percent, True), _LIST), "join-often")
+    often_listed = stage(whole.mapInArrow(_listed_whole(prefixes, True), _LIST), "join-often")
     firsts = stage(often_listed.groupBy("token").agg(F.min(F.struct("id", "n", "matches")).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1"), "join-firsts")
     frequent = often_listed.join(firsts.select("token", "first"), "token")
     lists = stage(rare.unionByName(frequent.withColumn("kind", F.lit(1))), "join-lists")
@@ -217,7 +271,7 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     roots = components(links)
 
     # what is left: rows of one n-gram in different components
-    home = stage(lists.select("kind", "token", "id", "n", "matches").join(roots, F.col("id") == F.col("node"), "left").withColumn("home", F.coalesce("root", "id")).drop("node", "root"), "join-homes")
+    home = lists.select("kind", "token", "id", "n", "matches").join(roots, F.col("id") == F.col("node"), "left").withColumn("home", F.coalesce("root", "id")).drop("node", "root")
     shares = home.groupBy("kind", "token", "home").agg(F.count(F.lit(1)).alias("rows"))
     main = shares.groupBy("kind", "token").agg(F.max_by("home", F.struct("rows", "home")).alias("main"), F.count(F.lit(1)).alias("homes")).where("homes > 1")
     main = stage(main.select("kind", "token", "main"), "join-main")
@@ -232,8 +286,8 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     if more.limit(1).count():
         roots = components(roots.toDF("b", "a").select("a", "b").union(more))
 
-    whole = rows.select("id", "n", "print").join(classes.drop("rows"), ["n", "print"], "left")
-    named = whole.withColumn("node", F.coalesce("first", "id")).join(roots.toDF("_node", "root"), F.col("node") == F.col("_node"), "left")
+    every = rows.select("id", "n", "print").join(classes.drop("rows"), ["n", "print"], "left")
+    named = every.withColumn("node", F.coalesce("first", "id")).join(roots.toDF("_node", "root"), F.col("node") == F.col("_node"), "left")
     return named.select("id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("component_id"))
 
 
