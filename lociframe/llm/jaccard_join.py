@@ -9,8 +9,10 @@ The first look keeps the head of each set; documents that need longer prefixes a
 Documents made of frequent n-grams (groups of many near copies) are joined among themselves on
 these. No pair is lost by any of this.
 
-Only components are wanted, so pairs within one component need no look: each n-gram's rows are first
-compared with one of them, and then only rows of different components are paired.
+Only components are wanted, so pairs within one component need no look: each n-gram's rows are
+compared with the most central of them, and then only rows of different components are paired. Pairs that
+share frequent n-grams alone cannot share more than the fewer of their frequent ones, which rules out
+most of those that are left.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ HOT = 16  # n-grams in more documents than this are skipped at the price of a lo
 KNOWN = 1 << 18  # most frequent n-grams whose counts all tasks get: 4 MB at most; others count as rare
 CHUNK = 2_000_000  # n-grams counted at a time
 MOST_MATCHES = 8
+ALL = 1 << 30  # matches asked for by a document that is looked up on all its infrequent n-grams: as many as its partner
 
 
 def need(n, percent: int = PERCENT):
@@ -85,7 +88,7 @@ def _unpack(stream):
             yield batches({"token": np.frombuffer(token, np.int64), "n": np.frombuffer(count, np.int64)}, schema)
 
 
-_POSTING = pa.schema([("token", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("matches", pa.int64())])
+_POSTING = pa.schema([("token", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("matches", pa.int64()), ("most", pa.int64())])
 
 
 class Prefixes:
@@ -114,10 +117,10 @@ class Prefixes:
         return np.where(self.known[at] == tokens, self.counts[at], 1)
 
 
-def _rows(listed: list[tuple[int, int, np.ndarray, int]]) -> pa.RecordBatch:
-    tokens = [t for _, _, t, _ in listed] or [np.empty(0, np.uint64)]
+def _rows(listed: list[tuple[int, int, np.ndarray, int, int]]) -> pa.RecordBatch:
+    tokens = [x[2] for x in listed] or [np.empty(0, np.uint64)]
     repeat = lambda i: np.repeat(np.array([x[i] for x in listed], np.int64), [len(t) for t in tokens] if listed else [])
-    return batches({"token": np.concatenate(tokens).view(np.int64), "id": repeat(0), "n": repeat(1), "matches": repeat(3)}, _POSTING)
+    return batches({"token": np.concatenate(tokens).view(np.int64), "id": repeat(0), "n": repeat(1), "matches": repeat(3), "most": repeat(4)}, _POSTING)
 
 
 def _listed(prefixes: Prefixes):
@@ -126,7 +129,7 @@ def _listed(prefixes: Prefixes):
     def run(stream):
         for batch in stream:
             found = ((doc, n, prefixes.of(np.frombuffer(t, np.uint64), n)) for doc, n, t in zip(*_columns(batch)))
-            yield _rows([(doc, n, *kept) for doc, n, kept in found if kept])
+            yield _rows([(doc, n, *kept, n) for doc, n, kept in found if kept])
 
     return run
 
@@ -157,10 +160,11 @@ def _listed_whole(prefixes: Prefixes, often: bool):
                 n = len(tokens)
                 kept = prefixes.of(tokens, n)
                 if often and not kept:
-                    most = int(longest(n, prefixes.percent))
-                    out.append((doc, n, tokens[: n - need(n, prefixes.percent) + most], most))
+                    most = int(min(MOST_MATCHES, need(n, prefixes.percent)))
+                    common = n - len(prefixes.rare(tokens))
+                    out.append((doc, n, tokens[: n - need(n, prefixes.percent) + most], most, common))
                 elif not often:
-                    out.append((doc, n, *(kept or (prefixes.rare(tokens), 1 << 30))))
+                    out.append((doc, n, *(kept or (prefixes.rare(tokens), ALL)), n))
             yield _rows(out)
 
     return run
@@ -170,7 +174,7 @@ def _columns(batch: pa.RecordBatch) -> tuple[list, list, list]:
     return batch.column(0).to_pylist(), batch.column(1).to_pylist(), binary(batch, "tokens")
 
 
-_LIST = "token long, id long, n long, matches long"
+_LIST = "token long, id long, n long, matches long, most long"
 
 
 def _sets(size: int):
@@ -211,13 +215,21 @@ def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataF
         return stage(both.mapInArrow(_verified(percent), "a long, b long").distinct(), "join-links")
 
 
-def _alike(percent: int):
-    return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+def _may_link(percent: int):
+    """Whether the most that a pair can share would do: all of the smaller set, or all of its frequent n-grams."""
+    return F.least("most_a", "most_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+
+
+def _pairs(met: DataFrame, percent: int) -> DataFrame:
+    """(kind, a, b, ask) of met rows that may link. Two documents that both ask for ALL share any number."""
+    least = F.least("matches_a", "matches_b")
+    ask = F.when(least == ALL, 1).otherwise(least).alias("ask")
+    return met.where(_may_link(percent)).select("kind", F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), ask)
 
 
 def _enough(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b, matches asked for, one row per shared n-gram) that share what is asked for."""
-    counted = pairs.groupBy("a", "b", "ask").agg(F.count(F.lit(1)).alias("shared"))
+    """Pairs (kind, a, b, matches asked for; one row per shared n-gram) that share what is asked for."""
+    counted = pairs.groupBy("kind", "a", "b", "ask").agg(F.count(F.lit(1)).alias("shared"))
     return counted.where("shared >= ask").select("a", "b").distinct()
 
 
@@ -255,33 +267,32 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
         whole = stage(whole.dropDuplicates(["id", "tokens"]), "join-whole")
     listed = heads.mapInArrow(_listed(prefixes), _LIST).union(whole.mapInArrow(_listed_whole(prefixes, False), _LIST))
     one = Window.partitionBy("token")
-    first = F.min(F.struct("id", "n", "matches")).over(one)
-    rare = listed.withColumns({"rows": F.count(F.lit(1)).over(one), "first": first}).where("rows > 1")
-    rare = rare.select(F.lit(0).alias("kind"), "token", "id", "n", "matches", "first")
+    rare = listed.withColumn("rows", F.count(F.lit(1)).over(one)).where("rows > 1").drop("rows")
     often_listed = stage(whole.mapInArrow(_listed_whole(prefixes, True), _LIST), "join-often")
-    firsts = stage(often_listed.groupBy("token").agg(F.min(F.struct("id", "n", "matches")).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1"), "join-firsts")
-    frequent = often_listed.join(firsts.select("token", "first"), "token")
-    lists = stage(rare.unionByName(frequent.withColumn("kind", F.lit(1))), "join-lists")
-
-    star = lists.where("id <> first.id").select(
-        F.col("first.id").alias("a"), F.col("id").alias("b"), F.col("first.n").alias("n_a"), F.col("n").alias("n_b"), F.least("matches", "first.matches").alias("ask")
-    )
-    star = stage(_enough(star.where(_alike(percent))), "join-star")
+    shared = often_listed.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    frequent = often_listed.join(shared.select("token"), "token", "left_semi")
+    rows_of = stage(rare.withColumn("kind", F.lit(0)).unionByName(frequent.withColumn("kind", F.lit(1))), "join-lists")
+
+    # rows of one n-gram against the most central of them
+    key, fields = ["kind", "token"], ["id", "n", "matches", "most"]
+    side = lambda df, name, *more: df.select(*key, *more, *[F.col(c).alias(f"{c}_{name}") for c in fields])
+    central = rows_of.groupBy(*key).agg(F.max_by(F.struct(*fields), F.struct("most", -F.col("id"))).alias("first"))
+    central = stage(central.select(*key, "first.*"), "join-central")
+    met = side(rows_of, "a").join(side(central, "b"), key).where("id_a <> id_b")
+    star = stage(_enough(_pairs(met, percent)), "join-star")
     links = _verify(texts, star, size, percent)
     roots = components(links)
+    home = rows_of.join(roots, F.col("id") == F.col("node"), "left").select(*key, *fields, F.coalesce("root", "id").alias("home"))
+    shares = home.groupBy(*key, "home").agg(F.count(F.lit(1)).alias("rows"))
+    main = shares.groupBy(*key).agg(F.max_by("home", F.struct("rows", "home")).alias("main"), F.count(F.lit(1)).alias("homes"))
+    left = stage(home.join(main.where("homes > 1").select(*key, "main"), key), "join-left")
 
     # what is left: rows of one n-gram in different components
-    home = lists.select("kind", "token", "id", "n", "matches").join(roots, F.col("id") == F.col("node"), "left").withColumn("home", F.coalesce("root", "id")).drop("node", "root")
-    shares = home.groupBy("kind", "token", "home").agg(F.count(F.lit(1)).alias("rows"))
-    main = shares.groupBy("kind", "token").agg(F.max_by("home", F.struct("rows", "home")).alias("main"), F.count(F.lit(1)).alias("homes")).where("homes > 1")
-    main = stage(main.select("kind", "token", "main"), "join-main")
-    mixed = stage(home.join(main, ["kind", "token"]), "join-mixed")
-    left = mixed.where("home <> main").select("kind", "token", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "matches", "home")])
-    right = mixed.select("kind", "token", "main", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "matches", "home")])
+    strays = side(left.where("home <> main"), "a", F.col("home").alias("home_a"))
+    other = side(left, "b", "main", F.col("home").alias("home_b"))
     apart = (F.col("home_a") != F.col("home_b")) & ((F.col("home_b") == F.col("main")) | (F.col("id_a") < F.col("id_b")))
-    across = left.join(right, ["kind", "token"]).where(apart & _alike(percent) & (F.col("id_a") != F.col("id_b")))
-    across = across.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), F.least("matches_a", "matches_b").alias("ask"), "kind")
-    across = stage(_enough(across.where("kind = 0")).union(_enough(across.where("kind = 1"))).distinct().join(star, ["a", "b"], "left_anti"), "join-across")
+    across = _pairs(strays.join(other, key).where(apart), percent)
+    across = stage(_enough(across).join(star, ["a", "b"], "left_anti"), "join-across")
     more = _verify(texts, across, size, percent)
     if more.limit(1).count():
         roots = components(roots.toDF("b", "a").select("a", "b").union(more))
