@@ -22,9 +22,9 @@ from lociframe.llm.common import WordHashes, batches, binary, mixed, rows_per_ba
 from lociframe.session import stage
 
 ORDER, LEAST, ALPHA = 3, 2, 0.4  # longest n-gram; least count of n-grams of two words and more; factor per backoff
-BLOCK = 1_200_000  # words of a block, about
+BLOCK = 1_800_000  # words of a block, about
 PART = 8 << 20  # bytes of text per part of the count table, about
-SPARE = 22  # bits of an n-gram's hash beyond those that number all n-grams: one in 2**SPARE meets another
+SPARE = 20  # bits of an n-gram's hash beyond those that number all n-grams: one in 2**SPARE meets another
 
 
 def _planes(x: np.ndarray, width: int) -> bytes:
