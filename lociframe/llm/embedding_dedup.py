@@ -247,7 +247,7 @@ def forest_links(vectors: DataFrame, spots: DataFrame, cosine: float = COSINE, t
         routed = cells.join(cuts, "cell").select("id", "cell", "vec", "cuts").mapInArrow(_routed, "id long, cell string, vec binary")
         before = large.select(F.col("cell").alias("parent"), F.col("rows").alias("whole"))
         cells = stage(routed, "forest-cells")
-        now = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("rows")).withColumn("parent", F.substring_index("cell", ".", F.size(F.split("cell", r"\.")) - 1))
+        now = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("rows")).withColumn("parent", F.regexp_replace("cell", r"\.[^.]*$", ""))
         stuck = stage(now.join(before, "parent").where("rows > 0.9 * whole").select("cell"), "forest-stuck")
     named = done.join(spots.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("id", "cell", "vec", "spot")
     pairs = named.groupBy("cell").applyInPandas(_compared(cosine), "a long, b long")

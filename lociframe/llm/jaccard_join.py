@@ -298,7 +298,7 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
         roots = components(roots.toDF("b", "a").select("a", "b").union(more))
 
     every = rows.select("id", "n", "print").join(classes.drop("rows"), ["n", "print"], "left")
-    named = every.withColumn("node", F.coalesce("first", "id")).join(roots.toDF("_node", "root"), F.col("node") == F.col("_node"), "left")
+    named = every.withColumn("node", F.when(F.col("id").isNotNull(), F.coalesce("first", "id"))).join(roots.toDF("_node", "root"), F.col("node") == F.col("_node"), "left")
     return named.select("id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("component_id"))
 
 

@@ -20,7 +20,7 @@ BINS = 12  # per structure statistic
 FACTORS = 8
 TRAIN_ROWS = 24_000  # labelled rows the model is fitted on, at most about; chosen by a hash of the id
 SHARDS = 8  # parts of them that are fitted side by side and averaged after each round
-ROUNDS, EPOCHS, BATCH = 4, 2, 128
+ROUNDS, EPOCHS, STEPS, BATCH = 4, 2, 64, 128
 RATE, DECAY = 0.1, 1e-4
 THRESHOLD = 0.3
 FOLDS = 5
@@ -127,13 +127,15 @@ def _starts(rows: list[np.ndarray]) -> np.ndarray:
 
 
 def _fit(model: Model, slots: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray, seed: int) -> Model:
-    """Some epochs of stochastic gradients with per-weight step sizes."""
+    """Stochastic gradients with per-weight step sizes: EPOCHS, or as many as make STEPS steps."""
     rng = np.random.default_rng(seed)
+    size = max(4, min(BATCH, len(labels) // 16))
+    epochs = max(EPOCHS, -(-STEPS * size // len(labels)))
     seen_w, seen_v = np.full(FEATURES, 1e-3), np.full((FEATURES, FACTORS), 1e-3)
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         order = rng.permutation(len(labels))
-        for at in range(0, len(order), BATCH):
-            rows = order[at : at + BATCH]
+        for at in range(0, len(order), size):
+            rows = order[at : at + size]
             s, x = np.concatenate([slots[i] for i in rows]), np.concatenate([values[i] for i in rows])
             lengths = [len(slots[i]) for i in rows]
             margin, sums = model.margins(s, x, _starts([slots[i] for i in rows]))
