@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -12,17 +13,26 @@ OWN_FILE = r"ukb_chr(\d+)_(\d+)_(.*).parquet"
 OWN_FILE_ALL_CONTIGS = r"ukb_chr([0-9]+|X|XY)_(\d+)_(.*).parquet"
 
 
+_FIELD = re.compile(r"(\d+)-(\d+)\.(\d+)")  # field, instance and array of a participant column
+_COLUMN = re.compile(r"x(\d+)_(\d+)_(\d+)")
+
+
 def participant_field(name: str, id_column: str = "eid") -> str:
-    """``31-0.0`` -> ``x31_0_0``; the id column keeps its name."""
+    """``31-0.0`` -> ``x31_0_0``; the id column keeps its name, any other name is an error."""
     if name == id_column:
-        return name
-    return "x" + name.replace("-", "_").replace(".", "_")
+        return id_column
+    parts = _FIELD.fullmatch(name)
+    if not parts:
+        raise ValueError(f"{name!r} is not of the form field-instance.array")
+    return "x{}_{}_{}".format(*parts.groups())
 
 
-def participant_header(field: str) -> str:
+def participant_header(column: str) -> str:
     """The inverse of ``participant_field`` for ``x{field}_{instance}_{array}``."""
-    head, instance, array = field[1:].rsplit("_", 2)
-    return f"{head}-{instance}.{array}"
+    parts = _COLUMN.fullmatch(column)
+    if not parts:
+        raise ValueError(f"{column!r} is not a participant column")
+    return "{}-{}.{}".format(*parts.groups())
 
 
 def id_group(c: Column) -> Column:

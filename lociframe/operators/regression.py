@@ -15,7 +15,7 @@ samples: g.g, g.q and g.y. The steps are:
 
 Samples are cut into blocks of fixed width and variants into blocks by hash, so every group handed
 to Python is bounded by the block widths, whatever the size of the cohort. The calls are shuffled
-once and never multiplied by the number of batches; summing them with one built-in aggregate per
+once per pass of about ``columns_per_pass`` columns, not once per batch; summing them with one built-in aggregate per
 (batch, column) instead was measured at a tenth of the speed.
 """
 
@@ -28,6 +28,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,7 +44,6 @@ SAMPLE_WIDTH = 4096
 RANK_TOLERANCE = 1e-10
 MONOMORPHIC_TOLERANCE = 1e-12
 FILL_FOR_PRODUCT = 0.05
-MAX_TILE_TASKS = 50_000
 
 
 @dataclass(frozen=True)
@@ -226,6 +226,7 @@ def pack_blocks(calls: DataFrame, width: int = SAMPLE_WIDTH) -> DataFrame:
     def pack(block: pa.Array) -> pa.Array:
         lengths = np.diff(block.offsets.to_numpy())
         flat = block.flatten()
+        _require_single(np.repeat(np.arange(len(lengths)), lengths) * width + flat.field("pos").to_numpy())
         dense = np.full((len(lengths), width), np.nan, dtype="<f4")
         dense[np.repeat(np.arange(len(lengths)), lengths), flat.field("pos").to_numpy()] = _numbers(flat.field("dosage"))
         return pa.array([row.tobytes() for row in dense], pa.binary())
@@ -235,6 +236,12 @@ def pack_blocks(calls: DataFrame, width: int = SAMPLE_WIDTH) -> DataFrame:
     return blocks.select(*CALL_KEYS, "sample_block", pack("block").alias("dosage"))
 
 
+def _require_single(places: np.ndarray) -> None:
+    """A variant and sample with two calls is an error, whichever way the calls are added."""
+    if len(np.unique(places)) != len(places):
+        raise ValueError("a variant has more than one call of a sample")
+
+
 def _numbers(values: pa.Array) -> np.ndarray:
     """Doubles with NaN for NULL."""
     return values.cast(pa.float64()).to_numpy(zero_copy_only=False)
@@ -244,6 +251,8 @@ def _dense_sums(calls: pa.Table, columns: np.ndarray, member: np.ndarray) -> tup
     """Variants of a tile of packed blocks; their sums over samples of g x columns, g^2 and missing g."""
     width = len(columns)
     n, blocks = calls.num_rows, calls["dosage"].combine_chunks()
+    if (np.asarray(pc.binary_length(blocks)) != 4 * width).any():
+        raise ValueError(f"packed blocks are not {width} samples wide: pack and run with the same sample_width")
     sums, gg, n_bad = np.zeros((n, columns.shape[1])), np.zeros((n, member.shape[1])), np.zeros((n, member.shape[1]))
     for at in range(0, n, 512):  # doubles of some rows at a time
         part = slice(at, min(at + 512, n))
@@ -268,6 +277,7 @@ def _sparse_sums(calls: pa.Table, columns: np.ndarray, member: np.ndarray) -> tu
     g = _numbers(calls["dosage"].combine_chunks())[order]
     bad = ~np.isfinite(g)
     g = np.where(bad, 0.0, g)
+    _require_single(row * len(columns) + pos)
     variants = calls.select(CALL_KEYS).take(pa.array(first))
     if len(row) > FILL_FOR_PRODUCT * len(first) * len(columns):
         tile, missing = np.zeros((2, len(first), len(columns)))
@@ -299,7 +309,7 @@ def contract(calls: DataFrame, adjusted: DataFrame, shape: Shape, n_variants: in
     extent = adjusted.agg(F.countDistinct("batch_key").alias("batches"), F.countDistinct("sample_block").alias("blocks")).first()
     n_blocks = max(1, -(-n_variants // shape.variant_width))
     n_passes = max(1, -(-extent.batches * shape.n_sums // shape.columns_per_pass))
-    n_tasks = min(MAX_TILE_TASKS, max(2, n_blocks * n_passes * extent.blocks))
+    n_tasks = max(2, n_blocks * n_passes * extent.blocks)
     m, width = shape.n_sums, shape.sample_width
     z_names, s_names = _names("z", shape), _names("s", shape)
     schema = T.StructType(

@@ -177,7 +177,7 @@ SPARSE_COUNTS_SQL = """counts AS (SELECT variant_index, count(*) FILTER (g = 1)
 
 # Trait groups that event types stand for.
 TRAIT_GROUPS = {"click": 50, "error": 1990, "purchase": 20095, "signup": 23098, "view": 41210}
-N_PERIODS = 5
+N_PERIODS = 6  # of six days; the last holds day 31
 TRAIT_IDS = sorted(f"{g}_{p}" for g in TRAIT_GROUPS.values() for p in range(N_PERIODS))
 
 _TRAIT_ID = (

@@ -17,11 +17,11 @@ def contigs(spark: SparkSession, imputed: bool = True) -> DataFrame:
 
 
 def _row_index(df: DataFrame, name: str) -> DataFrame:
-    """0-based position of each row of one file.
+    """0-based position of each row over all files, in the order of their names.
 
-    The reader keeps file order within a split, and ``_metadata`` says where the split starts. So
-    rows are numbered inside each split and shifted by the sizes of the splits before it; only the
-    short list of splits is ordered as a whole.
+    The reader keeps file order within a split, ``_metadata`` says where the split starts, and the
+    row ids of a split follow each other. So a row's place is its id less the first id of its
+    split, plus the rows of the splits before; only the short list of splits is ordered.
     """
     split = df.select(
         "*",
@@ -29,15 +29,13 @@ def _row_index(df: DataFrame, name: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_seen"),
     )
-    before = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = split.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select("_file", "_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy("_file", "_start").orderBy("_seen"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = split.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_seen").alias("_first"))
+    offsets = sizes.select("_file", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     return (
-        split.withColumn("_rank", inside)
-        .join(offsets, ["_file", "_start"])
-        .withColumn(name, (F.col("_offset") + F.col("_rank") - 1).cast("long"))
-        .drop("_file", "_start", "_seen", "_rank", "_offset")
+        split.join(offsets, ["_file", "_start"])
+        .withColumn(name, (F.col("_offset") + F.col("_seen") - F.col("_first")).cast("long"))
+        .drop("_file", "_start", "_seen", "_first", "_offset")
     )
 
 
@@ -52,7 +50,7 @@ def read_variant_info(spark: SparkSession, path: str, with_index: bool = False)
 def read_sample_file(spark: SparkSession, path: str, with_index: bool = False) -> DataFrame:
     """Space-separated sample file: the name row is the header, the type row (sex ``D``) is dropped."""
     df = spark.read.csv(path, sep=" ", header=True, schema=schema.SAMPLE_FILE, enforceSchema=True)
-    df = df.filter(F.col("sex") != "D")
+    df = df.filter(~F.col("sex").eqNullSafe("D"))  # a sample without sex keeps its place
     if with_index:
         df = _row_index(df, "index")
     ids = [F.col("id1").cast("int").alias("id"), F.col("sex").cast("short").alias("sex")]
