@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import heapq
-import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -21,9 +21,17 @@ VARIANTS = 4  # segmentations of a chunk that a seed can give
 REMEMBERED = 400_000  # segmentations a task keeps
 LONGEST = 32  # characters of the chunks it keeps
 SPACE = "▁"
+GROUP = 200_000  # chunks looked up at a time, about
+TOGETHER = 4096  # chunks segmented at a time
+GONE, OTHER = 0, 1  # symbols: merged into the one before; a letter of no piece
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
+def _found(sorted_keys: np.ndarray, values: np.ndarray, keys: np.ndarray, default: int) -> np.ndarray:
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return np.where(sorted_keys[at] == keys, values[at], default)
+
+
 class Codec:
     """Pieces of a SentencePiece BPE model, its merges, and both directions.
 
@@ -47,13 +55,32 @@ class Codec:
             raise ValueError("the model has pieces over word borders")
         self.bytes = {i: piece.replace(SPACE, " ").encode() for piece, i in self.ids.items()} | {i: bytes([b]) for b, i in self.byte_ids.items()}
         self.limit, self.seed = int(dropout * (1 << 32)), seed
-        self.known: dict[tuple[str, int], list[int]] = {}
+        self.known: dict[tuple[str, int], list[int]] = {("", 0): [self.byte_ids[b] for b in SPACE.encode()]}
+        self._number()
+
+    def _number(self) -> None:
+        """Pieces and letters as numbers, and which pairs of them merge into which, for many chunks at a time."""
+        names = list(self.ids)
+        names += sorted({letter for piece in names for letter in piece} - self.ids.keys())
+        number = {name: i + 2 for i, name in enumerate(names)}
+        self.n_symbols = len(names) + 2
+        self.piece_ids = np.array([-1, -1] + [self.ids.get(name, -1) for name in names])
+        self.symbol_ranks = np.array([np.inf, np.inf] + [self.ranks.get(name, np.inf) for name in names])
+        letters = sorted(name for name in names if len(name) == 1)
+        self.letters = np.array([ord(x) for x in letters], np.uint32)
+        self.letter_symbols = np.array([number[x] for x in letters])
+        cuts = ((piece[:i], piece[i:], piece) for piece in self.ids for i in range(1, len(piece)))
+        pairs = sorted((number[a] * self.n_symbols + number[b], number[c]) for a, b, c in cuts if a in number and b in number)
+        self.pairs, self.pair_symbols = np.array([p for p, _ in pairs]), np.array([c for _, c in pairs])
 
     def _spelled(self, symbol: str) -> list[int]:
         return [self.ids[symbol]] if symbol in self.ids else [self.byte_ids[b] for b in symbol.encode()]
 
-    def _dropped(self, key: int, start: int, left: int, size: int) -> bool:
-        """Whether the merge of ``size`` characters at ``start``, ``left`` of them in the first piece, is skipped."""
+    def _dropped(self, key, start, left, size):
+        """Whether the merge of ``size`` characters at ``start``, ``left`` of them in the first piece, is skipped.
+
+        Takes numbers or arrays of unsigned 64-bit numbers.
+        """
         draw = (key ^ (start * 0x9E3779B97F4A7C15) ^ (size * 0xC2B2AE3D27D4EB4F) ^ (left * 0x165667B19E3779F9)) & MASK
         draw = (draw ^ (draw >> 29)) * 0xBF58476D1CE4E5B9 & MASK
         return (draw ^ (draw >> 32)) & 0xFFFFFFFF < self.limit
@@ -62,33 +89,8 @@ class Codec:
         return xxhash.xxh64_intdigest(chunk.encode(), (self.seed * VARIANTS + variant) & MASK) if self.limit else 0
 
     def segment(self, chunk: str, variant: int = 0) -> list[str]:
-        """Pieces of a chunk after all merges but the dropped ones."""
-        return (self._segment_short if len(chunk) <= LONGEST else self._segment_long)(chunk, self._key(chunk, variant))
-
-    def _segment_short(self, chunk: str, key: int) -> list[str]:
-        """The agenda as a list, which is quicker for words: ranks of the merges between neighbours."""
-        get, none, limit = self.ranks.get, math.inf, self.limit
-        symbols, starts = list(chunk), list(range(len(chunk)))
-        ranks = [get(a + b, none) for a, b in zip(symbols, symbols[1:])]
-        while ranks:
-            best = min(ranks)
-            if best == none:
-                break
-            i = ranks.index(best)
-            left = len(symbols[i])
-            if limit and self._dropped(key, starts[i], left, left + len(symbols[i + 1])):
-                ranks[i] = none
-                continue
-            symbols[i] += symbols.pop(i + 1)
-            del starts[i + 1], ranks[i]
-            if i < len(ranks):
-                ranks[i] = get(symbols[i] + symbols[i + 1], none)
-            if i:
-                ranks[i - 1] = get(symbols[i - 1] + symbols[i], none)
-        return symbols
-
-    def _segment_long(self, chunk: str, key: int) -> list[str]:
-        """The agenda as a heap, for chunks of any length."""
+        """Pieces of a chunk of any length after all merges but the dropped ones; the agenda is a heap."""
+        key = self._key(chunk, variant)
         symbols: list[str | None] = list(chunk)
         after, before = list(range(1, len(chunk) + 1)), list(range(-1, len(chunk) - 1))
         agenda: list[tuple[float, int, int, int]] = []
@@ -115,35 +117,99 @@ class Codec:
                 propose(before[i], i)
         return [s for s in symbols if s is not None]
 
-    def _chunk_ids(self, chunk: str, variant: int) -> list[int]:
-        ids = self.known.get((chunk, variant))
-        if ids is None:
-            ids = [i for piece in self.segment(chunk, variant) for i in self._spelled(piece)]
-            if len(chunk) <= LONGEST:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[chunk, variant] = ids
-        return ids
+    def _spelled_all(self, pieces: list[str]) -> list[int]:
+        return [i for piece in pieces for i in self._spelled(piece)]
+
+    def _remember(self, wanted: list[tuple[str, int]]) -> None:
+        """Segment chunks of up to LONGEST characters together: each step takes the best merge of every chunk."""
+        wanted.sort(key=lambda k: len(k[0]))
+        for at in range(0, len(wanted), TOGETHER):
+            part = wanted[at : at + TOGETHER]
+            sizes = np.array([len(chunk) for chunk, _ in part])
+            keys = np.array([self._key(*k) for k in part], np.uint64)
+            symbols = self._merged(part, sizes, keys)
+            ids, here = self.piece_ids[symbols], symbols != GONE
+            ends, flat = np.cumsum(here.sum(1)).tolist(), ids[here].tolist()
+            for k, start, end in zip(part, [0, *ends], ends):
+                self.known[k] = flat[start:end]
+            for row in np.flatnonzero((here & (ids < 0)).any(1)):
+                chunk, places = part[row][0], [*np.flatnonzero(here[row]).tolist(), None]
+                self.known[part[row]] = self._spelled_all([chunk[i:j] for i, j in zip(places, places[1:])])
+
+    def _merged(self, part: list[tuple[str, int]], sizes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Symbols of each chunk at the places where they start; GONE elsewhere."""
+        n, width = len(part), int(sizes.max()) + 1
+        letters = np.frombuffer("".join([chunk for chunk, _ in part]).encode("utf-32-le"), np.uint32)
+        symbols = np.full((n, width), GONE, np.int32)
+        symbols[np.arange(width) < sizes[:, None]] = _found(self.letters, self.letter_symbols, letters, OTHER)
+        after = np.tile(np.arange(1, width + 1), (n, 1))
+        before = after - 2
+        ranks = np.full((n, width), np.inf)
+        ranks[:, :-1] = self._pair_ranks(symbols[:, :-1], symbols[:, 1:])
+        rows = np.arange(n)
+        while len(rows):
+            best = ranks[rows].argmin(1)
+            some = ranks[rows, best] < np.inf
+            rows, best = rows[some], best[some]
+            second = after[rows, best]
+            third = after[rows, second]
+            if self.limit:
+                gone = self._dropped(keys[rows], best.astype(np.uint64), (second - best).astype(np.uint64), (third - best).astype(np.uint64))
+                ranks[rows[gone], best[gone]] = np.inf
+                took, best, second, third = rows[~gone], best[~gone], second[~gone], third[~gone]
+            else:
+                took = rows
+            merged = _found(self.pairs, self.pair_symbols, symbols[took, best].astype(np.int64) * self.n_symbols + symbols[took, second], OTHER)
+            symbols[took, best], symbols[took, second] = merged, GONE
+            after[took, best], ranks[took, second] = third, np.inf
+            inner = third < width
+            before[took[inner], third[inner]] = best[inner]
+            right = np.where(inner, symbols[took, np.minimum(third, width - 1)], GONE)
+            ranks[took, best] = self._pair_ranks(merged, right)
+            left = before[took, best]
+            has = left >= 0
+            ranks[took[has], left[has]] = self._pair_ranks(symbols[took[has], left[has]], merged[has])
+        return symbols
+
+    def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return self.symbol_ranks[_found(self.pairs, self.pair_symbols, left.astype(np.int64) * self.n_symbols + right, OTHER)]
+
+    def _chunks(self, text: str, key: int) -> list[tuple[str, int]]:
+        """Chunks of a text and their variants, chosen by ``key`` and place; an empty chunk is a mark of the text's own."""
+        chunks: list[str] = []
+        for n, part in enumerate(text.split(SPACE) if text else []):
+            chunks += [""] * (n > 0) + _CHUNK.findall((part if n else " " + part).replace(" ", SPACE))
+        if not self.limit:
+            return [(chunk, 0) for chunk in chunks]
+        factors = np.cumprod(np.full(len(chunks), 6364136223846793005, np.uint64), dtype=np.uint64)
+        sums = np.cumsum(np.concatenate([np.ones(1, np.uint64), factors])[: len(chunks)], dtype=np.uint64)
+        places = factors * np.uint64((key * 0x9E3779B97F4A7C15 ^ self.seed) & MASK) + sums * np.uint64(1442695040888963407)
+        return [(chunk, v if chunk else 0) for chunk, v in zip(chunks, (places >> np.uint64(62)).tolist())]  # one of VARIANTS
+
+    def encode_all(self, texts: list[str | None], keys: list[int]) -> Iterator[list[int] | None]:
+        """Ids of each text, by groups of texts whose unknown chunks are segmented together."""
+        at = 0
+        while at < len(texts):
+            group: list[list[tuple[str, int]]] = []
+            held = 0
+            while at + len(group) < len(texts) and held < GROUP:
+                group.append(self._chunks(texts[at + len(group)] or "", keys[at + len(group)]))
+                held += len(group[-1])
+            if len(self.known) >= REMEMBERED:
+                self.known = {("", 0): [self.byte_ids[b] for b in SPACE.encode()]}
+            known = self.known
+            fresh = {k for chunks in group for k in chunks if k not in known}
+            self._remember([k for k in fresh if len(k[0]) <= LONGEST])
+            for chunks in group:
+                out: list[int] = []
+                for k in chunks:
+                    out += known.get(k) or self._spelled_all(self.segment(*k))
+                yield None if texts[at] is None else out
+                at += 1
 
     def encode(self, text: str, key: int = 0) -> list[int]:
         """Ids of a text; ``key`` (a document's number) and the place of a chunk choose its variant."""
-        if not text:
-            return []
-        out: list[int] = []
-        known, parts = self.known, text.split(SPACE)
-        place = (key * 0x9E3779B97F4A7C15 ^ self.seed) & MASK
-        for n, part in enumerate(parts):
-            if n:
-                out += [self.byte_ids[b] for b in SPACE.encode()]
-            marked = (part if n else " " + part).replace(" ", SPACE)
-            for chunk in _CHUNK.findall(marked):
-                if self.limit:
-                    place = (place * 6364136223846793005 + 1442695040888963407) & MASK
-                    variant = place >> 62  # one of VARIANTS
-                    out += known.get((chunk, variant)) or self._chunk_ids(chunk, variant)
-                else:
-                    out += self._chunk_ids(chunk, 0)
-        return out
+        return next(self.encode_all([text], [key]))
 
     def decode(self, ids: list[int]) -> str:
         """The text of encoded ids."""
@@ -169,10 +235,10 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model, dropout, seed)
         for batch in stream:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
                 keys, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                ids = [None if t is None else own.encode(t, k or 0) for k, t in zip(keys, texts)]
+                ids = list(own.encode_all(texts, [k or 0 for k in keys]))
                 fine = [None if t is None else own.decode(i) == t for i, t in zip(ids, texts)]
                 yield batches({"id": keys, "ids": ids, "n_ids": [None if i is None else len(i) for i in ids], "lossless": fine}, schema)
 

@@ -242,8 +242,19 @@ def test_dropout_varies_pieces_and_loses_nothing(spark):
     assert all(again[i] == got[i].ids for i in range(9))
     back = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, dropout=0.3)).collect()
     assert {r.id: r.text for r in back} == {r.doc_id: r.text for r in docs.collect()}
-    short, long_ = sentencepiece_codec.Codec(dropout=0.3), "▁wonderfulness"
-    assert short._segment_short(long_, 5) == short._segment_long(long_, 5)
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5])
+def test_chunks_segmented_together_and_alone_agree(dropout):
+    own = sentencepiece_codec.Codec(dropout=dropout)
+    words = ["▁wonderfulness", "▁", "▁▁▁", "x", "▁日本語", "\n\tq\x00", "▁ñandú😀", "e" * 32, '▁"1beb58b8af68854f0e01b4ad']
+    wanted = [(word, variant) for word in words for variant in range(4)]
+    own._remember(list(wanted))
+    for k in wanted:
+        assert own.known[k] == own._spelled_all(own.segment(*k)), k
+    texts = [*TEXTS, None, "", "y" * 500 + " ▁▁ end"]
+    got = list(own.encode_all(texts, list(range(len(texts)))))
+    assert got == [None if t is None else sentencepiece_codec.Codec(dropout=dropout).encode(t, i) for i, t in enumerate(texts)]
 
 
 def test_vector_links_against_all_pairs(spark, monkeypatch):
