@@ -62,9 +62,13 @@ def sample_qc(samples: DataFrame) -> DataFrame:
     return apply_filters(samples, sample_qc_filters())
 
 
+def variant_qc_1_filters(info: str = "info") -> dict[str, Column]:
+    return {"high_info": F.col(info) > MIN_INFO}
+
+
 def variant_qc_1(variants: DataFrame, info: str = "info") -> DataFrame:
     """Variants imputed with high information."""
-    return apply_filters(variants, {"high_info": F.col(info) > MIN_INFO})
+    return apply_filters(variants, variant_qc_1_filters(info))
 
 
 def info_threshold(variants: DataFrame, threshold: float | None, info: str = "info") -> DataFrame:
@@ -104,15 +108,26 @@ def with_hwe(counts: DataFrame, name: str = "hwe_p_value") -> DataFrame:
     return counts.withColumn(name, hwe_p_value("n_het", "n_hom_ref", "n_hom_alt"))
 
 
+def frequency_filters() -> dict[str, Column]:
+    return {"common": F.col("maf") > MIN_MAF}
+
+
+def equilibrium_filters() -> dict[str, Column]:
+    return {"in_equilibrium": F.col("hwe_p_value") > MIN_HWE_P}
+
+
+def tested_variants(variants: DataFrame, counts: DataFrame, keys: tuple[str, ...] = ("variant_index",)) -> DataFrame:
+    """Variants that are common enough, with their exact test; the rare ones are spared it."""
+    return with_hwe(apply_filters(variants, frequency_filters()).join(counts, list(keys)))
+
+
 def variant_qc_2(variants: DataFrame, counts: DataFrame, keys: tuple[str, ...] = ("variant_index",)) -> DataFrame:
     """Variants that are common enough and in Hardy-Weinberg equilibrium.
 
     The frequency is the supplied one and the counts cover all samples, so this comes before
-    sample QC. The frequency filter runs first and spares the rare variants the exact test.
+    sample QC.
     """
-    common = variants.filter(F.col("maf") > MIN_MAF)
-    tested = with_hwe(common.join(counts, list(keys)))
-    return tested.filter(F.col("hwe_p_value") > MIN_HWE_P)
+    return apply_filters(tested_variants(variants, counts, keys), equilibrium_filters())
 
 
 def keep_calls(calls: DataFrame, variants_kept: DataFrame, samples_kept: DataFrame, keys: tuple[str, ...] = ("variant_index",)) -> DataFrame:

@@ -1,7 +1,7 @@
 """A study from files to files: each function is one step and writes its result.
 
 The steps share a few stored tables. A genotype folder holds ``variants``, ``samples`` and
-``calls``; a phenotype folder holds ``traits`` and ``values``.
+``calls``, after a QC step also its ``report``; a phenotype folder holds ``traits`` and ``values``.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe import schema
@@ -96,25 +96,36 @@ def integrate_hard_calls(packed: DataFrame, samples: DataFrame, n_samples: int)
     return calls.join(samples.select("sample_index", "sample_id"), "sample_index")
 
 
+def _write_report(path: str, reports: list[tuple[str, DataFrame, dict[str, Column]]]) -> None:
+    """Rows that each filter of a QC step keeps and removes, as the table ``report`` of its genotype folder."""
+    counted = [filters.filter_report(df, by).select(F.lit(name).alias("table"), "*") for name, df, by in reports]
+    sinks.write_table(reduce(DataFrame.unionByName, counted), f"{path}/report")
+
+
 def run_qc_1(spark: SparkSession, input_path: str, output_path: str) -> None:
-    """Keep variants imputed with high information."""
+    """Keep variants imputed with high information; the folder's ``report`` counts them."""
     variants, samples, calls = _read_genotypes(spark, input_path)
     kept = filters.variant_qc_1(variants, "variant_info")
     calls = calls.join(kept.select("contig", "variant_index"), ["contig", "variant_index"], "left_semi")
     _write_genotypes(output_path, kept, samples, calls)
+    _write_report(output_path, [("variants", variants, filters.variant_qc_1_filters("variant_info"))])
 
 
 def run_qc_2(spark: SparkSession, input_path: str, sample_qc_path: str, output_path: str) -> None:
     """Variant QC on all samples, then sample QC; dosages of what is left are stored, packed by sample block.
 
-    Packing shuffles the calls once here, not in every association run.
+    Packing shuffles the calls once here, not in every association run. The folder's ``report`` counts what
+    each filter keeps and removes: of all variants, of the common ones, and of the QC table's samples.
     """
     variants, samples, calls = _read_genotypes(spark, input_path, unpack=True)
     keys = ("contig", "variant_index")
     counts = filters.genotype_counts(calls, keys)
-    kept = filters.variant_qc_2(variants.withColumn("maf", F.col("variant_maf")), counts, keys)
-    kept = stage(kept.drop("maf", "n_het", "n_hom_ref", "n_hom_alt").withColumnRenamed("hwe_p_value", "variant_hwe_p_value"), "kept")
-    passed = filters.sample_qc(read_sample_qc(spark, sample_qc_path)).select(*schema.SAMPLE_QC_KEEP)
+    variants = variants.withColumn("maf", F.col("variant_maf"))
+    tested = stage(filters.tested_variants(variants, counts, keys), "tested")
+    kept = filters.apply_filters(tested, filters.equilibrium_filters())
+    kept = kept.drop("maf", "n_het", "n_hom_ref", "n_hom_alt").withColumnRenamed("hwe_p_value", "variant_hwe_p_value")
+    sample_qc = read_sample_qc(spark, sample_qc_path)
+    passed = filters.sample_qc(sample_qc).select(*schema.SAMPLE_QC_KEEP)
     left = traits.add_sample_qc(samples, passed)
     dosages = (
         calls.select(*keys, "sample_index", "dosage")
@@ -122,6 +133,8 @@ def run_qc_2(spark: SparkSession, input_path: str, sample_qc_path: str, output_p
         .join(left.select("sample_index"), "sample_index", "left_semi")
     )
     _write_genotypes(output_path, kept, left, regression.pack_blocks(dosages))
+    counted = [("variants", variants, filters.frequency_filters()), ("variants", tested, filters.equilibrium_filters())]
+    _write_report(output_path, [*counted, ("samples", sample_qc, filters.sample_qc_filters())])
 
 
 # Phenotypes -------------------------------------------------------------------------------------

@@ -86,6 +86,13 @@ def test_study(spark, inputs, tmp_path):
             assert kept.variant_hwe_p_value[j] == pytest.approx(p) and kept.variant_contig[j] == 20
             assert kept.variant_contig_name[j] == "21"
     assert {3, 5, 7}.isdisjoint(kept.index)
+    report = {(r.table, r.filter): (r.kept, r.removed) for step in ("qc1", "gt") for r in spark.read.parquet(at(step) + "/report").collect()}
+    high = sum(x > 0.8 for x in info)
+    common = sum(x > 0.8 and y > 0.001 for x, y in zip(info, maf))
+    assert report["variants", "high_info"] == (high, V - high)
+    assert report["variants", "common"] == (common, high - common)
+    assert report["variants", "in_equilibrium"] == (len(kept), common - len(kept))
+    assert report["samples", "overall"][0] == sum(i % 20 > 0 for i in range(N))
     left = [i for i in range(N) if i % 20]
     assert sorted(r[0] for r in spark.read.parquet(at("gt") + "/samples").select("sample_index").collect()) == left
 
