@@ -88,24 +88,82 @@ def t_two_sided(t: np.ndarray, dof: np.ndarray) -> np.ndarray:
     return out
 
 
-def hwe_exact(het: int, hom1: int, hom2: int) -> float:
-    """Hardy-Weinberg exact test: total probability of the tables no more likely than the observed.
+def _log_factorial_ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """log(a! / b!) with an error in proportion to |a - b| only.
 
-    Relative log-weights of all heterozygote counts come from the ratio of neighbours, so only
-    differences of logarithms are summed and no factorial of the sample size is needed.
+    Both are raised by 16, where Stirling's series is exact enough, and brought back factor by factor.
     """
+    d = a - b
+    back = sum(np.log1p(d / (b + i)) for i in range(1, 17))
+    x, y = a + 16, b + 16
+    rest = lambda z: (1 / 12 - (1 / 360 - (1 / 1260 - 1 / (1680 * z * z)) / (z * z)) / (z * z)) / z
+    log = np.log1p(d / y)
+    return d * np.log(x) + (y * log - d) + 0.5 * log + rest(x) - rest(y) - back
+
+
+def _log_weight_ratio(h: np.ndarray, k: np.ndarray, rare: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """log of the probability of ``h`` heterozygotes over that of ``k``."""
+    homozygotes = _log_factorial_ratio((rare - h) / 2, (rare - k) / 2) + _log_factorial_ratio((common - h) / 2, (common - k) / 2)
+    return (h - k) * math.log(2) - _log_factorial_ratio(h, k) - homozygotes
+
+
+def _outward_sum(h: np.ndarray, upward: np.ndarray, rare: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Probabilities from ``h`` on in one direction, relative to that of ``h``, added while they change the sum.
+
+    Each comes from its neighbour. The direction leads away from the mode, so they fall ever faster.
+    """
+    total, term, live = np.ones_like(h), np.ones_like(h), np.arange(h.size)
+    while live.size:
+        up = (rare - h) * (common - h) / ((h + 2) * (h + 1))
+        down = h * (h - 1) / ((rare - h + 2) * (common - h + 2))
+        term = term * np.where(upward, up, down)
+        h = h + np.where(upward, 2, -2)
+        total[live] += term
+        keep = term > 1e-20 * total[live]
+        if not keep.all():
+            live, h, upward, term, rare, common = (v[keep] for v in (live, h, upward, term, rare, common))
+    return total
+
+
+def hwe_exact(het: np.ndarray, hom1: np.ndarray, hom2: np.ndarray) -> np.ndarray:
+    """Hardy-Weinberg exact tests: total probability of the tables no more likely than the observed.
+
+    Probabilities fall on both sides of the mode. So the tables asked for are all from the observed one
+    outward, and on the other side all from the first that is no more likely, found by bisection. The
+    steps for many variants at once grow with the spread of the distribution, not with the cohort. NaN
+    without calls.
+    """
+    shape = np.shape(het)
+    het, hom1, hom2 = np.atleast_1d(*(np.asarray(v, dtype=float) for v in (het, hom1, hom2)))
+    out = np.full(het.shape, np.nan)
+    called = het + hom1 + hom2 > 0  # False for NaN
+    het, hom1, hom2 = het[called], hom1[called], hom2[called]
     n = het + hom1 + hom2
-    if n == 0:
-        return float("nan")
-    rare = het + 2 * min(hom1, hom2)
+    rare = het + 2 * np.minimum(hom1, hom2)
     common = 2 * n - rare
-    h = np.arange(rare % 2, rare + 1, 2, dtype=float)
-    up, down = (rare - h[:-1]) * (common - h[:-1]), (h[:-1] + 2) * (h[:-1] + 1)
-    weight = np.concatenate([[0.0], np.cumsum(np.log(up) - np.log(down))])
-    prob = np.exp(weight - weight.max())
-    prob /= prob.sum()
-    seen = prob[(het - rare % 2) // 2]
-    return float(min(1.0, prob[prob <= seen * (1 + 1e-9)].sum()))
+    mode = np.ceil(np.maximum((rare * common - 2) / (2 * n + 3), 0))  # the first whose successor is no more likely
+    mode = np.minimum(mode + (rare - mode) % 2, rare)
+    above = het >= mode
+
+    # the other side, counted in steps from the mode
+    edge, step = np.where(above, mode - 2, mode), np.where(above, -2, 2)
+    steps = np.where(above, mode // 2, (rare - mode) // 2 + 1)
+    low, high = np.zeros_like(steps), steps.copy()
+    while (low < high).any():
+        middle = (low + high) // 2
+        at = np.where(low < high, edge + step * middle, het)
+        less = _log_weight_ratio(at, het, rare, common) <= 1e-9
+        low, high = np.where((low < high) & ~less, middle + 1, low), np.where((low < high) & less, middle, high)
+    some = low < steps
+    first = np.where(some, edge + step * low, rare)  # the last table, if there is none: nothing follows it
+
+    whole = lambda v: np.concatenate([v, v, v, v])
+    yes, no = np.ones(het.size, bool), np.zeros(het.size, bool)
+    sums = _outward_sum(np.concatenate([mode, mode, het, first]), np.concatenate([yes, no, above, ~(above & some)]), whole(rare), whole(common))
+    up, down, own, other = sums.reshape(4, -1)
+    tail = own + np.where(some, np.exp(_log_weight_ratio(first, het, rare, common)) * other, 0.0)
+    out[called] = np.minimum(1.0, np.exp(_log_weight_ratio(het, mode, rare, common)) * tail / (up + down - 1))
+    return out.reshape(shape)[()]
 
 
 @F.pandas_udf(T.DoubleType())
@@ -118,9 +176,5 @@ def t_p_value(t: pd.Series, dof: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def hwe_p_value(het: pd.Series, hom_ref: pd.Series, hom_alt: pd.Series) -> pd.Series:
     """Hardy-Weinberg exact p-value as a column; NULL where there are no calls."""
-    p = [
-        hwe_exact(int(a), int(b), int(c)) if a == a and b == b and c == c else float("nan")
-        for a, b, c in zip(het, hom_ref, hom_alt)
-    ]
-    out = pd.Series(p, dtype=float)
-    return out.where(~out.isna(), None)
+    p = hwe_exact(*(c.to_numpy(dtype=float) for c in (het, hom_ref, hom_alt)))
+    return pd.Series(p).where(~np.isnan(p), None)

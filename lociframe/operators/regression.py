@@ -431,10 +431,11 @@ def associate(
     blocks of them, for dense ones; (variant, sample) must be unique. ``n_variants`` sets
     the tiling and is counted if not given. ``keep`` writes the sample side, each step of which is
     used more than once, to a table: a lost executor does not repeat it, and Spark knows the size
-    of the trait table that the results are joined with.
+    of the trait table that the results are joined with. The table ``solved`` also has the batches with
+    too few complete cases.
     """
     rows = keep(design(trait_values, batches, samples, shape), "design")
-    solved = keep(solve(moments(rows), shape.k).filter(F.col("n") >= min_samples), "solved")
+    solved = keep(solve(moments(rows), shape.k), "solved").filter(F.col("n") >= min_samples)
     adjusted = keep(residuals(rows, solved, shape), "residuals")
     if n_variants is None:
         n_variants = calls.select(*CALL_KEYS).distinct().count()

@@ -88,6 +88,14 @@ def gate_batches(cases: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:
     return sample_sizes(cases).filter(F.col("sample_size") >= min_samples)
 
 
+def batch_report(batches: DataFrame, sizes: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:
+    """Every batch with its complete cases (``sizes``: batch_key, sample_size) and whether they were enough to run."""
+    listed = batches.select("batch_key", "trait_group_id", "batch_index", "batch_size").distinct()
+    size = F.coalesce("sample_size", F.lit(0)).cast("long")
+    counted = listed.join(sizes.select("batch_key", "sample_size"), "batch_key", "left").withColumn("sample_size", size)
+    return counted.withColumn("ran", F.col("sample_size") >= min_samples)
+
+
 def add_traits(samples: DataFrame, traits: DataFrame) -> DataFrame:
     """Left join of trait columns onto samples; a column of both keeps the sample's value."""
     extra = [c for c in traits.columns if c == "sample_id" or c not in samples.columns]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.operators import filters, regression, reshape
+from lociframe.operators import filters, regression, reshape, traits
 from lociframe.operators.traits import batch_traits
 from lociframe.plans import domain as D
 from lociframe.plans.registry import query, rounded, table
@@ -103,6 +103,19 @@ def gwas_batched(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {D.TRAITS_SQL}, {D.COHORT_SQL}, sizes AS (SELECT batch_key, count(*) AS cases FROM complete JOIN cohort USING (sample_id) GROUP BY batch_key)
+SELECT DISTINCT batch_key, trait_group_id, CAST(batch_index AS INT) AS batch_index, CAST(batch_size AS INT) AS batch_size,
+  coalesce(cases, 0) AS sample_size, coalesce(cases, 0) >= 130 AS ran FROM batches LEFT JOIN sizes USING (batch_key)"""
+)
+def batch_report(spark: SparkSession, d: str) -> DataFrame:
+    """Complete cases of every batch, and whether they are enough to run."""
+    batches, shape = D.trait_batches(spark, d), regression.Shape(n_covariates=10, batch_size=2)
+    rows = regression.design(D.trait_values(spark, d), batches, _covariates(spark, d, 5), shape)
+    solved = regression.solve(regression.moments(rows), shape.k)
+    return traits.batch_report(batches, solved.select("batch_key", F.col("n").alias("sample_size")), 130)
+
+
 @query(
     f"""WITH {_BATCH_SQL}, scored AS (SELECT trait_id, variant_index, dof, beta / se AS t FROM fit),
 {D.p_value_sql("scored", "trait_id, variant_index")}

@@ -73,6 +73,19 @@ def sumstat_full_outer(spark: SparkSession, d: str) -> DataFrame:
     return _round_merged(spark.read.parquet(path))
 
 
+@query(f"WITH {_MERGED_SQL} SELECT {_ROUND_SQL} FROM merged WHERE trait_id <> '20095_P'")
+def merge_selected(spark: SparkSession, d: str) -> DataFrame:
+    """The comparison table from published files of two column orders, of which one trait is not wanted."""
+    path = shared_path(spark, "published")
+    named = published_results(spark, d).withColumn("trait_file", F.concat("trait_id", F.lit("_raw.both_sexes.tsv.gz")))
+    columns = [c for c in named.columns if c not in ("trait_id", "trait_group_id", "trait_code_id")]
+    sinks.write_published(named.filter("trait_code_id = 'F'").select(*columns), f"{path}/some", "trait_file")
+    sinks.write_published(named.filter("trait_code_id <> 'F'").select(*reversed(columns)), f"{path}/others", "trait_file")
+    own = sumstats.own_result_columns(own_results(spark, d))
+    published = files.read_published(spark, path, named.filter("trait_code_id <> 'P'").select("trait_id"))
+    return _round_merged(sumstats.merge_results(own, sumstats.comparable(published, own)))
+
+
 @query(
     f"""WITH own AS ({_OWN.format('lineitem')})
 SELECT sample_trait_id AS trait_id, variant_id, sample_trait_name AS gwas_trait_name, sample_trait_group_id AS gwas_trait_group_id,

@@ -193,10 +193,13 @@ def run_association(
     trait_group_ids: Sequence[int | str] | str | None = None,
     min_samples: int = traits.MIN_SAMPLES,
     npc: int = regression.N_COMPONENTS,
+    report_path: str | None = None,
 ) -> DataFrame:
     """All variants against all wanted trait groups; returns the (contig, batch, group) computed.
 
-    Batches with a stored result are skipped. Wanted groups that the data lacks are left out.
+    Batches with a stored result are skipped. Wanted groups that the data lacks are left out. With a
+    ``report_path``, these are listed in its table ``missing_groups``, and the batches of this run in ``batches``,
+    each with its complete cases and whether they were enough.
     """
     variants, samples, calls = _read_genotypes(spark, genotypes_path)
     listed = spark.read.parquet(f"{phenotypes_path}/traits")
@@ -230,6 +233,16 @@ def run_association(
     ]
     variant_columns = ["contig", "variant_index", "variant_id", "variant_contig", "variant_contig_name", "variant_position"]
 
+    if report_path:
+        sinks.write_table(traits.missing_groups(wanted, listed), f"{report_path}/missing_groups")
+    solved: list[DataFrame] = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        kept = stage(df, label)
+        if label == "solved":
+            solved.append(kept.select("batch_key", F.col("n").alias("sample_size")))
+        return kept
+
     def compute(todo: DataFrame) -> DataFrame:
         pending = batches.join(todo.select("batch_index", "trait_group_id").distinct(), ["batch_index", "trait_group_id"], "left_semi")
         todo_calls = calls.join(todo.select("contig").distinct(), "contig", "left_semi")
@@ -243,10 +256,13 @@ def run_association(
         pending = pending.withColumn("_size", size)
         parts = [
             regression.associate(
-                todo_calls, people, values, pending.filter(F.col("_size") == n), regression.Shape(5 + npc, n), min_samples, n_variants
+                todo_calls, people, values, pending.filter(F.col("_size") == n), regression.Shape(5 + npc, n), min_samples, n_variants, keep
             )
             for n in (r[0] for r in pending.select("_size").distinct().collect())  # three at most
         ]
+        if report_path:
+            report = traits.batch_report(pending, reduce(DataFrame.unionByName, solved), min_samples)
+            sinks.write_table(report, f"{report_path}/batches")
         fitted = reduce(DataFrame.unionByName, parts)
         # A genotype folder has several contigs only if stored so; each may have its own finished batches.
         fitted = fitted.join(todo, ["contig", "batch_index", "trait_group_id"], "left_semi")
@@ -285,7 +301,9 @@ def merge_sumstats(
     published = files.read_published(spark, published_path, wanted)
     members = contigs if contigs is not None else stored.select("contig").distinct()
     published = filters.member_filter(published, "contig", members)
-    sinks.write_table(sumstats.merge_results(own, sumstats.comparable(published, own)), output_path)
+    # The check for repeated keys and the join both need the text files, which are read and parsed once.
+    published = stage(sumstats.comparable(published, own), "published")
+    sinks.write_table(sumstats.merge_results(own, published), output_path)
 
 
 # Small tables -----------------------------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,33 +85,48 @@ _TRAIT_FILE = r"([^/=]+\.tsv\.gz)(?:/|$)"
 
 
 def read_published(spark: SparkSession, path: str, traits: DataFrame | None = None) -> DataFrame:
-    """Published results of all files below ``path`` in one scan.
+    """Published results of the files below ``path``, in one scan for each order of columns.
 
-    Columns are matched to the header by name, so files may carry more columns than are read. The
-    trait comes from the file name. ``traits`` (a manifest) restricts the result to its trait ids.
+    Columns are matched to each file's header by name, so files may order them in their own way and
+    carry more than are read. The trait comes from the file name. ``traits`` (a manifest) restricts
+    the result to its trait ids: other files are not opened. The paths of the files, a few per trait,
+    come to the driver, which reads the first line of each.
     """
-    header = spark.read.option("recursiveFileLookup", "true").text(path).head(1)
-    if not header:
-        raise ValueError(f"no files below {path}")
+    name = F.regexp_extract("file", _TRAIT_FILE, 1)
+    kept = list_files(spark, path).filter(name.endswith(".tsv.gz") & ~X.before_first_dot(name).endswith("_irnt"))
+    kept = kept.withColumn("trait_id", _published_trait(name))
+    if traits is not None:
+        kept = kept.join(traits.select("trait_id").distinct(), "trait_id", "left_semi")
+    by_header: dict[str, list[str]] = {}
+    for file in sorted(r.file for r in kept.select("file").collect()):
+        line = spark.read.text(file).head(1)
+        by_header.setdefault(line[0][0] if line else "", []).append(file)
+    by_header.pop("", None)  # empty files
+    parts = [_read_alike(spark, header, files) for header, files in by_header.items()]
+    if not parts:
+        if traits is None:
+            raise ValueError(f"no published results below {path}")
+        parts = [spark.createDataFrame([], T.StructType([*PUBLISHED_SCHEMA, T.StructField("file", T.StringType())]))]
+    trait_id = _published_trait(F.col("file"))
+    return published_result_columns(
+        reduce(DataFrame.unionByName, parts).withColumns(
+            {"trait_id": trait_id, "trait_group_id": X.id_group(trait_id), "trait_code_id": X.id_code(trait_id)}
+        )
+    )
+
+
+def _read_alike(spark: SparkSession, header: str, files: list[str]) -> DataFrame:
+    """Files of one header; Spark holds each against it when it reads them."""
     known = {f.name: f.dataType for f in PUBLISHED_SCHEMA}
-    names = header[0][0].split("\t")
+    names = header.split("\t")
     missing = [c for c in known if c not in names]
     if missing:
-        raise ValueError(f"columns missing from {path}: {missing}")
+        raise ValueError(f"columns missing from {files[0]}: {missing}")
     file_schema = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
-    reader = spark.read.option("recursiveFileLookup", "true")
-    # Every file's header is checked against the first one's.
-    df = reader.csv(path, sep="\t", header=True, schema=file_schema, enforceSchema=False)
+    reader = spark.read.option("recursiveFileLookup", "true")  # folders named like partitions add no columns
+    df = reader.csv(files, sep="\t", header=True, schema=file_schema, enforceSchema=False)
     trait_file = F.regexp_extract(F.col("_metadata.file_path"), _TRAIT_FILE, 1)
-    df = df.select(*[F.col(f"`{c}`") for c in known], trait_file.alias("file"))
-    df = df.filter(F.col("file").endswith(".tsv.gz") & ~X.before_first_dot(F.col("file")).endswith("_irnt"))
-    trait_id = _published_trait(F.col("file"))
-    df = df.withColumns(
-        {"trait_id": trait_id, "trait_group_id": X.id_group(trait_id), "trait_code_id": X.id_code(trait_id)}
-    ).drop("file")
-    if traits is not None:
-        df = df.join(traits.select("trait_id").distinct(), "trait_id", "left_semi")
-    return published_result_columns(df)
+    return df.select(*[F.col(f"`{c}`") for c in known], trait_file.alias("file"))
 
 
 def read_own(spark: SparkSession, path: str) -> DataFrame:

@@ -78,6 +78,25 @@ def test_hwe_published_values():
     assert 0 < P.hwe_exact(243_200, 122_000, 122_200) <= 1
 
 
+def summed_hwe(het, a, b):
+    """All tables by the ratios of neighbours."""
+    n, rare = het + a + b, het + 2 * min(a, b)
+    common = 2 * n - rare
+    h = np.arange(rare % 2, rare + 1, 2, dtype=float)
+    steps = np.log((rare - h[:-1]) * (common - h[:-1])) - np.log((h[:-1] + 2) * (h[:-1] + 1))
+    weight = np.concatenate([[0.0], np.cumsum(steps)])
+    prob = np.exp(weight - weight.max())
+    return min(1.0, prob[prob <= prob[(het - rare % 2) // 2] * (1 + 1e-9)].sum() / prob.sum())
+
+
+def test_hwe_of_a_large_cohort():
+    counts = [(243_200, 122_000, 122_209), (243_704, 121_852, 121_853), (240_000, 125_000, 122_409), (1_200, 486_209, 0), (1_190, 486_209, 10), (90_000, 392_000, 5_409),
+              (0, 487_409, 0), (0, 487_408, 1), (1, 487_408, 0), (0, 243_704, 243_705), (487_409, 0, 0), (3, 487_400, 6)]
+    got = P.hwe_exact(*np.array(counts).T)
+    for value, row in zip(got, counts):
+        assert value == pytest.approx(summed_hwe(*row), rel=1e-6, abs=1e-300), row
+
+
 def test_columns(spark):
     df = spark.createDataFrame([(1.5, 20.0), (None, 20.0), (2.0, None)], "t double, dof double")
     got = [r[0] for r in df.select(P.t_p_value("t", "dof")).collect()]

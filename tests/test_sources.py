@@ -113,6 +113,19 @@ def test_published_files(spark, tmp_path):
     assert got["20095_2"].ot_trait_code_id == "2" and got["50"].ot_variant_rsid == "rs1"
     only = sumstats.read_published(spark, str(tmp_path), manifest.filter("trait_id = '50'"))
     assert [r.trait_id for r in only.collect()] == ["50"]
+    assert [f.rsplit("/", 1)[1] for f in only.inputFiles()] == ["50_raw.both.tsv.gz"]
+    none = sumstats.read_published(spark, str(tmp_path), manifest.filter("trait_id = '7'"))
+    assert none.count() == 0 and none.columns == only.columns
+
+
+def test_published_files_with_other_column_orders(spark, tmp_path):
+    names = HEADER.rstrip("\n").split("\t")
+    row = dict(zip(names, ["21:1:A:G", "21", "rs1", "junk", "A", "1000", "0.01", "0.5", "0.67"]))
+    for trait, order in (("50", names), ("60", names[::-1]), ("70", sorted(set(names) - {"extra"}))):
+        with gzip.open(tmp_path / f"{trait}.both.tsv.gz", "wt") as f:
+            f.write("\t".join(order) + "\n" + "\t".join(row[c] for c in order) + "\n")
+    got = sumstats.read_published(spark, str(tmp_path)).drop("trait_id", "ot_trait_group_id").collect()
+    assert len(got) == 3 and len(set(got)) == 1 and got[0].ot_p_value == 0.5 and got[0].variant_id == "21:1:A:G"
 
 
 def test_published_files_with_missing_columns(spark, tmp_path):

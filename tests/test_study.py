@@ -113,6 +113,12 @@ def test_study(spark, inputs, tmp_path):
     assert run(trait_group_ids=[50, 20095, 999]).count() == 0  # nothing left to do
     results = spark.read.parquet(at("results")).toPandas()
     assert len(results) == len(kept) * 3
+    study.run_association(spark, at("gt"), at("traits"), at("few"), npc=3, trait_group_ids=[50, 20095, 999], min_samples=len(left), report_path=at("report"))
+    reported = {(r.trait_group_id, r.sample_size, r.ran) for r in spark.read.parquet(at("report") + "/batches").collect()}
+    n_complete = len(left) - (5 in left)
+    assert reported == {(50, len(left), True), (20095, n_complete, False)}
+    assert [r[0] for r in spark.read.parquet(at("report") + "/missing_groups").collect()] == [999]
+    assert spark.read.parquet(at("few")).count() == len(kept)
 
     pcs = [participant_header(f"x22009_0_{i}") for i in (1, 2, 3)]
     for trait, columns in (("50", ["50"]), ("20095_1", ["20095_1", "20095_2"]), ("20095_2", ["20095_1", "20095_2"])):
