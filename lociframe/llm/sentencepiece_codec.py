@@ -18,8 +18,8 @@ from lociframe.llm.common import MASK, batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # a public vocabulary; any BPE model with byte fallback will do
 DROPOUT, SEED = 0.1, 42
 VARIANTS = 4  # segmentations of a chunk that a seed can give
-REMEMBERED = 400_000  # segmentations a task keeps
-LONGEST = 32  # characters of the chunks it keeps
+REMEMBERED = 400_000  # chunks a task keeps the segmentations of
+LONGEST = 32  # characters of such a chunk
 SPACE = "▁"
 GROUP = 200_000  # chunks looked up at a time, about
 TOGETHER = 4096  # chunks segmented at a time
@@ -32,6 +32,17 @@ def _found(sorted_keys: np.ndarray, values: np.ndarray, keys: np.ndarray, defaul
     return np.where(sorted_keys[at] == keys, values[at], default)
 
 
+class _Numbers(dict):
+    """Number of each chunk; a new one gets the next, and is added to ``chunks``."""
+
+    chunks: list[str]
+
+    def __missing__(self, chunk: str) -> int:
+        n = self[chunk] = len(self.chunks)
+        self.chunks.append(chunk)
+        return n
+
+
 class Codec:
     """Pieces of a SentencePiece BPE model, its merges, and both directions.
 
@@ -55,8 +66,8 @@ class Codec:
             raise ValueError("the model has pieces over word borders")
         self.bytes = {i: piece.replace(SPACE, " ").encode() for piece, i in self.ids.items()} | {i: bytes([b]) for b, i in self.byte_ids.items()}
         self.limit, self.seed = int(dropout * (1 << 32)), seed
-        self.known: dict[tuple[str, int], list[int]] = {("", 0): [self.byte_ids[b] for b in SPACE.encode()]}
         self._number()
+        self._forget()
 
     def _number(self) -> None:
         """Pieces and letters as numbers, and which pairs of them merge into which, for many chunks at a time."""
@@ -120,26 +131,60 @@ class Codec:
     def _spelled_all(self, pieces: list[str]) -> list[int]:
         return [i for piece in pieces for i in self._spelled(piece)]
 
-    def _remember(self, wanted: list[tuple[str, int]]) -> None:
-        """Segment chunks of up to LONGEST characters together: each step takes the best merge of every chunk."""
-        wanted.sort(key=lambda k: len(k[0]))
-        for at in range(0, len(wanted), TOGETHER):
-            part = wanted[at : at + TOGETHER]
-            sizes = np.array([len(chunk) for chunk, _ in part])
-            keys = np.array([self._key(*k) for k in part], np.uint64)
-            symbols = self._merged(part, sizes, keys)
+    def _forget(self) -> None:
+        """Only the empty chunk, which stands for a mark of the text's own, is known: its number is 0."""
+        mark = [self.byte_ids[b] for b in SPACE.encode()]
+        self.numbers = _Numbers({"": 0})
+        self.chunks = self.numbers.chunks = [""]
+        self.starts, self.lengths = np.zeros(VARIANTS, np.int64), np.full(VARIANTS, len(mark), np.int64)
+        self.pieces = np.array(mark, np.int32)
+
+    def _remember(self, codes: np.ndarray) -> None:
+        """Segment chunks, given as number * VARIANTS + variant, and keep their ids in one array."""
+        more = len(self.chunks) * VARIANTS - len(self.starts)
+        self.starts, self.lengths = np.append(self.starts, np.full(more, -1)), np.append(self.lengths, np.zeros(more, np.int64))
+        codes = codes[self.starts[codes] < 0]
+        sizes = np.array([len(self.chunks[n]) for n in (codes // VARIANTS).tolist()], np.int64)
+        order = np.argsort(sizes, kind="stable")
+        codes, sizes = codes[order], sizes[order]
+        found, size = [self.pieces], len(self.pieces)
+
+        def keep(of: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> None:
+            nonlocal size
+            self.starts[of], self.lengths[of] = size + np.cumsum(lengths) - lengths, lengths
+            found.append(ids.astype(np.int32))
+            size += len(ids)
+
+        short = int(np.searchsorted(sizes, LONGEST, "right"))
+        for at in range(0, short, TOGETHER):
+            part = codes[at : min(at + TOGETHER, short)]
+            chunks, variants = [self.chunks[n] for n in (part // VARIANTS).tolist()], (part % VARIANTS).tolist()
+            symbols = self._merged(chunks, sizes[at : at + len(part)], np.array([self._key(*k) for k in zip(chunks, variants)], np.uint64))
             ids, here = self.piece_ids[symbols], symbols != GONE
-            ends, flat = np.cumsum(here.sum(1)).tolist(), ids[here].tolist()
-            for k, start, end in zip(part, [0, *ends], ends):
-                self.known[k] = flat[start:end]
-            for row in np.flatnonzero((here & (ids < 0)).any(1)):
-                chunk, places = part[row][0], [*np.flatnonzero(here[row]).tolist(), None]
-                self.known[part[row]] = self._spelled_all([chunk[i:j] for i, j in zip(places, places[1:])])
-
-    def _merged(self, part: list[tuple[str, int]], sizes: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """Symbols of each chunk at the places where they start; GONE elsewhere."""
-        n, width = len(part), int(sizes.max()) + 1
-        letters = np.frombuffer("".join([chunk for chunk, _ in part]).encode("utf-32-le"), np.uint32)
+            spelled = (here & (ids < 0)).any(1)
+            keep(part[~spelled], here[~spelled].sum(1), ids[~spelled][here[~spelled]])
+            rows = np.flatnonzero(spelled)
+            places = [[*np.flatnonzero(here[row]).tolist(), None] for row in rows]
+            lists = [self._spelled_all([chunks[row][i:j] for i, j in zip(p, p[1:])]) for row, p in zip(rows, places)]
+            keep(part[rows], np.array([len(x) for x in lists], np.int64), np.array([i for x in lists for i in x], np.int64))
+        for code in codes[short:].tolist():  # segmented alone
+            ids = np.array(self._spelled_all(self.segment(self.chunks[code // VARIANTS], code % VARIANTS)))
+            keep(np.array([code]), np.array([len(ids)]), ids)
+        for n in np.unique(codes[short:] // VARIANTS).tolist():  # the texts of long chunks are not kept
+            del self.numbers[self.chunks[n]]
+            self.chunks[n] = ""
+        self.pieces = np.concatenate(found)
+
+    def _ids(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known chunks, one after the other, and where each chunk ends."""
+        lengths = self.lengths[codes]
+        ends = np.cumsum(lengths)
+        return self.pieces[np.repeat(self.starts[codes] - (ends - lengths), lengths) + np.arange(lengths.sum())], ends
+
+    def _merged(self, chunks: list[str], sizes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Symbols of each chunk at the places where they start; GONE elsewhere. Each step takes the best merge of every chunk."""
+        n, width = len(chunks), int(sizes.max()) + 1
+        letters = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
         symbols = np.full((n, width), GONE, np.int32)
         symbols[np.arange(width) < sizes[:, None]] = _found(self.letters, self.letter_symbols, letters, OTHER)
         after = np.tile(np.arange(1, width + 1), (n, 1))
@@ -174,37 +219,36 @@ class Codec:
     def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return self.symbol_ranks[_found(self.pairs, self.pair_symbols, left.astype(np.int64) * self.n_symbols + right, OTHER)]
 
-    def _chunks(self, text: str, key: int) -> list[tuple[str, int]]:
-        """Chunks of a text and their variants, chosen by ``key`` and place; an empty chunk is a mark of the text's own."""
+    def _coded(self, text: str, key: int) -> np.ndarray:
+        """Chunks of a text as number * VARIANTS + variant; ``key`` and the place choose the variant."""
         chunks: list[str] = []
         for n, part in enumerate(text.split(SPACE) if text else []):
             chunks += [""] * (n > 0) + _CHUNK.findall((part if n else " " + part).replace(" ", SPACE))
+        numbers = np.fromiter(map(self.numbers.__getitem__, chunks), np.int64, len(chunks))
         if not self.limit:
-            return [(chunk, 0) for chunk in chunks]
+            return numbers * VARIANTS
         factors = np.cumprod(np.full(len(chunks), 6364136223846793005, np.uint64), dtype=np.uint64)
         sums = np.cumsum(np.concatenate([np.ones(1, np.uint64), factors])[: len(chunks)], dtype=np.uint64)
         places = factors * np.uint64((key * 0x9E3779B97F4A7C15 ^ self.seed) & MASK) + sums * np.uint64(1442695040888963407)
-        return [(chunk, v if chunk else 0) for chunk, v in zip(chunks, (places >> np.uint64(62)).tolist())]  # one of VARIANTS
+        return numbers * VARIANTS + np.where(numbers > 0, (places >> np.uint64(62)).astype(np.int64), 0)  # one of VARIANTS
 
     def encode_all(self, texts: list[str | None], keys: list[int]) -> Iterator[list[int] | None]:
         """Ids of each text, by groups of texts whose unknown chunks are segmented together."""
         at = 0
         while at < len(texts):
-            group: list[list[tuple[str, int]]] = []
+            if len(self.chunks) >= REMEMBERED or len(self.pieces) >= 8 * REMEMBERED:
+                self._forget()
+            group: list[np.ndarray] = []
             held = 0
             while at + len(group) < len(texts) and held < GROUP:
-                group.append(self._chunks(texts[at + len(group)] or "", keys[at + len(group)]))
+                group.append(self._coded(texts[at + len(group)] or "", keys[at + len(group)]))
                 held += len(group[-1])
-            if len(self.known) >= REMEMBERED:
-                self.known = {("", 0): [self.byte_ids[b] for b in SPACE.encode()]}
-            known = self.known
-            fresh = {k for chunks in group for k in chunks if k not in known}
-            self._remember([k for k in fresh if len(k[0]) <= LONGEST])
-            for chunks in group:
-                out: list[int] = []
-                for k in chunks:
-                    out += known.get(k) or self._spelled_all(self.segment(*k))
-                yield None if texts[at] is None else out
+            codes = np.concatenate(group)
+            self._remember(np.unique(codes))
+            ids, ends = self._ids(codes)
+            stops = np.append(0, ends)[np.cumsum([len(part) for part in group])].tolist()
+            for start, stop in zip([0, *stops], stops):
+                yield None if texts[at] is None else ids[start:stop].tolist()
                 at += 1
 
     def encode(self, text: str, key: int = 0) -> list[int]:

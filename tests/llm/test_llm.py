@@ -249,9 +249,10 @@ def test_chunks_segmented_together_and_alone_agree(dropout):
     own = sentencepiece_codec.Codec(dropout=dropout)
     words = ["▁wonderfulness", "▁", "▁▁▁", "x", "▁日本語", "\n\tq\x00", "▁ñandú😀", "e" * 32, '▁"1beb58b8af68854f0e01b4ad']
     wanted = [(word, variant) for word in words for variant in range(4)]
-    own._remember(list(wanted))
-    for k in wanted:
-        assert own.known[k] == own._spelled_all(own.segment(*k)), k
+    codes = np.array([own.numbers[word] * 4 + variant for word, variant in wanted])
+    own._remember(codes)
+    for k, code in zip(wanted, codes):
+        assert own._ids(codes[codes == code])[0].tolist() == own._spelled_all(own.segment(*k)), k
     texts = [*TEXTS, None, "", "y" * 500 + " ▁▁ end"]
     got = list(own.encode_all(texts, list(range(len(texts)))))
     assert got == [None if t is None else sentencepiece_codec.Codec(dropout=dropout).encode(t, i) for i, t in enumerate(texts)]
