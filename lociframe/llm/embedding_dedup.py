@@ -1,6 +1,7 @@
 """Near-duplicate vectors by a forest of random-projection trees with spill overlap.
 
-Every tree cuts the vectors of a group by random directions, again and again, until a cell holds
+Groups of many near copies are found first, at any size, and compared exactly around their centres. Every
+tree cuts what belongs to none by random directions, again and again, until a cell holds
 few enough to compare all of them. Vectors near a cut go to both sides. What a cut separates in
 one tree the others keep together; all links are verified by their cosine, and united.
 """
@@ -27,8 +28,8 @@ LEAF = 512  # rows of a cell that are compared with each other
 SPILL = 0.15  # share of a cell's rows that go to both sides
 DEPTH = 6  # cuts per round
 SAMPLE = 2048  # rows of a cell, at most about, that its cuts or its dense spots are learnt from
-CROWD = 4096  # cells up to this size need no look for dense spots
-SHARE = 0.04  # of the sample that makes a dense spot
+CROWD = 4096  # rows of a dense spot that are compared at a time
+SHARE = 0.04  # of a sample that makes a dense spot; of a cell that is no larger than its sample, a quarter of a leaf does
 
 
 def _prepared(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,52 +75,36 @@ def _sampled(cells: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
     return cells.join(sizes, keys).where(draw * F.col("rows") < SAMPLE)
 
 
-# ---- dense spots: vectors so near to one centre that any two of them are linked
+# ---- dense spots: neighbourhoods so full that trees would cut through them
 
 
-def _spots(reach: float):
+def _spots(cosine: float, least: int):
     """Centres of a cell's dense spots, from its sample: means of the neighbourhoods that hold the most of it."""
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("id")
         m = _unit(_matrix(frame["vec"].tolist()))
-        near = m @ m.T >= reach * reach * 2 - 1  # as near as two members of a spot can be
-        free, centres = np.ones(len(m), bool), []
-        while free.any():
-            held = (near & free).sum(1) * free
-            best = int(held.argmax())
-            if held[best] < max(8, SHARE * len(m)):
+        whole = frame["rows"].iloc[0] <= SAMPLE
+        wanted = least if whole else max(8, SHARE * len(m))
+        near = m @ m.T >= cosine
+        held, free, centres = near.sum(1), np.ones(len(m), bool), []
+        while True:
+            best = int(np.where(free, held, -1).argmax())
+            if not free[best] or held[best] < wanted:
                 break
-            mean = m[near[best] & free].mean(0, keepdims=True)
-            centres.append(_unit(mean)[0].tobytes())
-            free &= m @ _unit(mean)[0] < reach
-            free[best] = False
+            mean = _unit(m[near[best] & free].mean(0, keepdims=True))[0]
+            centres.append(mean.tobytes())
+            gone = free & (m @ mean >= cosine)
+            gone[best] = True
+            free &= ~gone
+            held = held - near[:, gone].sum(1)
         return pd.DataFrame({"grp": [frame["grp"].iloc[0]], "cell": [frame["cell"].iloc[0]], "centres": [b"".join(centres)]})
 
     return fit
 
 
-def _assign(reach: float):
-    schema = pa.schema([("id", pa.int64()), ("grp", pa.string()), ("cell", pa.string()), ("vec", pa.binary()), ("spot", pa.string())])
-
-    def run(stream):
-        for batch in stream:
-            grp, cell = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            vec, centres = binary(batch, "vec"), binary(batch, "centres")
-            spot = [None] * len(vec)
-            for (g, c), places in _places(list(zip(grp, cell))).items():
-                if centres[places[0]]:
-                    m = _unit(_matrix([vec[i] for i in places]))
-                    at = m @ np.frombuffer(centres[places[0]], float).reshape(-1, m.shape[1]).T >= reach
-                    for i in np.flatnonzero(at.any(1)):
-                        spot[places[i]] = f"{g}/{c}/{int(at[i].argmax())}"
-            yield batches({"id": batch.column(0).to_pylist(), "grp": grp, "cell": cell, "vec": vec, "spot": spot}, schema)
-
-    return run
-
-
 def _sides(bits: int):
-    schema = pa.schema([("id", pa.int64()), ("grp", pa.string()), ("cell", pa.string()), ("vec", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("grp", pa.string()), ("cell", pa.string()), ("vec", pa.binary()), ("copies", pa.int64())])
 
     def run(stream):
         for batch in stream:
@@ -129,33 +114,158 @@ def _sides(bits: int):
                 code = ((m @ _directions(f"spots {g} {c}", m.shape[1], bits).T > 0) << np.arange(bits)).sum(1)
                 for i, side in zip(places, code):
                     cell[i] = f"{c}.{side}"
-            yield batches({"id": batch.column(0).to_pylist(), "grp": grp, "cell": cell, "vec": vec}, schema)
+            yield batches({"id": batch.column(0).to_pylist(), "grp": grp, "cell": cell, "vec": vec, "copies": batch.column(4).to_pylist()}, schema)
 
     return run
 
 
-def dense_spots(vectors: DataFrame, cosine: float) -> DataFrame:
-    """(id, spot) of vectors (id, grp, vec) in large dense spots; staged.
+def _around(rows: DataFrame, sizes: DataFrame, centres: DataFrame, keys: list[str], function, schema: str) -> DataFrame:
+    """``function(rows, centres)`` on parts of about CROWD rows of each cell that has centres."""
+    parts = sizes.select(*keys, F.ceil(F.col("rows") / CROWD).cast("int").alias("parts"))
+    found = centres.join(parts, keys).select(*keys, "centres", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    dealt = rows.join(parts, keys).withColumn("part", F.pmod(F.xxhash64("id", F.lit(11)), F.col("parts")).cast("int")).drop("parts")
+    return dealt.groupBy(*keys, "part").cogroup(found.groupBy(*keys, "part")).applyInPandas(function, schema)
 
-    Angles obey the triangle inequality, so two vectors within half the angle of one centre are linked and need
-    no comparison. Large cells are searched by a bounded sample; what belongs to no spot is cut by
-    the signs of random projections and searched again until cells are small.
+
+def _outside(cosine: float):
+    """Rows that are not near any of their cell's centres."""
+
+    def run(rows: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
+        rows = rows[["id", "grp", "cell", "vec", "copies"]]
+        if not len(rows) or not len(centres) or not centres["centres"].iloc[0]:
+            return rows
+        m = _unit(_matrix(rows["vec"].tolist()))
+        at = m @ np.frombuffer(centres["centres"].iloc[0], float).reshape(-1, m.shape[1]).T
+        return rows[at.max(1) < cosine]
+
+    return run
+
+
+def dense_centres(vectors: DataFrame, cosine: float, leaf: int) -> DataFrame | None:
+    """(grp, centres) of the dense spots of vectors (id, grp, vec, copies); staged.
+
+    A cell is searched by a bounded sample. What is near no centre of a cell larger than that is cut by the
+    signs of random projections and searched again, until the samples are whole cells.
     """
-    reach = math.sqrt((1 + cosine) / 2) + 1e-9
-    shape = "id long, grp string, cell string, vec binary"
-    rest = vectors.select("id", "grp", F.lit("").alias("cell"), "vec")
+    shape = "id long, grp string, cell string, vec binary, copies long"
+    least = max(8, leaf // 4)
+    rest = vectors.select("id", "grp", F.lit("").alias("cell"), "vec", "copies")
     found = None
     while True:
-        sizes = stage(rest.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > CROWD), "spot-sizes")
+        sizes = stage(rest.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= least), "spot-sizes")
         if not sizes.limit(1).count():
             break
-        centres = _sampled(rest, sizes, ["grp", "cell"]).select("id", "grp", "cell", "vec").groupBy("grp", "cell").applyInPandas(_spots(reach), "grp string, cell string, centres binary")
-        crowded = rest.join(stage(centres, "spot-centres"), ["grp", "cell"]).select("id", "grp", "cell", "vec", "centres")
-        placed = stage(crowded.mapInArrow(_assign(reach), shape + ", spot string"), "spot-placed")
-        held = placed.where("spot IS NOT NULL").select("id", "spot")
-        found = held if found is None else found.union(held)
-        rest = stage(placed.where("spot IS NULL").select("id", "grp", "cell", "vec").mapInArrow(_sides(4), shape), "spot-rest")
-    return found if found is not None else vectors.select("id", F.lit(None).cast("string").alias("spot")).limit(0)
+        centres = _sampled(rest, sizes, ["grp", "cell"]).select("id", "grp", "cell", "vec", "rows").groupBy("grp", "cell").applyInPandas(_spots(cosine, least), "grp string, cell string, centres binary")
+        centres = stage(centres, "spot-centres")
+        found = centres if found is None else found.union(centres)
+        large = sizes.where(F.col("rows") > SAMPLE)
+        if not large.limit(1).count():
+            break
+        left = _around(rest, large, centres, ["grp", "cell"], _outside(cosine), shape)
+        rest = stage(left.mapInArrow(_sides(4), shape), "spot-rest")
+    if found is None:
+        return None
+    named = found.where(F.length("centres") > 0).groupBy("grp").agg(F.array_sort(F.collect_list("centres")).alias("c"))
+    return stage(named.select("grp", F.expr("aggregate(c, cast('' as binary), (x, y) -> concat(x, y))").alias("centres")), "grp-centres")
+
+
+def _homes(cosine: float):
+    """Each row once per centre it may have links around; ``home`` marks the nearest centre of a row near one."""
+    wide, half = math.cos(2 * math.acos(cosine)) - 1e-9, math.sqrt((1 + cosine) / 2) + 1e-9
+    if cosine < math.sqrt(0.5):
+        wide = -2.0
+
+    def run(rows: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame({"id": [], "spot": [], "home": [], "free": [], "core": [], "vec": [], "copies": []})
+        if not len(rows) or not len(centres):
+            return out
+        m = _unit(_matrix(rows["vec"].tolist()))
+        at = m @ np.frombuffer(centres["centres"].iloc[0], float).reshape(-1, m.shape[1]).T
+        best = at.argmax(1)
+        top = at[np.arange(len(m)), best]
+        r, c = np.nonzero(at >= wide)
+        home = (best[r] == c) & (top[r] >= cosine)
+        picked = rows.iloc[r]
+        spot = [f"{picked['grp'].iloc[0]}/{x}" for x in c] if len(r) else []
+        return pd.DataFrame({"id": picked["id"].to_numpy(), "spot": spot, "home": home, "free": top[r] < cosine, "core": home & (top[r] >= half), "vec": picked["vec"].to_numpy(), "copies": picked["copies"].to_numpy()})
+
+    return run
+
+
+def _forest_of(links: np.ndarray):
+    """Edges (row, first row) that span the components of a symmetric matrix; each row is read once."""
+    alone = links.any(1)
+    while alone.any():
+        first = int(alone.argmax())
+        alone[first] = False
+        front = np.array([first])
+        while len(front):
+            front = np.flatnonzero(links[front].any(0) & alone)
+            alone[front] = False
+            for x in front:
+                yield x, first
+
+
+def _block_links(cosine: float):
+    """Degrees and spanning edges of one pair of blocks of a spot; pairs within its core are left out."""
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        p, q = int(frame["p"].iloc[0]), int(frame["q"].iloc[0])
+        frame = frame.sort_values(["block", "id"])
+        raw = _matrix(frame["vec"].tolist())
+        unit, n = _unit(raw), len(raw)
+        ids, w = frame["id"].to_numpy(), frame["copies"].to_numpy().astype(float)
+        home, free = frame["home"].to_numpy().astype(bool), frame["free"].to_numpy().astype(bool)
+        block = frame["block"].to_numpy()
+        cut = n if p == q else int((block == p).sum())
+        rows, cols = slice(0, cut), slice(0, n) if p == q else slice(cut, n)
+        dots = unit[rows] @ unit[cols].T
+        links = dots >= cosine
+        a, b = np.nonzero(np.abs(dots - cosine) < 1e-9)
+        if len(a):
+            x, y = raw[rows][a], raw[cols][b]
+            links[a, b] = np.einsum("ij,ij->i", x, y) / (np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y))) >= cosine
+        if p == q:
+            links[np.arange(n), np.arange(n)] = False
+        links &= home[rows][:, None] | home[cols][None]  # the rest is another spot's, or the forest's
+        total = np.zeros(n)
+        total[rows] = np.where(home[rows] | free[rows], links @ w[cols], 0)
+        if p != q:
+            total[cols] = np.where(home[cols] | free[cols], w[rows] @ links, 0)
+        whole = links
+        if p != q:
+            whole = np.zeros((n, n), bool)
+            whole[rows, cols], whole[cols, rows] = links, links.T
+        edges = list(_forest_of(whole))
+        some = np.flatnonzero(total)
+        u = np.concatenate([ids[some], ids[[x for x, _ in edges]]]) if edges else ids[some]
+        v = np.concatenate([np.full(len(some), -1), ids[[y for _, y in edges]]]) if edges else np.full(len(some), -1)
+        return pd.DataFrame({"u": u, "v": v, "n": np.concatenate([total[some], np.zeros(len(edges))]).astype(np.int64), "edge": np.arange(len(u)) >= len(some)})
+
+    return compare
+
+
+def spot_links(vectors: DataFrame, centres: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
+    """The members (id, spot, home, free, core, vec, copies) of all spots, and their (u, v, n, edge); both staged.
+
+    A vector as near to a centre as a link has its home there. By the triangle inequality all its links
+    are within twice that angle of the centre, and two vectors within half of it (the core) are linked for sure. The
+    others are compared block by block, a task for each pair of blocks. A link between two homes is counted for each
+    end at its own home; one with a vector of no home (free), at the other's home for both.
+    """
+    sizes = stage(vectors.groupBy("grp").agg(F.count(F.lit(1)).alias("rows")).join(centres.select("grp"), "grp"), "grp-sizes")
+    shape = "id long, spot string, home boolean, free boolean, core boolean, vec binary, copies long"
+    members = stage(_around(vectors, sizes, centres, ["grp"], _homes(cosine), shape), "spot-members")
+    counts = members.groupBy("spot").agg(F.count_if("core").alias("cores"), F.count_if(~F.col("core")).alias("others"))
+    counts = stage(counts.select("spot", F.ceil(F.col("cores") / CROWD).cast("int").alias("c"), F.ceil(F.col("others") / CROWD).cast("int").alias("o")), "spot-blocks").where("o > 0")
+    hashed = F.xxhash64("id", F.lit(13))
+    # blocks 0 .. o - 1 hold the others, the next c the core
+    block = F.when(F.col("core"), F.col("o") + F.pmod(hashed, F.greatest("c", F.lit(1)))).otherwise(F.pmod(hashed, F.col("o"))).cast("int")
+    dealt = members.join(counts, "spot").withColumn("block", block)
+    other = F.when(F.col("core"), F.sequence(F.lit(0), F.col("o") - 1)).otherwise(F.sequence(F.lit(0), F.col("o") + F.col("c") - 1))
+    paired = dealt.withColumn("with", F.explode(other)).select("id", "spot", "home", "free", "vec", "copies", "block", F.least("block", "with").alias("p"), F.greatest("block", "with").alias("q"))
+    compared = paired.groupBy("spot", "p", "q").applyInPandas(_block_links(cosine), "u long, v long, n long, edge boolean")
+    return members, stage(compared, "spot-links")
 
 
 # ---- the forest
@@ -216,16 +326,15 @@ def _linked(m: np.ndarray, cosine: float, block: int = 2048):
 def _compared(cosine: float):
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("id")
-        ids, spots = frame["id"].to_numpy(), frame["spot"].to_numpy()
-        parts = [(ids[a], ids[b], spots[a], spots[b]) for a, b in _linked(_matrix(frame["vec"].tolist()), cosine)]
-        found = pd.DataFrame({k: np.concatenate([p[i] for p in parts]) for i, k in enumerate(("a", "b", "s", "t"))})
-        return found[found["s"].isna() | (found["s"] != found["t"])][["a", "b"]].drop_duplicates()
+        ids = frame["id"].to_numpy()
+        parts = [(ids[a], ids[b]) for a, b in _linked(_matrix(frame["vec"].tolist()), cosine)]
+        return pd.DataFrame({k: np.concatenate([p[i] for p in parts]) for i, k in enumerate(("a", "b"))}).drop_duplicates()
 
     return compare
 
 
-def forest_links(vectors: DataFrame, spots: DataFrame, cosine: float = COSINE, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL) -> DataFrame:
-    """(a, b) of linked vectors (id, grp, vec), without the pairs within one spot; staged.
+def forest_links(vectors: DataFrame, cosine: float = COSINE, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL) -> DataFrame:
+    """(a, b) of linked vectors (id, grp, vec); staged.
 
     Cells above ``leaf`` rows are cut up to ``DEPTH`` times a round; the cuts come from a bounded sample of each
     cell, all rows are routed by them. A cell whose rows the cuts do not spread is compared as it is, in blocks.
@@ -249,8 +358,7 @@ def forest_links(vectors: DataFrame, spots: DataFrame, cosine: float = COSINE, t
         cells = stage(routed, "forest-cells")
         now = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("rows")).withColumn("parent", F.regexp_replace("cell", r"\.[^.]*$", ""))
         stuck = stage(now.join(before, "parent").where("rows > 0.9 * whole").select("cell"), "forest-stuck")
-    named = done.join(spots.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("id", "cell", "vec", "spot")
-    pairs = named.groupBy("cell").applyInPandas(_compared(cosine), "a long, b long")
+    pairs = done.groupBy("cell").applyInPandas(_compared(cosine), "a long, b long")
     return stage(pairs.distinct(), "forest-links")
 
 
@@ -266,20 +374,28 @@ def near_duplicates(rows: DataFrame, id_column: str = "vec_id", vector_column: s
     ready = stage(picked.mapInArrow(_prepared, "id long, grp string, print binary, vec binary"), "vectors")
     valid = ready.where("grp IS NOT NULL")
     firsts = stage(valid.groupBy("grp", "print").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("vec").alias("vec")), "vector-firsts")
-    vectors = firsts.select(F.col("first").alias("id"), "grp", "vec")
-    spots = stage(dense_spots(vectors, cosine), "vector-spots")
-    pairs = forest_links(vectors, spots, cosine, trees, leaf, spill)
-
+    vectors = firsts.select(F.col("first").alias("id"), "grp", "vec", "copies")
     copies = firsts.select(F.col("first").alias("_id"), "copies")
-    counted = stage(spots.join(copies, F.col("id") == F.col("_id")).select("id", "spot", "copies"), "spot-copies")
-    inside = counted.groupBy("spot").agg(F.sum("copies").alias("all"), F.min("id").alias("least"))
-    inside = stage(counted.join(inside, "spot"), "spot-members")
+    centres = dense_centres(vectors, cosine, leaf)
+    if centres is None or not centres.limit(1).count():
+        pairs = forest_links(vectors, cosine, trees, leaf, spill)
+        edges, counted, inside = pairs, None, None
+    else:
+        members, found = spot_links(vectors, centres, cosine)
+        pairs = forest_links(vectors.join(members.where("home").select("id"), "id", "left_anti"), cosine, trees, leaf, spill)
+        core = members.where("core").select("id", "spot", "copies")
+        inside = stage(core.join(core.groupBy("spot").agg(F.sum("copies").alias("all"), F.min("id").alias("least")), "spot"), "spot-cores")
+        counted = found.where("NOT edge").select("u", F.col("n").alias("copies"))
+        edges = pairs.union(found.where("edge").select("u", "v")).union(inside.select("least", "id"))
     both = pairs.union(pairs.select("b", "a")).toDF("u", "v")
-    outside = both.join(copies, F.col("v") == F.col("_id")).groupBy("u").agg(F.sum("copies").alias("outside"))
-    roots = components(pairs.union(inside.select("least", "id")))
+    linked = both.join(copies, F.col("v") == F.col("_id")).select("u", "copies")
+    outside = (linked if counted is None else linked.union(counted)).groupBy("u").agg(F.sum("copies").alias("outside"))
+    within = F.lit(None).cast("long").alias("inside")
+    inside = firsts.limit(0).select(F.col("first").alias("node"), within) if inside is None else inside.select(F.col("id").alias("node"), (F.col("all") - F.col("copies")).alias("inside"))
+    roots = components(edges)
 
     known = firsts.select("grp", "print", F.col("first").alias("node"), "copies")
-    known = known.join(outside.withColumnRenamed("u", "node"), "node", "left").join(inside.select(F.col("id").alias("node"), (F.col("all") - F.col("copies")).alias("inside")), "node", "left").join(roots, "node", "left")
+    known = known.join(outside.withColumnRenamed("u", "node"), "node", "left").join(inside, "node", "left").join(roots, "node", "left")
     nothing = F.lit(0)
     links = F.col("copies") - 1 + F.coalesce("outside", nothing) + F.coalesce("inside", nothing)
     known = stage(known.select("grp", "print", links.alias("n_links"), F.coalesce("root", "node").alias("component")), "vector-known")

@@ -281,6 +281,31 @@ def test_vector_links_against_all_pairs(spark, monkeypatch):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_large_groups_of_near_copies_are_linked_whole(spark):
+    rng = np.random.default_rng(4)
+    parts, label = [], []
+    for name, (size, cosine) in enumerate([(1000, 0.98), (3000, 0.985), (5000, 0.986)]):
+        centre = rng.standard_normal(64)
+        centre /= np.linalg.norm(centre)
+        noise = rng.standard_normal((size, 64))
+        noise -= (noise @ centre)[:, None] * centre
+        noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+        parts.append(math.sqrt(cosine) * centre + math.sqrt(1 - cosine) * noise)
+        label += [name] * size
+    m = np.concatenate(parts)
+    rows = [(i, v, x) for i, (v, x) in enumerate(zip(m.tolist(), label))]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    found = np.zeros(len(m), np.int64)
+    for r in got:
+        found[r.id] = r.n_links
+    at = 0
+    for part in parts:
+        unit = part / np.linalg.norm(part, axis=1, keepdims=True)
+        assert found[at : at + len(part)].tolist() == ((unit @ unit.T >= 0.98).sum(1) - 1).tolist()
+        at += len(part)
+    assert len({r.component_id for r in got}) == 3
+
+
 def test_quality_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = quality_fm.classify(docs, labels).join(labels, F.col("id") == F.col("doc_id")).where("held_out").collect()
