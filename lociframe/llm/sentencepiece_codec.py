@@ -9,20 +9,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociframe.llm.common import MASK, batches
+from lociframe.llm.common import MASK, batches, mixed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # a public vocabulary; any BPE model with byte fallback will do
 DROPOUT, SEED = 0.1, 42
-VARIANTS = 4  # segmentations of a chunk that a seed can give
-REMEMBERED = 400_000  # chunks a task keeps the segmentations of
+VARIANTS = 4  # ways to drop or take the first two merges of a chunk, which are numbered together
+REMEMBERED = 400_000  # chunks, with the later merges they drop, that a task keeps the segmentations of
 LONGEST = 32  # characters of such a chunk
 SPACE = "▁"
 GROUP = 200_000  # chunks looked up at a time, about
 TOGETHER = 4096  # chunks segmented at a time
+PLACES = 128  # more than a chunk of LONGEST characters has candidate merges, which is 3 for each two neighbours at most
 GONE, OTHER = 0, 1  # symbols: merged into the one before; a letter of no piece
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -33,13 +33,16 @@ def _found(sorted_keys: np.ndarray, values: np.ndarray, keys: np.ndarray, defaul
 
 
 class _Numbers(dict):
-    """Number of each chunk; a new one gets the next, and is added to ``chunks``."""
+    """Number of each chunk, or chunk and later merges it drops; a new one gets the next, and is added to both lists."""
 
     chunks: list[str]
+    later: list[int]
 
-    def __missing__(self, chunk: str) -> int:
-        n = self[chunk] = len(self.chunks)
+    def __missing__(self, key: str | tuple[str, int]) -> int:
+        n = self[key] = len(self.chunks)
+        chunk, later = key if isinstance(key, tuple) else (key, 0)
         self.chunks.append(chunk)
+        self.later.append(later)
         return n
 
 
@@ -47,8 +50,9 @@ class Codec:
     """Pieces of a SentencePiece BPE model, its merges, and both directions.
 
     The text gets a leading space, spaces become the piece mark, and pieces are merged by score, best first,
-    leftmost among equals. Every candidate merge draws from a keyed hash when it is taken from the
-    agenda; one that is dropped never comes back. A mark that the text itself contains is spelled in bytes,
+    leftmost among equals. Every candidate merge is drawn for when it is taken from the agenda, anew for each
+    occurrence of a chunk, by a hash of the document's key and the place; one that is dropped never comes back. Segmentations are
+    kept by chunk and dropped candidates (bit i of a pattern: the i-th one taken), so equal draws are segmented once. A mark that the text itself contains is spelled in bytes,
     as is any character without a piece, so decoding gives back every text.
     """
 
@@ -66,6 +70,8 @@ class Codec:
             raise ValueError("the model has pieces over word borders")
         self.bytes = {i: piece.replace(SPACE, " ").encode() for piece, i in self.ids.items()} | {i: bytes([b]) for b, i in self.byte_ids.items()}
         self.limit, self.seed = int(dropout * (1 << 32)), seed
+        # a draw, uniform on 64 bits, passes the first n candidates if it is below item n - 1
+        self.passing = np.array([min(int((1 - dropout) ** n * 2.0**64), MASK) for n in range(1, PLACES + 1)], np.uint64)
         self._number()
         self._forget()
 
@@ -87,21 +93,9 @@ class Codec:
     def _spelled(self, symbol: str) -> list[int]:
         return [self.ids[symbol]] if symbol in self.ids else [self.byte_ids[b] for b in symbol.encode()]
 
-    def _dropped(self, key, start, left, size):
-        """Whether the merge of ``size`` characters at ``start``, ``left`` of them in the first piece, is skipped.
-
-        Takes numbers or arrays of unsigned 64-bit numbers.
-        """
-        draw = (key ^ (start * 0x9E3779B97F4A7C15) ^ (size * 0xC2B2AE3D27D4EB4F) ^ (left * 0x165667B19E3779F9)) & MASK
-        draw = (draw ^ (draw >> 29)) * 0xBF58476D1CE4E5B9 & MASK
-        return (draw ^ (draw >> 32)) & 0xFFFFFFFF < self.limit
-
-    def _key(self, chunk: str, variant: int) -> int:
-        return xxhash.xxh64_intdigest(chunk.encode(), (self.seed * VARIANTS + variant) & MASK) if self.limit else 0
-
-    def segment(self, chunk: str, variant: int = 0) -> list[str]:
-        """Pieces of a chunk of any length after all merges but the dropped ones; the agenda is a heap."""
-        key = self._key(chunk, variant)
+    def segment(self, chunk: str, pattern: int = 0) -> list[str]:
+        """Pieces of a chunk of any length after all merges but the pattern's; the agenda is a heap."""
+        dropped, taken = bin(pattern)[:1:-1], 0
         symbols: list[str | None] = list(chunk)
         after, before = list(range(1, len(chunk) + 1)), list(range(-1, len(chunk) - 1))
         agenda: list[tuple[float, int, int, int]] = []
@@ -117,7 +111,8 @@ class Codec:
             _, i, j, size = heapq.heappop(agenda)
             if symbols[i] is None or symbols[j] is None or after[i] != j or len(symbols[i]) + len(symbols[j]) != size:
                 continue
-            if self.limit and self._dropped(key, i, len(symbols[i]), size):
+            taken += 1
+            if dropped[taken - 1 : taken] == "1":
                 continue
             symbols[i], symbols[j] = symbols[i] + symbols[j], None
             after[i] = after[j]
@@ -136,13 +131,19 @@ class Codec:
         mark = [self.byte_ids[b] for b in SPACE.encode()]
         self.numbers = _Numbers({"": 0})
         self.chunks = self.numbers.chunks = [""]
+        self.later = self.numbers.later = [0]
+        self.children: dict[int, int] = {}
+        self.taken = np.zeros(VARIANTS, np.int64)
         self.starts, self.lengths = np.zeros(VARIANTS, np.int64), np.full(VARIANTS, len(mark), np.int64)
         self.pieces = np.array(mark, np.int32)
 
     def _remember(self, codes: np.ndarray) -> None:
-        """Segment chunks, given as number * VARIANTS + variant, and keep their ids in one array."""
+        """Segment chunks, given as number * VARIANTS + the pattern's first two bits, and keep their ids in one array."""
         more = len(self.chunks) * VARIANTS - len(self.starts)
-        self.starts, self.lengths = np.append(self.starts, np.full(more, -1)), np.append(self.lengths, np.zeros(more, np.int64))
+        if more > 0:
+            more += len(self.starts) // 2  # room for later ones
+            self.starts, self.lengths = np.append(self.starts, np.full(more, -1)), np.append(self.lengths, np.zeros(more, np.int64))
+            self.taken = np.append(self.taken, np.zeros(more, np.int64))
         codes = codes[self.starts[codes] < 0]
         sizes = np.array([len(self.chunks[n]) for n in (codes // VARIANTS).tolist()], np.int64)
         order = np.argsort(sizes, kind="stable")
@@ -158,8 +159,8 @@ class Codec:
         short = int(np.searchsorted(sizes, LONGEST, "right"))
         for at in range(0, short, TOGETHER):
             part = codes[at : min(at + TOGETHER, short)]
-            chunks, variants = [self.chunks[n] for n in (part // VARIANTS).tolist()], (part % VARIANTS).tolist()
-            symbols = self._merged(chunks, sizes[at : at + len(part)], np.array([self._key(*k) for k in zip(chunks, variants)], np.uint64))
+            chunks = [self.chunks[n] for n in (part // VARIANTS).tolist()]
+            symbols, self.taken[part] = self._merged(chunks, sizes[at : at + len(part)], self._pattern_bits(part))
             ids, here = self.piece_ids[symbols], symbols != GONE
             spelled = (here & (ids < 0)).any(1)
             keep(part[~spelled], here[~spelled].sum(1), ids[~spelled][here[~spelled]])
@@ -168,21 +169,36 @@ class Codec:
             lists = [self._spelled_all([chunks[row][i:j] for i, j in zip(p, p[1:])]) for row, p in zip(rows, places)]
             keep(part[rows], np.array([len(x) for x in lists], np.int64), np.array([i for x in lists for i in x], np.int64))
         for code in codes[short:].tolist():  # segmented alone
-            ids = np.array(self._spelled_all(self.segment(self.chunks[code // VARIANTS], code % VARIANTS)))
+            ids = np.array(self._spelled_all(self.segment(self.chunks[code // VARIANTS], self._pattern(code))))
             keep(np.array([code]), np.array([len(ids)]), ids)
         for n in np.unique(codes[short:] // VARIANTS).tolist():  # the texts of long chunks are not kept
-            del self.numbers[self.chunks[n]]
-            self.chunks[n] = ""
+            del self.numbers[(self.chunks[n], self.later[n]) if self.later[n] else self.chunks[n]]
+            self.chunks[n], self.later[n] = "", 0
         self.pieces = np.concatenate(found)
 
+    def _pattern(self, code: int) -> int:
+        return self.later[code // VARIANTS] * VARIANTS + code % VARIANTS
+
+    def _pattern_bits(self, codes: np.ndarray) -> np.ndarray:
+        """The patterns of chunks of at most LONGEST characters, a row each."""
+        data = b"".join(self._pattern(code).to_bytes(PLACES // 8, "little") for code in codes.tolist())
+        return np.unpackbits(np.frombuffer(data, np.uint8).reshape(-1, PLACES // 8), axis=1, bitorder="little").astype(bool)
+
+    def _code(self, chunk: str, pattern: int) -> int:
+        later, first = divmod(pattern, VARIANTS)
+        return self.numbers[(chunk, later) if later else chunk] * VARIANTS + first
+
     def _ids(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of known chunks, one after the other, and where each chunk ends."""
         lengths = self.lengths[codes]
         ends = np.cumsum(lengths)
         return self.pieces[np.repeat(self.starts[codes] - (ends - lengths), lengths) + np.arange(lengths.sum())], ends
 
-    def _merged(self, chunks: list[str], sizes: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """Symbols of each chunk at the places where they start; GONE elsewhere. Each step takes the best merge of every chunk."""
+    def _merged(self, chunks: list[str], sizes: np.ndarray, dropped: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of each chunk at the places where they start, GONE elsewhere; and how many candidates it had.
+
+        Each step takes the best merge of every chunk, and skips those of ``dropped`` (chunk, step).
+        """
         n, width = len(chunks), int(sizes.max()) + 1
         letters = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
         symbols = np.full((n, width), GONE, np.int32)
@@ -191,15 +207,18 @@ class Codec:
         before = after - 2
         ranks = np.full((n, width), np.inf)
         ranks[:, :-1] = self._pair_ranks(symbols[:, :-1], symbols[:, 1:])
-        rows = np.arange(n)
+        rows, step, taken = np.arange(n), -1, np.zeros(n, np.int64)
+        some_dropped = bool(dropped.any())
         while len(rows):
             best = ranks[rows].argmin(1)
             some = ranks[rows, best] < np.inf
             rows, best = rows[some], best[some]
+            step += 1
+            taken[rows] += 1
             second = after[rows, best]
             third = after[rows, second]
-            if self.limit:
-                gone = self._dropped(keys[rows], best.astype(np.uint64), (second - best).astype(np.uint64), (third - best).astype(np.uint64))
+            if some_dropped and len(rows):
+                gone = dropped[rows, step]
                 ranks[rows[gone], best[gone]] = np.inf
                 took, best, second, third = rows[~gone], best[~gone], second[~gone], third[~gone]
             else:
@@ -214,23 +233,80 @@ class Codec:
             left = before[took, best]
             has = left >= 0
             ranks[took[has], left[has]] = self._pair_ranks(symbols[took[has], left[has]], merged[has])
-        return symbols
+        return symbols, taken
 
     def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return self.symbol_ranks[_found(self.pairs, self.pair_symbols, left.astype(np.int64) * self.n_symbols + right, OTHER)]
 
-    def _coded(self, text: str, key: int) -> np.ndarray:
-        """Chunks of a text as number * VARIANTS + variant; ``key`` and the place choose the variant."""
+    def _split(self, text: str) -> list[str]:
         chunks: list[str] = []
         for n, part in enumerate(text.split(SPACE) if text else []):
             chunks += [""] * (n > 0) + _CHUNK.findall((part if n else " " + part).replace(" ", SPACE))
-        numbers = np.fromiter(map(self.numbers.__getitem__, chunks), np.int64, len(chunks))
+        return chunks
+
+    def _draws(self, streams: np.ndarray, count: int) -> np.ndarray:
+        """The draw number ``count`` of each occurrence."""
+        return mixed(streams + np.uint64((count + 1) * 0xC2B2AE3D27D4EB4F & MASK))
+
+    def _passed(self, draws: np.ndarray) -> np.ndarray:
+        """Candidates that each draw passes before it drops one; PLACES if it drops none of so many."""
+        return PLACES - np.searchsorted(self.passing[::-1], draws, "right")
+
+    def _streams(self, key: int, count: int) -> np.ndarray:
+        """A number for the draws of each chunk of a text, from the text's key and the place."""
+        start = mixed(mixed(np.array([key & MASK], np.uint64)) ^ np.uint64((self.seed * 0x9E3779B97F4A7C15 + 0x165667B19E3779F9) & MASK))
+        return mixed(start + np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+    def _long_pattern(self, chunk: str, stream: np.ndarray) -> int:
+        """Dropped candidates of a chunk of any length."""
+        most = 3 * len(chunk)
+        bits, at, count = bytearray(b"0") * most, 0, 0
+        while at < most:
+            draws = np.concatenate([self._draws(stream, i) for i in range(count, count + 64)])
+            count += 64
+            for gap in self._passed(draws).tolist():
+                at += gap
+                if gap < PLACES:  # else that many pass, and the next draw goes on
+                    if at >= most:
+                        break
+                    bits[at] = 49
+                    at += 1
+        return int(bits[::-1], 2)
+
+    def _varied(self, chunks: list[str], streams: np.ndarray) -> np.ndarray:
+        """Codes of occurrences, with the candidates that each one's own draws drop; all are remembered."""
+        codes = np.fromiter(map(self.numbers.__getitem__, chunks), np.int64, len(chunks)) * VARIANTS
         if not self.limit:
-            return numbers * VARIANTS
-        factors = np.cumprod(np.full(len(chunks), 6364136223846793005, np.uint64), dtype=np.uint64)
-        sums = np.cumsum(np.concatenate([np.ones(1, np.uint64), factors])[: len(chunks)], dtype=np.uint64)
-        places = factors * np.uint64((key * 0x9E3779B97F4A7C15 ^ self.seed) & MASK) + sums * np.uint64(1442695040888963407)
-        return numbers * VARIANTS + np.where(numbers > 0, (places >> np.uint64(62)).astype(np.int64), 0)  # one of VARIANTS
+            self._remember(np.unique(codes))
+            return codes
+        long = np.array([n for n, chunk in enumerate(chunks) if len(chunk) > LONGEST], np.int64)
+        plain = np.ones(len(codes), bool)
+        plain[long] = False
+        for n in np.unique(codes[long] // VARIANTS).tolist():  # are numbered again with their patterns
+            del self.numbers[self.chunks[n]]
+            self.chunks[n] = ""
+        for n in long.tolist():
+            codes[n] = self._code(chunks[n], self._long_pattern(chunks[n], streams[n : n + 1]))
+        self._remember(np.unique(codes))
+        active, at, count = np.flatnonzero(plain & (codes > 0)), np.zeros(len(codes), np.int64), 0
+        while len(active):
+            left = self.taken[codes[active]] - at[active]
+            active, left = active[left > 0], left[left > 0]
+            draws = self._draws(streams[active], count)
+            some = draws >= self.passing[left - 1]
+            active, draws = active[some], draws[some]
+            places = at[active] + self._passed(draws)
+            keys, which = np.unique(codes[active] * PLACES + places, return_inverse=True)
+            found = [self.children.get(key) for key in keys.tolist()]
+            for i, key in enumerate(keys.tolist()):
+                if found[i] is None:
+                    code, place = divmod(key, PLACES)
+                    found[i] = self.children[key] = self._code(self.chunks[code // VARIANTS], self._pattern(code) | 1 << place)
+            new = np.array(found, np.int64)
+            self._remember(np.unique(new))
+            codes[active], at[active] = new[which], places + 1
+            count += 1
+        return codes
 
     def encode_all(self, texts: list[str | None], keys: list[int]) -> Iterator[list[int] | None]:
         """Ids of each text, by groups of texts whose unknown chunks are segmented together."""
@@ -238,21 +314,22 @@ class Codec:
         while at < len(texts):
             if len(self.chunks) >= REMEMBERED or len(self.pieces) >= 8 * REMEMBERED:
                 self._forget()
-            group: list[np.ndarray] = []
-            held = 0
-            while at + len(group) < len(texts) and held < GROUP:
-                group.append(self._coded(texts[at + len(group)] or "", keys[at + len(group)]))
-                held += len(group[-1])
-            codes = np.concatenate(group)
-            self._remember(np.unique(codes))
-            ids, ends = self._ids(codes)
-            stops = np.append(0, ends)[np.cumsum([len(part) for part in group])].tolist()
+            chunks: list[str] = []
+            sizes: list[int] = []
+            streams: list[np.ndarray] = []
+            while at + len(sizes) < len(texts) and len(chunks) < GROUP:
+                part = self._split(texts[at + len(sizes)] or "")
+                streams.append(self._streams(keys[at + len(sizes)], len(part)) if self.limit else np.empty(0, np.uint64))
+                sizes.append(len(part))
+                chunks += part
+            ids, ends = self._ids(self._varied(chunks, np.concatenate(streams)))
+            stops = np.append(0, ends)[np.cumsum(sizes)].tolist()
             for start, stop in zip([0, *stops], stops):
                 yield None if texts[at] is None else ids[start:stop].tolist()
                 at += 1
 
     def encode(self, text: str, key: int = 0) -> list[int]:
-        """Ids of a text; ``key`` (a document's number) and the place of a chunk choose its variant."""
+        """Ids of a text; ``key`` (a document's number) and the place of a chunk choose what it drops."""
         return next(self.encode_all([text], [key]))
 
     def decode(self, ids: list[int]) -> str:

@@ -258,6 +258,20 @@ def test_chunks_segmented_together_and_alone_agree(dropout):
     assert got == [None if t is None else sentencepiece_codec.Codec(dropout=dropout).encode(t, i) for i, t in enumerate(texts)]
 
 
+def test_every_occurrence_draws_its_own_merges():
+    own = sentencepiece_codec.Codec(dropout=0.1)
+    seen = [tuple(own.encode("information", key)) for key in range(3000)]
+    plain = tuple(sentencepiece_codec.Codec(dropout=0.0).encode("information"))
+    rng = random.Random(3)
+    drawn = [tuple(own._spelled_all(own.segment("▁information", sum((rng.random() < 0.1) << i for i in range(40))))) for _ in range(3000)]
+    assert len(set(seen)) == pytest.approx(len(set(drawn)), rel=0.25) and len(set(seen)) > 30
+    assert seen.count(plain) / 3000 == pytest.approx(drawn.count(plain) / 3000, abs=0.04)
+    text = "information " * 400
+    assert len(set(tuple(x) for x in own.encode_all([text] * 5, list(range(5))))) == 5
+    long = "information" * 4  # longer than LONGEST
+    assert len({tuple(own.encode(long, key)) for key in range(200)}) > 100
+
+
 def test_vector_links_against_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "CROWD", 300)
     rng = np.random.default_rng(3)
