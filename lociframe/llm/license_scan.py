@@ -6,6 +6,8 @@ set is made of the fixed texts below, so its size and that of the weights are bo
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +60,24 @@ FAMILIES = [*dict.fromkeys(f for f, _ in TEMPLATES), UNKNOWN]
 ROUNDS, RATE, DECAY = 8, 20.0, 1e-4
 SHIFTS = [0.0, 0.5, 1.0, 1.5, 2.0, 2.5, 3.0]  # of the unknown class, tried on held-out examples
 ALIKE = 0.6  # share of the template's n-grams that confirms
+STEP = 56  # words from one window of a paragraph to the next; a window has twice as many, so no notice of so many words is cut
+
+
+def _notice_words() -> list[str]:
+    """Words such that a text without any of them shares less than ALIKE of every template's n-grams."""
+    chosen: list[str] = []
+    for _, text in TEMPLATES:
+        words = re.findall(WORD, text.lower())
+        grams = {(w,) for w in words} | set(zip(words, words[1:]))
+        for word in ["", *sorted(set(words), key=lambda w: (-len(w), w))]:
+            if sum(not set(g) & set(chosen) for g in grams) < ALIKE * len(grams):
+                break
+            if word and word not in chosen:
+                chosen.append(word)
+    return chosen
+
+
+NOTICE = "(?i)" + "|".join(re.escape(w) for w in _notice_words())
 
 
 def ngrams(text: Column) -> Column:
@@ -115,32 +135,73 @@ def train(spark: SparkSession) -> tuple[DataFrame, float]:
     return weights, float(wrong["shift"])
 
 
-def paragraphs(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, place, paragraph) of the lines with a word that every notice has one of."""
-    gated = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where(F.col("text").rlike(GATE))
-    return gated.select("id", F.posexplode(F.split("text", r"\n")).alias("place", "paragraph")).where(F.col("paragraph").rlike(GATE))
+def gated_lines(texts: DataFrame) -> DataFrame:
+    """(row, id, place, last, par, paragraph) of the lines with a word of GATE."""
+    lines = texts.select("row", "id", F.posexplode(F.split("text", r"\n")).alias("place", "paragraph")).where(F.col("paragraph").rlike(GATE))
+    return lines.select("row", "id", "place", F.col("place").alias("last"), F.lit(None).cast("long").alias("par"), "paragraph")
 
 
-def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, place, family, probability, similarity, paragraph) of every line that may be a licence notice.
+def windows(texts: DataFrame) -> DataFrame:
+    """(row, id, place, last, par, paragraph) of overlapping windows of each paragraph's words.
+
+    A line without letters and digits, such as an empty one or a bare comment mark, ends a paragraph; the marks of other
+    lines are in no n-gram. Only windows that can share enough with a template are returned.
+    """
+    lines = texts.where(F.col("text").rlike(NOTICE)).select("row", "id", F.posexplode(F.split("text", r"\n")).alias("place", "line"))
+    border = ~F.col("line").rlike("[A-Za-z0-9]")
+    lines = lines.withColumn("par", F.sum(border.cast("long")).over(Window.partitionBy("row").orderBy("place"))).where(~border)
+    lines = lines.withColumn("words", F.split(F.trim(F.regexp_replace("line", r"\s+", " ")), " ")).drop("line")
+    lines = lines.withColumn("end", F.sum(F.size("words")).over(Window.partitionBy("row", "par").orderBy("place")))
+    lines = lines.withColumn("start", F.col("end") - F.size("words"))
+    held = F.sequence(F.greatest(F.floor(F.col("start") / STEP) - 1, F.lit(0)), F.floor((F.col("end") - 1) / STEP))
+    lines = lines.withColumn("k", F.explode(held))
+    first = F.greatest(F.col("k") * STEP - F.col("start"), F.lit(0)).cast("int")
+    stop = F.least((F.col("k") + 2) * STEP - F.col("start"), F.size("words")).cast("int")
+    pieces = lines.select("row", "id", "par", "k", "place", F.concat_ws(" ", F.slice("words", first + 1, stop - first)).alias("piece"))
+    whole = pieces.groupBy("row", "id", "par", "k").agg(F.min("place").alias("place"), F.max("place").alias("last"), F.array_sort(F.collect_list(F.struct("place", "piece"))).alias("pieces"))
+    out = whole.select("row", "id", "place", "last", "par", F.concat_ws(" ", F.col("pieces.piece")).alias("paragraph"))
+    return out.where(F.col("paragraph").rlike(NOTICE))
 
-    Lines without any word of GATE belong to no licence by definition and are not returned; neither are null and
-    empty texts. The family is the most likely one, if it is not the unknown class and its nearest template
-    shares ALIKE of its n-grams with the line; else it is unknown. Equal rows give equal rows. Lines are
-    scored alone, so a document of any length is split over its lines.
+
+def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, place, family, probability, similarity, paragraph) of every line or paragraph that may be a licence notice.
+
+    Lines with a word of GATE are returned, with the most likely family, if it is not the unknown class and its
+    nearest template shares ALIKE of its n-grams with the line; else as unknown. Paragraphs are also
+    classified in windows of neighbouring lines, whatever their words: of the families more likely than the unknown class the one whose
+    template is shared most, if ALIKE of it is. Such a notice is a row at its window's first line, once per family and paragraph, unless
+    a line of it says the same; it takes the place of the unknown lines it spans. Null and empty texts give no row.
+    Equal rows give equal rows.
     """
     spark = docs.sparkSession
     weights, shift = train(spark)
-    lines = paragraphs(docs, id_column, text_column).withColumn("grams", ngrams(F.col("paragraph")))
+    picked = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where(F.col("text").rlike(GATE) | F.col("text").rlike(NOTICE))
+    texts = stage(picked.withColumn("row", F.monotonically_increasing_id()), "licence-texts")
+    lines = gated_lines(texts).unionByName(windows(texts)).withColumn("grams", ngrams(F.col("paragraph")))
     lines = stage(lines.withColumn("line", F.monotonically_increasing_id()), "licence-lines")
     grams = lines.select("line", F.explode("grams").alias("gram"), (1 / F.sqrt(F.size("grams").cast("double"))).alias("x"))
     chances = _chances(grams, F.broadcast(weights), "line", shift=shift)  # bounded by the n-grams of the fixed texts
-    named = chances.groupBy("line").agg(F.max("p").alias("probability"), F.max_by("family", "p").alias("likely"))
-    texts = spark.createDataFrame(TEMPLATES, "of string, template string").coalesce(1).select("of", ngrams(F.col("template")).alias("t"))
-    kept = texts.groupBy("of").agg(F.collect_list("t").alias("templates"))
-    compared = lines.join(named, "line", "left").join(F.broadcast(kept), F.col("likely") == F.col("of"), "left")
-    share = F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("grams"))) / F.size(t)))
-    compared = compared.withColumn("similarity", F.coalesce(share, F.lit(0.0)))
-    sure = (F.col("likely") != UNKNOWN) & (F.col("similarity") >= ALIKE)
-    probability = F.coalesce("probability", F.lit(1.0)).alias("probability")  # no known n-gram: unknown for sure
-    return compared.select("id", "place", F.when(sure, F.col("likely")).otherwise(UNKNOWN).alias("family"), probability, "similarity", "paragraph")
+    named = chances.groupBy("line").agg(F.max("p").alias("top"), F.max_by("family", "p").alias("likely"), F.map_from_entries(F.collect_list(F.struct("family", "p"))).alias("p"))
+    kept = spark.createDataFrame(TEMPLATES, "of string, template string").coalesce(1).select("of", ngrams(F.col("template")).alias("t"))
+    kept = kept.agg(F.collect_list(F.struct("of", "t")).alias("templates"))
+    whole = F.col("par").isNotNull()
+    allowed = F.filter("templates", lambda x: F.when(whole, F.col("p")[x["of"]] > F.col("p")[UNKNOWN]).otherwise(x["of"] == F.col("likely")))
+    shares = F.transform(allowed, lambda x: F.struct((F.size(F.array_intersect(x["t"], F.col("grams"))) / F.size(x["t"])).alias("share"), F.size(x["t"]).alias("size"), x["of"].alias("of")))
+    compared = lines.join(named, "line", "left").crossJoin(F.broadcast(kept)).withColumn("best", F.array_max(shares))
+    compared = compared.withColumn("similarity", F.coalesce("best.share", F.lit(0.0)))
+    likely = F.when(whole, F.col("best.of")).otherwise(F.col("likely"))
+    sure = (likely != UNKNOWN) & (F.col("similarity") >= ALIKE)
+    probability = F.when(whole, F.col("p")[F.col("best.of")]).otherwise(F.coalesce("top", F.lit(1.0)))  # no known n-gram: unknown for sure
+    out = compared.select("row", "id", "place", "last", "par", F.when(sure, likely).otherwise(UNKNOWN).alias("family"), probability.alias("probability"), "similarity", "paragraph")
+    out = stage(out.where(F.col("par").isNull() | (F.coalesce(sure, F.lit(False)))), "licence-compared")
+
+    single, wide = out.where("par IS NULL"), out.where("par IS NOT NULL")
+    one = Window.partitionBy("row", "par", "family").orderBy(F.desc("similarity"), "place")
+    wide = wide.withColumn("nth", F.row_number().over(one)).where("nth = 1").drop("nth").alias("w")
+    said = single.where(F.col("family") != UNKNOWN).select("row", "family", "place").alias("s")
+    alone = (F.col("w.row") == F.col("s.row")) & (F.col("w.family") == F.col("s.family")) & F.col("s.place").between(F.col("w.place"), F.col("w.last"))
+    wide = stage(wide.join(said, alone, "left_anti"), "licence-wide")
+    spans = wide.select("row", "place", "last").alias("w")
+    inside = (F.col("s.row") == F.col("w.row")) & F.col("s.place").between(F.col("w.place"), F.col("w.last")) & (F.col("s.family") == UNKNOWN)
+    single = single.alias("s").join(spans, inside, "left_anti")
+    return single.unionByName(wide).drop("row", "last", "par")

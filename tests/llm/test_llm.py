@@ -218,6 +218,39 @@ def test_licence_scan_finds_notices_only(spark):
     assert license_scan.scan(docs_of(spark, texts).limit(0)).count() == 0
 
 
+NOTICES = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""",
+    "GPL-3.0": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.""",
+    "BSD": """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:""",
+    "LGPL": """// This library is free software; you can redistribute it
+// under the terms of the GNU Lesser General Public
+// License, version 2.1.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+}
+
+
+def test_licence_scan_finds_wrapped_notices(spark):
+    prose = "All rights of the citizens were discussed in public.\nThe general read the terms of the public letter."
+    texts = [f"Some words before.\n#\n{notice}\n\nSome words after." for notice in NOTICES.values()]
+    texts += ["x " * 300 + "\n" + NOTICES["MIT"] + "\n" + "x " * 300, prose]
+    got = license_scan.scan(docs_of(spark, texts)).collect()
+    for i, family in enumerate([*NOTICES, "MIT"]):
+        assert [r.family for r in got if r.id == i] == [family], (family, [(r.place, r.family, r.similarity) for r in got if r.id == i])
+    assert all(r.family == "unknown" for r in got if r.id == len(texts) - 1)
+
+
 TEXTS = ["  Hello  world\n\nx \té", "日本語 und Straße 🙂", "a" * 5000, "▁ mark ▁▁ here", " ", "many words of a plain text, again and again"]
 
 
