@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from lociframe.llm import exact_dedup, jaccard_join, mixing, quality_fm, sentencepiece_codec
-from lociframe.llm.common import without_ids
+from lociframe.llm.common import maybe_member, without_ids
 from lociframe.session import stage
 
 
@@ -37,8 +38,16 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document of the mix."""
-    return sentencepiece_codec.encode(docs).withColumnRenamed("id", "doc_id")
+    """Token ids of every document of the mix; each copy of a document draws merges of its own."""
+    row = docs.select("doc_id", "text")
+    often = stage(row.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    tested = maybe_member(row, F.col("doc_id"), often, F.col("doc_id"))
+    copy = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))) - 1
+    once = F.coalesce(~F.col("_maybe"), F.lit(True)) | F.col("doc_id").isNull()
+    copies = tested.where(~once).withColumn("copy", copy)
+    keyed = tested.where(once).withColumn("copy", F.lit(0)).unionByName(copies)
+    key = F.when(F.col("copy") > 0, F.xxhash64("doc_id", "copy")).otherwise(F.col("doc_id"))
+    return sentencepiece_codec.encode(keyed.select("doc_id", "text", key.alias("key")), key_column="key").withColumnRenamed("id", "doc_id")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -344,11 +344,12 @@ def codec(model: str, dropout: float, seed: int) -> Codec:
     return Codec(model, dropout, seed)
 
 
-def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
+def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, key_column: str | None = None) -> DataFrame:
     """(id, ids, n_ids, lossless) per row: piece ids, and whether they decode to the very text.
 
     Whole texts are encoded in one pass without a shuffle. A null text has null ids, an empty one none. A null id
-    varies segmentations as id 0 does; rows that repeat an id and text get equal ids. The same seed gives
+    varies segmentations as id 0 does; rows that repeat an id and text get equal ids, unless ``key_column`` names
+    other numbers than the ids to draw by. The same seed gives
     the same ids, dropout 0 the model's own.
     """
     schema = pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32())), ("n_ids", pa.int64()), ("lossless", pa.bool_())])
@@ -358,12 +359,12 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         for batch in stream:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                keys, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                ids = list(own.encode_all(texts, [k or 0 for k in keys]))
+                keys, texts, drawn = (part.column(i).to_pylist() for i in range(3))
+                ids = list(own.encode_all(texts, [k or 0 for k in drawn]))
                 fine = [None if t is None else own.decode(i) == t for i, t in zip(ids, texts)]
                 yield batches({"id": keys, "ids": ids, "n_ids": [None if i is None else len(i) for i in ids], "lossless": fine}, schema)
 
-    return docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")).mapInArrow(run, "id long, ids array<int>, n_ids long, lossless boolean")
+    return docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"), F.col(key_column or id_column).cast("long").alias("key")).mapInArrow(run, "id long, ids array<int>, n_ids long, lossless boolean")
 
 
 def decode(encoded: DataFrame, id_column: str = "id", ids_column: str = "ids", model: str = MODEL) -> DataFrame:

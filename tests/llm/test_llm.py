@@ -380,3 +380,14 @@ def test_pipeline_stages(spark):
             docs = out.persist()
     assert out.where("NOT lossless").count() == 0 and out.count() == docs.count() > 0
     assert corpus_pipeline.run(spark, folder).count() == out.count()
+
+
+def test_pipeline_encodes_each_copy_anew(spark):
+    text = "many words of a plain text, again and again " * 20
+    docs = docs_of(spark, [text, "other words", None, ""])
+    docs = docs.union(docs.where("doc_id = 0")).union(docs.where("doc_id = 0")).union(docs.selectExpr("CAST(NULL AS LONG) AS doc_id", *[f"`{c}`" for c in docs.columns[1:]]).where("text = 'other words'"))
+    got = corpus_pipeline.encode(spark, docs, FOLDER).collect()
+    assert len(got) == 7 and all(r.lossless in (True, None) for r in got)
+    assert len({tuple(r.ids) for r in got if r.doc_id == 0}) == 3
+    again = corpus_pipeline.encode(spark, docs.repartition(3), FOLDER).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
