@@ -5,9 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.llm import chat_format, embedding_dedup, exact_dedup, jaccard_join, license_scan, lm_scoring, mixing, quality_fm, sentencepiece_codec, suffix_dedup
+from lociframe.llm import (
+    chat_format,
+    embedding_dedup,
+    exact_dedup,
+    jaccard_join,
+    license_scan,
+    lm_scoring,
+    mixing,
+    quality_fm,
+    sentencepiece_codec,
+    suffix_dedup,
+    token_files,
+)
 from lociframe.llm.common import LOWER, UPPER
 from lociframe.plans.registry import Query, rounded
+from lociframe.session import shared_path
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -159,3 +172,12 @@ def op9_embedding_forest(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     found = quality_fm.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = shared_path(spark, "token-files")
+    token_files.write(table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.read(spark, path, tokens=False).withColumnRenamed("id", "doc_id")
