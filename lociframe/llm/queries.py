@@ -17,6 +17,7 @@ from lociframe.llm import (
     sentencepiece_codec,
     suffix_dedup,
     token_files,
+    whitening,
 )
 from lociframe.llm.common import LOWER, UPPER
 from lociframe.plans.registry import Query, rounded
@@ -174,6 +175,11 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+@query()
+def op12_lanczos_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 @query()
 def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers

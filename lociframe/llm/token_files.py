@@ -32,7 +32,7 @@ from tokenizers import Tokenizer
 from lociframe.llm.common import binary, rows_per_batch
 
 ROWS_PER_PART = 16_384
-REMEMBERED = 250_000  # chunks whose ids a task keeps
+REMEMBERED = 400_000  # chunks whose ids a worker keeps, and as many older ones
 LONGEST = 64  # bytes of such a chunk; longer ones are encoded each time
 TOGETHER = 2 << 20  # bytes of texts looked up together
 ENCODED = 1024  # chunks encoded in one call
@@ -54,13 +54,16 @@ def id_width(tokenizer_path: str, end_id: int | None) -> int:
 class Encoder:
     """Texts to ids. Works for tokenizers that never join text across ASCII white space, and drop it.
 
-    A text is cut at ASCII white space, and a chunk seen before is looked up; so the tokenizer sees each
-    frequent chunk once per task and the ids are those of the whole text.
+    A text is cut at ASCII white space, and a chunk seen before is looked up; so the tokenizer sees a
+    frequent chunk once per worker and the ids are those of the whole text.
     """
 
     def __init__(self, tokenizer_path: str, width: int, end_id: int | None):
         self.tokenizer, self.kind = _tokenizer(tokenizer_path), f"<u{width}"
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}  # those of the time before, from which chunks in use come back
+        probe = "".join(map(chr, range(32, 127)))
+        self.lower = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str(probe) == probe.lower()
         self.end = b"" if end_id is None else np.array([end_id], self.kind).tobytes()
 
     def _encoded(self, chunks: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
@@ -77,18 +80,27 @@ class Encoder:
         """The ids of each text, in order; texts of some ``TOGETHER`` bytes share one look at what is unknown."""
         group, held = [], 0
         for text in texts:
-            group.append(text.split() if text else [])
+            group.append(self._chunks(text or b""))
             held += len(text or b"")
             if held > TOGETHER:
                 yield from self._group(group)
                 group, held = [], 0
         yield from self._group(group)
 
+    def _chunks(self, text: bytes) -> list[bytes]:
+        # Small letters first where the tokenizer makes them anyway, so that fewer chunks differ. Not before a special token's
+        # sign, which is looked for as it stands, nor where marks (U+0300 to U+037F) may join the letter before them.
+        if self.lower and not (b"<|" in text or b"\xcc" in text or b"\xcd" in text):
+            text = text.lower()
+        return text.split()
+
     def _group(self, group: list[list[bytes]]) -> Iterator[bytes]:
-        present = set().union(*group)
-        unknown = list(present - self.known.keys())
-        if len(self.known) + len(unknown) > REMEMBERED:  # chunks of this group stay
-            self.known = {c: self.known[c] for c in present & self.known.keys()}
+        if len(self.known) > REMEMBERED:
+            self.before, self.known = self.known, {}
+        missing = set().union(*group) - self.known.keys()
+        again = missing & self.before.keys()
+        self.known.update((c, self.before[c]) for c in again)
+        unknown = list(missing - again)
         for at in range(0, len(unknown), ENCODED):
             self.known.update(self._encoded(unknown[at : at + ENCODED]))
         get = self.known.__getitem__
@@ -98,6 +110,12 @@ class Encoder:
                 del self.known[c]
 
 
+@lru_cache(maxsize=1)
+def _encoder(tokenizer_path: str, width: int, end_id: int | None) -> Encoder:
+    """A worker's encoder; the next tasks find its chunks."""
+    return Encoder(tokenizer_path, width, end_id)
+
+
 def _place(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
@@ -149,7 +167,7 @@ def write(
     )
 
     def encode(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path, width, end_id)
+        encoder = _encoder(tokenizer_path, width, end_id)
         for batch in stream:
             texts = binary(batch, "text")
             tie = np.array([xxhash.xxh3_64_intdigest(t or b"") for t in texts], np.uint64).view(np.int64)
