@@ -9,6 +9,7 @@ from lociframe.llm import (
     chat_format,
     embedding_dedup,
     exact_dedup,
+    hard_negatives,
     jaccard_join,
     license_scan,
     lm_scoring,
@@ -175,6 +176,12 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+@query()
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, folder, "embeddings").withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
 @query()
 def op12_lanczos_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")

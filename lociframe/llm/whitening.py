@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lociframe.session import stage
@@ -38,20 +38,20 @@ LARGEST = float(1 << 45)
 SEED = 20_231
 
 
-def integers(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """Rows (id, x) that take part, x an array of longs."""
+def integers(vectors: DataFrame, id_column: str, vector_column: str, *others: Column) -> DataFrame:
+    """Rows (id, x and the other columns asked for) that take part, x an array of longs."""
     e = F.col(f"`{vector_column}`").cast("array<double>")
     finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
-    sound = vectors.select(F.col(f"`{id_column}`").alias("id"), e.alias("e")).where(F.coalesce(F.forall("e", finite) & (F.size("e") > 0), F.lit(False)))
+    kept = vectors.select(F.col(f"`{id_column}`").alias("id"), *others, e.alias("e"))
+    sound = kept.where(F.coalesce(F.forall("e", finite) & (F.size("e") > 0), F.lit(False)))
     lengths = sound.groupBy(F.size("e").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
-    if not lengths:
-        return sound.select("id", F.lit(None).cast("array<long>").alias("x")).where(F.lit(False))
 
-    def whole(v):
+    def whole(v: Column) -> Column:
         n = F.floor(v * SCALE)
         return F.when(F.abs(v) < LARGEST, n.cast("long")).otherwise(F.raise_error(F.lit("a vector entry is too large")).cast("long"))
 
-    return sound.where(F.size("e") == lengths[0].d).select("id", F.transform("e", whole).alias("x"))
+    usual = sound.where(F.size("e") == lengths[0].d) if lengths else sound.where(F.lit(False))
+    return usual.withColumn("x", F.transform("e", whole)).drop("e")
 
 
 def _rows(column: pa.Array) -> np.ndarray:
