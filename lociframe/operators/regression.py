@@ -9,8 +9,10 @@ samples: g.g, g.q and g.y. The steps are:
 3. ``solve``     per batch: the k x k factor and the trait coefficients; batches with too few
                  complete cases end here
 4. ``residuals`` per (batch, sample): Q and the trait residuals
-5. ``contract``  the sums per (variant, batch): calls and sample rows are cogrouped by (variant
-                 block, sample block) and multiplied as matrices, partial sums are added by Spark
+5. ``contract``  the sums per (variant, batch). ``contract_stored`` takes blocks laid out by variant block: a
+                 task goes through a variant block's sample blocks, multiplies matrices and adds up in memory, so
+                 neither calls nor sums are shuffled. Calls without that layout are cogrouped with sample rows by
+                 (variant block, sample block), and partial sums are added by Spark
 6. ``finish``    beta, t and p as column arithmetic
 
 Samples are cut into blocks of fixed width and variants into blocks by hash, so every group handed
@@ -21,7 +23,7 @@ once per pass of about ``columns_per_pass`` columns, not once per batch; summing
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -29,18 +31,21 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.dataset
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lociframe.functions.pvalues import t_p_value
+from lociframe.operators.blocks import CALL_KEYS, SAMPLE_WIDTH, dosages_of_codes
+from lociframe.operators.layout import BUCKET, ORDER, VARIANT_WIDTH
 from lociframe.operators.reshape import array_items
 from lociframe.operators.traits import MIN_SAMPLES, complete_cases
-from lociframe.session import stage
+from lociframe.session import shared_path, stage
 
 N_COMPONENTS = 20
-SAMPLE_WIDTH = 4096
 RANK_TOLERANCE = 1e-10
 MONOMORPHIC_TOLERANCE = 1e-12
 FILL_FOR_PRODUCT = 0.05
@@ -60,7 +65,7 @@ class Shape:
     n_covariates: int
     batch_size: int
     sample_width: int = SAMPLE_WIDTH
-    variant_width: int = 4096
+    variant_width: int = VARIANT_WIDTH
     columns_per_pass: int = 2048
 
     @property
@@ -211,9 +216,6 @@ def residuals(rows: DataFrame, solved: DataFrame, shape: Shape) -> DataFrame:
 
 # Contraction
 
-CALL_KEYS = ["contig", "variant_index"]
-
-
 def pack_blocks(calls: DataFrame, width: int = SAMPLE_WIDTH) -> DataFrame:
     """Calls in rows to one row per (variant, sample block): the stored form of dense dosages.
 
@@ -366,6 +368,135 @@ def contract(calls: DataFrame, adjusted: DataFrame, shape: Shape, n_variants: in
     return sums if packed else sums.filter((F.col("gg") > 0) | (F.col("n_bad") > 0))
 
 
+def _sample_matrices(adjusted: DataFrame, shape: Shape, n_passes: int) -> str:
+    """The sample side as one matrix per (pass, sample block), written as files of the shared folder; their path.
+
+    A matrix is ``sample_width`` by the columns of a pass, doubles, with zeros for samples outside a batch; ``member``
+    says who is inside. A block's file is read by every task of the contraction, one block at a time.
+    """
+    m, width, z_names = shape.n_sums, shape.sample_width, _names("z", shape)
+
+    def build(key: tuple, rows: pa.Table) -> pa.Table:
+        batch = rows["batch_key"].combine_chunks().dictionary_encode()
+        b = len(batch.dictionary)
+        where = rows["pos"].to_numpy(), batch.indices.to_numpy(zero_copy_only=False)
+        z, member = np.zeros((width, b, m)), np.zeros((width, b))
+        for j, name in enumerate(z_names):
+            z[(*where, j)] = rows[name].to_numpy()
+        member[where] = 1.0
+        packed = [pa.array([v.tobytes()], pa.large_binary()).cast(pa.binary()) for v in (z, member)]
+        return pa.table([*[pa.array([k.as_py()], k.type) for k in key], pa.array([batch.dictionary.to_pylist()]), *packed], ["pass", "sample_block", "batches", "z", "member"])
+
+    path = shared_path(adjusted.sparkSession, "sample-matrices")
+    placed = adjusted.withColumn("pass", F.pmod(F.xxhash64("batch_key"), F.lit(n_passes)).cast("int"))
+    matrices = placed.groupBy("pass", "sample_block").applyInArrow(build, "pass int, sample_block long, batches array<string>, z binary, member binary")
+    matrices.write.partitionBy("pass", "sample_block").parquet(path)
+    return path
+
+
+def contract_stored(calls: DataFrame, adjusted: DataFrame, shape: Shape) -> DataFrame:
+    """Sums per (variant, batch) from blocks in the layout of ``layout.write_layout``.
+
+    A variant block is one group, which its bucket already holds, so a pass scans the calls and exchanges nothing. The
+    group streams by sample block: only a stretch of calls, one matrix of the sample side and the block's sums
+    are in memory at a time, whatever the cohort.
+    """
+    spark = calls.sparkSession
+    extent = adjusted.agg(F.countDistinct("batch_key").alias("batches")).first()
+    n_passes = max(1, -(-extent.batches * shape.n_sums // shape.columns_per_pass))
+    matrices = _sample_matrices(adjusted, shape, n_passes)
+    m, width, s_names = shape.n_sums, shape.sample_width, _names("s", shape)
+    value = "codes" if "codes" in calls.columns else "dosage"
+    schema = T.StructType(
+        [
+            *[T.StructField(c, calls.schema[c].dataType) for c in CALL_KEYS],
+            T.StructField("batch_key", T.StringType()),
+            T.StructField("gg", T.DoubleType()),
+            T.StructField("n_bad", T.DoubleType()),
+            *[T.StructField(n, T.DoubleType()) for n in s_names],
+        ]
+    )
+    arrow_schema = to_arrow_schema(schema)
+
+    def numbers(blocks: pa.Array) -> np.ndarray:
+        if (np.asarray(pc.binary_length(blocks)) != width * (2 if value == "codes" else 4)).any():
+            raise ValueError(f"packed blocks are not {width} samples wide: pack and run with the same sample_width")
+        held = blocks.to_pylist()
+        return (dosages_of_codes(held) if value == "codes" else np.frombuffer(b"".join(held), "<f4").reshape(len(held), -1)).astype(float)
+
+    def one_pass(number: int) -> DataFrame:
+        def matrix(system: fs.FileSystem, folder: str, block: int) -> tuple | None:
+            place = f"{folder}/pass={number}/sample_block={block}"
+            if system.get_file_info(place).type == fs.FileType.NotFound:
+                return None  # no complete case has a sample here
+            row = pyarrow.dataset.dataset(place, filesystem=system, format="parquet").to_table(columns=["batches", "z", "member"]).to_pylist()[0]
+            b = len(row["batches"])
+            return row["batches"], np.frombuffer(row["z"]).reshape(width, b * m), np.frombuffer(row["member"]).reshape(width, b)
+
+        def stream(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            system, folder = fs.FileSystem.from_uri(matrices)
+            place: dict[tuple, int] = {}  # variant -> row of the sums
+            batch_at: dict[str, int] = {}
+            sums, extra = np.zeros((0, 0, m)), np.zeros((0, 0, 2))
+            seen: set[tuple] = set()
+            block, loaded = None, None
+            for rows in groups:
+                blocks = rows["sample_block"].to_numpy()
+                cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)]
+                for a, c in zip(cuts, cuts[1:]):
+                    if a == c:
+                        continue
+                    if blocks[a] != block:
+                        block, seen = blocks[a], set()
+                        loaded = matrix(system, folder, block)
+                    keys = list(zip(rows["contig"][a:c].to_pylist(), rows["variant_index"][a:c].to_pylist()))
+                    if len(set(keys)) != len(keys) or not seen.isdisjoint(keys):
+                        raise ValueError("a variant has more than one call of a sample")
+                    seen.update(keys)
+                    if loaded is None:
+                        continue
+                    names, z, member = loaded
+                    for key in keys:
+                        place.setdefault(key, len(place))
+                    for name in names:
+                        batch_at.setdefault(name, len(batch_at))
+                    grown = max(len(sums), 1 << (len(place) - 1).bit_length()), max(sums.shape[1], len(batch_at))
+                    if grown != sums.shape[:2]:
+                        held = [(0, grown[0] - len(sums)), (0, grown[1] - sums.shape[1]), (0, 0)]
+                        sums, extra = np.pad(sums, held), np.pad(extra, held)
+                    columns = np.array([batch_at[n] for n in names])
+                    for at in range(a, c, 512):  # doubles of some rows at a time
+                        to = min(at + 512, c)
+                        g = numbers(rows[value][at:to])
+                        where = np.array([place[k] for k in keys[at - a : to - a]])
+                        bad = ~np.isfinite(g)
+                        g[bad] = 0.0
+                        cell = np.ix_(where, columns)
+                        sums[cell] += (g @ z).reshape(len(g), len(names), m)
+                        extra[(*cell, 0)] += np.square(g) @ member
+                        if bad.any():
+                            extra[(*cell, 1)] += bad @ member
+            n, b = len(place), len(batch_at)
+            if not n or not b:
+                return
+            contig, index = zip(*place)
+            each = pa.array(np.repeat(np.arange(n), b))
+            out = [
+                pa.array(contig, arrow_schema.field("contig").type).take(each),
+                pa.array(index, arrow_schema.field("variant_index").type).take(each),
+                pa.array(list(batch_at) * n, pa.string()),
+                pa.array(extra[:n, :b, 0].ravel()),
+                pa.array(extra[:n, :b, 1].ravel()),
+                *[pa.array(sums[:n, :b, j].ravel()) for j in range(m)],
+            ]
+            yield pa.RecordBatch.from_arrays(out, schema=arrow_schema)
+
+        # The order within a bucket is stated again, as Spark does not read it from the files.
+        return calls.sortWithinPartitions(*ORDER).groupBy(BUCKET).applyInArrow(stream, schema)
+
+    return reduce(DataFrame.unionByName, [one_pass(p) for p in range(n_passes)])
+
+
 # Results
 
 
@@ -427,7 +558,7 @@ def associate(
 ) -> DataFrame:
     """All variants against all trait batches in one job.
 
-    ``calls`` are rows (contig, variant_index, sample_index, dosage), for sparse calls, or packed
+    ``calls`` are blocks in the stored layout, or rows (contig, variant_index, sample_index, dosage), for sparse calls, or packed
     blocks of them, for dense ones; (variant, sample) must be unique. ``n_variants`` sets
     the tiling and is counted if not given. ``keep`` writes the sample side, each step of which is
     used more than once, to a table: a lost executor does not repeat it, and Spark knows the size
@@ -437,9 +568,9 @@ def associate(
     rows = keep(design(trait_values, batches, samples, shape), "design")
     solved = keep(solve(moments(rows), shape.k), "solved").filter(F.col("n") >= min_samples)
     adjusted = keep(residuals(rows, solved, shape), "residuals")
-    if n_variants is None:
+    if n_variants is None and BUCKET not in calls.columns:
         n_variants = calls.select(*CALL_KEYS).distinct().count()
     totals = keep(trait_totals(adjusted, solved, batches, shape), "totals")
-    sums = contract(calls, adjusted, shape, n_variants)
+    sums = contract_stored(calls, adjusted, shape) if BUCKET in calls.columns else contract(calls, adjusted, shape, n_variants)
     return finish(sums, totals, shape)
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociframe.functions import text as X
-from lociframe.operators import checks
 from lociframe.operators.reshape import sorted_columns
 
 KEYS = ["trait_id", "contig", "variant_id"]
@@ -61,15 +60,26 @@ def comparable(published: DataFrame, own: DataFrame) -> DataFrame:
     return published.join(ours, "ot_trait_group_id", "left_semi")
 
 
-def merge_results(own: DataFrame, published: DataFrame, check: bool = True) -> DataFrame:
+def single_rows(side: DataFrame, name: str) -> DataFrame:
+    """``side`` grouped by key; the job fails where a key has more than one row.
+
+    The grouping deals the rows out by key, as a join on the key then needs them, so that check and join share one exchange.
+    """
+    others = [c for c in side.columns if c not in KEYS]
+    grouped = side.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*others)).alias("_row"))
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in KEYS])
+    fail = F.raise_error(F.concat(F.lit(f"duplicate keys {KEYS} in {name} results; first: "), shown))
+    # A condition, unlike a column, is evaluated whatever is asked of the result.
+    checked = grouped.filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(fail.cast("boolean")))
+    return checked.select(*KEYS, *[F.col(f"_row.{c}").alias(c) for c in others])
+
+
+def merge_results(own: DataFrame, published: DataFrame) -> DataFrame:
     """Full outer join of both sides with -log10 p, columns in name order.
 
-    Keys must be unique on each side, otherwise the join would multiply rows.
+    Keys must be unique on each side, otherwise the join would multiply rows: the job fails on one that is not.
     """
-    if check:
-        checks.require_unique(own, KEYS)
-        checks.require_unique(published, KEYS)
-    merged = own.join(published, KEYS, "full_outer").withColumns(
+    merged = single_rows(own, "own").join(single_rows(published, "published"), KEYS, "full_outer").withColumns(
         {
             "gwas_log_p_value": X.neg_log10(F.col("gwas_p_value")),
             "ot_log_p_value": X.neg_log10(F.col("ot_p_value")),

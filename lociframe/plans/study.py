@@ -1,7 +1,7 @@
 """A study from files to files: each function is one step and writes its result.
 
 The steps share a few stored tables. A genotype folder holds ``variants``, ``samples`` and
-``calls``, after a QC step also its ``report``; a phenotype folder holds ``traits`` and ``values``.
+``calls`` (one binary per variant and sample block), after a QC step also its ``report``; a phenotype folder holds ``traits`` and ``values``.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe import schema
-from lociframe.operators import checks, filters, regression, reshape, sumstats, traits
+from lociframe.operators import blocks, checks, filters, layout, regression, reshape, sumstats, traits
 from lociframe.session import stage
 from lociframe.sources import genotypes, participants, sinks
 from lociframe.sources import sumstats as files
@@ -52,9 +52,8 @@ def read_sample_qc(spark: SparkSession, path: str) -> DataFrame:
 # Genotypes --------------------------------------------------------------------------------------
 
 
-def _read_genotypes(spark: SparkSession, path: str, unpack: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    calls = genotypes.read_calls(spark, f"{path}/calls", unpack)
-    calls = calls.withColumn("contig", F.col("contig").cast("string"))
+def _read_genotypes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    calls = spark.read.parquet(f"{path}/calls").withColumn("contig", F.col("contig").cast("string"))
     return spark.read.parquet(f"{path}/variants"), spark.read.parquet(f"{path}/samples"), calls
 
 
@@ -83,11 +82,47 @@ def integrate_genotypes(
     probabilities = genotypes.read_probabilities(spark, probabilities_path)
     info = genotypes.read_variant_info(spark, variants_path, with_index=True)
     info = filters.info_threshold(filters.region(info, region), min_info, "variant_info")
-    own_names = probabilities.groupBy("variant_index").agg(F.first("contig_name").alias("variant_contig_name"))
-    variants = info.join(own_names, "variant_index").withColumns({"variant_contig": F.lit(index), "contig": F.lit(contig)})
-    calls = probabilities.join(variants.select("variant_index"), "variant_index", "left_semi")
-    calls = genotypes.pack_calls(calls.select(F.lit(contig).alias("contig"), "variant_index", "sample_index", "gp"))
-    _write_genotypes(output_path, variants, genotypes.read_sample_file(spark, samples_path, with_index=True), calls)
+    probabilities = probabilities.withColumn("contig", F.lit(contig))
+    packed = blocks.pack_codes(probabilities, with_variant=("contig_name",))
+    sinks.write_calls(packed.join(info.select("variant_index"), "variant_index", "left_semi"), f"{output_path}/calls")
+    # The name lies with the blocks, a few rows per variant.
+    names = spark.read.parquet(f"{output_path}/calls").groupBy("variant_index").agg(F.min("contig_name").alias("variant_contig_name"))
+    variants = info.join(names, "variant_index").withColumns({"variant_contig": F.lit(index), "contig": F.lit(contig)})
+    sinks.write_table(variants, f"{output_path}/variants")
+    sinks.write_table(genotypes.read_sample_file(spark, samples_path, with_index=True), f"{output_path}/samples")
+
+
+def convert_hard_calls(spark: SparkSession, packed_path: str, variants_path: str, samples_path: str, output_path: str, contig: str) -> None:
+    """Packed two-bit calls, variant table and sample table of one contig to a genotype folder; the calls stay packed.
+
+    Positions in the variant and sample tables are the indices of the calls. The contig given replaces the file's own,
+    which stays as ``variant_contig_name``.
+    """
+    index = {row[2]: int(row[0]) for row in schema.contig_rows(imputed=False)}[contig]
+    variants = genotypes.read_hard_call_variants(spark, variants_path, with_index=True)
+    variants = variants.withColumns({"variant_contig": F.lit(index), "contig": F.lit(contig)})
+    samples = genotypes.read_hard_call_samples(spark, samples_path, with_index=True)
+    packed = genotypes.read_packed_calls(spark, packed_path).withColumn("contig", F.lit(contig))
+    _write_genotypes(output_path, variants, samples, blocks.pack_hard_calls(packed))
+
+
+def run_hard_call_qc(spark: SparkSession, input_path: str, output_path: str) -> None:
+    """Keep variants of a hard-call folder that are common enough and in equilibrium, by counts of the packed calls.
+
+    The frequency is that of the rarer allele among called samples. The folder's ``report`` counts what each filter removes.
+    """
+    variants, samples, calls = _read_genotypes(spark, input_path)
+    keys = ("contig", "variant_index")
+    counts = blocks.count_hard_calls(calls, samples.count(), keys)
+    called = F.col("n_het") + F.col("n_hom_ref") + F.col("n_hom_alt")
+    share = F.try_divide(F.col("n_het") + 2 * F.col("n_hom_alt"), 2 * called)
+    counted = stage(counts.withColumn("maf", F.least(share, 1 - share)), "counted")
+    with_maf = variants.join(counted.select(*keys, "maf"), list(keys))
+    tested = stage(filters.tested_variants(with_maf, counted.drop("maf", "n_missing"), keys), "tested")
+    kept = filters.apply_filters(tested, filters.equilibrium_filters()).drop("n_het", "n_hom_ref", "n_hom_alt")
+    kept = kept.withColumnsRenamed({"hwe_p_value": "variant_hwe_p_value", "maf": "variant_maf"})
+    _write_genotypes(output_path, kept, samples, calls.join(kept.select(*keys), list(keys), "left_semi"))
+    _write_report(output_path, [("variants", with_maf, filters.frequency_filters()), ("variants", tested, filters.equilibrium_filters())])
 
 
 def integrate_hard_calls(packed: DataFrame, samples: DataFrame, n_samples: int) -> DataFrame:
@@ -112,27 +147,26 @@ def run_qc_1(spark: SparkSession, input_path: str, output_path: str) -> None:
 
 
 def run_qc_2(spark: SparkSession, input_path: str, sample_qc_path: str, output_path: str) -> None:
-    """Variant QC on all samples, then sample QC; dosages of what is left are stored, packed by sample block.
+    """Variant QC on all samples, then sample QC; the calls of what is left are laid out for the association.
 
-    Packing shuffles the calls once here, not in every association run. The folder's ``report`` counts what
+    The layout shuffles the blocks once here, and no association run shuffles them again. The folder's ``report`` counts what
     each filter keeps and removes: of all variants, of the common ones, and of the QC table's samples.
     """
-    variants, samples, calls = _read_genotypes(spark, input_path, unpack=True)
+    variants, samples, calls = _read_genotypes(spark, input_path)
     keys = ("contig", "variant_index")
-    counts = filters.genotype_counts(calls, keys)
+    counts = blocks.count_codes(calls, keys)
     variants = variants.withColumn("maf", F.col("variant_maf"))
     tested = stage(filters.tested_variants(variants, counts, keys), "tested")
     kept = filters.apply_filters(tested, filters.equilibrium_filters())
-    kept = kept.drop("maf", "n_het", "n_hom_ref", "n_hom_alt").withColumnRenamed("hwe_p_value", "variant_hwe_p_value")
+    kept = stage(kept.drop("maf", "n_het", "n_hom_ref", "n_hom_alt").withColumnRenamed("hwe_p_value", "variant_hwe_p_value"), "kept")
     sample_qc = read_sample_qc(spark, sample_qc_path)
     passed = filters.sample_qc(sample_qc).select(*schema.SAMPLE_QC_KEEP)
     left = traits.add_sample_qc(samples, passed)
-    dosages = (
-        calls.select(*keys, "sample_index", "dosage")
-        .join(kept.select(*keys), list(keys), "left_semi")
-        .join(left.select("sample_index"), "sample_index", "left_semi")
-    )
-    _write_genotypes(output_path, kept, left, regression.pack_blocks(dosages))
+    sinks.write_table(kept, f"{output_path}/variants")
+    sinks.write_table(left, f"{output_path}/samples")
+    of_kept = calls.join(kept.select(*keys), list(keys), "left_semi")
+    stored = spark.read.parquet(f"{output_path}/samples").select("sample_index")
+    layout.write_layout(blocks.keep_samples(of_kept, stored), f"{output_path}/calls", kept.count())
     counted = [("variants", variants, filters.frequency_filters()), ("variants", tested, filters.equilibrium_filters())]
     _write_report(output_path, [*counted, ("samples", sample_qc, filters.sample_qc_filters())])
 
@@ -197,11 +231,13 @@ def run_association(
 ) -> DataFrame:
     """All variants against all wanted trait groups; returns the (contig, batch, group) computed.
 
-    Batches with a stored result are skipped. Wanted groups that the data lacks are left out. With a
+    Batches that an earlier run finished are skipped, also those that had too few complete cases for the same
+    ``min_samples``. Wanted groups that the data lacks are left out. With a
     ``report_path``, these are listed in its table ``missing_groups``, and the batches of this run in ``batches``,
     each with its complete cases and whether they were enough.
     """
-    variants, samples, calls = _read_genotypes(spark, genotypes_path)
+    variants, samples = spark.read.parquet(f"{genotypes_path}/variants"), spark.read.parquet(f"{genotypes_path}/samples")
+    calls = layout.read_layout(spark, f"{genotypes_path}/calls")
     listed = spark.read.parquet(f"{phenotypes_path}/traits")
     values = spark.read.parquet(f"{phenotypes_path}/values").select("sample_id", "trait_id", "value")
 
@@ -245,9 +281,9 @@ def run_association(
 
     def compute(todo: DataFrame) -> DataFrame:
         pending = batches.join(todo.select("batch_index", "trait_group_id").distinct(), ["batch_index", "trait_group_id"], "left_semi")
-        todo_calls = calls.join(todo.select("contig").distinct(), "contig", "left_semi")
+        # A filter, unlike a join, keeps the calls in their buckets; there are 26 contigs at most.
+        todo_calls = calls.where(F.col("contig").isin([r[0] for r in todo.select("contig").distinct().collect()]))
         people = covariates.select("sample_id", "sample_index", "covariate")
-        n_variants = variants.count()
         # Most groups have one trait; batches of like size run together, so that none carries empty columns.
         sizes = sorted({1, min(10, batch_size), batch_size})
         size = F.when(F.col("batch_size") <= sizes[0], sizes[0])
@@ -256,7 +292,7 @@ def run_association(
         pending = pending.withColumn("_size", size)
         parts = [
             regression.associate(
-                todo_calls, people, values, pending.filter(F.col("_size") == n), regression.Shape(5 + npc, n), min_samples, n_variants, keep
+                todo_calls, people, values, pending.filter(F.col("_size") == n), regression.Shape(5 + npc, n), min_samples, keep=keep
             )
             for n in (r[0] for r in pending.select("_size").distinct().collect())  # three at most
         ]
@@ -269,7 +305,7 @@ def run_association(
         renamed = fitted.withColumnsRenamed({"p_value": "variant_p_value", "beta": "variant_beta"})
         return renamed.join(batches.select(*trait_columns), "trait_id").join(variants.select(*variant_columns), ["contig", "variant_index"]).drop("trait_id")
 
-    done = incremental.run_pending(spark, work, results_path, compute)
+    done = incremental.run_pending(spark, work, results_path, compute, settings=f"min_samples={min_samples}")
     if variables_path:
         sample_values = values.join(listed, "trait_id").select(
             "sample_id",

@@ -105,9 +105,27 @@ def expand_packed_calls(df: DataFrame, byte_column: str, n_samples_column: str |
     return calls.select(*keep, "sample_index", "call")
 
 
-def read_hard_call_samples(spark: SparkSession, path: str) -> DataFrame:
+def read_hard_call_variants(spark: SparkSession, path: str, with_index: bool = False) -> DataFrame:
+    """Six-column variant table of hard calls: contig name, id, position and both alleles; genetic distance is dropped."""
+    declared = "contig_name string, id string, distance double, position int, allele_1 string, allele_2 string"
+    df = spark.read.csv(path, sep="\t", header=False, schema=declared)
+    if with_index:
+        df = _row_index(df, "index")
+    packed = F.array("allele_1", "allele_2").alias("allele")
+    return with_prefix(df.select("contig_name", "id", "position", packed, *(["index"] if with_index else [])), "variant_")
+
+
+def read_packed_calls(spark: SparkSession, path: str) -> DataFrame:
+    """Bytes of packed two-bit calls: one row per (variant, byte of it)."""
+    return spark.read.parquet(path).select("variant_index", "byte_index", "byte")
+
+
+def read_hard_call_samples(spark: SparkSession, path: str, with_index: bool = False) -> DataFrame:
     """Six-column sample table of hard calls; family, parent and phenotype columns are dropped."""
     names = ["family_id", "sample_id", "paternal_id", "maternal_id", "sex", "phenotype"]
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
     df = spark.read.csv(path, sep=" ", header=False, schema=text)
-    return df.select(F.col("sample_id").cast("int").alias("sample_id"), F.col("sex").cast("short").alias("sample_sex"))
+    if with_index:
+        df = _row_index(df, "sample_index")
+    ids = [F.col("sample_id").cast("int").alias("sample_id"), F.col("sex").cast("short").alias("sample_sex")]
+    return df.select(*ids, *(["sample_index"] if with_index else []))

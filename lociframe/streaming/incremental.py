@@ -17,8 +17,32 @@ from lociframe.sources.sumstats import list_files
 WORK_SCHEMA = "contig string, batch_index int, trait_group_id long"
 
 
-def finished_work(spark: SparkSession, results_path: str) -> DataFrame:
-    """(contig, batch, trait group) with a result, from the names of the partition folders; no result is read."""
+LOG_SCHEMA = f"{WORK_SCHEMA}, has_result boolean, settings string"
+
+
+def log_path(results_path: str) -> str:
+    """The log lies in the results folder, under a name that readers of the results pass over."""
+    return f"{results_path.rstrip('/')}/_finished"
+
+
+def finished_work(spark: SparkSession, results_path: str, settings: str = "") -> DataFrame:
+    """(contig, batch, trait group) that the log says are done: with a result, or without one under the same settings.
+
+    A row is logged after its results are committed. Files of a run that was ended before are not in the log, so
+    their work is done again and replaces them.
+    """
+    try:
+        log = spark.read.schema(LOG_SCHEMA).parquet(log_path(results_path))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], WORK_SCHEMA)
+    done = log.filter(F.col("has_result") | (F.col("settings") == settings))
+    return done.select("contig", "batch_index", "trait_group_id").distinct()
+
+
+def stored_work(spark: SparkSession, results_path: str) -> DataFrame:
+    """(contig, batch, trait group) with files, from the names of the partition folders; no result is read."""
     try:
         found = list_files(spark, results_path)
     except AnalysisException as missing:
@@ -27,7 +51,7 @@ def finished_work(spark: SparkSession, results_path: str) -> DataFrame:
         return spark.createDataFrame([], WORK_SCHEMA)
     folder = {c: F.regexp_extract("file", f"/{c}=([^/]+)/", 1) for c in RESULT_PARTITIONS}
     return (
-        found.filter(F.col("file").endswith(".parquet"))
+        found.filter(F.col("file").endswith(".parquet") & F.col("file").contains("/contig="))
         .select(
             folder["contig"].alias("contig"),
             folder["batch_index"].cast("int").alias("batch_index"),
@@ -38,17 +62,23 @@ def finished_work(spark: SparkSession, results_path: str) -> DataFrame:
 
 
 def run_pending(
-    spark: SparkSession, work: DataFrame, results_path: str, compute: Callable[[DataFrame], DataFrame]
+    spark: SparkSession, work: DataFrame, results_path: str, compute: Callable[[DataFrame], DataFrame], settings: str = ""
 ) -> DataFrame:
-    """Compute and write the part of ``work`` that has no result yet; returns that part.
+    """Compute and write the part of ``work`` that is not finished yet, and log it; returns that part.
 
     ``compute`` gets the pending rows and returns results that carry ``contig``,
-    ``trait_group_id`` and ``batch_index``. A second run with the same work finds nothing to do.
+    ``trait_group_id`` and ``batch_index``. A second run with the same work finds nothing to do: work that gave no result
+    is not tried again as long as ``settings`` are the same.
     """
-    pending = pending_work(work, finished_work(spark, results_path))
+    pending = pending_work(work, finished_work(spark, results_path, settings))
     todo = stage(pending, "pending")  # fixed before results appear
     if not todo.isEmpty():
         write_results(compute(todo), results_path)
+        stored = stored_work(spark, results_path).withColumn("has_result", F.lit(True))
+        keys = [f.name for f in stored.schema.fields if f.name != "has_result"]
+        logged = todo.select(*keys).join(stored, keys, "left")
+        logged = logged.withColumns({"has_result": F.coalesce("has_result", F.lit(False)), "settings": F.lit(settings)})
+        logged.coalesce(1).write.mode("append").parquet(log_path(results_path))
     return todo
 
 

@@ -143,8 +143,20 @@ def test_merge_keeps_both_sides(spark):
 
 def test_merge_rejects_duplicate_keys(spark):
     own, published = _sides(spark, [("50", "21", "v", 0.1, 1.0)] * 2, [("50", "21", "v", 0.1, 2.5)])
-    with pytest.raises(checks.CheckFailed):
-        sumstats.merge_results(own, published)
+    with pytest.raises(Exception, match="duplicate keys .* in own results; first: 50, 21, v"):
+        sumstats.merge_results(own, published).collect()
+    with pytest.raises(Exception, match="duplicate keys .* in published results"):
+        sumstats.merge_results(own.limit(1), published.union(published)).count()
+
+
+def test_merge_moves_each_side_once(spark):
+    own, published = _sides(spark, [("50", "21", "v", 0.1, 1.0)], [("50", "21", "v", 0.1, 2.5)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = sumstats.merge_results(own, published)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in text
 
 
 def test_own_columns_accept_bytes(spark):

@@ -37,7 +37,8 @@ def test_only_the_contig_dimension_is_hinted(spark):
     import pathlib
 
     root = pathlib.Path(entries.__file__).parent / "lociframe"
-    hits = [p.name for p in root.rglob("*.py") if "broadcast(" in p.read_text()]
+    ours = [p for p in root.rglob("*.py") if "llm" not in p.relative_to(root).parts]  # which has a test of its own
+    hits = [p.name for p in ours if "broadcast(" in p.read_text()]
     assert hits == ["ingest.py"]
 
 
@@ -46,3 +47,20 @@ def test_calls_are_shuffled_once_into_tiles(spark):
     text = df._jdf.queryExecution().executedPlan().toString()
     tiles = [line for line in text.splitlines() if "Exchange hashpartitioning(variant_block" in line]
     assert len(tiles) == 2 and all("REPARTITION_BY_NUM" in line for line in tiles)
+
+
+def test_stored_calls_and_their_sums_are_not_shuffled(spark):
+    from lociframe.operators import layout, regression
+    from lociframe.plans import association
+    from lociframe.session import shared_path
+
+    shape = regression.Shape(n_covariates=10, batch_size=2, sample_width=64, variant_width=16, columns_per_pass=60)
+    path = shared_path(spark, "calls")
+    layout.write_layout(regression.pack_blocks(D.dense_dosages(spark, FOLDER), 64), path, D.N_DENSE, 16)
+    calls = layout.read_layout(spark, path)
+    covariates, batches = association._covariates(spark, FOLDER, 5), D.trait_batches(spark, FOLDER)
+    rows = regression.stage(regression.design(D.trait_values(spark, FOLDER), batches, covariates, shape), "design")
+    adjusted = regression.stage(regression.residuals(rows, regression.solve(regression.moments(rows), shape.k), shape), "residuals")
+    text = regression.contract_stored(calls, adjusted, shape)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert text.count("FlatMapGroupsInArrow") > 1 and text.count("Bucketed: true") == text.count("FlatMapGroupsInArrow")
+    assert "Exchange" not in text
