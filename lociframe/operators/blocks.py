@@ -171,7 +171,7 @@ def count_codes(blocks: DataFrame, keys: tuple[str, ...] = tuple(CALL_KEYS)) ->
 
 
 def count_hard_calls(blocks: DataFrame, n_samples: int, keys: tuple[str, ...] = tuple(CALL_KEYS), width: int = SAMPLE_WIDTH) -> DataFrame:
-    """Calls per genotype and variant from blocks of two-bit calls, by their bit planes; ``n_missing`` counts the others.
+    """Calls per genotype and variant from blocks of two-bit calls, by their bit planes; ``n_missing`` counts all others.
 
     Slots after the last of ``n_samples`` are padding, whatever their bits.
     """
@@ -192,7 +192,8 @@ def count_hard_calls(blocks: DataFrame, n_samples: int, keys: tuple[str, ...] =
                 column.append(n)
         return _counts(columns)
 
-    return _summed(blocks, count("hard_calls", "sample_block"), keys, _COUNT_NAMES)
+    found = _summed(blocks, count("hard_calls", "sample_block"), keys, _COUNT_NAMES[:3])
+    return found.withColumn("n_missing", F.lit(n_samples) - F.col("n_het") - F.col("n_hom_ref") - F.col("n_hom_alt"))
 
 
 def codes_of_hard_calls(blocks: DataFrame, width: int = SAMPLE_WIDTH) -> DataFrame:

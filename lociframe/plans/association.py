@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.operators import filters, regression, reshape, traits
+from lociframe.operators import filters, layout, regression, reshape, traits
 from lociframe.operators.traits import batch_traits
 from lociframe.plans import domain as D
 from lociframe.plans.registry import query, rounded, table
@@ -103,6 +103,23 @@ def gwas_batched(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {_BATCH_SQL}
+SELECT trait_id, variant_index, trait_group_id, CAST(trait_index AS INT) AS trait_index, {_FIT.replace("n AS", "fit.n AS")}
+FROM fit JOIN batches USING (trait_id) WHERE fit.n >= 10"""
+)
+def gwas_tiled(spark: SparkSession, d: str) -> DataFrame:
+    """All batches on calls laid out by variant block: three variant blocks, several sample blocks and several passes."""
+    shape = regression.Shape(n_covariates=10, batch_size=2, sample_width=64, variant_width=16, columns_per_pass=60)
+    path = shared_path(spark, "laid-out-calls")
+    layout.write_layout(regression.pack_blocks(D.dense_dosages(spark, d), shape.sample_width), path, D.N_DENSE, shape.variant_width)
+    calls = layout.read_layout(spark, path)
+    result = regression.associate(calls, _covariates(spark, d, 5), D.trait_values(spark, d), D.trait_batches(spark, d), shape, 10)
+    return result.filter(F.col("dof").isNotNull()).select(
+        "trait_id", "variant_index", "trait_group_id", "trait_index", "sample_size", rounded("beta").alias("beta"), rounded("t").alias("t")
+    )
+
+
 @query(
     f"""WITH {D.TRAITS_SQL}, {D.COHORT_SQL}, sizes AS (SELECT batch_key, count(*) AS cases FROM complete JOIN cohort USING (sample_id) GROUP BY batch_key)
 SELECT DISTINCT batch_key, trait_group_id, CAST(batch_index AS INT) AS batch_index, CAST(batch_size AS INT) AS batch_size,

@@ -113,6 +113,27 @@ def neg_log10(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {_MERGED_SQL}
+SELECT contig, count(*) AS n_rows, count(DISTINCT trait_id) AS n_traits, count(gwas_p_value) AS n_own, count(ot_p_value) AS n_published,
+  count(*) FILTER (gwas_p_value IS NOT NULL AND ot_p_value IS NOT NULL) AS n_both, CAST(sum(ot_n_complete_samples) AS BIGINT) AS n_samples
+FROM merged GROUP BY contig"""
+)
+def merge_checked(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the comparison table by contig; keys are checked and joined in one exchange per side."""
+    own = sumstats.own_result_columns(own_results(spark, d))
+    merged = sumstats.merge_results(own, sumstats.published_result_columns(published_results(spark, d)))
+    mine, theirs = F.col("gwas_p_value").isNotNull(), F.col("ot_p_value").isNotNull()
+    return merged.groupBy("contig").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("trait_id").alias("n_traits"),
+        F.count_if(mine).alias("n_own"),
+        F.count_if(theirs).alias("n_published"),
+        F.count_if(mine & theirs).alias("n_both"),
+        F.sum("ot_n_complete_samples").alias("n_samples"),
+    )
+
+
 @query(
     f"""WITH {_MERGED_SQL}, f AS (
   SELECT *, isfinite(gwas_log_p_value) AND isfinite(ot_log_p_value) AS finite FROM merged)

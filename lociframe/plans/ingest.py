@@ -316,3 +316,28 @@ def incremental_rerun(spark: SparkSession, d: str) -> DataFrame:
     return done.groupBy(F.col("trait_group_id").cast("long"), "batch_index").agg(F.count(F.lit(1)).alias("n_values"))
 
 
+@query(
+    f"""WITH {D.TRAITS_SQL}
+SELECT trait_group_id, CAST(batch_index AS INT) AS batch_index, count(value) FILTER (trait_group_id % 5 <> 0) AS n_values,
+  round(sum(value) FILTER (trait_group_id % 5 <> 0), 4) + 0.0 AS total, trait_group_id % 5 <> 0 AS has_result, CAST(1 AS BIGINT) AS n_logged
+FROM batches JOIN trait_values USING (trait_id) GROUP BY ALL"""
+)
+def commit_log_rerun(spark: SparkSession, d: str) -> DataFrame:
+    """Work after a run that was ended between its files and its log: done again once, and logged also where it has no result."""
+    path = shared_path(spark, "logged-results")
+    batches, values = D.trait_batches(spark, d), D.trait_values(spark, d)
+    work = batches.select(F.lit("21").alias("contig"), "batch_index", "trait_group_id").distinct()
+
+    def compute(todo: DataFrame) -> DataFrame:
+        wanted = batches.join(todo, ["batch_index", "trait_group_id"]).filter("trait_group_id % 5 <> 0")
+        return values.join(wanted, "trait_id").select("contig", "trait_group_id", "batch_index", "sample_id", "value")
+
+    unfinished = compute(work).filter("sample_id % 2 = 0").withColumn("value", F.lit(-1.0))
+    sinks.write_results(unfinished, path)
+    for _ in range(2):
+        incremental.run_pending(spark, work, path, compute, settings="no fifth groups")
+    stored = spark.read.parquet(path).withColumn("trait_group_id", F.col("trait_group_id").cast("long"))
+    totals = stored.groupBy("trait_group_id", "batch_index").agg(F.count("value").alias("n_values"), rounded(F.sum("value"), 4).alias("total"))
+    log = spark.read.parquet(incremental.log_path(path)).groupBy("trait_group_id", "batch_index")
+    logged = log.agg(F.bool_or("has_result").alias("has_result"), F.count(F.lit(1)).alias("n_logged"))
+    return logged.join(totals, ["trait_group_id", "batch_index"], "left").fillna({"n_values": 0})

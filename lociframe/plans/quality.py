@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.functions import text as X
-from lociframe.operators import checks, filters, regression, reshape, traits
+from lociframe.operators import blocks, checks, filters, regression, reshape, traits
 from lociframe.plans import domain as D
 from lociframe.plans.registry import query, rounded, table
+from lociframe.session import stage
 from lociframe.sources.participants import drop_missing_id
 
 
@@ -17,6 +18,36 @@ def genotype_counts(spark: SparkSession, d: str) -> DataFrame:
     return filters.genotype_counts(D.dense_probabilities(spark, d))
 
 
+_CODES = "round_even({p} * 254, 0)"
+
+
+@query(
+    f"""WITH {D.DENSE_GP_SQL}, codes AS (
+  SELECT variant_index, {_CODES.format(p='p1')} AS a, {_CODES.format(p='p2')} AS b, 254 - a - b AS r FROM gp)
+SELECT variant_index, count(*) FILTER (r < greatest(a, b) AND a >= b) AS n_het, count(*) FILTER (r >= greatest(a, b)) AS n_hom_ref,
+  count(*) FILTER (r < greatest(a, b) AND a < b) AS n_hom_alt FROM codes GROUP BY variant_index"""
+)
+def block_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Genotypes counted from one-byte codes packed by sample block, written and read back."""
+    packed = blocks.pack_codes(D.dense_probabilities(spark, d).withColumn("contig", F.lit("1")), width=64)
+    return blocks.count_codes(stage(packed, "blocks"), ("variant_index",))
+
+
+@query(
+    """WITH bytes AS (SELECT l_orderkey AS variant_index, l_linenumber % 7 AS place, max(5 * CAST(l_quantity AS INT) + l_linenumber) & 255 AS byte
+  FROM lineitem GROUP BY ALL),
+calls AS (SELECT variant_index, (byte >> CAST(2 * slot AS INT)) & 3 AS code FROM bytes, (SELECT range AS slot FROM range(4)) WHERE 4 * place + slot < 27)
+SELECT variant_index, count(*) FILTER (code = 2) AS n_het, count(*) FILTER (code = 0) AS n_hom_ref, count(*) FILTER (code = 3) AS n_hom_alt,
+  27 - count(*) FILTER (code <> 1) AS n_missing FROM calls GROUP BY variant_index"""
+)
+def hard_call_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Genotypes counted by bit planes from packed two-bit calls of 27 samples; bytes that are not there are missing calls."""
+    bytes_ = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("variant_index"), (F.col("l_linenumber") % 7).cast("long").alias("byte_index"))
+    packed = bytes_.agg(F.max(5 * F.col("l_quantity").cast("int") + F.col("l_linenumber")).bitwiseAND(F.lit(255)).alias("byte"))
+    calls = blocks.pack_hard_calls(packed.withColumn("contig", F.lit("1")), width=16)
+    return blocks.count_hard_calls(calls, 27, ("variant_index",), width=16)
+
+
 _P = "round(p, 8) + 0.0 AS hwe_p_value, round(-log10(p), 6) + 0.0 AS neg_log10_p"
 
 
