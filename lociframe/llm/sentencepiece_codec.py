@@ -16,8 +16,7 @@ from lociframe.llm.common import MASK, batches, mixed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # a public vocabulary; any BPE model with byte fallback will do
 DROPOUT, SEED = 0.1, 42
-VARIANTS = 4  # ways to drop or take the first two merges of a chunk, which are numbered together
-REMEMBERED = 400_000  # chunks, with the later merges they drop, that a task keeps the segmentations of
+REMEMBERED = 300_000  # chunks that a worker keeps the undropped segmentations of
 LONGEST = 32  # characters of such a chunk
 SPACE = "▁"
 GROUP = 200_000  # chunks looked up at a time, about
@@ -32,17 +31,47 @@ def _found(sorted_keys: np.ndarray, values: np.ndarray, keys: np.ndarray, defaul
     return np.where(sorted_keys[at] == keys, values[at], default)
 
 
+class _Lookup:
+    """Values of whole numbers, many at a time: a table with few entries to a slot, of which most are found at the first look."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, default: int):
+        self.shift = np.uint64(64 - max(4, (8 * len(keys)).bit_length()))
+        size = 1 << (64 - int(self.shift))
+        self.mask, self.keys, self.values, self.default = size - 1, np.full(size, -1), np.full(size, default), default
+        waiting, step = np.arange(len(keys)), 0
+        while len(waiting):
+            slots = (self._slots(keys[waiting]) + step) & self.mask
+            _, first = np.unique(slots, return_index=True)
+            first = first[self.keys[slots[first]] < 0]
+            self.keys[slots[first]], self.values[slots[first]] = keys[waiting[first]], values[waiting[first]]
+            waiting, step = np.delete(waiting, first), step + 1
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        slots = self._slots(keys)
+        held = self.keys[slots]
+        out = np.where(held == keys, self.values[slots], self.default)
+        rest = np.flatnonzero((held != keys) & (held >= 0))
+        flat, all_keys, all_slots = out.ravel(), keys.ravel(), slots.ravel()
+        while len(rest):
+            all_slots[rest] = (all_slots[rest] + 1) & self.mask
+            held = self.keys[all_slots[rest]]
+            hit = held == all_keys[rest]
+            flat[rest[hit]] = self.values[all_slots[rest[hit]]]
+            rest = rest[~hit & (held >= 0)]
+        return out
+
+
 class _Numbers(dict):
-    """Number of each chunk, or chunk and later merges it drops; a new one gets the next, and is added to both lists."""
+    """Number of each chunk; a new one gets the next, and is added to the list."""
 
     chunks: list[str]
-    later: list[int]
 
-    def __missing__(self, key: str | tuple[str, int]) -> int:
-        n = self[key] = len(self.chunks)
-        chunk, later = key if isinstance(key, tuple) else (key, 0)
+    def __missing__(self, chunk: str) -> int:
+        n = self[chunk] = len(self.chunks)
         self.chunks.append(chunk)
-        self.later.append(later)
         return n
 
 
@@ -51,8 +80,9 @@ class Codec:
 
     The text gets a leading space, spaces become the piece mark, and pieces are merged by score, best first,
     leftmost among equals. Every candidate merge is drawn for when it is taken from the agenda, anew for each
-    occurrence of a chunk, by a hash of the document's key and the place; one that is dropped never comes back. Segmentations are
-    kept by chunk and dropped candidates (bit i of a pattern: the i-th one taken), so equal draws are segmented once. A mark that the text itself contains is spelled in bytes,
+    occurrence of a chunk, by a hash of the document's key and the place; one that is dropped never comes back. A draw says how many
+    candidates pass before the next one is dropped. Undropped segmentations are kept by chunk, and the occurrences that
+    drop something are segmented together, each by its own draws. A mark that the text itself contains is spelled in bytes,
     as is any character without a piece, so decoding gives back every text.
     """
 
@@ -69,6 +99,10 @@ class Codec:
         if any(SPACE in piece.lstrip(SPACE) for piece in self.ids):
             raise ValueError("the model has pieces over word borders")
         self.bytes = {i: piece.replace(SPACE, " ").encode() for piece, i in self.ids.items()} | {i: bytes([b]) for b, i in self.byte_ids.items()}
+        spellings = [self.bytes.get(i, b"") for i in range(proto.get_piece_size())]
+        self.byte_lengths = np.array([len(x) for x in spellings], np.int64)
+        self.byte_starts = np.cumsum(self.byte_lengths) - self.byte_lengths
+        self.byte_data = np.frombuffer(b"".join(spellings), np.uint8)
         self.limit, self.seed = int(dropout * (1 << 32)), seed
         # a draw, uniform on 64 bits, passes the first n candidates if it is below item n - 1
         self.passing = np.array([min(int((1 - dropout) ** n * 2.0**64), MASK) for n in range(1, PLACES + 1)], np.uint64)
@@ -88,7 +122,7 @@ class Codec:
         self.letter_symbols = np.array([number[x] for x in letters])
         cuts = ((piece[:i], piece[i:], piece) for piece in self.ids for i in range(1, len(piece)))
         pairs = sorted((number[a] * self.n_symbols + number[b], number[c]) for a, b, c in cuts if a in number and b in number)
-        self.pairs, self.pair_symbols = np.array([p for p, _ in pairs]), np.array([c for _, c in pairs])
+        self.pair_symbols = _Lookup(np.array([p for p, _ in pairs], np.int64), np.array([c for _, c in pairs], np.int64), OTHER)
 
     def _spelled(self, symbol: str) -> list[int]:
         return [self.ids[symbol]] if symbol in self.ids else [self.byte_ids[b] for b in symbol.encode()]
@@ -131,73 +165,50 @@ class Codec:
         mark = [self.byte_ids[b] for b in SPACE.encode()]
         self.numbers = _Numbers({"": 0})
         self.chunks = self.numbers.chunks = [""]
-        self.later = self.numbers.later = [0]
-        self.children: dict[int, int] = {}
-        self.taken = np.zeros(VARIANTS, np.int64)
-        self.starts, self.lengths = np.zeros(VARIANTS, np.int64), np.full(VARIANTS, len(mark), np.int64)
+        self.taken = np.zeros(1, np.int64)
+        self.starts, self.lengths = np.zeros(1, np.int64), np.full(1, len(mark), np.int64)
         self.pieces = np.array(mark, np.int32)
 
-    def _remember(self, codes: np.ndarray) -> None:
-        """Segment chunks, given as number * VARIANTS + the pattern's first two bits, and keep their ids in one array."""
-        more = len(self.chunks) * VARIANTS - len(self.starts)
-        if more > 0:
-            more += len(self.starts) // 2  # room for later ones
-            self.starts, self.lengths = np.append(self.starts, np.full(more, -1)), np.append(self.lengths, np.zeros(more, np.int64))
-            self.taken = np.append(self.taken, np.zeros(more, np.int64))
-        codes = codes[self.starts[codes] < 0]
-        sizes = np.array([len(self.chunks[n]) for n in (codes // VARIANTS).tolist()], np.int64)
+    def _segmented(self, chunks: list[str], drops: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of chunks of at most LONGEST characters one after the other, how many each has, and its candidates."""
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
         order = np.argsort(sizes, kind="stable")
-        codes, sizes = codes[order], sizes[order]
-        found, size = [self.pieces], len(self.pieces)
-
-        def keep(of: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> None:
-            nonlocal size
-            self.starts[of], self.lengths[of] = size + np.cumsum(lengths) - lengths, lengths
-            found.append(ids.astype(np.int32))
-            size += len(ids)
-
-        short = int(np.searchsorted(sizes, LONGEST, "right"))
-        for at in range(0, short, TOGETHER):
-            part = codes[at : min(at + TOGETHER, short)]
-            chunks = [self.chunks[n] for n in (part // VARIANTS).tolist()]
-            symbols, self.taken[part] = self._merged(chunks, sizes[at : at + len(part)], self._pattern_bits(part))
+        lengths, taken, found = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64), []
+        for at in range(0, len(chunks), TOGETHER):
+            part = order[at : at + TOGETHER]
+            here_chunks = [chunks[n] for n in part.tolist()]
+            symbols, taken[part] = self._merged(here_chunks, sizes[part], None if drops is None else tuple(d[part] for d in drops))
             ids, here = self.piece_ids[symbols], symbols != GONE
-            spelled = (here & (ids < 0)).any(1)
-            keep(part[~spelled], here[~spelled].sum(1), ids[~spelled][here[~spelled]])
-            rows = np.flatnonzero(spelled)
-            places = [[*np.flatnonzero(here[row]).tolist(), None] for row in rows]
-            lists = [self._spelled_all([chunks[row][i:j] for i, j in zip(p, p[1:])]) for row, p in zip(rows, places)]
-            keep(part[rows], np.array([len(x) for x in lists], np.int64), np.array([i for x in lists for i in x], np.int64))
-        for code in codes[short:].tolist():  # segmented alone
-            ids = np.array(self._spelled_all(self.segment(self.chunks[code // VARIANTS], self._pattern(code))))
-            keep(np.array([code]), np.array([len(ids)]), ids)
-        for n in np.unique(codes[short:] // VARIANTS).tolist():  # the texts of long chunks are not kept
-            del self.numbers[(self.chunks[n], self.later[n]) if self.later[n] else self.chunks[n]]
-            self.chunks[n], self.later[n] = "", 0
-        self.pieces = np.concatenate(found)
-
-    def _pattern(self, code: int) -> int:
-        return self.later[code // VARIANTS] * VARIANTS + code % VARIANTS
-
-    def _pattern_bits(self, codes: np.ndarray) -> np.ndarray:
-        """The patterns of chunks of at most LONGEST characters, a row each."""
-        data = b"".join(self._pattern(code).to_bytes(PLACES // 8, "little") for code in codes.tolist())
-        return np.unpackbits(np.frombuffer(data, np.uint8).reshape(-1, PLACES // 8), axis=1, bitorder="little").astype(bool)
-
-    def _code(self, chunk: str, pattern: int) -> int:
-        later, first = divmod(pattern, VARIANTS)
-        return self.numbers[(chunk, later) if later else chunk] * VARIANTS + first
-
-    def _ids(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of known chunks, one after the other, and where each chunk ends."""
-        lengths = self.lengths[codes]
-        ends = np.cumsum(lengths)
-        return self.pieces[np.repeat(self.starts[codes] - (ends - lengths), lengths) + np.arange(lengths.sum())], ends
-
-    def _merged(self, chunks: list[str], sizes: np.ndarray, dropped: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            spelled = np.flatnonzero((here & (ids < 0)).any(1))
+            counts = here.sum(1)
+            places = [[*np.flatnonzero(here[row]).tolist(), None] for row in spelled]
+            lists = [self._spelled_all([here_chunks[row][i:j] for i, j in zip(p, p[1:])]) for row, p in zip(spelled, places)]
+            counts[spelled] = 0
+            here[spelled] = False
+            flat, ends = ids[here], np.cumsum(counts)
+            if len(spelled):  # in their places between the others
+                flat = np.insert(flat, np.repeat(ends[spelled], [len(x) for x in lists]), [i for x in lists for i in x])
+                counts[spelled] = [len(x) for x in lists]
+            found.append(flat.astype(np.int32))
+            lengths[part] = counts
+        flat = np.concatenate([*found, np.empty(0, np.int32)])
+        ends = np.cumsum(lengths[order])
+        starts = np.empty(len(chunks), np.int64)
+        starts[order] = ends - lengths[order]
+        return flat, starts, lengths, taken
+
+    def _remember(self) -> None:
+        """Segment the chunks numbered since the last time without drops, and keep their ids in one array."""
+        new = self.chunks[len(self.starts) :]
+        flat, starts, lengths, taken = self._segmented(new)
+        self.starts, self.lengths = np.append(self.starts, starts + len(self.pieces)), np.append(self.lengths, lengths)
+        self.taken, self.pieces = np.append(self.taken, taken), np.append(self.pieces, flat)
+
+    def _merged(self, chunks: list[str], sizes: np.ndarray, drops: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of each chunk at the places where they start, GONE elsewhere; and how many candidates it had.
 
-        Each step takes the best merge of every chunk, and skips those of ``dropped`` (chunk, step).
+        Each step takes the best merge of every chunk. ``drops`` has the first step that each chunk drops and the stream of
+        its further draws.
         """
         n, width = len(chunks), int(sizes.max()) + 1
         letters = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
@@ -208,7 +219,8 @@ class Codec:
         ranks = np.full((n, width), np.inf)
         ranks[:, :-1] = self._pair_ranks(symbols[:, :-1], symbols[:, 1:])
         rows, step, taken = np.arange(n), -1, np.zeros(n, np.int64)
-        some_dropped = bool(dropped.any())
+        drop_at, streams = (drops[0].copy(), drops[1]) if drops else (None, None)
+        count = np.zeros(n, np.uint64)
         while len(rows):
             best = ranks[rows].argmin(1)
             some = ranks[rows, best] < np.inf
@@ -217,13 +229,16 @@ class Codec:
             taken[rows] += 1
             second = after[rows, best]
             third = after[rows, second]
-            if some_dropped and len(rows):
-                gone = dropped[rows, step]
-                ranks[rows[gone], best[gone]] = np.inf
+            if drop_at is not None and len(rows):
+                gone = drop_at[rows] == step
+                lost = rows[gone]
+                ranks[lost, best[gone]] = np.inf
+                count[lost] += np.uint64(1)
+                drop_at[lost] = step + 1 + self._passed(self._draws(streams[lost], count[lost]))
                 took, best, second, third = rows[~gone], best[~gone], second[~gone], third[~gone]
             else:
                 took = rows
-            merged = _found(self.pairs, self.pair_symbols, symbols[took, best].astype(np.int64) * self.n_symbols + symbols[took, second], OTHER)
+            merged = self.pair_symbols(symbols[took, best].astype(np.int64) * self.n_symbols + symbols[took, second])
             symbols[took, best], symbols[took, second] = merged, GONE
             after[took, best], ranks[took, second] = third, np.inf
             inner = third < width
@@ -236,7 +251,7 @@ class Codec:
         return symbols, taken
 
     def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        return self.symbol_ranks[_found(self.pairs, self.pair_symbols, left.astype(np.int64) * self.n_symbols + right, OTHER)]
+        return self.symbol_ranks[self.pair_symbols(left.astype(np.int64) * self.n_symbols + right)]
 
     def _split(self, text: str) -> list[str]:
         chunks: list[str] = []
@@ -244,8 +259,10 @@ class Codec:
             chunks += [""] * (n > 0) + _CHUNK.findall((part if n else " " + part).replace(" ", SPACE))
         return chunks
 
-    def _draws(self, streams: np.ndarray, count: int) -> np.ndarray:
+    def _draws(self, streams: np.ndarray, count: int | np.ndarray) -> np.ndarray:
         """The draw number ``count`` of each occurrence."""
+        if isinstance(count, np.ndarray):
+            return mixed(streams + (count + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F))
         return mixed(streams + np.uint64((count + 1) * 0xC2B2AE3D27D4EB4F & MASK))
 
     def _passed(self, draws: np.ndarray) -> np.ndarray:
@@ -273,46 +290,36 @@ class Codec:
                     at += 1
         return int(bits[::-1], 2)
 
-    def _varied(self, chunks: list[str], streams: np.ndarray) -> np.ndarray:
-        """Codes of occurrences, with the candidates that each one's own draws drop; all are remembered."""
-        codes = np.fromiter(map(self.numbers.__getitem__, chunks), np.int64, len(chunks)) * VARIANTS
-        if not self.limit:
-            self._remember(np.unique(codes))
-            return codes
-        long = np.array([n for n, chunk in enumerate(chunks) if len(chunk) > LONGEST], np.int64)
-        plain = np.ones(len(codes), bool)
-        plain[long] = False
-        for n in np.unique(codes[long] // VARIANTS).tolist():  # are numbered again with their patterns
-            del self.numbers[self.chunks[n]]
-            self.chunks[n] = ""
-        for n in long.tolist():
-            codes[n] = self._code(chunks[n], self._long_pattern(chunks[n], streams[n : n + 1]))
-        self._remember(np.unique(codes))
-        active, at, count = np.flatnonzero(plain & (codes > 0)), np.zeros(len(codes), np.int64), 0
-        while len(active):
-            left = self.taken[codes[active]] - at[active]
-            active, left = active[left > 0], left[left > 0]
-            draws = self._draws(streams[active], count)
-            some = draws >= self.passing[left - 1]
-            active, draws = active[some], draws[some]
-            places = at[active] + self._passed(draws)
-            keys, which = np.unique(codes[active] * PLACES + places, return_inverse=True)
-            found = [self.children.get(key) for key in keys.tolist()]
-            for i, key in enumerate(keys.tolist()):
-                if found[i] is None:
-                    code, place = divmod(key, PLACES)
-                    found[i] = self.children[key] = self._code(self.chunks[code // VARIANTS], self._pattern(code) | 1 << place)
-            new = np.array(found, np.int64)
-            self._remember(np.unique(new))
-            codes[active], at[active] = new[which], places + 1
-            count += 1
-        return codes
+    def _varied(self, chunks: list[str], streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of occurrences one after the other, with the candidates dropped that each one's own draws drop; and their ends."""
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        long = np.flatnonzero(sizes > LONGEST).tolist()  # segmented alone, and not kept
+        short = chunks if not long else ["" if n > LONGEST else chunk for n, chunk in zip(sizes.tolist(), chunks)]
+        codes = np.fromiter(map(self.numbers.__getitem__, short), np.int64, len(chunks))
+        self._remember()
+        starts, lengths, pool, size = self.starts[codes], self.lengths[codes], [self.pieces], len(self.pieces)
+        for n in long:
+            pattern = self._long_pattern(chunks[n], streams[n : n + 1]) if self.limit else 0
+            ids = np.array(self._spelled_all(self.segment(chunks[n], pattern)), np.int32)
+            starts[n], lengths[n] = size, len(ids)
+            pool.append(ids)
+            size += len(ids)
+        if self.limit:
+            active = np.flatnonzero(self.taken[codes] > 0)
+            draws = self._draws(streams[active], 0)
+            some = draws >= self.passing[self.taken[codes[active]] - 1]
+            active, first = active[some], self._passed(draws[some])
+            flat, at, n_ids, _ = self._segmented([chunks[n] for n in active.tolist()], (first, streams[active]))
+            starts[active], lengths[active] = at + size, n_ids
+            pool.append(flat)
+        ends = np.cumsum(lengths)
+        return np.concatenate(pool)[np.repeat(starts - (ends - lengths), lengths) + np.arange(lengths.sum())], ends
 
-    def encode_all(self, texts: list[str | None], keys: list[int]) -> Iterator[list[int] | None]:
-        """Ids of each text, by groups of texts whose unknown chunks are segmented together."""
+    def groups(self, texts: list[str | None], keys: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of the next few texts one after the other, and where each text ends; chunks of a group are segmented together."""
         at = 0
         while at < len(texts):
-            if len(self.chunks) >= REMEMBERED or len(self.pieces) >= 8 * REMEMBERED:
+            if len(self.chunks) >= REMEMBERED:
                 self._forget()
             chunks: list[str] = []
             sizes: list[int] = []
@@ -322,11 +329,22 @@ class Codec:
                 streams.append(self._streams(keys[at + len(sizes)], len(part)) if self.limit else np.empty(0, np.uint64))
                 sizes.append(len(part))
                 chunks += part
-            ids, ends = self._ids(self._varied(chunks, np.concatenate(streams)))
-            stops = np.append(0, ends)[np.cumsum(sizes)].tolist()
-            for start, stop in zip([0, *stops], stops):
-                yield None if texts[at] is None else ids[start:stop].tolist()
-                at += 1
+            ids, ends = self._varied(chunks, np.concatenate(streams))
+            yield ids, np.append(0, ends)[np.cumsum(sizes)]
+            at += len(sizes)
+
+    def encode_all(self, texts: list[str | None], keys: list[int]) -> Iterator[list[int] | None]:
+        """Ids of each text."""
+        given = iter(texts)
+        for ids, stops in self.groups(texts, keys):
+            for start, stop in zip([0, *stops[:-1].tolist()], stops.tolist()):
+                yield None if next(given) is None else ids[start:stop].tolist()
+
+    def spelled(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of ids one after the other, and where each id's end."""
+        lengths = self.byte_lengths[ids]
+        ends = np.cumsum(lengths)
+        return self.byte_data[np.repeat(self.byte_starts[ids] - (ends - lengths), lengths) + np.arange(lengths.sum())].tobytes(), ends
 
     def encode(self, text: str, key: int = 0) -> list[int]:
         """Ids of a text; ``key`` (a document's number) and the place of a chunk choose what it drops."""
@@ -359,10 +377,19 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         for batch in stream:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                keys, texts, drawn = (part.column(i).to_pylist() for i in range(3))
-                ids = list(own.encode_all(texts, [k or 0 for k in drawn]))
-                fine = [None if t is None else own.decode(i) == t for i, t in zip(ids, texts)]
-                yield batches({"id": keys, "ids": ids, "n_ids": [None if i is None else len(i) for i in ids], "lossless": fine}, schema)
+                texts, drawn = part.column(1).to_pylist(), part.column(2).fill_null(0).to_pylist()
+                first = 0
+                for ids, stops in own.groups(texts, drawn):
+                    rows = slice(first, first + len(stops))
+                    first = rows.stop
+                    absent = np.array([t is None for t in texts[rows]])
+                    offsets = np.append(0, stops).astype(np.int32)
+                    data, ends = own.spelled(ids)
+                    cuts = np.append(0, ends)[offsets].tolist()
+                    fine = [t is not None and data[a:b] == (b" " + t.encode() if t else b"") for t, a, b in zip(texts[rows], cuts, cuts[1:])]
+                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids), mask=pa.array(absent))
+                    columns = [part.column(0).slice(rows.start, len(stops)), lists, pa.array(np.diff(offsets).astype(np.int64), mask=absent), pa.array(fine, mask=absent)]
+                    yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"), F.col(key_column or id_column).cast("long").alias("key")).mapInArrow(run, "id long, ids array<int>, n_ids long, lossless boolean")
 
