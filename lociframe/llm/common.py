@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
@@ -119,12 +120,26 @@ def maybe_member(df: DataFrame, key: Column, members: DataFrame, member_key: Col
     return df.withColumn("_page", F.bitmap_bucket_number(slot)).join(F.broadcast(pages), "_page", "left").withColumn("_maybe", hit).drop("_page", "_bits")
 
 
-def without_ids(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose id is not in ``ids`` (one column, staged); only rows that may go are shuffled.
+def document(id_column: str, text_column: str) -> Column:
+    """64 bits that stand for an id with its text: rows that repeat an id with another text are other documents."""
+    return F.xxhash64(F.col(f"`{id_column}`"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")))
+
+
+def give_back() -> None:
+    """Return freed memory to the system, which a worker that is used again would hold on to."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
+def without_ids(df: DataFrame, column: str | Column, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose id, a column or an expression, is not in ``ids`` (one column, staged); only rows that may go are shuffled.
 
     Rows without an id stay. All columns of ``df`` are kept, whatever their names.
     """
-    row = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(f"`{column}`").alias("_id"))
+    key = F.col(f"`{column}`") if isinstance(column, str) else column
+    row = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), key.alias("_id"))
     tested = maybe_member(row, F.col("_id"), ids, F.col(ids.columns[0]))
     doubtful = tested.where("_maybe").join(ids.toDF("_gone"), F.col("_id") == F.col("_gone"), "left_anti")
     return tested.where("NOT _maybe").select("_row").union(doubtful.select("_row")).select("_row.*")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociframe.llm.common import WordHashes, batches, binary, rows_per_batch, shingles, with_ids, without_ids
+from lociframe.llm.common import WordHashes, batches, binary, document, rows_per_batch, shingles, with_ids, without_ids
 from lociframe.llm.components import components
 from lociframe.session import stage
 
@@ -303,7 +303,20 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def drop_similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest id; rows without id stay."""
-    found = similar_groups(docs, id_column, text_column, size, percent)
-    gone = stage(found.where("component_id <> id").select("id").distinct(), "join-gone")
-    return without_ids(docs, id_column, gone)
+    """``docs`` with one document of each group, the one with the smallest id; rows without id stay.
+
+    Where ids repeat with other texts, each (id, text) is a document of its own, is compared as such, and
+    goes only if its own text does.
+    """
+    named = F.col(f"`{id_column}`").isNotNull()
+    once = docs.where(named).groupBy(F.col(f"`{id_column}`").alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    if once:
+        found = similar_groups(docs, id_column, text_column, size, percent)
+        return without_ids(docs, id_column, stage(found.where("component_id <> id").select("id").distinct(), "join-gone"))
+    key = document(id_column, text_column)
+    nodes = docs.where(named).select(key.alias("node"), F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
+    found = similar_groups(nodes, "node", "text", size, percent).select(F.col("id").alias("node"), "component_id").distinct()
+    members = stage(nodes.select("node", "id").distinct().join(found, "node"), "join-members")
+    keep = members.groupBy("component_id").agg(F.min(F.struct("id", "node")).alias("keep")).select("component_id", F.col("keep.node").alias("keep"))
+    gone = stage(members.join(keep, "component_id").where("node <> keep").select("node").distinct(), "join-gone")
+    return without_ids(docs, F.when(named, key), gone)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociframe.llm.common import MASK, batches, mixed
+from lociframe.llm.common import MASK, batches, give_back, mixed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # a public vocabulary; any BPE model with byte fallback will do
 DROPOUT, SEED = 0.1, 42
@@ -373,6 +373,7 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     schema = pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32())), ("n_ids", pa.int64()), ("lossless", pa.bool_())])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         own = codec(model, dropout, seed)
         for batch in stream:
             for at in range(0, batch.num_rows, 2000):
