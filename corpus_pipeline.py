@@ -11,15 +11,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lociframe.llm import exact_dedup, jaccard_join, mixing, quality_fm, sentencepiece_codec
-from lociframe.llm.common import maybe_member, without_ids
+from lociframe.llm.common import document, maybe_member, without_ids
 from lociframe.session import stage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; rows without id stay."""
+    """Documents that the classifier accepts; rows without id stay. A text is judged by itself where an id repeats with others."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rejected = quality_fm.classify(docs, labels).where("predicted = 0 AND id IS NOT NULL")
-    return without_ids(docs, "doc_id", stage(rejected.select("id").distinct(), "rejected"))
+    key = F.when(F.col("doc_id").isNotNull(), document("doc_id", "text"))
+    named = docs.select(key.alias("doc_id"), "text", "n_chars").where("doc_id IS NOT NULL")
+    scored = quality_fm.score(named, quality_fm.train(docs, labels))
+    rejected = scored.where(F.col("score") < quality_fm.THRESHOLD).select("id").distinct()
+    return without_ids(docs, key, stage(rejected, "rejected"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
