@@ -16,7 +16,7 @@ from lociframe.llm.common import MASK, batches, give_back, mixed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # a public vocabulary; any BPE model with byte fallback will do
 DROPOUT, SEED = 0.1, 42
-REMEMBERED = 300_000  # chunks that a worker keeps the undropped segmentations of
+REMEMBERED = 300_000  # chunks that a task keeps the undropped segmentations of
 LONGEST = 32  # characters of such a chunk
 SPACE = "▁"
 GROUP = 200_000  # chunks looked up at a time, about
@@ -358,7 +358,7 @@ class Codec:
 
 @lru_cache(maxsize=2)
 def codec(model: str, dropout: float, seed: int) -> Codec:
-    """One codec per Python worker, so that its memory of segmentations outlives a task."""
+    """One codec per Python worker: its tables of pieces and pairs outlive a task, its memory of segmentations does not."""
     return Codec(model, dropout, seed)
 
 
@@ -373,7 +373,6 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     schema = pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32())), ("n_ids", pa.int64()), ("lossless", pa.bool_())])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         own = codec(model, dropout, seed)
         for batch in stream:
             for at in range(0, batch.num_rows, 2000):
@@ -391,6 +390,8 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
                     lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids), mask=pa.array(absent))
                     columns = [part.column(0).slice(rows.start, len(stops)), lists, pa.array(np.diff(offsets).astype(np.int64), mask=absent), pa.array(fine, mask=absent)]
                     yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        own._forget()  # a worker that waits for other work should not hold what this one needed
+        give_back()
 
     return docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"), F.col(key_column or id_column).cast("long").alias("key")).mapInArrow(run, "id long, ids array<int>, n_ids long, lossless boolean")
 
