@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociframe.llm.common import WordHashes, batches, binary, document, rows_per_batch, shingles, with_ids, without_ids
+from lociframe.llm.common import WordHashes, batches, binary, document, give_back, rows_per_batch, shingles, with_ids, without_ids
 from lociframe.llm.components import components
 from lociframe.session import stage
 
@@ -77,6 +77,9 @@ def _sketch(size: int, percent: int):
             yield batches(rows, _SKETCH)
         if held:
             yield counted()
+        hashes.clear()
+        waiting.clear()
+        give_back()
 
     return run
 
@@ -184,6 +187,8 @@ def _sets(size: int):
         hashes = WordHashes()
         for batch in stream:
             yield batches({"id": batch.column(0).to_pylist(), "tokens": [shingles(hashes.of((t or b"").lower().split()), size).tobytes() for t in binary(batch, "text")]}, schema)
+        hashes.clear()
+        give_back()
 
     return run
 

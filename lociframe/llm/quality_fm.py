@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociframe.llm.common import batches, binary
+from lociframe.llm.common import batches, binary, give_back
 from lociframe.session import stage
 
 WORDS = 1 << 15  # hashed word features
@@ -88,6 +88,8 @@ def _features(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch
             all_slots.append(np.concatenate([kinds, base, base + 1 + np.searchsorted(edges, stats, side="right")]))
             all_values.append(np.concatenate([np.full(len(kinds), 1 / np.sqrt(max(1, len(kinds)))), stats, np.full(STATISTICS, 0.5)]))
         yield batch, all_slots, all_values
+    known.clear()
+    give_back()
 
 
 @dataclass
