@@ -281,11 +281,12 @@ def test_dropout_varies_pieces_and_loses_nothing(spark):
 def test_chunks_segmented_together_and_alone_agree(dropout):
     own = sentencepiece_codec.Codec(dropout=dropout)
     words = ["▁wonderfulness", "▁", "▁▁▁", "x", "▁日本語", "\n\tq\x00", "▁ñandú😀", "e" * 32, '▁"1beb58b8af68854f0e01b4ad']
-    wanted = [(word, variant) for word in words for variant in range(4)]
-    codes = np.array([own.numbers[word] * 4 + variant for word, variant in wanted])
-    own._remember(codes)
-    for k, code in zip(wanted, codes):
-        assert own._ids(codes[codes == code])[0].tolist() == own._spelled_all(own.segment(*k)), k
+    for key in range(20):  # many chunks at a time, and one by one from an agenda, by the same draws
+        streams = own._streams(key, len(words))
+        ids, ends = own._varied(words, streams)
+        for n, word in enumerate(words):
+            pattern = own._long_pattern(word, streams[n : n + 1]) if dropout else 0
+            assert ids[ends[n - 1] if n else 0 : ends[n]].tolist() == own._spelled_all(own.segment(word, pattern)), (key, word)
     texts = [*TEXTS, None, "", "y" * 500 + " ▁▁ end"]
     got = list(own.encode_all(texts, list(range(len(texts)))))
     assert got == [None if t is None else sentencepiece_codec.Codec(dropout=dropout).encode(t, i) for i, t in enumerate(texts)]
