@@ -112,67 +112,47 @@ SNAPSHOT_COLUMNS = {
     ],
 }
 
-# Variants per imputed contig, contigs 1 to 22, then X and XY.
-IMPUTED_VARIANTS = {
-    "1": 7402791,
-    "2": 8129063,
-    "3": 6696680,
-    "4": 6555871,
-    "5": 6070641,
-    "6": 5751712,
-    "7": 5405524,
-    "8": 5282223,
-    "9": 4066774,
-    "10": 4562904,
-    "11": 4628348,
-    "12": 4431052,
-    "13": 3270217,
-    "14": 3037521,
-    "15": 2767971,
-    "16": 3089612,
-    "17": 2660711,
-    "18": 2599579,
-    "19": 2087017,
-    "20": 2082571,
-    "21": 1261158,
-    "22": 1255683,
-    "X": 3917799,
-    "XY": 45906,
-}
-# Samples per imputed contig where not the autosomal number.
-AUTOSOMAL_SAMPLES = 487296
-OTHER_SAMPLES = {"X": 486645, "XY": 486331}
-# Names of the contigs after the autosomes, in code order from 23.
-SEX_AND_OTHER_CONTIGS = ["X", "Y", "XY", "MT"]
+# Contigs as (index, code, name, n_consent_samples, n_variants); numbers only for the imputed ones.
+CONTIGS = [
+    ("0", "1", "1", "487296", "7402791"),
+    ("1", "2", "2", "487296", "8129063"),
+    ("2", "3", "3", "487296", "6696680"),
+    ("3", "4", "4", "487296", "6555871"),
+    ("4", "5", "5", "487296", "6070641"),
+    ("5", "6", "6", "487296", "5751712"),
+    ("6", "7", "7", "487296", "5405524"),
+    ("7", "8", "8", "487296", "5282223"),
+    ("8", "9", "9", "487296", "4066774"),
+    ("9", "10", "10", "487296", "4562904"),
+    ("10", "11", "11", "487296", "4628348"),
+    ("11", "12", "12", "487296", "4431052"),
+    ("12", "13", "13", "487296", "3270217"),
+    ("13", "14", "14", "487296", "3037521"),
+    ("14", "15", "15", "487296", "2767971"),
+    ("15", "16", "16", "487296", "3089612"),
+    ("16", "17", "17", "487296", "2660711"),
+    ("17", "18", "18", "487296", "2599579"),
+    ("18", "19", "19", "487296", "2087017"),
+    ("19", "20", "20", "487296", "2082571"),
+    ("20", "21", "21", "487296", "1261158"),
+    ("21", "22", "22", "487296", "1255683"),
+    ("22", "23", "X", "486645", "3917799"),
+    ("23", "24", "Y", None, None),
+    ("24", "25", "XY", "486331", "45906"),
+    ("25", "26", "MT", None, None),
+]
 
 # Keyword sets for the variable list.
 TERM_SETS = {"basic": ["diabetes", "sleep", "depression", "cardiac", "addiction", "height", "weight"]}
 
-# Columns read from a published summary-statistics file.
-PUBLISHED_COLUMNS = [
-    "chromosome",
-    "variant",
-    "variant_id",
-    "minor_allele",
-    "n_complete_samples",
-    "beta",
-    "p-value",
-    "tstat",
-]
-
 
 def contig_names() -> list[str]:
     """The 26 hard-call contigs in index order."""
-    return [str(i) for i in range(1, 23)] + SEX_AND_OTHER_CONTIGS
+    return [row[2] for row in CONTIGS]
 
 
 def contig_rows(imputed: bool = True) -> list[tuple]:
-    """(index, code, name, n_consent_samples, n_variants), all text; counts only for imputed contigs."""
-    rows = []
-    for index, name in enumerate(contig_names()):
-        if not imputed:
-            rows.append((str(index), str(index + 1), name, None, None))
-        elif name in IMPUTED_VARIANTS:
-            n_samples = OTHER_SAMPLES.get(name, AUTOSOMAL_SAMPLES)
-            rows.append((str(index), str(index + 1), name, str(n_samples), str(IMPUTED_VARIANTS[name])))
-    return rows
+    """(index, code, name, n_consent_samples, n_variants), all text: the 24 imputed contigs, or all 26 without numbers."""
+    if imputed:
+        return [row for row in CONTIGS if row[4] is not None]
+    return [(*row[:3], None, None) for row in CONTIGS]

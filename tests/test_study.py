@@ -11,6 +11,7 @@ from lociframe import schema
 from lociframe.functions.pvalues import hwe_exact
 from lociframe.functions.text import participant_header
 from lociframe.plans import study
+from lociframe.sources.sumstats import PUBLISHED_SCHEMA
 
 N, V = 160, 12
 
@@ -58,7 +59,7 @@ def inputs(tmp_path_factory):
     pd.concat([phenotypes, extra]).to_csv(root / "phenotypes.tsv", sep="\t", index=False)
     (root / "dictionary.csv").write_text("FieldID,Field\n50,Standing height\n")
     (root / "published").mkdir()
-    head = "\t".join(schema.PUBLISHED_COLUMNS)
+    head = "\t".join(PUBLISHED_SCHEMA.names)
     for name in ("50_raw", "50_irnt", "20095_1", "7"):
         with gzip.open(root / "published" / f"{name}.both_sexes.tsv.gz", "wt") as f:
             f.write(head + "\n" + "".join(f"21\t21:{100 + j}:A:G\trs{j}\tG\t1000\t0.1\t0.01\t2.0\n" for j in range(8, V + 2)))
