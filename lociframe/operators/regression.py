@@ -13,7 +13,8 @@ samples: g.g, g.q and g.y. The steps are:
                  task goes through a variant block's sample blocks, multiplies matrices and adds up in memory, so
                  neither calls nor sums are shuffled. Calls without that layout are cogrouped with sample rows by
                  (variant block, sample block), and partial sums are added by Spark
-6. ``finish``    beta, t and p as column arithmetic
+6. ``finish``    beta, t and p as column arithmetic. All joins and the one exchange of the results come before a row per
+                 trait is made, when a batch of 100 traits is still one row per variant
 
 Samples are cut into blocks of fixed width and variants into blocks by hash, so every group handed
 to Python is bounded by the block widths, whatever the size of the cohort. The calls are shuffled
@@ -23,7 +24,7 @@ once per pass of about ``columns_per_pass`` columns, not once per batch; summing
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -500,29 +501,57 @@ def contract_stored(calls: DataFrame, adjusted: DataFrame, shape: Shape) -> Data
 # Results
 
 
-def trait_totals(adjusted: DataFrame, solved: DataFrame, batches: DataFrame, shape: Shape) -> DataFrame:
-    """One row per trait of a batch that ran: residual sum of squares, complete cases and rank."""
+def trait_totals(adjusted: DataFrame, solved: DataFrame, batches: DataFrame, shape: Shape, described: DataFrame | None = None) -> DataFrame:
+    """One row per trait of a batch that ran: residual sum of squares, complete cases and rank.
+
+    ``described`` has one row per trait_id, whose other columns are added.
+    """
     traits = _names("z", shape)[shape.k :]
     squares = adjusted.groupBy("batch_key").agg(*[F.sum(F.col(z) * F.col(z)).alias(z) for z in traits])
     yy = squares.select("batch_key", F.posexplode(F.array(*traits)).alias("trait_index", "yy"))
     dims = batches.select("batch_key", "trait_index", "trait_id", "batch_index", "batch_size", "trait_group_id")
+    if described is not None:
+        dims = dims.join(described, "trait_id")
     return yy.join(solved.select("batch_key", F.col("n").alias("sample_size"), "rank"), "batch_key").join(
         dims, ["batch_key", "trait_index"]
     )
 
 
-def finish(sums: DataFrame, totals: DataFrame, shape: Shape) -> DataFrame:
+_PER_BATCH = ["batch_key", "sample_size", "rank", "batch_index", "batch_size", "trait_group_id"]
+
+
+def finish(
+    sums: DataFrame,
+    totals: DataFrame,
+    shape: Shape,
+    variants: DataFrame | None = None,
+    only: DataFrame | None = None,
+    together: Sequence[str] = (),
+) -> DataFrame:
     """beta, standard error, t and p per (variant, trait).
 
     A variant without variation left after the covariates, one with a missing dosage, or a batch
-    without residual degrees of freedom has NULL results.
+    without residual degrees of freedom has NULL results. Columns of ``variants`` are added, which has one row per
+    variant; ``only`` keeps the (contig, batch_index, trait_group_id) it lists; columns ``together`` say which rows
+    should lie together, for a write by them. The traits of a batch are one value until the last step.
     """
+    more = [c for c in totals.columns if c not in (*_PER_BATCH, "trait_index", "trait_id", "yy")]
+    of_trait = F.array_sort(F.collect_list(F.struct("trait_index", "trait_id", "yy", *more)))
+    per_batch = totals.groupBy(*_PER_BATCH).agg(of_trait.alias("_traits"))
     k = shape.k
     explained = reduce(lambda a, b: a + b, [F.col(f"s{j}") * F.col(f"s{j}") for j in range(k)])
     per_trait = F.array(*[F.col(f"s{j}") for j in range(k, shape.n_sums)])
-    long = sums.select(
-        *CALL_KEYS, "batch_key", "gg", "n_bad", (F.col("gg") - explained).alias("grr"), F.posexplode(per_trait).alias("trait_index", "gy")
-    ).join(totals, ["batch_key", "trait_index"])
+    wide = sums.select(*CALL_KEYS, "batch_key", "gg", "n_bad", (F.col("gg") - explained).alias("grr"), per_trait.alias("_gy"))
+    wide = wide.join(per_batch, "batch_key")
+    if only is not None:
+        wide = wide.join(only, ["contig", "batch_index", "trait_group_id"], "left_semi")
+    of_variant = [c for c in variants.columns if c not in CALL_KEYS] if variants is not None else []
+    if variants is not None:
+        wide = wide.join(variants, CALL_KEYS)
+    if together:
+        wide = wide.hint("rebalance", *[F.col(c) for c in together])
+    each = F.transform("_traits", lambda t: t.withField("gy", F.get(F.col("_gy"), t["trait_index"])))
+    long = wide.select(*CALL_KEYS, *of_variant, *_PER_BATCH[1:], "gg", "n_bad", "grr", F.inline(each))
     dof = F.col("sample_size") - F.col("rank") - 1
     usable = (F.col("n_bad") == 0) & (F.col("grr") > MONOMORPHIC_TOLERANCE * F.col("gg")) & (dof > 0)
     beta = F.when(usable, F.col("gy") / F.col("grr"))
@@ -543,6 +572,8 @@ def finish(sums: DataFrame, totals: DataFrame, shape: Shape) -> DataFrame:
         "t",
         "dof",
         t_p_value("t", "dof").alias("p_value"),
+        *of_variant,
+        *more,
     )
 
 
@@ -555,6 +586,10 @@ def associate(
     min_samples: int = MIN_SAMPLES,
     n_variants: int | None = None,
     keep: Callable[[DataFrame, str], DataFrame] = stage,
+    variants: DataFrame | None = None,
+    described: DataFrame | None = None,
+    only: DataFrame | None = None,
+    together: Sequence[str] = (),
 ) -> DataFrame:
     """All variants against all trait batches in one job.
 
@@ -563,14 +598,15 @@ def associate(
     the tiling and is counted if not given. ``keep`` writes the sample side, each step of which is
     used more than once, to a table: a lost executor does not repeat it, and Spark knows the size
     of the trait table that the results are joined with. The table ``solved`` also has the batches with
-    too few complete cases.
+    too few complete cases. ``described`` adds columns by trait, see ``trait_totals``; for ``variants``, ``only`` and
+    ``together`` see ``finish``.
     """
     rows = keep(design(trait_values, batches, samples, shape), "design")
     solved = keep(solve(moments(rows), shape.k), "solved").filter(F.col("n") >= min_samples)
     adjusted = keep(residuals(rows, solved, shape), "residuals")
     if n_variants is None and BUCKET not in calls.columns:
         n_variants = calls.select(*CALL_KEYS).distinct().count()
-    totals = keep(trait_totals(adjusted, solved, batches, shape), "totals")
+    totals = keep(trait_totals(adjusted, solved, batches, shape, described), "totals")
     sums = contract_stored(calls, adjusted, shape) if BUCKET in calls.columns else contract(calls, adjusted, shape, n_variants)
-    return finish(sums, totals, shape)
+    return finish(sums, totals, shape, variants, only, together)
 

@@ -215,9 +215,11 @@ def gwas_full_run(spark: SparkSession, d: str) -> DataFrame:
     values = _order_counts(spark, d)
     shape = regression.Shape(n_covariates=5, batch_size=1)
     n_variants = table(spark, d, "part").count()
-    result = regression.associate(kept_calls, covariates, values, _single_batches(values), shape, n_variants=n_variants)
+    result = regression.associate(
+        kept_calls, covariates, values, _single_batches(values), shape, n_variants=n_variants, together=sinks.RESULT_PARTITIONS
+    )
     path = shared_path(spark, "association")
-    sinks.write_results(result, path)
+    sinks.write_results(result, path, placed=True)
     stored = spark.read.schema(result.schema).parquet(path)
     return stored.select("trait_id", "variant_index", "sample_size", rounded("beta").alias("beta"), rounded("t").alias("t"))
 

@@ -292,7 +292,17 @@ def run_association(
         pending = pending.withColumn("_size", size)
         parts = [
             regression.associate(
-                todo_calls, people, values, pending.filter(F.col("_size") == n), regression.Shape(5 + npc, n), min_samples, keep=keep
+                todo_calls,
+                people,
+                values,
+                pending.filter(F.col("_size") == n),
+                regression.Shape(5 + npc, n),
+                min_samples,
+                keep=keep,
+                variants=variants.select(*variant_columns),
+                described=batches.select(*trait_columns),
+                only=todo,  # a genotype folder has several contigs only if stored so; each may have its own finished batches
+                together=sinks.RESULT_PARTITIONS,
             )
             for n in (r[0] for r in pending.select("_size").distinct().collect())  # three at most
         ]
@@ -300,12 +310,9 @@ def run_association(
             report = traits.batch_report(pending, reduce(DataFrame.unionByName, solved), min_samples)
             sinks.write_table(report, f"{report_path}/batches")
         fitted = reduce(DataFrame.unionByName, parts)
-        # A genotype folder has several contigs only if stored so; each may have its own finished batches.
-        fitted = fitted.join(todo, ["contig", "batch_index", "trait_group_id"], "left_semi")
-        renamed = fitted.withColumnsRenamed({"p_value": "variant_p_value", "beta": "variant_beta"})
-        return renamed.join(batches.select(*trait_columns), "trait_id").join(variants.select(*variant_columns), ["contig", "variant_index"]).drop("trait_id")
+        return fitted.withColumnsRenamed({"p_value": "variant_p_value", "beta": "variant_beta"}).drop("trait_id")
 
-    done = incremental.run_pending(spark, work, results_path, compute, settings=f"min_samples={min_samples}")
+    done = incremental.run_pending(spark, work, results_path, compute, settings=f"min_samples={min_samples}", placed=True)
     if variables_path:
         sample_values = values.join(listed, "trait_id").select(
             "sample_id",

@@ -42,10 +42,13 @@ def write_calls(df: DataFrame, path: str) -> None:
 RESULT_PARTITIONS = ["contig", "trait_group_id", "batch_index"]
 
 
-def write_results(df: DataFrame, path: str) -> None:
-    """Association results by contig, trait group and batch; a re-run replaces only what it contains."""
+def write_results(df: DataFrame, path: str, placed: bool = False) -> None:
+    """Association results by contig, trait group and batch; a re-run replaces only what it contains.
+
+    Rows that already lie together (``placed``) are written where they are.
+    """
     (
-        df.hint("rebalance", *[F.col(c) for c in RESULT_PARTITIONS])
+        (df if placed else df.hint("rebalance", *[F.col(c) for c in RESULT_PARTITIONS]))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*RESULT_PARTITIONS)

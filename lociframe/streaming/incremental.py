@@ -62,18 +62,23 @@ def stored_work(spark: SparkSession, results_path: str) -> DataFrame:
 
 
 def run_pending(
-    spark: SparkSession, work: DataFrame, results_path: str, compute: Callable[[DataFrame], DataFrame], settings: str = ""
+    spark: SparkSession,
+    work: DataFrame,
+    results_path: str,
+    compute: Callable[[DataFrame], DataFrame],
+    settings: str = "",
+    placed: bool = False,
 ) -> DataFrame:
     """Compute and write the part of ``work`` that is not finished yet, and log it; returns that part.
 
     ``compute`` gets the pending rows and returns results that carry ``contig``,
     ``trait_group_id`` and ``batch_index``. A second run with the same work finds nothing to do: work that gave no result
-    is not tried again as long as ``settings`` are the same.
+    is not tried again as long as ``settings`` are the same. ``placed``: see ``write_results``.
     """
     pending = pending_work(work, finished_work(spark, results_path, settings))
     todo = stage(pending, "pending")  # fixed before results appear
     if not todo.isEmpty():
-        write_results(compute(todo), results_path)
+        write_results(compute(todo), results_path, placed)
         stored = stored_work(spark, results_path).withColumn("has_result", F.lit(True))
         keys = [f.name for f in stored.schema.fields if f.name != "has_result"]
         logged = todo.select(*keys).join(stored, keys, "left")

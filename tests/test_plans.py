@@ -64,3 +64,32 @@ def test_stored_calls_and_their_sums_are_not_shuffled(spark):
     text = regression.contract_stored(calls, adjusted, shape)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert text.count("FlatMapGroupsInArrow") > 1 and text.count("Bucketed: true") == text.count("FlatMapGroupsInArrow")
     assert "Exchange" not in text
+
+
+def test_results_are_not_shuffled_once_a_trait_is_a_row(spark):
+    from lociframe.operators import regression
+    from lociframe.plans import association
+    from lociframe.sources.sinks import RESULT_PARTITIONS
+
+    shape = regression.Shape(n_covariates=10, batch_size=2)
+    batches = D.trait_batches(spark, FOLDER)
+    calls = regression.pack_blocks(D.dense_dosages(spark, FOLDER))
+    variants = D.variants(spark, FOLDER).selectExpr("'1' AS contig", "variant_index", "variant_id AS name").distinct()
+    only = batches.selectExpr("'1' AS contig", "batch_index", "trait_group_id").distinct()
+    kinds = calls.select("contig").schema["contig"].dataType.simpleString()
+    only, variants = (df.withColumn("contig", df["contig"].cast(kinds)) for df in (only, variants))
+    described = batches.selectExpr("trait_id", "upper(trait_id) AS described")
+    covariates = association._covariates(spark, FOLDER, 5)
+    values = D.trait_values(spark, FOLDER)
+    found = regression.associate(
+        calls, covariates, values, batches, shape, 10, D.N_DENSE, variants=variants, described=described, only=only, together=RESULT_PARTITIONS
+    )
+    text = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    above, below = text.split("Generate inline", 1)
+    assert "Exchange" not in above and "Join" not in above
+    assert "REBALANCE_PARTITIONS_BY_COL" in below and "Generate inline" not in below
+    plain = regression.associate(calls, covariates, values, batches, shape, 10, D.N_DENSE)
+    keys = ["contig", "variant_index", "trait_id"]
+    expected = plain.join(variants, ["contig", "variant_index"]).join(described, "trait_id").join(only, ["contig", "batch_index", "trait_group_id"], "left_semi")
+    a, b = (df.select(*keys, "name", "described", "sample_size", "beta").toPandas().sort_values(keys, ignore_index=True) for df in (found, expected))
+    assert len(a) and a.equals(b)
