@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,20 +93,18 @@ def read_published(spark: SparkSession, path: str, traits: DataFrame | None = No
 
     Columns are matched to each file's header by name, so files may order them in their own way and
     carry more than are read. The trait comes from the file name. ``traits`` (a manifest) restricts
-    the result to its trait ids: other files are not opened. The paths of the files, a few per trait,
-    come to the driver, which reads the first line of each.
+    the result to its trait ids: other files are not opened. One job lists the files and another reads all
+    headers; their paths, a few per trait, come to the driver.
     """
     name = F.regexp_extract("file", _TRAIT_FILE, 1)
     kept = list_files(spark, path).filter(name.endswith(".tsv.gz") & ~X.before_first_dot(name).endswith("_irnt"))
     kept = kept.withColumn("trait_id", _published_trait(name))
     if traits is not None:
         kept = kept.join(traits.select("trait_id").distinct(), "trait_id", "left_semi")
-    by_header: dict[str, list[str]] = {}
-    for file in sorted(r.file for r in kept.select("file").collect()):
-        line = spark.read.text(file).head(1)
-        by_header.setdefault(line[0][0] if line else "", []).append(file)
-    by_header.pop("", None)  # empty files
-    parts = [_read_alike(spark, header, files) for header, files in by_header.items()]
+    listed = sorted(r.file for r in kept.select("file").collect())
+    alike = first_lines(spark, listed).groupBy("line").agg(F.array_sort(F.collect_list("file")).alias("files"))
+    found = alike.filter("line <> ''").orderBy("line").collect() if listed else []  # an empty file has no line
+    parts = [_read_alike(spark, line, files) for line, files in found]
     if not parts:
         if traits is None:
             raise ValueError(f"no published results below {path}")
@@ -115,6 +117,44 @@ def read_published(spark: SparkSession, path: str, traits: DataFrame | None = No
     )
 
 
+_HEADER_BYTES = 4096  # read at a time until the first line ends
+_OPENED_BY_TASKS = ("file", "hdfs", "gs", "s3")  # file systems that tasks open without Spark
+
+
+def first_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(file, line): the first line of each text file, gzipped where the name ends in .gz, in one job.
+
+    Tasks open the files themselves and stop after the line, because Spark's readers decompress all of a file that
+    cannot be split. On file systems that only Spark knows they are read so all the same. An empty file has a NULL
+    line in the first way, and no row in the second.
+    """
+    if files and files[0].split(":", 1)[0] not in _OPENED_BY_TASKS:
+        path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))  # which is escaped, but for a plus
+        text = spark.read.text(files).select(path.alias("file"), "value", F.monotonically_increasing_id().alias("_seen"))
+        return text.groupBy("file").agg(F.min_by("value", "_seen").alias("line"))
+
+    def read(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            lines = pa.array([_first_line(path) for path in batch["file"].to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch["file"], lines], ["file", "line"])
+
+    return spark.createDataFrame([(f,) for f in files], "file string").mapInArrow(read, "file string, line string")
+
+
+def _first_line(path: str) -> str | None:
+    # Spark names local files file:/a/b and does not escape; Arrow takes escapes for those of a URI.
+    uri = re.sub(r"^file:/(?!/)", "file:///", path).replace("%", "%25").replace(" ", "%20").replace("#", "%23").replace("?", "%3F")
+    system, place = fs.FileSystem.from_uri(uri)
+    held = b""
+    with system.open_input_stream(place, compression="gzip" if place.endswith(".gz") else None) as stream:
+        while b"\n" not in held:
+            more = stream.read(_HEADER_BYTES)
+            if not more:
+                break
+            held += more
+    return held.split(b"\n", 1)[0].removesuffix(b"\r").decode() if held else None
+
+
 def _read_alike(spark: SparkSession, header: str, files: list[str]) -> DataFrame:
     """Files of one header; Spark holds each against it when it reads them."""
     known = {f.name: f.dataType for f in PUBLISHED_SCHEMA}

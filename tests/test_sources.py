@@ -135,6 +135,23 @@ def test_published_files_with_missing_columns(spark, tmp_path):
         sumstats.read_published(spark, str(tmp_path))
 
 
+def test_headers_of_many_files_are_read_in_one_job(spark, tmp_path, monkeypatch):
+    names = [*(f"{i} of%3A#1+.tsv.gz" for i in range(12)), "empty.tsv.gz", "long.tsv.gz", "plain.tsv"]
+    lines = {n: f"a\t{n}" for n in names} | {"empty.tsv.gz": "", "long.tsv.gz": "x" * 10_000}
+    for n in names:
+        data = (lines[n] + "\r\nsecond\n").encode() if lines[n] else b""
+        (tmp_path / n).write_bytes(data if n == "plain.tsv" else gzip.compress(data))
+    files = [r.file for r in sumstats.list_files(spark, str(tmp_path)).collect()]
+    expected = {n: line or None for n, line in lines.items()}
+    spark.sparkContext.setJobGroup("headers", "headers")
+    got = {r.file.rsplit("/", 1)[1]: r.line for r in sumstats.first_lines(spark, files).collect()}
+    assert got == expected
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers")) == 1
+    monkeypatch.setattr(sumstats, "_OPENED_BY_TASKS", ())  # as on a file system that only Spark opens
+    scanned = {r.file.rsplit("/", 1)[1]: r.line for r in sumstats.first_lines(spark, files).collect()}
+    assert scanned == {n: line for n, line in expected.items() if line}
+
+
 def test_repartitioned_write_refuses_to_replace(spark, tmp_path):
     df = spark.range(10)
     sinks.write_repartitioned(df, str(tmp_path / "out"), 3)
