@@ -3,7 +3,7 @@
 Documents are taken in blocks. Each block sends every distinct n-gram once, with its count in the block,
 to the part of the count table its hash belongs to; the parts add up and answer each block with the
 counts of its n-grams; blocks sum the scores of their documents. A frequent n-gram is one entry per
-block, so no part is hot, and sorted hashes travel packed, in less than 5 bytes each.
+block, so no part is hot, and sorted hashes of 64 bits travel packed, as the steps between them.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from lociframe.session import stage
 ORDER, LEAST, ALPHA = 3, 2, 0.4  # longest n-gram; least count of n-grams of two words and more; factor per backoff
 BLOCK = 1_800_000  # words of a block, about
 PART = 8 << 20  # bytes of text per part of the count table, about
-SPARE = 20  # bits of an n-gram's hash beyond those that number all n-grams: one in 2**SPARE meets another
 
 
 def _planes(x: np.ndarray, width: int) -> bytes:
@@ -50,7 +49,7 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(_unplanes(data[17:], n, data[0]), dtype=np.uint64) + np.uint64(first)
 
 
-def _ngrams(words: np.ndarray, places: np.ndarray, order: int, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+def _ngrams(words: np.ndarray, places: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(n, position of the last word, distinct keys in order, key index of each position) of a block's n-grams.
 
     ``words``: hash of each word; ``places``: its place in its document.
@@ -59,7 +58,7 @@ def _ngrams(words: np.ndarray, places: np.ndarray, order: int, bits: int) -> Ite
     for n in range(1, order + 1):
         run = mixed((np.concatenate([np.zeros(1, np.uint64), run[:-1]]) if n > 1 else run) * np.uint64(0x9E3779B97F4A7C15) + words + np.uint64(n))
         at = np.flatnonzero(places >= n - 1)
-        keys, index = np.unique(run[at] >> np.uint64(64 - bits), return_inverse=True)
+        keys, index = np.unique(run[at], return_inverse=True)
         yield n, at, keys, index
 
 
@@ -99,15 +98,15 @@ def _words(data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return words, np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
 
-def _sent(parts: int, order: int, bits: int):
+def _sent(parts: int, order: int):
     """Distinct n-grams of each block by the part of the count table they belong to, with their counts."""
     schema = pa.schema([("block", pa.string()), ("n", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-    shift = np.uint64(bits - (parts.bit_length() - 1))
+    shift = np.uint64(64 - (parts.bit_length() - 1))
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             for name, data, lengths in zip(batch.column(0).to_pylist(), binary(batch, "data"), batch.column(2)):
-                for n, _, keys, index in _ngrams(*_words(data, lengths.values.to_numpy().astype(np.int64)), order, bits):
+                for n, _, keys, index in _ngrams(*_words(data, lengths.values.to_numpy().astype(np.int64)), order):
                     if not len(keys):
                         continue
                     counts = np.bincount(index, minlength=len(keys)).astype(np.uint64)
@@ -131,14 +130,14 @@ def _added(least: int):
     return add
 
 
-def _scored(total: int, order: int, alpha: float, bits: int):
+def _scored(total: int, order: int, alpha: float):
     def score(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = blocks.iloc[0]
         lengths = np.array(row["lengths"], np.int64)
         words, places = _words(row["data"], lengths)
         answers = answers.sort_values(["n", "part"])
         logs, shorter = np.zeros(len(words)), None
-        for n, at, keys, index in _ngrams(words, places, order, bits):
+        for n, at, keys, index in _ngrams(words, places, order):
             if not len(keys):
                 break
             found = answers[answers["n"] == n]
@@ -175,10 +174,9 @@ def stupid_backoff(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = 1 << max(3, (size // PART).bit_length())
-    bits = min(64, int(size).bit_length() + SPARE)  # there are fewer n-grams of three lengths than bytes
     with rows_per_batch(docs.sparkSession, 2000):
         blocks = stage(texts.mapInArrow(_blocks, "block string, data binary, ids array<long>, lengths array<int>, words long"), "lm-blocks")
     total = blocks.agg(F.sum("words")).first()[0] or 0
-    sent = blocks.select("block", "data", "lengths").mapInArrow(_sent(parts, order, bits), "block string, n int, part int, keys binary, counts binary")
+    sent = blocks.select("block", "data", "lengths").mapInArrow(_sent(parts, order), "block string, n int, part int, keys binary, counts binary")
     answers = sent.groupBy("n", "part").applyInPandas(_added(least), "block string, n int, part int, size int, counts binary")
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_scored(total, order, alpha, bits), "id long, n_words long, log_score double")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_scored(total, order, alpha), "id long, n_words long, log_score double")
