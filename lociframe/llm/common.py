@@ -12,6 +12,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociframe.session import shared_path
+
 # A word is a run of bytes other than space and the five ASCII control spaces, which is what
 # bytes.split() cuts at as well; bytes.lower() changes A-Z only.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -149,3 +151,11 @@ def with_ids(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """Rows of ``df`` whose id is in ``ids`` (one column, staged); only rows that may stay are shuffled."""
     tested = maybe_member(df, F.col(column), ids, F.col(ids.columns[0])).where("_maybe").drop("_maybe")
     return tested.join(ids.toDF("_wanted"), F.col(column) == F.col("_wanted"), "left_semi")
+
+
+def stage_in_buckets(df: DataFrame, column: str, n: int, label: str) -> DataFrame:
+    """``stage`` as a table of ``n`` buckets of ``column``, written where its rows are: grouping it by the column moves none of them."""
+    path = shared_path(df.sparkSession, label)
+    name = "staged_" + path.rsplit("-", 1)[1]
+    df.write.format("parquet").bucketBy(n, column).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)

@@ -18,8 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociframe.llm.common import WordHashes, batches, binary, mixed, rows_per_batch
-from lociframe.session import stage
+from lociframe.llm.common import WordHashes, batches, binary, mixed, rows_per_batch, stage_in_buckets
 
 ORDER, LEAST, ALPHA = 3, 2, 0.4  # longest n-gram; least count of n-grams of two words and more; factor per backoff
 BLOCK = 1_800_000  # words of a block, about
@@ -75,7 +74,8 @@ def _blocks(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(-counts, kind="stable")
         rank = np.empty(len(kinds), np.int64)
         rank[order] = np.arange(len(kinds))
-        data = len(kinds).to_bytes(8, "little") + kinds[order].tobytes() + _planes(rank[spelled], 4)
+        spelling = _planes(np.diff(kinds[order], prepend=np.uint64(0)), 8)  # words of one count are in the order of their hashes
+        data = len(kinds).to_bytes(8, "little") + len(spelling).to_bytes(8, "little") + spelling + _planes(rank[spelled], 4)
         return batches({"block": [f"{TaskContext.get().partitionId()}-{number}"], "data": [data], "ids": [ids], "lengths": [[len(t) for t in texts]], "words": [len(words)]}, _BLOCK)
 
     for batch in stream:
@@ -93,8 +93,9 @@ def _blocks(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _words(data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word of a block, and its place in its document."""
-    kinds, n = int.from_bytes(data[:8], "little"), int(lengths.sum())
-    words = np.frombuffer(data, np.uint64, kinds, 8)[_unplanes(data[8 + 8 * kinds :], n, 4).astype(np.int64)]
+    kinds, end, n = int.from_bytes(data[:8], "little"), 16 + int.from_bytes(data[8:16], "little"), int(lengths.sum())
+    hashes = np.cumsum(_unplanes(data[16:end], kinds, 8), dtype=np.uint64)
+    words = hashes[_unplanes(data[end:], n, 4).astype(np.int64)]
     return words, np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
 
@@ -174,8 +175,10 @@ def stupid_backoff(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = 1 << max(3, (size // PART).bit_length())
+    buckets = min(8192, max(8, int(size) // (6 * BLOCK)))  # about a block each, until there are very many
     with rows_per_batch(docs.sparkSession, 2000):
-        blocks = stage(texts.mapInArrow(_blocks, "block string, data binary, ids array<long>, lengths array<int>, words long"), "lm-blocks")
+        made = texts.mapInArrow(_blocks, "block string, data binary, ids array<long>, lengths array<int>, words long")
+        blocks = stage_in_buckets(made, "block", buckets, "lm-blocks")
     total = blocks.agg(F.sum("words")).first()[0] or 0
     sent = blocks.select("block", "data", "lengths").mapInArrow(_sent(parts, order), "block string, n int, part int, keys binary, counts binary")
     answers = sent.groupBy("n", "part").applyInPandas(_added(least), "block string, n int, part int, size int, counts binary")

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -143,6 +144,28 @@ def test_backoff_on_odd_rows(spark, monkeypatch):
     assert lm_scoring.stupid_backoff(docs.limit(0)).count() == 0
 
 
+def test_backoff_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "BLOCK", 300)
+    rng = random.Random(4)
+    texts = [[f"w{min(int(rng.expovariate(0.1)), 60)}" for _ in range(rng.randint(0, 60))] for _ in range(150)]
+    df = lm_scoring.stupid_backoff(docs_of(spark, [" ".join(t) for t in texts]).repartition(5))
+    counts = [Counter(tuple(t[i : i + n]) for t in texts for i in range(len(t) - n + 1)) for n in (0, 1, 2, 3)]
+    total = sum(len(t) for t in texts)
+
+    def score(text, end, n):
+        if n == 1:
+            return math.log(counts[1][(text[end],)] / total)
+        seen = counts[n][tuple(text[end - n + 1 : end + 1])]
+        return math.log(seen / counts[n - 1][tuple(text[end - n + 1 : end])]) if seen >= 2 else math.log(0.4) + score(text, end, n - 1)
+
+    got = {r.id: r.log_score for r in df.collect()}
+    assert len(got) == 150
+    for i, text in enumerate(texts):
+        assert got[i] == pytest.approx(sum(score(text, at, min(3, at + 1)) for at in range(len(text))), abs=1e-9)
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning(block") == 1  # of the answers; the blocks stay in their buckets
+
+
 def test_mix_targets_and_limits(spark):
     rng = random.Random(1)
     texts = [" ".join(["w"] * rng.randrange(0, 400)) for _ in range(900)] + [None, ""]
