@@ -341,3 +341,44 @@ def commit_log_rerun(spark: SparkSession, d: str) -> DataFrame:
     log = spark.read.parquet(incremental.log_path(path)).groupBy("trait_group_id", "batch_index")
     logged = log.agg(F.bool_or("has_result").alias("has_result"), F.count(F.lit(1)).alias("n_logged"))
     return logged.join(totals, ["trait_group_id", "batch_index"], "left").fillna({"n_values": 0})
+
+
+_FIELD_NAME = "concat(p_name, ', \"', p_brand, '\"')"
+
+
+@query(f"""SELECT CAST(p_partkey AS VARCHAR(20)) AS "FieldID", {_FIELD_NAME} AS "Field" FROM part""")
+def dictionary_read(spark: SparkSession, d: str) -> DataFrame:
+    """A data dictionary as quoted CSV, names with commas and quotes included, read back as text."""
+    path = shared_path(spark, "dictionary")
+    listed = table(spark, d, "part").selectExpr("p_size AS Category", "p_partkey AS FieldID", f"{_FIELD_NAME} AS Field")
+    listed.write.csv(path, header=True, escape='"')
+    return participants.read_dictionary(spark, path)
+
+
+@query(
+    f"""WITH {D.DENSE_GP_SQL}
+SELECT '21' AS contig, concat('c', variant_index % 3) AS contig_name, variant_index, sample_index, round(p0, 6) + 0.0 AS hom_ref,
+  round(p1, 6) + 0.0 AS het, round(p2, 6) + 0.0 AS hom_alt FROM gp"""
+)
+def probabilities_read(spark: SparkSession, d: str) -> DataFrame:
+    """Decoded probabilities from a table that has more columns, in another order."""
+    path = shared_path(spark, "probabilities")
+    decoded = D.dense_probabilities(spark, d).selectExpr("gp", "'x' AS unused", "concat('c', variant_index % 3) AS contig_name", "variant_index", "sample_index", "'21' AS contig")
+    sinks.write_table(decoded, path)
+    read = genotypes.read_probabilities(spark, path)
+    named = {n: rounded(F.col("gp")[i]) for i, n in enumerate(("hom_ref", "het", "hom_alt"))}
+    return read.withColumns(named).drop("gp")
+
+
+@query(
+    f"""WITH {D.DENSE_GP_SQL}
+SELECT variant_index, sample_index % 7 = 0 AS gp_mask, count(*) AS n_calls,
+  CAST(sum(round_even(p1 * 254, 0) + 2 * round_even(p2 * 254, 0)) AS BIGINT) AS dosage_steps FROM gp GROUP BY ALL"""
+)
+def call_masks_read(spark: SparkSession, d: str) -> DataFrame:
+    """Stored calls with a mask of zeros and ones, which comes back as a boolean; calls and the steps of 1/254 of their dosages per variant and mask."""
+    path = shared_path(spark, "masked-calls")
+    sinks.write_table(genotypes.pack_calls(D.dense_probabilities(spark, d)).withColumn("gp_mask", (F.col("sample_index") % 7 == 0).cast("byte")), path)
+    calls = genotypes.read_calls(spark, path, unpack=True)
+    steps = F.sum(F.round(F.col("dosage") * 254).cast("long"))
+    return calls.groupBy("variant_index", "gp_mask").agg(F.count(F.lit(1)).alias("n_calls"), steps.alias("dosage_steps"))

@@ -9,6 +9,8 @@ from lociframe.functions import text as X
 from lociframe.operators import filters, reshape, sumstats, traits
 from lociframe.plans import domain as D
 from lociframe.plans.registry import query, rounded, table
+from lociframe.session import shared_path
+from lociframe.sources import sinks
 from lociframe.sources import sumstats as files
 
 _CELLS = " UNION ALL ".join(
@@ -297,3 +299,18 @@ FROM files WHERE ends_with(file, '.tsv.gz')"""
 def published_groups(spark: SparkSession, d: str) -> DataFrame:
     return files.published_trait_groups(_published_files(spark, d))
 
+
+
+@query(
+    f"""WITH {D.TRAITS_SQL}, wanted AS (SELECT DISTINCT CAST(o_custkey % 30000 AS BIGINT) AS trait_group_id FROM orders UNION SELECT 20095 UNION SELECT 50)
+SELECT trait_id, trait_group_id FROM traits WHERE trait_group_id IN (SELECT trait_group_id FROM wanted)"""
+)
+def trait_groups_file(spark: SparkSession, d: str) -> DataFrame:
+    """Traits of the groups that a TSV lists; most listed groups have no trait."""
+    path = shared_path(spark, "trait-groups")
+    wanted = table(spark, d, "orders").selectExpr("CAST(o_custkey % 30000 AS BIGINT) AS trait_group_id")
+    wanted = wanted.unionByName(spark.range(1).selectExpr("explode(array(20095L, 50L)) AS trait_group_id")).distinct()
+    sinks.write_tsv(wanted, path)
+    listed = D.traits(spark, d)
+    members = filters.trait_group_members(spark, listed, path)
+    return listed.join(members, "trait_group_id", "left_semi").select("trait_id", "trait_group_id")
