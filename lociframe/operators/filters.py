@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.functions import genotype as G
@@ -46,6 +46,38 @@ def filter_report(df: DataFrame, filters: dict[str, Column]) -> DataFrame:
     return totals.select(F.inline(F.array(*rows)))
 
 
+Tally = Callable[[], list[tuple[str, int, int]]]
+
+
+def observed_filters(df: DataFrame, *steps: dict[str, Column]) -> tuple[DataFrame, Tally]:
+    """Rows that meet all conditions, and a function that gives (filter, kept, removed) of each once they are written.
+
+    The rows are counted while they pass, so the report costs no scan and no job. A step's conditions are counted among the
+    rows that meet all earlier steps; a step of several has a last entry ``overall``, as in ``filter_report``.
+
+    Write the rows as they are, in one action: its tasks count each of their partitions once, however often an executor is lost,
+    whereas the tasks before a shuffle may run and count again.
+    """
+    counts, entries, met = [], [], F.lit(True)
+    for step in steps:
+        reached = met
+        held = {name: reached & _holds(c) for name, c in step.items()}
+        met = reduce(lambda a, b: a & b, held.values())
+        if len(step) > 1:
+            held["overall"] = met
+        for name, condition in held.items():
+            entries.append(name)
+            counts += [F.count_if(reached).alias(f"n{len(entries)}"), F.count_if(condition).alias(f"k{len(entries)}")]
+    watch = Observation()
+    kept = df.observe(watch, *counts).filter(met)
+
+    def tally() -> list[tuple[str, int, int]]:
+        got = watch.get
+        return [(name, got[f"k{i}"], got[f"n{i}"] - got[f"k{i}"]) for i, name in enumerate(entries, 1)]
+
+    return kept, tally
+
+
 def sample_qc_filters() -> dict[str, Column]:
     """The six sample conditions, on prefixed sample QC columns."""
     return {
@@ -116,6 +148,22 @@ def equilibrium_filters() -> dict[str, Column]:
     return {"in_equilibrium": F.col("hwe_p_value") > MIN_HWE_P}
 
 
+def called_filters() -> dict[str, Column]:
+    return {"has_calls": F.col("n_het").isNotNull()}
+
+
+def with_common_tested(counted: DataFrame) -> DataFrame:
+    """The exact test of variants in rows (maf, n_het, n_hom_ref, n_hom_alt); rare ones lose their counts and are spared it."""
+    names = ("n_het", "n_hom_ref", "n_hom_alt")
+    common = _holds(frequency_filters()["common"])
+    return with_hwe(counted.withColumns({n: F.when(common, F.col(n)) for n in names}))
+
+
+def counted_variants(variants: DataFrame, counts: DataFrame, keys: tuple[str, ...] = ("variant_index",)) -> DataFrame:
+    """All variants, the common ones with their counts and exact test where they have calls."""
+    return with_common_tested(variants.join(counts, list(keys), "left"))
+
+
 def tested_variants(variants: DataFrame, counts: DataFrame, keys: tuple[str, ...] = ("variant_index",)) -> DataFrame:
     """Variants that are common enough, with their exact test; the rare ones are spared it."""
     return with_hwe(apply_filters(variants, frequency_filters()).join(counts, list(keys)))

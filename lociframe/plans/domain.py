@@ -71,15 +71,18 @@ PARTICIPANTS_SQL = (
 TEXT_QC = {"genotype_measurement_batch", "genotype_measurement_plate", "genotype_measurement_well"}
 
 
-def sample_qc(spark: SparkSession, d: str) -> DataFrame:
-    """Typed and prefixed sample QC table with packed principal components."""
+def packed_sample_qc(spark: SparkSession, d: str) -> DataFrame:
+    """Typed sample QC table with packed principal components."""
     named = reshape.extract_sample_qc(participants(spark, d))
     typed = named.select(
         *[F.col(c) if c in TEXT_QC or c == "eid" else F.col(c).cast("double").alias(c) for c in named.columns]
     )
-    return reshape.prefix_sample_qc(reshape.pack_principal_components(typed)).withColumn(
-        "sample_id", F.col("sample_id").cast("long")
-    )
+    return reshape.pack_principal_components(typed)
+
+
+def sample_qc(spark: SparkSession, d: str) -> DataFrame:
+    """The same with prefixed names."""
+    return reshape.prefix_sample_qc(packed_sample_qc(spark, d)).withColumn("sample_id", F.col("sample_id").cast("long"))
 
 
 SAMPLE_QC_SQL = (

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from lociframe.functions import text as X
 from lociframe.operators import blocks, checks, filters, regression, reshape, traits
 from lociframe.plans import domain as D
+from lociframe.plans import study
 from lociframe.plans.registry import query, rounded, table
-from lociframe.session import stage
+from lociframe.session import shared_path, stage
+from lociframe.sources import sinks
 from lociframe.sources.participants import drop_missing_id
 
 
@@ -125,6 +127,48 @@ def filter_report(spark: SparkSession, d: str) -> DataFrame:
     return filters.filter_report(D.sample_qc(spark, d), filters.sample_qc_filters())
 
 
+def _tally_sql(step: str, name: str, rows: str, conditions: dict[str, str]) -> str:
+    counted = ((n, f"count(*) FILTER ({c})") for n, c in conditions.items())
+    return " UNION ALL ".join(
+        f"SELECT '{step}' AS step, '{name}' AS \"table\", '{n}' AS \"filter\", {k} AS kept, count(*) - {k} AS removed FROM {rows}" for n, k in counted
+    )
+
+
+_QC_TALLIES = " UNION ALL ".join(
+    [
+        _tally_sql("qc_1", "variants", "variants", {"high_info": "info > 0.8"}),
+        _tally_sql("qc_2", "variants", "high", {"common": "maf > 0.001"}),
+        _tally_sql("qc_2", "variants", "high WHERE maf > 0.001", {"has_calls": "variant_index IN (SELECT variant_index FROM tested)"}),
+        _tally_sql("qc_2", "variants", "high JOIN tested USING (variant_index) WHERE maf > 0.001", {"in_equilibrium": "p > 1e-10"}),
+        _tally_sql("qc_2", "samples", "sample_qc", _CONDITIONS),
+    ]
+)
+
+
+@query(
+    f"""WITH {D.SAMPLE_QC_SQL}, {D.VARIANTS_SQL}, {D.DENSE_GP_SQL}, codes AS (
+  SELECT variant_index, {_CODES.format(p="p1")} AS a, {_CODES.format(p="p2")} AS b, 254 - a - b AS r FROM gp),
+tested AS (WITH counts AS (
+  SELECT variant_index, count(*) FILTER (r < greatest(a, b) AND a >= b) AS n_het, count(*) FILTER (r >= greatest(a, b)) AS n_hom_ref,
+    count(*) FILTER (r < greatest(a, b) AND a < b) AS n_hom_alt FROM codes GROUP BY variant_index), {D.HWE_SQL} SELECT * FROM hwe),
+high AS (SELECT * FROM variants WHERE info > 0.8)
+{_QC_TALLIES}"""
+)
+def qc_run_report(spark: SparkSession, d: str) -> DataFrame:
+    """Both QC steps of a study from folder to folder, and what their filters counted while the rows were written."""
+    root = shared_path(spark, "qc-run")
+    contig = (1 + F.col("variant_index") % 22).cast("string").alias("contig")
+    variants = D.variants(spark, d).select("contig", "variant_index", *[F.col(c).alias(f"variant_{c}") for c in ("variant_id", "position", "maf", "info")])
+    sinks.write_table(variants, f"{root}/raw/variants")
+    sinks.write_table(table(spark, d, "embeddings").selectExpr("vec_id AS sample_id", "vec_id AS sample_index"), f"{root}/raw/samples")
+    sinks.write_calls(blocks.pack_codes(D.dense_probabilities(spark, d).select(contig, "*")), f"{root}/raw/calls")
+    sinks.write_table(D.packed_sample_qc(spark, d), f"{root}/sample_qc")
+    study.run_qc_1(spark, f"{root}/raw", f"{root}/qc_1")
+    study.run_qc_2(spark, f"{root}/qc_1", f"{root}/sample_qc", f"{root}/qc_2")
+    reports = [spark.read.parquet(f"{root}/{step}/report").select(F.lit(step).alias("step"), "*") for step in ("qc_1", "qc_2")]
+    return reports[0].union(reports[1])
+
+
 @query(f"WITH {D.VARIANTS_SQL} SELECT variant_index, variant_id FROM variants WHERE variant_index >= 100 AND variant_index < 1500")
 def region_slice(spark: SparkSession, d: str) -> DataFrame:
     return filters.region(D.variants(spark, d), (100, 1500)).select("variant_index", "variant_id")

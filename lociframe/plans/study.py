@@ -10,7 +10,7 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe import schema
@@ -82,7 +82,7 @@ def integrate_genotypes(
     probabilities = genotypes.read_probabilities(spark, probabilities_path)
     info = genotypes.read_variant_info(spark, variants_path, with_index=True)
     info = filters.info_threshold(filters.region(info, region), min_info, "variant_info")
-    probabilities = probabilities.withColumn("contig", F.lit(contig))
+    probabilities = filters.region(probabilities, region).withColumn("contig", F.lit(contig))
     packed = blocks.pack_codes(probabilities, with_variant=("contig_name",))
     sinks.write_calls(packed.join(info.select("variant_index"), "variant_index", "left_semi"), f"{output_path}/calls")
     # The name lies with the blocks, a few rows per variant.
@@ -116,13 +116,15 @@ def run_hard_call_qc(spark: SparkSession, input_path: str, output_path: str) ->
     counts = blocks.count_hard_calls(calls, samples.count(), keys)
     called = F.col("n_het") + F.col("n_hom_ref") + F.col("n_hom_alt")
     share = F.try_divide(F.col("n_het") + 2 * F.col("n_hom_alt"), 2 * called)
-    counted = stage(counts.withColumn("maf", F.least(share, 1 - share)), "counted")
-    with_maf = variants.join(counted.select(*keys, "maf"), list(keys))
-    tested = stage(filters.tested_variants(with_maf, counted.drop("maf", "n_missing"), keys), "tested")
-    kept = filters.apply_filters(tested, filters.equilibrium_filters()).drop("n_het", "n_hom_ref", "n_hom_alt")
-    kept = kept.withColumnsRenamed({"hwe_p_value": "variant_hwe_p_value", "maf": "variant_maf"})
-    _write_genotypes(output_path, kept, samples, calls.join(kept.select(*keys), list(keys), "left_semi"))
-    _write_report(output_path, [("variants", with_maf, filters.frequency_filters()), ("variants", tested, filters.equilibrium_filters())])
+    with_maf = variants.join(counts.drop("n_missing"), list(keys)).withColumn("maf", F.least(share, 1 - share))
+    tested = filters.with_common_tested(with_maf)
+    kept, tally = filters.observed_filters(tested, filters.frequency_filters(), filters.equilibrium_filters())
+    kept = kept.drop("n_het", "n_hom_ref", "n_hom_alt").withColumnsRenamed({"hwe_p_value": "variant_hwe_p_value", "maf": "variant_maf"})
+    sinks.write_table(kept, f"{output_path}/variants")
+    left = spark.read.parquet(f"{output_path}/variants").select(*keys)
+    sinks.write_table(samples, f"{output_path}/samples")
+    sinks.write_calls(calls.join(left, list(keys), "left_semi"), f"{output_path}/calls")
+    _write_report(spark, output_path, [("variants", tally)])
 
 
 def integrate_hard_calls(packed: DataFrame, samples: DataFrame, n_samples: int) -> DataFrame:
@@ -131,44 +133,45 @@ def integrate_hard_calls(packed: DataFrame, samples: DataFrame, n_samples: int)
     return calls.join(samples.select("sample_index", "sample_id"), "sample_index")
 
 
-def _write_report(path: str, reports: list[tuple[str, DataFrame, dict[str, Column]]]) -> None:
-    """Rows that each filter of a QC step keeps and removes, as the table ``report`` of its genotype folder."""
-    counted = [filters.filter_report(df, by).select(F.lit(name).alias("table"), "*") for name, df, by in reports]
-    sinks.write_table(reduce(DataFrame.unionByName, counted), f"{path}/report")
+def _write_report(spark: SparkSession, path: str, tallies: list[tuple[str, filters.Tally]]) -> None:
+    """Rows that each filter of a step kept and removed, counted while they were written, as the table ``report`` of its folder."""
+    rows = [(name, *entry) for name, tally in tallies for entry in tally()]
+    listed = spark.createDataFrame(rows, "`table` string, filter string, kept long, removed long")
+    sinks.write_table(listed.coalesce(1), f"{path}/report")
 
 
 def run_qc_1(spark: SparkSession, input_path: str, output_path: str) -> None:
     """Keep variants imputed with high information; the folder's ``report`` counts them."""
     variants, samples, calls = _read_genotypes(spark, input_path)
-    kept = filters.variant_qc_1(variants, "variant_info")
-    calls = calls.join(kept.select("contig", "variant_index"), ["contig", "variant_index"], "left_semi")
-    _write_genotypes(output_path, kept, samples, calls)
-    _write_report(output_path, [("variants", variants, filters.variant_qc_1_filters("variant_info"))])
+    kept, tally = filters.observed_filters(variants, filters.variant_qc_1_filters("variant_info"))
+    sinks.write_table(kept, f"{output_path}/variants")
+    sinks.write_table(samples, f"{output_path}/samples")
+    left = spark.read.parquet(f"{output_path}/variants").select("contig", "variant_index")
+    sinks.write_calls(calls.join(left, ["contig", "variant_index"], "left_semi"), f"{output_path}/calls")
+    _write_report(spark, output_path, [("variants", tally)])
 
 
 def run_qc_2(spark: SparkSession, input_path: str, sample_qc_path: str, output_path: str) -> None:
     """Variant QC on all samples, then sample QC; the calls of what is left are laid out for the association.
 
     The layout shuffles the blocks once here, and no association run shuffles them again. The folder's ``report`` counts what
-    each filter keeps and removes: of all variants, of the common ones, and of the QC table's samples.
+    each filter keeps and removes: of all variants, of the common ones, of those with calls, and of the QC table's samples.
     """
     variants, samples, calls = _read_genotypes(spark, input_path)
     keys = ("contig", "variant_index")
-    counts = blocks.count_codes(calls, keys)
-    variants = variants.withColumn("maf", F.col("variant_maf"))
-    tested = stage(filters.tested_variants(variants, counts, keys), "tested")
-    kept = filters.apply_filters(tested, filters.equilibrium_filters())
-    kept = stage(kept.drop("maf", "n_het", "n_hom_ref", "n_hom_alt").withColumnRenamed("hwe_p_value", "variant_hwe_p_value"), "kept")
-    sample_qc = read_sample_qc(spark, sample_qc_path)
-    passed = filters.sample_qc(sample_qc).select(*schema.SAMPLE_QC_KEEP)
-    left = traits.add_sample_qc(samples, passed)
+    counted = filters.counted_variants(variants.withColumn("maf", F.col("variant_maf")), blocks.count_codes(calls, keys), keys)
+    steps = filters.frequency_filters(), filters.called_filters(), filters.equilibrium_filters()
+    kept, of_variants = filters.observed_filters(counted, *steps)
+    kept = kept.drop("maf", "n_het", "n_hom_ref", "n_hom_alt").withColumnRenamed("hwe_p_value", "variant_hwe_p_value")
     sinks.write_table(kept, f"{output_path}/variants")
-    sinks.write_table(left, f"{output_path}/samples")
-    of_kept = calls.join(kept.select(*keys), list(keys), "left_semi")
+    passed, of_samples = filters.observed_filters(read_sample_qc(spark, sample_qc_path), filters.sample_qc_filters())
+    passed = stage(passed.select(*schema.SAMPLE_QC_KEEP), "passed")
+    sinks.write_table(traits.add_sample_qc(samples, passed), f"{output_path}/samples")
+    left = spark.read.parquet(f"{output_path}/variants").select(*keys)
+    of_kept = calls.join(left, list(keys), "left_semi")
     stored = spark.read.parquet(f"{output_path}/samples").select("sample_index")
-    layout.write_layout(blocks.keep_samples(of_kept, stored), f"{output_path}/calls", kept.count())
-    counted = [("variants", variants, filters.frequency_filters()), ("variants", tested, filters.equilibrium_filters())]
-    _write_report(output_path, [*counted, ("samples", sample_qc, filters.sample_qc_filters())])
+    layout.write_layout(blocks.keep_samples(of_kept, stored), f"{output_path}/calls", left.count())
+    _write_report(spark, output_path, [("variants", of_variants), ("samples", of_samples)])
 
 
 # Phenotypes -------------------------------------------------------------------------------------
@@ -179,11 +182,17 @@ def extract_sample_ids(spark: SparkSession, genotypes_path: str, output_path: st
     sinks.write_tsv(spark.read.parquet(f"{genotypes_path}/samples").select("sample_id").distinct(), output_path, mode="overwrite")
 
 
-def filter_phenotypes(spark: SparkSession, input_path: str, sample_id_path: str, output_path: str) -> None:
-    """Rows of the phenotype TSV whose participant is listed; fields stay the text they are."""
+def filter_phenotypes(spark: SparkSession, input_path: str, sample_id_path: str, output_path: str, report_path: str | None = None) -> None:
+    """Rows of the phenotype TSV whose participant is listed; fields stay the text they are.
+
+    With a ``report_path``, its table ``report`` counts the rows kept and removed.
+    """
     rows = participants.read_text_table(spark, input_path, int_columns=("userId",))
-    listed = participants.read_sample_ids(spark, sample_id_path).withColumnRenamed("sample_id", "userId")
-    sinks.write_tsv(rows.join(listed, "userId", "left_semi"), output_path, mode="overwrite")
+    listed = participants.read_sample_ids(spark, sample_id_path).select(F.col("sample_id").alias("userId"), F.lit(True).alias("_listed"))
+    kept, tally = filters.observed_filters(rows.join(listed, "userId", "left"), {"in_genotype_samples": F.col("_listed")})
+    sinks.write_tsv(kept.select(*[F.col(f"`{c}`") for c in rows.columns]), output_path, mode="overwrite")
+    if report_path:
+        _write_report(spark, report_path, [("phenotypes", tally)])
 
 
 def convert_phenotypes(spark: SparkSession, input_path: str, output_path: str) -> None:

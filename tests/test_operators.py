@@ -173,3 +173,28 @@ def test_own_columns_accept_bytes(spark):
 def test_column_profile(spark):
     df = spark.createDataFrame(pd.DataFrame({"a": [1, 2], "b": ["x", None]}))
     assert [tuple(r) for r in filters.column_profile(df).collect()] == [("a", "bigint", 2), ("b", "string", 1)]
+
+
+def test_filters_are_counted_by_the_job_that_writes(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id", "CASE WHEN id % 10 > 0 THEN id % 10 END AS a")
+    rows.write.parquet(str(tmp_path / "in"))
+    conditions = {"high": F.col("a") > 5, "early": F.col("id") < 50}
+    for n in (100, 0):  # a table without rows reports zeros
+        df = spark.read.parquet(str(tmp_path / "in")).filter(f"id < {n}")
+        kept, tally = filters.observed_filters(df, conditions, {"odd": F.col("id") % 2 == 1})
+        spark.sparkContext.setJobGroup(f"write {n}", "")
+        kept.write.parquet(str(tmp_path / f"out{n}"))
+        got = tally()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"write {n}")
+        assert len(jobs) <= 1
+        of_first = [tuple(r) for r in filters.filter_report(df, conditions).collect()]
+        met = filters.apply_filters(df, conditions)
+        assert got == of_first + [tuple(r) for r in filters.filter_report(met, {"odd": F.col("id") % 2 == 1}).collect()]
+        assert spark.read.parquet(str(tmp_path / f"out{n}")).count() == got[-1][1]
+
+
+def test_only_common_variants_with_calls_are_tested(spark):
+    variants = spark.createDataFrame([(0, 0.3), (1, 0.0), (2, 0.3), (3, None)], "variant_index long, maf double")
+    counts = spark.createDataFrame([(0, 10, 10, 10), (1, 10, 10, 10), (3, 1, 1, 1)], "variant_index long, n_het long, n_hom_ref long, n_hom_alt long")
+    got = {r.variant_index: (r.n_het, r.hwe_p_value is not None) for r in filters.counted_variants(variants, counts).collect()}
+    assert got == {0: (10, True), 1: (None, False), 2: (None, False), 3: (None, False)}

@@ -98,7 +98,11 @@ def test_study(spark, inputs, tmp_path):
     assert sorted(r[0] for r in spark.read.parquet(at("gt") + "/samples").select("sample_index").collect()) == left
 
     study.extract_sample_ids(spark, at("gt"), at("ids.tsv"))
-    study.filter_phenotypes(spark, str(root / "phenotypes.tsv"), at("ids.tsv"), at("kept.tsv"))
+    study.filter_phenotypes(spark, str(root / "phenotypes.tsv"), at("ids.tsv"), at("kept.tsv"), report_path=at("phenotype_report"))
+    assert [tuple(r) for r in spark.read.parquet(at("phenotype_report") + "/report").collect()] == [
+        ("phenotypes", "in_genotype_samples", len(left), N + 1 - len(left))
+    ]
+    assert spark.read.csv(at("kept.tsv"), sep="\t", header=True).columns == list(phenotypes.columns)
     study.convert_phenotypes(spark, at("kept.tsv"), at("phenotypes"))
     assert spark.read.parquet(at("phenotypes")).count() == len(left)
     study.store_traits(spark, at("phenotypes"), str(root / "dictionary.csv"), at("gt"), at("traits"))
