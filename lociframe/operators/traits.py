@@ -58,12 +58,16 @@ def first_trait_name(traits: DataFrame, order_by: str = "trait_id") -> DataFrame
     return traits.groupBy("trait_group_id").agg(F.min_by("trait_name", order_by).alias("trait_name"))
 
 
+def _observed(trait_values: DataFrame) -> DataFrame:
+    return trait_values.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
 def complete_cases(trait_values: DataFrame, batches: DataFrame) -> DataFrame:
     """Samples with a value for every trait of a batch, with the batch's values as a vector.
 
     The vector is in trait_index order and never longer than the batch.
     """
-    observed = trait_values.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    observed = _observed(trait_values)
     dims = batches.select("trait_id", "batch_key", "trait_index", "batch_size")
     return (
         observed.join(dims, "trait_id")
@@ -78,6 +82,47 @@ def complete_cases(trait_values: DataFrame, batches: DataFrame) -> DataFrame:
     )
 
 
+def presence_bitmaps(trait_values: DataFrame, samples: DataFrame) -> DataFrame:
+    """(trait_id, block, present): which samples have a value of the trait, 32,768 samples a bitmap of four kilobytes.
+
+    ``samples`` gives each sample its ``sample_index``; values of others do not count, and neither does a second value of
+    the same sample. Bits are set before the shuffle, which carries at most one bitmap per (trait, block) and task.
+    """
+    placed = _observed(trait_values).join(samples.select("sample_id", "sample_index"), "sample_id")
+    bit = F.col("sample_index") + 1  # Spark's bitmaps number from one
+    keyed = placed.select("trait_id", F.bitmap_bucket_number(bit).alias("block"), F.bitmap_bit_position(bit).alias("bit"))
+    return keyed.groupBy("trait_id", "block").agg(F.bitmap_construct_agg("bit").alias("present"))
+
+
+def complete_case_bitmaps(presence: DataFrame, batches: DataFrame) -> DataFrame:
+    """(batch_key, block, complete): samples with a value for every trait of a batch, without a group over trait values.
+
+    A trait without a bitmap of a block has no value there, so the batch has no complete case in it.
+    """
+    dims = batches.select("trait_id", "batch_key", "batch_size")
+    met = presence.join(dims, "trait_id").groupBy("batch_key", "block").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("batch_size").alias("_size"), F.bitmap_and_agg("present").alias("complete")
+    )
+    return met.filter("_n = _size").select("batch_key", "block", "complete")
+
+
+def bitmap_sample_sizes(complete: DataFrame) -> DataFrame:
+    """Complete cases per batch; a batch without any has no row."""
+    sizes = complete.groupBy("batch_key").agg(F.sum(F.bitmap_count("complete")).alias("sample_size"))
+    return sizes.filter(F.col("sample_size") > 0)
+
+
+def bitmap_samples(complete: DataFrame) -> DataFrame:
+    """(batch_key, sample_index) of the complete cases: one row per set bit."""
+    digits = complete.select("batch_key", "block", F.posexplode(F.split(F.hex("complete"), "")).alias("at", "digit"))
+    # A byte is two digits, the higher bits first; digits of zero, which most of a sparse bitmap is, end here.
+    first = (F.col("block") - 1) * 32768 + F.expr("at div 2") * 8 + F.when(F.col("at") % 2 == 0, 4).otherwise(0)
+    some = digits.select("batch_key", first.alias("_first"), F.conv("digit", 16, 10).cast("int").alias("_four")).filter("_four > 0")
+    bits = F.array_compact(F.array(*[F.when(F.col("_four").bitwiseAND(F.lit(1 << i)) > 0, F.lit(i)) for i in range(4)]))
+    each = some.select("batch_key", "_first", F.explode(bits).alias("_bit"))
+    return each.select("batch_key", (F.col("_first") + F.col("_bit")).cast("long").alias("sample_index"))
+
+
 def sample_sizes(cases: DataFrame) -> DataFrame:
     """Complete cases per batch."""
     return cases.groupBy("batch_key").agg(F.count(F.lit(1)).alias("sample_size"))

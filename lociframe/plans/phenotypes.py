@@ -9,7 +9,7 @@ from lociframe.functions import text as X
 from lociframe.operators import filters, reshape, sumstats, traits
 from lociframe.plans import domain as D
 from lociframe.plans.registry import query, rounded, table
-from lociframe.session import shared_path
+from lociframe.session import shared_path, stage
 from lociframe.sources import sinks
 from lociframe.sources import sumstats as files
 
@@ -82,6 +82,19 @@ def complete_cases(spark: SparkSession, d: str) -> DataFrame:
     return cases.select("batch_key", "sample_id", *y)
 
 
+def _numbered_samples(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "customer").selectExpr("c_custkey AS sample_id", "c_custkey AS sample_index")
+
+
+@query(f"WITH {D.TRAITS_SQL} SELECT batch_key, sample_id, count(*) OVER (PARTITION BY batch_key) AS sample_size FROM complete JOIN customer ON c_custkey = sample_id")
+def complete_case_bitmap(spark: SparkSession, d: str) -> DataFrame:
+    """Complete cases of all batches and their number from one bitmap per (trait, sample block)."""
+    presence = traits.presence_bitmaps(D.trait_values(spark, d), _numbered_samples(spark, d))
+    complete = stage(traits.complete_case_bitmaps(presence, D.trait_batches(spark, d)), "complete")
+    listed = traits.bitmap_samples(complete).withColumnRenamed("sample_index", "sample_id")
+    return listed.join(traits.bitmap_sample_sizes(complete), "batch_key")
+
+
 @query(f"WITH {D.TRAITS_SQL} SELECT batch_key, count(*) AS sample_size FROM complete GROUP BY batch_key HAVING count(*) >= 130")
 def min_sample_gate(spark: SparkSession, d: str) -> DataFrame:
     return traits.gate_batches(traits.complete_cases(D.trait_values(spark, d), D.trait_batches(spark, d)), 130)

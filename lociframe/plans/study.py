@@ -280,16 +280,14 @@ def run_association(
 
     if report_path:
         sinks.write_table(traits.missing_groups(wanted, listed), f"{report_path}/missing_groups")
-    solved: list[DataFrame] = []
-
-    def keep(df: DataFrame, label: str) -> DataFrame:
-        kept = stage(df, label)
-        if label == "solved":
-            solved.append(kept.select("batch_key", F.col("n").alias("sample_size")))
-        return kept
-
     def compute(todo: DataFrame) -> DataFrame:
         pending = batches.join(todo.select("batch_index", "trait_group_id").distinct(), ["batch_index", "trait_group_id"], "left_semi")
+        # Batches with too few complete cases end here: their values are counted as bits, not put together by sample.
+        presence = traits.presence_bitmaps(values.join(pending.select("trait_id"), "trait_id", "left_semi"), covariates)
+        cases = stage(traits.bitmap_sample_sizes(traits.complete_case_bitmaps(presence, pending)), "cases")
+        if report_path:
+            sinks.write_table(traits.batch_report(pending, cases, min_samples), f"{report_path}/batches")
+        pending = pending.join(cases.filter(F.col("sample_size") >= min_samples), "batch_key", "left_semi")
         # A filter, unlike a join, keeps the calls in their buckets; there are 26 contigs at most.
         todo_calls = calls.where(F.col("contig").isin([r[0] for r in todo.select("contig").distinct().collect()]))
         people = covariates.select("sample_id", "sample_index", "covariate")
@@ -307,17 +305,13 @@ def run_association(
                 pending.filter(F.col("_size") == n),
                 regression.Shape(5 + npc, n),
                 min_samples,
-                keep=keep,
                 variants=variants.select(*variant_columns),
                 described=batches.select(*trait_columns),
                 only=todo,  # a genotype folder has several contigs only if stored so; each may have its own finished batches
                 together=sinks.RESULT_PARTITIONS,
             )
-            for n in (r[0] for r in pending.select("_size").distinct().collect())  # three at most
+            for n in [r[0] for r in pending.select("_size").distinct().collect()] or sizes[:1]  # three at most
         ]
-        if report_path:
-            report = traits.batch_report(pending, reduce(DataFrame.unionByName, solved), min_samples)
-            sinks.write_table(report, f"{report_path}/batches")
         fitted = reduce(DataFrame.unionByName, parts)
         return fitted.withColumnsRenamed({"p_value": "variant_p_value", "beta": "variant_beta"}).drop("trait_id")
 

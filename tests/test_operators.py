@@ -198,3 +198,24 @@ def test_only_common_variants_with_calls_are_tested(spark):
     counts = spark.createDataFrame([(0, 10, 10, 10), (1, 10, 10, 10), (3, 1, 1, 1)], "variant_index long, n_het long, n_hom_ref long, n_hom_alt long")
     got = {r.variant_index: (r.n_het, r.hwe_p_value is not None) for r in filters.counted_variants(variants, counts).collect()}
     assert got == {0: (10, True), 1: (None, False), 2: (None, False), 3: (None, False)}
+
+
+def test_complete_cases_by_bitmap(spark):
+    rng = np.random.default_rng(5)
+    ids = rng.permutation(70_000)[:400]  # over three bitmaps
+    samples = spark.createDataFrame([(int(i) + 7, int(i)) for i in ids], "sample_id long, sample_index long")
+    rows = [(int(i) + 7, t, [1.0, None, float("nan")][rng.choice(3, p=[0.8, 0.1, 0.1])]) for i in ids for t in ("a", "b", "c") if rng.random() < 0.9]
+    rows = [r for r in rows if r[1] != "c" or r[0] < 40_000]  # no bitmap of a whole block
+    values = spark.createDataFrame([*rows, (999_999, "a", 1.0)], "sample_id long, trait_id string, value double")
+    batches = spark.createDataFrame(
+        [("a", "k1", 0, 2), ("b", "k1", 1, 2), ("c", "k2", 0, 1), ("d", "k3", 0, 1)], "trait_id string, batch_key string, trait_index int, batch_size int"
+    )
+    complete = traits.complete_case_bitmaps(traits.presence_bitmaps(values, samples), batches)
+    got = {(r.batch_key, r.sample_index + 7) for r in traits.bitmap_samples(complete).collect()}
+    known = traits.complete_cases(values.join(samples, "sample_id"), batches)
+    assert got == {(r.batch_key, r.sample_id) for r in known.collect()} and got
+    sizes = {r.batch_key: r.sample_size for r in traits.bitmap_sample_sizes(complete).collect()}
+    assert sizes == {r.batch_key: r.sample_size for r in traits.sample_sizes(known).collect()}
+    twice = traits.presence_bitmaps(values.union(values), samples)
+    assert traits.bitmap_sample_sizes(traits.complete_case_bitmaps(twice, batches)).count() == len(sizes)
+    assert traits.bitmap_samples(complete.limit(0)).count() == 0
