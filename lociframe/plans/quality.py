@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.functions import text as X
-from lociframe.operators import blocks, checks, filters, regression, reshape, traits
+from lociframe.operators import blocks, checks, filters, regression, reshape, traits, zones
 from lociframe.plans import domain as D
 from lociframe.plans import study
 from lociframe.plans.registry import query, rounded, table
@@ -174,6 +174,50 @@ def region_slice(spark: SparkSession, d: str) -> DataFrame:
     return filters.region(D.variants(spark, d), (100, 1500)).select("variant_index", "variant_id")
 
 
+def _zoned(spark: SparkSession, d: str, width: int = 1024) -> str:
+    """Variants and call blocks of all contigs by zone; the dense calls cover the first variants."""
+    path = shared_path(spark, "zones")
+    contig = (1 + F.col("variant_index") % 22).cast("string").alias("contig")
+    packed = blocks.pack_codes(D.dense_probabilities(spark, d).select(contig, "*"), width=1024)
+    zones.write_zones(packed, D.variants(spark, d), path, "position", width)
+    return path
+
+
+_IN_REGION = "contig = '3' AND position BETWEEN 10000 AND 14700"
+
+
+@query(
+    f"""WITH {D.VARIANTS_SQL}, {D.DENSE_GP_SQL}, codes AS (
+  SELECT variant_index, {_CODES.format(p="p1")} AS a, {_CODES.format(p="p2")} AS b, 254 - a - b AS r FROM gp),
+counted AS (SELECT variant_index, count(*) FILTER (r < greatest(a, b) AND a >= b) AS n_het, count(*) FILTER (r >= greatest(a, b)) AS n_hom_ref,
+  count(*) FILTER (r < greatest(a, b) AND a < b) AS n_hom_alt FROM codes GROUP BY variant_index)
+SELECT variant_index, position, n_het, n_hom_ref, n_hom_alt FROM variants LEFT JOIN counted USING (variant_index) WHERE {_IN_REGION}"""
+)
+def region_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Variants of a region of positions with genotype counts from its own blocks; other zones are not read."""
+    variants, calls = zones.read_region(spark, _zoned(spark, d), "3", 10_000, 14_700, "position")
+    counts = blocks.count_codes(calls, ("variant_index",))
+    return variants.join(counts, "variant_index", "left").select("variant_index", "position", "n_het", "n_hom_ref", "n_hom_alt")
+
+
+_REGIONS = """SELECT o_orderkey AS region_id, CAST(1 + o_custkey % 22 AS VARCHAR(9)) AS contig, CAST(10000 + o_orderkey * 7 AS BIGINT) AS "start",
+  CAST(10000 + o_orderkey * 7 + 100 * (o_custkey % 50) AS BIGINT) AS "end" FROM orders"""
+
+
+@query(
+    f"""WITH {D.VARIANTS_SQL}, regions AS ({_REGIONS})
+SELECT region_id, variant_index, position FROM regions JOIN variants USING (contig) WHERE position BETWEEN "start" AND "end" """
+)
+def region_join(spark: SparkSession, d: str) -> DataFrame:
+    """All variants in each of many regions, met through the zones that a region overlaps."""
+    regions = table(spark, d, "orders").selectExpr(
+        "o_orderkey AS region_id", "CAST(1 + o_custkey % 22 AS STRING) AS contig", "10000 + o_orderkey * 7 AS start",
+        "10000 + o_orderkey * 7 + 100 * (o_custkey % 50) AS end",
+    )
+    found = zones.join_regions(spark, _zoned(spark, d), regions, "position")
+    return found.select("region_id", "variant_index", "position")
+
+
 @query(f"WITH {D.VARIANTS_SQL} SELECT variant_index, info FROM variants WHERE info > 0.3")
 def info_threshold(spark: SparkSession, d: str) -> DataFrame:
     return filters.info_threshold(D.variants(spark, d), 0.3).select("variant_index", "info")

@@ -93,3 +93,45 @@ def test_results_are_not_shuffled_once_a_trait_is_a_row(spark):
     expected = plain.join(variants, ["contig", "variant_index"]).join(described, "trait_id").join(only, ["contig", "batch_index", "trait_group_id"], "left_semi")
     a, b = (df.select(*keys, "name", "described", "sample_size", "beta").toPandas().sort_values(keys, ignore_index=True) for df in (found, expected))
     assert len(a) and a.equals(b)
+
+
+def files_read(df) -> dict[str, int]:
+    """Files each scan of a plan opens when it is first run, by the last part of its folder."""
+    df.collect()
+    found, todo = {}, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+            continue
+        if name == "FileSourceScanExec":
+            folder = node.relation().location().rootPaths().head().getName()
+            found[folder] = max(found.get(folder, 0), node.metrics().apply("numFiles").value())
+        children = node.children().iterator()
+        while children.hasNext():
+            todo.append(children.next())
+    return found
+
+
+def test_regions_are_read_from_their_own_files(spark, tmp_path):
+    from lociframe.operators import zones
+
+    variants = spark.range(1000).selectExpr("CAST(1 + id % 2 AS STRING) AS contig", "id AS variant_index", "CAST(1000 + 10 * id AS INT) AS variant_position")
+    calls = variants.selectExpr("contig", "variant_index", "0L AS sample_block", "CAST('x' AS BINARY) AS codes")
+    path = str(tmp_path / "zones")
+    zones.write_zones(calls, variants, path, width=50)
+    assert files_read(zones.read_region(spark, path, "2", 3000, 3200)[1]) == {"calls": 1, "variants": 1}
+    kept, blocks = zones.read_region(spark, path, "2", 3000, 3200)
+    expected = [i for i in range(200, 221) if i % 2]
+    assert sorted(r.variant_index for r in kept.collect()) == expected
+    assert sorted(r.variant_index for r in blocks.collect()) == expected
+    assert zones.read_region(spark, path, "2", 90_000, 90_001)[1].count() == 0
+    assert zones.read_region(spark, path, "7", 3000, 3200)[0].count() == 0
+    regions = spark.createDataFrame([(1, "1", 0, 1020), (2, "2", 1490, 1530), (3, "1", 1490, 1530), (4, "9", 0, 9)], "region_id int, contig string, start int, end int")
+    found = zones.join_regions(spark, path, regions)
+    assert 0 < files_read(found)["variants"] <= 4  # of 20
+    assert sorted((r.region_id, r.variant_index) for r in found.collect()) == [(1, 0), (1, 2), (2, 49), (2, 51), (2, 53), (3, 50), (3, 52)]
