@@ -8,6 +8,7 @@ putting empty turns before it; the repaired turns are then rendered.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -91,9 +92,18 @@ def closing(state: int) -> tuple[int, ...]:
     return () if state in (2, START) else (*_PATHS[state, 2], 2)
 
 
-def _content(text: str | None) -> str:
-    """Text in which no control token can begin."""
-    return (text or "").replace("<|", "< |")
+_CONTROL = re.compile(r"<\|(\\*)(im_start|im_end)\|>")
+_ESCAPED = re.compile(r"<\|\\(\\*)(im_start|im_end)\|>")
+
+
+def escape(text: str | None) -> str:
+    """Text without a control token: those in it get a backslash after the bar; all other text stays as it is."""
+    return _CONTROL.sub(r"<|\\\1\2|>", text or "")
+
+
+def unescape(text: str) -> str:
+    """The text that ``escape`` was given."""
+    return _ESCAPED.sub(r"<|\1\2|>", text)
 
 
 def _turn(role: int) -> str:
@@ -106,17 +116,17 @@ def pieces(actions, texts: list, entry: int, last: bool, state: int) -> list[str
     for (role, merged, put), text in zip(actions, texts):
         close = END if opened else ""
         if merged:
-            out.append(MERGED + _content(text))
+            out.append(MERGED + escape(text))
         else:
-            out.append(close + "".join(_turn(r) + END for r in put) + _turn(role) + _content(text))
+            out.append(close + "".join(_turn(r) + END for r in put) + _turn(role) + escape(text))
         opened = True
     if last and out:
         out[-1] += END + "".join(_turn(r) + END for r in closing(state))
     return out
 
 
-_OUT = pa.schema([("conv", pa.int64()), ("turn", pa.int64()), ("place", pa.int64()), ("role", pa.string()), ("merged", pa.bool_()), ("inserted", pa.int32()), ("cost", pa.int64()), ("piece", pa.string())])
-_OUT_SHAPE = "conv long, turn long, place long, role string, merged boolean, inserted int, cost long, piece string"
+_OUT = pa.schema([("conv", pa.int64()), ("turn", pa.int64()), ("place", pa.int64()), ("role", pa.string()), ("merged", pa.bool_()), ("inserted", pa.int32()), ("cost", pa.int64()), ("escaped", pa.bool_()), ("piece", pa.string())])
+_OUT_SHAPE = "conv long, turn long, place long, role string, merged boolean, inserted int, cost long, escaped boolean, piece string"
 
 
 def _groups(stream: Iterator[pa.RecordBatch], width: int) -> Iterator[list[tuple]]:
@@ -146,7 +156,7 @@ def _rendered(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = pieces(actions, [r[7] for r in group], entry, last, state)
         for i, (row, (role, merged, put), piece) in enumerate(zip(group, actions, made)):
             extra = len(closing(state)) if last and i == len(group) - 1 else 0
-            rows.append((row[0], row[5], row[4], ROLES[role], merged, len(put) + extra, cost if i == 0 else 0, piece))
+            rows.append((row[0], row[5], row[4], ROLES[role], merged, len(put) + extra, cost if i == 0 else 0, _CONTROL.search(row[7] or "") is not None, piece))
         if len(rows) > 5000:
             yield batches(dict(zip(_OUT.names, zip(*rows))), _OUT)
             rows = []
@@ -191,7 +201,9 @@ def _joined(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def repair(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", segment: int = SEGMENT) -> DataFrame:
-    """(conv, turn, place, role, merged, inserted, cost, piece) per turn; a conversation's cost is the sum of its turns'.
+    """(conv, turn, place, role, merged, inserted, cost, escaped, piece) per turn; a conversation's cost is the sum of its turns'.
+
+    A piece holds the turn's text as it is, but for control tokens in it, which are escaped (see ``escape``) and marked.
 
     Turns are taken by number, null first, then role and text. Conversations of up to ``segment`` turns are
     solved in one go. Longer ones are cut: the costs between all states of each segment are found side by
@@ -221,11 +233,12 @@ def repair(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
 
 
 def render(repaired: DataFrame) -> DataFrame:
-    """(conv, n_turns, n_merged, n_inserted, cost, rendered) per conversation, which is one value of text."""
+    """(conv, n_turns, n_merged, n_inserted, n_escaped, cost, rendered) per conversation, which is one value of text."""
     parts = F.sort_array(F.collect_list(F.struct("place", "turn", "at", "piece")))
     numbered = repaired.withColumn("at", F.monotonically_increasing_id())  # turns of one number come in their order
     grouped = numbered.groupBy("conv").agg(
         F.sum(F.when(F.col("merged"), 0).otherwise(1) + F.col("inserted")).alias("n_turns"),
-        F.sum(F.col("merged").cast("long")).alias("n_merged"), F.sum("inserted").alias("n_inserted"), F.sum("cost").alias("cost"), parts.alias("parts"),
+        F.sum(F.col("merged").cast("long")).alias("n_merged"), F.sum("inserted").alias("n_inserted"),
+        F.sum(F.col("escaped").cast("long")).alias("n_escaped"), F.sum("cost").alias("cost"), parts.alias("parts"),
     )
-    return grouped.select("conv", "n_turns", "n_merged", "n_inserted", "cost", F.array_join(F.transform("parts", lambda p: p["piece"]), "").alias("rendered"))
+    return grouped.select("conv", "n_turns", "n_merged", "n_inserted", "n_escaped", "cost", F.array_join(F.transform("parts", lambda p: p["piece"]), "").alias("rendered"))

@@ -229,10 +229,26 @@ def test_role_repair_is_cheapest(spark):
             assert got[c].cost == cheapest(chat), (chat, segment)
             roles = tuple(chat_format.ROLES.index(x.split("\n")[0]) for x in got[c].rendered.split("<|im_start|>")[1:])
             assert legal(roles) and len(roles) == got[c].n_turns
-            assert [got[c].rendered.count(f"t{t} < |im_end|>") for t in range(len(chat))] == [1] * len(chat)
+            assert [got[c].rendered.count(f"t{t} <|\\im_end|>") for t in range(len(chat))] == [1] * len(chat)
+            assert got[c].n_escaped == len(chat)
     assert chat_format.repair(turns.limit(0)).count() == 0
 
 
+def test_chat_texts_are_kept(spark):
+    texts = ["f <| x", "a <|im_start|> b", "<|\\im_end|><|im_end|>", "< |im_end|>", "<|\\\\im_start|>", "<|im_end", "|>", "", "<|other|>"]
+    for text in texts:
+        assert chat_format.unescape(chat_format.escape(text)) == text
+        assert not any(token in chat_format.escape(text) for token in ("<|im_start|>", "<|im_end|>"))
+    assert len({chat_format.escape(t) for t in texts}) == len(texts)
+    rows = [(i, t, ("user", "assistant")[t], text) for i, text in enumerate([*texts, None]) for t in range(2)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for r in chat_format.render(chat_format.repair(turns)).collect():
+        text = (*texts, None)[r.conv] or ""
+        kept = [part.split("\n", 1)[1].removesuffix("<|im_end|>\n") for part in r.rendered.split("<|im_start|>")[1:]]
+        assert [chat_format.unescape(part) for part in kept] == [text, text]
+        assert (r.n_escaped > 0) == (chat_format.escape(text) != text)
+
+
 def test_licence_scan_finds_notices_only(spark):
     texts = ["Some words.\nReleased under the MIT License.\nmore", "Licensed under CC BY-NC 4.0.", "This work is licensed under the GNU General Public License, version 3.",
              "Her driving license was renewed in spring.", "Licensed under the Apache License, Version 2.0.\nAll rights reserved.", *ODD]
