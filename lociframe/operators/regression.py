@@ -11,8 +11,9 @@ samples: g.g, g.q and g.y. The steps are:
 4. ``residuals`` per (batch, sample): Q and the trait residuals
 5. ``contract``  the sums per (variant, batch). ``contract_stored`` takes blocks laid out by variant block: a
                  task goes through a variant block's sample blocks, multiplies matrices and adds up in memory, so
-                 neither calls nor sums are shuffled. Calls without that layout are cogrouped with sample rows by
-                 (variant block, sample block), and partial sums are added by Spark
+                 neither calls nor sums are shuffled. Calls in rows are shuffled to wide variant blocks and meet the same
+                 matrices there (``contract_rows``). Packed blocks without that layout are cogrouped with sample rows
+                 by (variant block, sample block), and partial sums are added by Spark
 6. ``finish``    beta, t and p as column arithmetic. All joins and the one exchange of the results come before a row per
                  trait is made, when a batch of 100 traits is still one row per variant
 
@@ -60,7 +61,8 @@ class Shape:
     dosages and meets about ``columns_per_pass`` sample-side columns at a time. Per pass the
     calls are shuffled once, and both the sample side and the partial sums come to
     2 x columns / width of their volume in 4-byte floats: with these widths as much again each for
-    a full pass, and little for a few traits.
+    a full pass, and little for a few traits. Calls in rows are too few in a tile for that: their tiles are widened until
+    a task's sums come to ``sums_bytes`` and a matrix of the sample side to ``matrix_bytes``.
     """
 
     n_covariates: int
@@ -68,6 +70,8 @@ class Shape:
     sample_width: int = SAMPLE_WIDTH
     variant_width: int = VARIANT_WIDTH
     columns_per_pass: int = 2048
+    sums_bytes: int = 8 << 20
+    matrix_bytes: int = 8 << 20
 
     @property
     def k(self) -> int:
@@ -290,8 +294,9 @@ def _sparse_sums(calls: pa.Table, columns: np.ndarray, member: np.ndarray) -> tu
 
     def add(weight: np.ndarray, over: np.ndarray) -> np.ndarray:
         out, at = [], 0
-        while at < len(starts):  # whole variants, some 50,000 calls at a time
-            to = max(at + 1, int(np.searchsorted(starts, starts[at] + 50_000)))
+        step = max(1, (1 << 22) // max(1, over.shape[1]))
+        while at < len(starts):  # whole variants, some four million products at a time
+            to = max(at + 1, int(np.searchsorted(starts, starts[at] + step)))
             part = slice(starts[at], starts[to] if to < len(starts) else None)
             out.append(np.add.reduceat(over[pos[part]] * weight[part, None], starts[at:to] - starts[at]))
             at = to
@@ -301,31 +306,22 @@ def _sparse_sums(calls: pa.Table, columns: np.ndarray, member: np.ndarray) -> tu
 
 
 def contract(calls: DataFrame, adjusted: DataFrame, shape: Shape, n_variants: int) -> DataFrame:
-    """Sums per (variant, batch) from calls in rows or in packed blocks.
+    """Sums per (variant, batch) from calls in packed blocks, or in rows, for which see ``contract_rows``.
 
     Variants are spread over ceil(n_variants / variant_width) blocks by hash, so no block is hot.
     The sample side goes to every variant block, the calls to every pass (see ``Shape``). There is
-    about one task per tile, so that their number follows the data and not a session default. In rows a call that is not there has dosage zero, and a variant without calls among a
-    batch's complete cases has no sums.
+    about one task per tile, so that their number follows the data and not a session default.
     """
-    packed = "sample_block" in calls.columns
+    if "sample_block" not in calls.columns:
+        return contract_rows(calls, adjusted, shape, n_variants)
     extent = adjusted.agg(F.countDistinct("batch_key").alias("batches"), F.countDistinct("sample_block").alias("blocks")).first()
     n_blocks = max(1, -(-n_variants // shape.variant_width))
     n_passes = max(1, -(-extent.batches * shape.n_sums // shape.columns_per_pass))
     n_tasks = max(2, n_blocks * n_passes * extent.blocks)
     m, width = shape.n_sums, shape.sample_width
     z_names, s_names = _names("z", shape), _names("s", shape)
-    schema = T.StructType(
-        [
-            *[T.StructField(c, calls.schema[c].dataType) for c in CALL_KEYS],
-            T.StructField("batch_key", T.StringType()),
-            T.StructField("gg", T.DoubleType()),
-            T.StructField("n_bad", T.DoubleType()),
-            *[T.StructField(n, T.DoubleType()) for n in s_names],
-        ]
-    )
+    schema = _sums_schema(calls, s_names)
     empty = to_arrow_schema(schema).empty_table()
-    add_up = _dense_sums if packed else _sparse_sums
 
     def tile(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -337,7 +333,7 @@ def contract(calls: DataFrame, adjusted: DataFrame, shape: Shape, n_variants: in
         for j, name in enumerate(z_names):
             z[(*where, j)] = right[name].to_numpy()
         member[where] = 1.0
-        variants, sums, gg, n_bad = add_up(left, z.reshape(width, b * m), member)
+        variants, sums, gg, n_bad = _dense_sums(left, z.reshape(width, b * m), member)
         n = variants.num_rows
         sums = np.asfortranarray(sums.reshape(n * b, m))
         each = pa.array(np.repeat(np.arange(n), b))
@@ -350,32 +346,172 @@ def contract(calls: DataFrame, adjusted: DataFrame, shape: Shape, n_variants: in
         }
         return pa.table(out)
 
-    def hashed(n: int, *columns: str) -> Column:
-        return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
-
-    def every(n: int, *columns: str) -> Column:
-        # With n = 1 also a computed zero: Spark loses a partitioning by literals.
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))) if n > 1 else hashed(1, *columns)
-
-    place = ["sample_block"] if packed else _place(width)
     left = calls.select(
-        *CALL_KEYS, *place, "dosage", hashed(n_blocks, *CALL_KEYS).alias("variant_block"), every(n_passes, *CALL_KEYS).alias("pass")
+        *CALL_KEYS, "sample_block", "dosage", _hashed(n_blocks, *CALL_KEYS).alias("variant_block"), _every(n_passes, *CALL_KEYS).alias("pass")
     )
-    right = adjusted.select("*", hashed(n_passes, "batch_key").alias("pass"), every(n_blocks, "batch_key").alias("variant_block"))
+    right = adjusted.select("*", _hashed(n_passes, "batch_key").alias("pass"), _every(n_blocks, "batch_key").alias("variant_block"))
     keys = ["variant_block", "sample_block", "pass"]
     left, right = (side.repartition(n_tasks, *keys) for side in (left, right))
     partial = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(tile, schema)
-    sums = partial.groupBy(*CALL_KEYS, "batch_key").agg(*[F.sum(n).alias(n) for n in ("gg", "n_bad", *s_names)])
-    return sums if packed else sums.filter((F.col("gg") > 0) | (F.col("n_bad") > 0))
+    return partial.groupBy(*CALL_KEYS, "batch_key").agg(*[F.sum(n).alias(n) for n in ("gg", "n_bad", *s_names)])
+
 
+def _hashed(n: int, *columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
 
-def _sample_matrices(adjusted: DataFrame, shape: Shape, n_passes: int) -> str:
+
+def _every(n: int, *columns: str) -> Column:
+    # With n = 1 also a computed zero: Spark loses a partitioning by literals.
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1))) if n > 1 else _hashed(1, *columns)
+
+
+def _sums_schema(calls: DataFrame, s_names: list[str]) -> T.StructType:
+    return T.StructType(
+        [
+            *[T.StructField(c, calls.schema[c].dataType) for c in CALL_KEYS],
+            T.StructField("batch_key", T.StringType()),
+            T.StructField("gg", T.DoubleType()),
+            T.StructField("n_bad", T.DoubleType()),
+            *[T.StructField(n, T.DoubleType()) for n in s_names],
+        ]
+    )
+
+
+def contract_rows(calls: DataFrame, adjusted: DataFrame, shape: Shape, n_variants: int) -> DataFrame:
+    """Sums per (variant, batch) from calls in rows. A call that is not there has dosage zero, and a variant without calls
+    among a batch's complete cases has no sums.
+
+    Sparse calls are so few in a tile that sending the sample side to every variant block, or a sum for every call to its
+    variant, would outweigh them by far. So only the calls are shuffled, to variant blocks as wide as ``sums_bytes`` allow,
+    in order of sample block. A task streams them past the matrices of the sample side, which it reads one at a time,
+    and adds up in memory. Where few variants have many samples, several tasks share a variant block, each with a stretch of sample blocks.
+    """
+    extent = adjusted.agg(
+        F.countDistinct("batch_key").alias("batches"), F.countDistinct("sample_block").alias("blocks"), F.max("sample_block").alias("last")
+    ).first()
+    m, s_names = shape.n_sums, _names("s", shape)
+    n_passes = max(1, -(-extent.batches * m // shape.columns_per_pass))
+    per_variant = max(1, -(-extent.batches // n_passes)) * (m + 2) * 8
+    n_blocks = max(1, -(-n_variants // max(1, shape.sums_bytes // per_variant)))
+    n_stripes = 1 if n_blocks > 1 else max(1, min(extent.blocks, shape.sums_bytes // (max(1, n_variants) * per_variant)))
+    together = max(1, min(shape.matrix_bytes // (shape.sample_width * per_variant), extent.blocks // n_stripes))
+    width = shape.sample_width * together
+    matrices = _sample_matrices(adjusted, shape, n_passes, together)
+    per_stripe = max(1, -(-((extent.last or 0) // together + 1) // n_stripes))
+    schema = _sums_schema(calls, s_names)
+    arrow_schema = to_arrow_schema(schema)
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, folder = fs.FileSystem.from_uri(matrices)
+        held, task, sums = _Sums(m), None, None
+        block, loaded, last = None, None, None
+        waiting: list[pa.RecordBatch] = []
+
+        def add() -> None:
+            if loaded is not None and waiting:
+                names, z, member = loaded
+                variants, *found = _sparse_sums(pa.Table.from_batches(waiting), z, member)
+                held.add(list(zip(variants["contig"].to_pylist(), variants["variant_index"].to_pylist())), names, *found)
+            waiting.clear()
+
+        for rows in batches:
+            tasks, blocks = rows["task"].to_numpy(), rows["sample_block"].to_numpy()
+            cuts = [0, *(np.flatnonzero((np.diff(blocks) != 0) | (np.diff(tasks) != 0)) + 1), len(blocks)]
+            for a, c in zip(cuts, cuts[1:]):
+                if a == c:
+                    continue
+                if (tasks[a], blocks[a]) != (task, block):
+                    add()
+                    if tasks[a] != task and task is not None:
+                        yield from held.batches(arrow_schema)
+                        held = _Sums(m)
+                    task, block, last = tasks[a], blocks[a], None
+                    loaded = _matrix(system, folder, int(task) % n_passes, int(block), width, m)
+                part = rows.slice(a, c - a)
+                ends = [tuple(part[n][i].as_py() for n in (*CALL_KEYS, "pos")) for i in (0, c - a - 1)]
+                if ends[0] == last:
+                    raise ValueError("a variant has more than one call of a sample")
+                last = ends[1]
+                waiting.append(part)
+                if sum(w.num_rows for w in waiting) > 200_000:
+                    add()
+        add()
+        yield from held.batches(arrow_schema)
+
+    stripe = F.least(F.floor(F.col("sample_block") / per_stripe), F.lit(n_stripes - 1))
+    part = (_hashed(n_blocks, *CALL_KEYS) * n_stripes + stripe) * n_passes + F.col("pass")
+    placed = calls.filter(F.col("sample_index").isNotNull()).select(*CALL_KEYS, *_place(width), F.col("dosage").cast("double").alias("dosage"))
+    placed = placed.withColumn("pass", _every(n_passes, *CALL_KEYS)).withColumn("task", part.cast("int")).drop("pass")
+    # In order of sample block, and within it so that two calls of a variant and sample follow each other.
+    ordered = placed.repartitionById(n_blocks * n_stripes * n_passes, "task").sortWithinPartitions("task", "sample_block", *CALL_KEYS, "pos")
+    sums = ordered.mapInArrow(stream, schema)
+    if n_stripes > 1:
+        sums = sums.groupBy(*CALL_KEYS, "batch_key").agg(*[F.sum(n).alias(n) for n in ("gg", "n_bad", *s_names)])
+    return sums.filter((F.col("gg") > 0) | (F.col("n_bad") > 0))
+
+
+class _Sums:
+    """Sums per (variant, batch) of one task, which grow with the variants and batches met."""
+
+    def __init__(self, m: int):
+        self.m = m
+        self.place: dict[tuple, int] = {}  # variant -> row of the sums
+        self.batch_at: dict[str, int] = {}
+        self.sums, self.extra = np.zeros((0, 0, m)), np.zeros((0, 0, 2))
+
+    def cell(self, keys: list[tuple], names: list[str]) -> tuple:
+        """Where the sums of these variants and batches are."""
+        where = [self.place.setdefault(k, len(self.place)) for k in keys]
+        columns = [self.batch_at.setdefault(n, len(self.batch_at)) for n in names]
+        grown = max(len(self.sums), 1 << (len(self.place) - 1).bit_length()), max(self.sums.shape[1], len(self.batch_at))
+        if grown != self.sums.shape[:2]:
+            more = [(0, grown[0] - len(self.sums)), (0, grown[1] - self.sums.shape[1]), (0, 0)]
+            self.sums, self.extra = np.pad(self.sums, more), np.pad(self.extra, more)
+        return np.ix_(np.array(where), np.array(columns))
+
+    def add(self, keys: list[tuple], names: list[str], sums: np.ndarray, gg: np.ndarray, n_bad: np.ndarray) -> None:
+        cell = self.cell(keys, names)
+        self.sums[cell] += sums.reshape(len(keys), len(names), self.m)
+        self.extra[(*cell, 0)] += gg
+        self.extra[(*cell, 1)] += n_bad
+
+    def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        n, b = len(self.place), len(self.batch_at)
+        if not n or not b:
+            return
+        contig, index = zip(*self.place)
+        each = pa.array(np.repeat(np.arange(n), b))
+        out = [
+            pa.array(contig, schema.field("contig").type).take(each),
+            pa.array(index, schema.field("variant_index").type).take(each),
+            pa.array(list(self.batch_at) * n, pa.string()),
+            pa.array(self.extra[:n, :b, 0].ravel()),
+            pa.array(self.extra[:n, :b, 1].ravel()),
+            *[pa.array(self.sums[:n, :b, j].ravel()) for j in range(self.m)],
+        ]
+        yield pa.RecordBatch.from_arrays(out, schema=schema)
+
+
+def _matrix(system: fs.FileSystem, folder: str, number: int, block: int, width: int, m: int) -> tuple | None:
+    """Batches, numbers and members of a sample block in pass ``number``."""
+    place = f"{folder}/pass={number}/sample_block={block}"
+    if system.get_file_info(place).type == fs.FileType.NotFound:
+        return None  # no complete case has a sample here
+    row = pyarrow.dataset.dataset(place, filesystem=system, format="parquet").to_table(columns=["batches", "z", "member"]).to_pylist()[0]
+    b = len(row["batches"])
+    return row["batches"], np.frombuffer(row["z"]).reshape(width, b * m), np.frombuffer(row["member"]).reshape(width, b)
+
+
+def _sample_matrices(adjusted: DataFrame, shape: Shape, n_passes: int, together: int = 1) -> str:
     """The sample side as one matrix per (pass, sample block), written as files of the shared folder; their path.
 
-    A matrix is ``sample_width`` by the columns of a pass, doubles, with zeros for samples outside a batch; ``member``
-    says who is inside. A block's file is read by every task of the contraction, one block at a time.
+    A matrix is ``together`` times ``sample_width`` by the columns of a pass, doubles, with zeros for samples outside a batch;
+    ``member`` says who is inside. A block's file is read by every task of the contraction, one block at a time.
     """
-    m, width, z_names = shape.n_sums, shape.sample_width, _names("z", shape)
+    m, width, z_names = shape.n_sums, shape.sample_width * together, _names("z", shape)
+    if together > 1:
+        pos = (F.col("sample_block") % together * shape.sample_width + F.col("pos")).cast("int")
+        adjusted = adjusted.withColumns({"pos": pos, "sample_block": F.floor(F.col("sample_block") / together)})
 
     def build(key: tuple, rows: pa.Table) -> pa.Table:
         batch = rows["batch_key"].combine_chunks().dictionary_encode()
@@ -408,15 +544,7 @@ def contract_stored(calls: DataFrame, adjusted: DataFrame, shape: Shape) -> Data
     matrices = _sample_matrices(adjusted, shape, n_passes)
     m, width, s_names = shape.n_sums, shape.sample_width, _names("s", shape)
     value = "codes" if "codes" in calls.columns else "dosage"
-    schema = T.StructType(
-        [
-            *[T.StructField(c, calls.schema[c].dataType) for c in CALL_KEYS],
-            T.StructField("batch_key", T.StringType()),
-            T.StructField("gg", T.DoubleType()),
-            T.StructField("n_bad", T.DoubleType()),
-            *[T.StructField(n, T.DoubleType()) for n in s_names],
-        ]
-    )
+    schema = _sums_schema(calls, s_names)
     arrow_schema = to_arrow_schema(schema)
 
     def numbers(blocks: pa.Array) -> np.ndarray:
@@ -426,19 +554,9 @@ def contract_stored(calls: DataFrame, adjusted: DataFrame, shape: Shape) -> Data
         return (dosages_of_codes(held) if value == "codes" else np.frombuffer(b"".join(held), "<f4").reshape(len(held), -1)).astype(float)
 
     def one_pass(number: int) -> DataFrame:
-        def matrix(system: fs.FileSystem, folder: str, block: int) -> tuple | None:
-            place = f"{folder}/pass={number}/sample_block={block}"
-            if system.get_file_info(place).type == fs.FileType.NotFound:
-                return None  # no complete case has a sample here
-            row = pyarrow.dataset.dataset(place, filesystem=system, format="parquet").to_table(columns=["batches", "z", "member"]).to_pylist()[0]
-            b = len(row["batches"])
-            return row["batches"], np.frombuffer(row["z"]).reshape(width, b * m), np.frombuffer(row["member"]).reshape(width, b)
-
         def stream(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             system, folder = fs.FileSystem.from_uri(matrices)
-            place: dict[tuple, int] = {}  # variant -> row of the sums
-            batch_at: dict[str, int] = {}
-            sums, extra = np.zeros((0, 0, m)), np.zeros((0, 0, 2))
+            held = _Sums(m)
             seen: set[tuple] = set()
             block, loaded = None, None
             for rows in groups:
@@ -449,7 +567,7 @@ def contract_stored(calls: DataFrame, adjusted: DataFrame, shape: Shape) -> Data
                         continue
                     if blocks[a] != block:
                         block, seen = blocks[a], set()
-                        loaded = matrix(system, folder, block)
+                        loaded = _matrix(system, folder, number, block, width, m)
                     keys = list(zip(rows["contig"][a:c].to_pylist(), rows["variant_index"][a:c].to_pylist()))
                     if len(set(keys)) != len(keys) or not seen.isdisjoint(keys):
                         raise ValueError("a variant has more than one call of a sample")
@@ -457,40 +575,13 @@ def contract_stored(calls: DataFrame, adjusted: DataFrame, shape: Shape) -> Data
                     if loaded is None:
                         continue
                     names, z, member = loaded
-                    for key in keys:
-                        place.setdefault(key, len(place))
-                    for name in names:
-                        batch_at.setdefault(name, len(batch_at))
-                    grown = max(len(sums), 1 << (len(place) - 1).bit_length()), max(sums.shape[1], len(batch_at))
-                    if grown != sums.shape[:2]:
-                        held = [(0, grown[0] - len(sums)), (0, grown[1] - sums.shape[1]), (0, 0)]
-                        sums, extra = np.pad(sums, held), np.pad(extra, held)
-                    columns = np.array([batch_at[n] for n in names])
                     for at in range(a, c, 512):  # doubles of some rows at a time
                         to = min(at + 512, c)
                         g = numbers(rows[value][at:to])
-                        where = np.array([place[k] for k in keys[at - a : to - a]])
                         bad = ~np.isfinite(g)
                         g[bad] = 0.0
-                        cell = np.ix_(where, columns)
-                        sums[cell] += (g @ z).reshape(len(g), len(names), m)
-                        extra[(*cell, 0)] += np.square(g) @ member
-                        if bad.any():
-                            extra[(*cell, 1)] += bad @ member
-            n, b = len(place), len(batch_at)
-            if not n or not b:
-                return
-            contig, index = zip(*place)
-            each = pa.array(np.repeat(np.arange(n), b))
-            out = [
-                pa.array(contig, arrow_schema.field("contig").type).take(each),
-                pa.array(index, arrow_schema.field("variant_index").type).take(each),
-                pa.array(list(batch_at) * n, pa.string()),
-                pa.array(extra[:n, :b, 0].ravel()),
-                pa.array(extra[:n, :b, 1].ravel()),
-                *[pa.array(sums[:n, :b, j].ravel()) for j in range(m)],
-            ]
-            yield pa.RecordBatch.from_arrays(out, schema=arrow_schema)
+                        held.add(keys[at - a : to - a], names, g @ z, np.square(g) @ member, bad @ member if bad.any() else 0.0)
+            yield from held.batches(arrow_schema)
 
         # The order within a bucket is stated again, as Spark does not read it from the files.
         return calls.sortWithinPartitions(*ORDER).groupBy(BUCKET).applyInArrow(stream, schema)

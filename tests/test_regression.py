@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lociframe.operators import checks
 from lociframe.operators import regression as R
 from lociframe.operators.traits import batch_traits
+from lociframe.session import stage
 
 N, V, K, T = 180, 13, 3, 5
 
@@ -75,6 +76,42 @@ def test_matches_least_squares(data, form):
     assert seen >= 11 * 3
 
 
+WIDE = {"sums_bytes": 2000, "matrix_bytes": 8 * 64 * 2 * 7 * 6}
+STRIPED = {"sums_bytes": 8 << 20, "matrix_bytes": 1, "sample_width": 32, "columns_per_pass": 2048}
+
+
+@pytest.mark.parametrize("widths", [WIDE, STRIPED], ids=["several variant blocks and passes", "stretches of samples"])
+def test_calls_in_rows_give_the_sums_of_packed_ones_whatever_the_widths(data, widths):
+    _, _, _, trait_values, batches, samples, calls = data
+    sized = shape(**widths)
+    columns = ["variant_index", "trait_id", "sample_size", "beta", "se", "dof"]
+    rows = R.associate(calls, samples, trait_values, batches, sized, min_samples=40).select(*columns).toPandas()
+    tiles = R.associate(R.pack_blocks(calls, sized.sample_width), samples, trait_values, batches, sized, min_samples=40).select(*columns).toPandas()
+    both = rows.merge(tiles, on=columns[:3], how="right")
+    assert len(rows) == len(tiles[tiles.variant_index != 1]) > 0
+    both = both[both.variant_index != 1]
+    for c in ("beta", "se", "dof"):
+        assert np.allclose(both[f"{c}_x"].astype(float), both[f"{c}_y"].astype(float), equal_nan=True)
+
+
+def test_sparse_calls_are_shuffled_alone(data):
+    """Neither the sample side nor a sum per call goes to every variant block, however many variants there are."""
+    _, _, _, trait_values, batches, samples, calls = data
+    wide = R.Shape(n_covariates=K, batch_size=2)
+    rows = R.design(trait_values, batches, samples, wide)
+    adjusted = stage(R.residuals(rows, R.solve(R.moments(rows), wide.k), wide), "adjusted")
+    plan = R.contract(calls.filter("dosage <> 0"), adjusted, wide, 1_000_000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "CoGroup" not in plan
+    assert R.contract(calls.filter("dosage <> 0"), adjusted, wide, 1_000_000).rdd.getNumPartitions() < 60
+
+
+def test_repeated_call_in_rows_is_an_error(data):
+    _, _, _, trait_values, batches, samples, calls = data
+    for doubled in (calls.union(calls.limit(1)), calls.crossJoin(calls.sparkSession.range(2)).drop("id")):
+        with pytest.raises(Exception, match="more than one call"):
+            R.associate(doubled, samples, trait_values, batches, shape(), 40).count()
+
+
 def test_missing_dosage_gives_null_for_its_variant_only(data):
     _, _, _, trait_values, batches, samples, calls = data
     holed = calls.withColumn("dosage", F.when(~((F.col("variant_index") == 5) & (F.col("sample_index") == 7)), F.col("dosage")))
