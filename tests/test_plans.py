@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entries
 from lociframe.plans import domain as D
@@ -135,3 +136,32 @@ def test_regions_are_read_from_their_own_files(spark, tmp_path):
     found = zones.join_regions(spark, path, regions)
     assert 0 < files_read(found)["variants"] <= 4  # of 20
     assert sorted((r.region_id, r.variant_index) for r in found.collect()) == [(1, 0), (1, 2), (2, 49), (2, 51), (2, 53), (3, 50), (3, 52)]
+
+
+def test_region_meets_zones_of_its_bins_only(spark):
+    from lociframe.operators import zones
+
+    spans = [("1", z, 1000 * z, 1000 * z + 900) for z in range(200)] + [("1", 200, 0, 199_900), ("2", 0, 5, 5), ("2", 1, 7_000_000, 7_000_001), ("3", 0, None, None)]
+    mapped = spark.createDataFrame(spans, "contig string, zone long, first_position int, last_position int")
+    given = [(1, "1", 950, 1000), (2, "1", -50, 10**15), (3, "1", 905, 960), (4, "2", 6, 7_000_000), (5, "2", 0, 5), (6, "3", 0, 9), (7, "1", 500, 400), (8, "1", None, 5), (1, "1", 950, 1000)]
+    regions = spark.createDataFrame(given, "region_id long, contig string, start long, end long")
+    found = zones.meet(regions, mapped)
+    pairs = [(r, z) for r, c, s, e in given for d, z, a, b in spans if c == d and None not in (s, e, a) and s <= e and a <= e and b >= s]
+    assert sorted((r.region_id, r.zone) for r in found.collect()) == sorted(pairs)
+    joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert any("_bin" in line for line in joins)  # not contig alone, which compares all regions with all zones
+
+
+def test_zones_beyond_the_folders_share_them(spark, tmp_path, monkeypatch):
+    from lociframe.operators import zones
+
+    monkeypatch.setattr(zones, "FOLDERS", 10)
+    index = spark.range(1000).select(F.col("id").alias("variant_index"), F.lit("4").alias("contig"))
+    variants = index.withColumn("variant_position", F.col("variant_index") * 10)
+    path = str(tmp_path / "zones")
+    zones.write_zones(index.withColumn("sample_block", F.lit(0)), variants, path, width=10)
+    for name in ("calls", "variants"):
+        assert len(list((tmp_path / "zones" / name / "contig=4").iterdir())) == 10
+    kept, calls = zones.read_region(spark, path, "4", 3005, 3300)
+    assert sorted(r.variant_index for r in kept.collect()) == sorted(r.variant_index for r in calls.collect()) == list(range(301, 331))
+    assert set(kept.columns) == {"contig", "zone", "variant_index", "variant_position"}
