@@ -165,3 +165,19 @@ def test_zones_beyond_the_folders_share_them(spark, tmp_path, monkeypatch):
     kept, calls = zones.read_region(spark, path, "4", 3005, 3300)
     assert sorted(r.variant_index for r in kept.collect()) == sorted(r.variant_index for r in calls.collect()) == list(range(301, 331))
     assert set(kept.columns) == {"contig", "zone", "variant_index", "variant_position"}
+
+
+def test_tiled_run_keeps_traits_without_degrees_of_freedom(spark, tmp_path):
+    import datetime
+
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    customers = [(i, i % 5, float(100 * i + rng.integers(90)), "BUILDING") for i in range(12)]
+    vectors = [(i, rng.normal(size=64).tolist()) for i in range(12)]
+    events = [(i, datetime.datetime(2024, 1, 2), "click", float(rng.normal())) for i in range(12)]
+    spark.createDataFrame(customers, "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    spark.createDataFrame(events, "user_id long, ts timestamp, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    rows = entries.queries()["gwas_tiled"](spark, str(tmp_path)).collect()
+    assert {(r.trait_id, r.sample_size, r.beta) for r in rows} == {("50_0", 12, None)} and len(rows) == D.N_DENSE
