@@ -62,7 +62,8 @@ class Shape:
     calls are shuffled once, and both the sample side and the partial sums come to
     2 x columns / width of their volume in 4-byte floats: with these widths as much again each for
     a full pass, and little for a few traits. Calls in rows are too few in a tile for that: their tiles are widened until
-    a task's sums come to ``sums_bytes`` and a matrix of the sample side to ``matrix_bytes``.
+    a task's sums come to ``sums_bytes`` and a matrix of the sample side to ``matrix_bytes``. Each matrix is read by at most
+    ``most_blocks`` variant blocks: with more variants the blocks get wider, see ``row_tiles``.
     """
 
     n_covariates: int
@@ -72,6 +73,7 @@ class Shape:
     columns_per_pass: int = 2048
     sums_bytes: int = 8 << 20
     matrix_bytes: int = 8 << 20
+    most_blocks: int = 32
 
     @property
     def k(self) -> int:
@@ -81,6 +83,11 @@ class Shape:
     def n_sums(self) -> int:
         return self.k + self.batch_size
 
+    @property
+    def held_bytes(self) -> int:
+        """Most that the sums of calls in rows take in a task before a block is shared by several."""
+        return 8 * self.sums_bytes
+
 
 def _names(prefix: str, shape: Shape) -> list[str]:
     return [f"{prefix}{i}" for i in range(shape.n_sums)]
@@ -377,6 +384,24 @@ def _sums_schema(calls: DataFrame, s_names: list[str]) -> T.StructType:
     )
 
 
+def row_tiles(shape: Shape, n_variants: int, n_batches: int, n_sample_blocks: int) -> tuple[int, int, int]:
+    """Variant blocks, stretches of sample blocks that share one, and sample blocks per matrix, for ``n_batches`` in a pass.
+
+    Blocks hold ``sums_bytes`` of sums each. Every block reads the whole sample side, so their number must not grow with the
+    variants: beyond ``most_blocks`` they get wider instead, up to ``held_bytes``, and beyond that are cut into stretches, each of
+    which reads its own sample blocks only. So the reads grow with the samples alone, and a task adds up no more than its calls.
+    """
+    per_variant = n_batches * (shape.n_sums + 2) * 8
+    n_blocks = max(1, -(-n_variants // max(1, shape.sums_bytes // per_variant)))
+    n_stripes = 1 if n_blocks > 1 else shape.sums_bytes // (max(1, n_variants) * per_variant)
+    if n_blocks > shape.most_blocks:
+        n_blocks = shape.most_blocks
+        n_stripes = -(-n_variants * per_variant // (n_blocks * shape.held_bytes))
+    n_stripes = max(1, min(n_sample_blocks, n_stripes))
+    together = max(1, min(shape.matrix_bytes // (shape.sample_width * per_variant), n_sample_blocks // n_stripes))
+    return n_blocks, n_stripes, together
+
+
 def contract_rows(calls: DataFrame, adjusted: DataFrame, shape: Shape, n_variants: int) -> DataFrame:
     """Sums per (variant, batch) from calls in rows. A call that is not there has dosage zero, and a variant without calls
     among a batch's complete cases has no sums.
@@ -384,17 +409,16 @@ def contract_rows(calls: DataFrame, adjusted: DataFrame, shape: Shape, n_variant
     Sparse calls are so few in a tile that sending the sample side to every variant block, or a sum for every call to its
     variant, would outweigh them by far. So only the calls are shuffled, to variant blocks as wide as ``sums_bytes`` allow,
     in order of sample block. A task streams them past the matrices of the sample side, which it reads one at a time,
-    and adds up in memory. Where few variants have many samples, several tasks share a variant block, each with a stretch of sample blocks.
+    and adds up in memory. Where few variants have many samples, or very many variants are, several tasks share a variant block, each
+    with a stretch of sample blocks (``row_tiles``); sums that outgrow ``held_bytes`` there are passed on in parts.
     """
     extent = adjusted.agg(
         F.countDistinct("batch_key").alias("batches"), F.countDistinct("sample_block").alias("blocks"), F.max("sample_block").alias("last")
     ).first()
     m, s_names = shape.n_sums, _names("s", shape)
     n_passes = max(1, -(-extent.batches * m // shape.columns_per_pass))
-    per_variant = max(1, -(-extent.batches // n_passes)) * (m + 2) * 8
-    n_blocks = max(1, -(-n_variants // max(1, shape.sums_bytes // per_variant)))
-    n_stripes = 1 if n_blocks > 1 else max(1, min(extent.blocks, shape.sums_bytes // (max(1, n_variants) * per_variant)))
-    together = max(1, min(shape.matrix_bytes // (shape.sample_width * per_variant), extent.blocks // n_stripes))
+    n_blocks, n_stripes, together = row_tiles(shape, n_variants, max(1, -(-extent.batches // n_passes)), extent.blocks)
+    most = shape.held_bytes if n_stripes > 1 else None
     width = shape.sample_width * together
     matrices = _sample_matrices(adjusted, shape, n_passes, together)
     per_stripe = max(1, -(-((extent.last or 0) // together + 1) // n_stripes))
@@ -422,7 +446,7 @@ def contract_rows(calls: DataFrame, adjusted: DataFrame, shape: Shape, n_variant
                     continue
                 if (tasks[a], blocks[a]) != (task, block):
                     add()
-                    if tasks[a] != task and task is not None:
+                    if task is not None and (tasks[a] != task or (most and held.nbytes > most)):
                         yield from held.batches(arrow_schema)
                         held = _Sums(m)
                     task, block, last = tasks[a], blocks[a], None
@@ -475,6 +499,10 @@ class _Sums:
         self.extra[(*cell, 0)] += gg
         self.extra[(*cell, 1)] += n_bad
 
+    @property
+    def nbytes(self) -> int:
+        return self.sums.nbytes + self.extra.nbytes
+
     def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         n, b = len(self.place), len(self.batch_at)
         if not n or not b:

@@ -80,7 +80,10 @@ WIDE = {"sums_bytes": 2000, "matrix_bytes": 8 * 64 * 2 * 7 * 6}
 STRIPED = {"sums_bytes": 8 << 20, "matrix_bytes": 1, "sample_width": 32, "columns_per_pass": 2048}
 
 
-@pytest.mark.parametrize("widths", [WIDE, STRIPED], ids=["several variant blocks and passes", "stretches of samples"])
+WIDER = {"sums_bytes": 300, "matrix_bytes": 1, "sample_width": 32, "most_blocks": 2}
+
+
+@pytest.mark.parametrize("widths", [WIDE, STRIPED, WIDER], ids=["several variant blocks and passes", "stretches of samples", "wide blocks in stretches"])
 def test_calls_in_rows_give_the_sums_of_packed_ones_whatever_the_widths(data, widths):
     _, _, _, trait_values, batches, samples, calls = data
     sized = shape(**widths)
@@ -105,6 +108,16 @@ def test_sparse_calls_are_shuffled_alone(data):
     assert R.contract(calls.filter("dosage <> 0"), adjusted, wide, 1_000_000).rdd.getNumPartitions() < 60
 
 
+def test_reads_of_the_sample_side_do_not_grow_with_the_variants(data):
+    _, _, _, trait_values, batches, samples, calls = data
+    wide = R.Shape(n_covariates=K, batch_size=2)
+    rows = R.design(trait_values, batches, samples, wide)
+    adjusted = stage(R.residuals(rows, R.solve(R.moments(rows), wide.k), wide), "adjusted")
+    assert R.contract(calls, adjusted, wide, 4_000_000).rdd.getNumPartitions() <= 32  # a task reads every matrix once
+    one, many = R.row_tiles(wide, 4_000_000, 3, 1000), R.row_tiles(wide, 400_000_000, 3, 100_000)
+    assert one[0] == many[0] == 32 and many[1] > one[1]  # more variants: stretches, which share the reads of a block
+
+
 def test_repeated_call_in_rows_is_an_error(data):
     _, _, _, trait_values, batches, samples, calls = data
     for doubled in (calls.union(calls.limit(1)), calls.crossJoin(calls.sparkSession.range(2)).drop("id")):
