@@ -91,6 +91,14 @@ def _unpack(stream):
             yield batches({"token": np.frombuffer(token, np.int64), "n": np.frombuffer(count, np.int64)}, schema)
 
 
+def _held(stream):
+    """How many documents of a batch hold each n-gram."""
+    schema = pa.schema([("token", pa.int64()), ("n", pa.int64())])
+    for batch in stream:
+        token, count = np.unique(np.frombuffer(b"".join(binary(batch, "tokens")), np.int64), return_counts=True)
+        yield batches({"token": token, "n": count}, schema)
+
+
 _POSTING = pa.schema([("token", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("matches", pa.int64()), ("most", pa.int64())])
 
 
@@ -100,6 +108,14 @@ class Prefixes:
     def __init__(self, known: np.ndarray, counts: np.ndarray, percent: int):
         self.known, self.counts, self.percent = known, counts, percent
 
+    def with_counts(self, tokens: np.ndarray, counts: np.ndarray) -> Prefixes:
+        """The same with other counts as well, the larger of two; at most ``KNOWN`` of them, the largest."""
+        known, at = np.unique(np.concatenate([self.known, tokens]), return_inverse=True)
+        most = np.zeros(len(known), np.int64)
+        np.maximum.at(most, at, np.concatenate([self.counts, counts]))
+        kept = np.sort(np.lexsort((known, -most))[:KNOWN])
+        return Prefixes(known[kept], most[kept], self.percent)
+
     def of(self, tokens: np.ndarray, n: int) -> tuple[np.ndarray, int] | None:
         """From the first ``tokens`` of the ``n``; None if they hold too few infrequent ones."""
         base = n - need(n, self.percent) + 1
@@ -193,6 +209,22 @@ def _sets(size: int):
     return run
 
 
+def _most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The ``KNOWN`` n-grams with the largest counts, sorted, and their counts."""
+    top = counts.orderBy(F.desc("n"), "token").limit(KNOWN).toArrow()
+    known, often = top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy()
+    order = np.argsort(known)
+    return known[order], often[order]
+
+
+def _whole(texts: DataFrame, heads: DataFrame, prefixes: Prefixes, size: int) -> DataFrame:
+    """(id, tokens) of the documents whose heads do not do, from their texts; staged."""
+    short = stage(heads.mapInArrow(_unlisted(prefixes), "id long").distinct(), "join-short")
+    with rows_per_batch(texts.sparkSession, 1000):
+        whole = with_ids(texts, "id", short).mapInArrow(_sets(size), "id long, tokens binary").where("octet_length(tokens) > 0")
+        return stage(whole.dropDuplicates(["id", "tokens"]), "join-whole")
+
+
 def _verified(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -258,18 +290,15 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     copies = stage(nodes.join(classes.select("n", "print", "first"), ["n", "print"]).where("id <> first").select(key), "join-copies")
     heads = without_ids(rows.where("n > 0 AND id IS NOT NULL").select("id", "n", "tokens", key), "key", copies).drop("key")
 
-    counts = sketch.where("kind = 1").select("tokens", "counts").mapInArrow(_unpack, "token long, n long")
-    top = counts.groupBy("token").agg(F.sum("n").alias("n")).where("n >= 4").orderBy(F.desc("n"), "token").limit(KNOWN).toArrow()
-    known, often = top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy()
-    order = np.argsort(known)
-    known, often = known[order], often[order]
-
-    prefixes = Prefixes(known, often, percent)
-
-    short = stage(heads.mapInArrow(_unlisted(prefixes), "id long").distinct(), "join-short")
-    with rows_per_batch(docs.sparkSession, 1000):
-        whole = with_ids(texts, "id", short).mapInArrow(_sets(size), "id long, tokens binary").where("octet_length(tokens) > 0")
-        whole = stage(whole.dropDuplicates(["id", "tokens"]), "join-whole")
+    # Counts of a chunk leave out what is once in it, and chunks grow in number with the documents; those of the heads are whole.
+    chunks = sketch.where("kind = 1").select("tokens", "counts").mapInArrow(_unpack, "token long, n long")
+    counts = chunks.withColumn("in_heads", F.lit(0)).union(heads.select("tokens").mapInArrow(_held, "token long, n long").select("token", F.lit(0), "n"))
+    counts = counts.groupBy("token").agg(F.greatest(F.sum("n"), F.sum("in_heads")).alias("n"))
+    prefixes = Prefixes(*_most_frequent(counts.where("n >= 4")), percent)
+    # Documents read whole bring n-grams that were in no head. Their counts may lengthen prefixes, so the choice is made once more.
+    held = _whole(texts, heads, prefixes, size).mapInArrow(_held, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    prefixes = prefixes.with_counts(*_most_frequent(held.where(F.col("n") > HOT)))
+    whole = _whole(texts, heads, prefixes, size)
     listed = heads.mapInArrow(_listed(prefixes), _LIST).union(whole.mapInArrow(_listed_whole(prefixes, False), _LIST))
     one = Window.partitionBy("token")
     rare = listed.withColumn("rows", F.count(F.lit(1)).over(one)).where("rows > 1").drop("rows")

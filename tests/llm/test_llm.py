@@ -101,6 +101,19 @@ def test_jaccard_join_against_all_pairs(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in jaccard_groups(texts)})
 
 
+def test_frequent_ngrams_are_known_however_many_chunks_hold_them(spark, monkeypatch):
+    """Copies of one text that differ too much to be linked, one to a chunk: no chunk has any of their n-grams twice."""
+    rng, base, listed = random.Random(3), words(400, 8), {}
+    texts = [" ".join(w if rng.random() > 0.06 else f"x{i}_{j}" for j, w in enumerate(base)) for i in range(30)]
+    texts += [" ".join(words(400, 100 + i)) for i in range(10)] + [texts[4] + " end", texts[9] + " end"]
+    stage = jaccard_join.stage
+    monkeypatch.setattr(jaccard_join, "stage", lambda df, label: listed.setdefault(label, stage(df, label)) if label == "join-lists" else stage(df, label))
+    got = jaccard_join.similar_groups(docs_of(spark, texts).repartition(len(texts), "doc_id")).collect()
+    assert sorted((r.id, r.n_shingles, r.component_id) for r in got) == jaccard_groups(texts)
+    most = listed["join-lists"].where("kind = 0").groupBy("token").count().agg(F.max("count")).first()[0]
+    assert 2 <= most <= jaccard_join.HOT
+
+
 def test_jaccard_join_without_ids_and_rows(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (9, "A B c d e f")], "doc_id long, text string")
     got = jaccard_join.similar_groups(docs).collect()
